@@ -146,4 +146,7 @@ def with_views(body: str, *names: str) -> str:
     for n in names:
         visit(n)
     ctes = ",\n".join(f"{n} AS (\n{VIEWS[n][0]}\n)" for n in order)
-    return f"WITH {ctes}\n{body.strip()}"
+    body = body.strip()
+    if body[:4].upper() == "WITH":
+        return f"WITH {ctes},\n{body[4:].lstrip()}"
+    return f"WITH {ctes}\n{body}"

@@ -263,3 +263,25 @@ def summary(t: Tables) -> DataFrame:
     """``variant_summary`` over the proxy (sites + long genotypes)."""
     from ..operators.summary import variant_summary
     return variant_summary(variant_sites(t), genotypes(t), key=["pk", "ln"])
+
+
+def site_genes(t: Tables) -> DataFrame:
+    """(pk, ln) -> gene_symbol, impact: one row per site annotation."""
+    from ..operators.joins import unnest_annotations
+    return unnest_annotations(variant_sites(t)).select("pk", "ln", "reference_name", "start_position",
+                                                       "gene_symbol", "impact")
+
+
+# Fixed proxy values: the phenotype record attached to every sample.
+PHENOTYPE_ID, PHENOTYPE_NAME = "HP:0002664", "Neoplasm"
+
+
+def samples_with_phenotypes(t: Tables) -> DataFrame:
+    """``px_samples`` plus a one-element ``phenotypes`` array; ``present`` is
+    true for cases, false for controls and NULL when unknown."""
+    s = px_samples(t)
+    st = F.col("disease_status")
+    present = F.when(st == "case", F.lit(True)).when(st == "control", F.lit(False))
+    return s.withColumn("phenotypes", F.array(F.struct(
+        F.lit(PHENOTYPE_ID).alias("phenotype_id"), F.lit(PHENOTYPE_NAME).alias("phenotype_name"),
+        present.alias("present"))))
