@@ -147,6 +147,8 @@ def with_views(body: str, *names: str) -> str:
         visit(n)
     ctes = ",\n".join(f"{n} AS (\n{VIEWS[n][0]}\n)" for n in order)
     body = body.strip()
+    if not order:
+        return body
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"

@@ -285,3 +285,49 @@ def samples_with_phenotypes(t: Tables) -> DataFrame:
     return s.withColumn("phenotypes", F.array(F.struct(
         F.lit(PHENOTYPE_ID).alias("phenotype_id"), F.lit(PHENOTYPE_NAME).alias("phenotype_name"),
         present.alias("present"))))
+
+
+# ---------------------------------------------------------------------------
+# Text renderings of the views (VCF / SAM lines), so the text parsers run on
+# data derived from the driver tables.  One "file" per sample.
+# ---------------------------------------------------------------------------
+
+VCF_COLUMNS = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT"
+
+
+def vcf_text(t: Tables) -> DataFrame:
+    """Per-sample VCF lines (``value``, ``source_file``): three header lines
+    per sample file, then one data line per call with ``GT:GQ``."""
+    from ..functions import genotype_string
+    smp = px_samples(t).select("sample_id", F.concat(F.lit("sample_"), "sample_id", F.lit(".vcf"))
+                               .alias("source_file"))
+    head = smp.select(F.explode(F.array(
+        F.lit("##fileformat=VCFv4.2"),
+        F.lit('##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">'),
+        F.concat(F.lit(VCF_COLUMNS + "\t"), F.col("sample_id")))).alias("value"), "source_file")
+    g = genotypes(t)
+    gt = genotype_string("genotype", F.col("phaseset").isNotNull())
+    body = g.select(F.concat_ws(
+        "\t", "reference_name", (F.col("start_position") + 1).cast("string"),
+        F.concat(F.lit("rs"), (F.col("start_position") + 1).cast("string")), "reference_bases",
+        F.array_join("alternate_bases", ","), F.coalesce(F.col("quality").cast("string"), F.lit(".")), "filter",
+        F.lit("."), F.lit("GT:GQ"), F.concat(gt, F.lit(":"), F.col("genotype_quality").cast("string"))
+    ).alias("value"), F.concat(F.lit("sample_"), "sample_id", F.lit(".vcf")).alias("source_file"))
+    return head.unionByName(body)
+
+
+def sam_text(t: Tables) -> DataFrame:
+    """SAM lines per sample file (``@HD`` header + one line per read)."""
+    r = px_reads(t)
+    src = F.concat(F.col("sample_id"), F.lit(".sam"))
+    head = r.select("sample_id").distinct().select(F.lit("@HD\tVN:1.6\tSO:unsorted").alias("value"),
+                                                   src.alias("source_file"))
+    unm = (F.col("flag").bitwiseAND(4)) != 0
+    rl = F.col("read_length")
+    body = r.select(F.concat_ws(
+        "\t", F.col("qname").cast("string"), F.col("flag").cast("string"), "rname",
+        F.when(unm, F.lit("0")).otherwise(F.col("pos").cast("string")), F.col("mapq").cast("string"),
+        F.when(unm, F.lit("*")).otherwise(F.concat(rl.cast("string"), F.lit("M"))), F.lit("*"), F.lit("0"),
+        F.lit("0"), F.substring(F.lit("ACGT" * 40), F.lit(1), rl.cast("int")),
+        F.substring(F.lit("I" * 160), F.lit(1), rl.cast("int"))).alias("value"), src.alias("source_file"))
+    return head.unionByName(body)

@@ -1 +1,109 @@
-"""Registered queries."""
+"""Registered QC queries: SAM text -> reads -> flagstat / idxstats / stats;
+per-sample variant stats; the joined QC report."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import qc as Q
+from ..sources.sam import parse_sam_lines
+from . import proxy as P
+from .oracle_views import with_views as W
+from .registry import register
+
+
+def _reads(t):
+    return parse_sam_lines(P.sam_text(t))
+
+
+_R = "px_reads"
+
+
+@register("read_sam", W("""
+SELECT sample_id, CAST(qname AS VARCHAR) AS qname, CAST(flag AS BIGINT) AS flag, rname,
+  CAST(CASE WHEN flag & 4 <> 0 THEN 0 ELSE pos END AS BIGINT) AS pos, CAST(mapq AS BIGINT) AS mapq,
+  CASE WHEN flag & 4 <> 0 THEN '*' ELSE CAST(read_length AS VARCHAR) || 'M' END AS cigar,
+  CAST(read_length AS INTEGER) AS seq_length
+FROM px_reads""", _R))
+def read_sam(t):
+    r = _reads(t)
+    return r.select("sample_id", "qname", "flag", "rname", "pos", "mapq", "cigar",
+                    F.length("seq").alias("seq_length"))
+
+
+@register("flagstat", W("""
+SELECT sample_id, count(*) AS total,
+  count(*) FILTER (WHERE flag & 256 = 0 AND flag & 2048 = 0) AS "primary",
+  count(*) FILTER (WHERE flag & 256 <> 0) AS secondary,
+  count(*) FILTER (WHERE flag & 2048 <> 0) AS supplementary,
+  count(*) FILTER (WHERE flag & 1024 <> 0) AS duplicates,
+  count(*) FILTER (WHERE flag & 512 <> 0) AS qc_failed,
+  count(*) FILTER (WHERE flag & 4 = 0) AS mapped,
+  count(*) FILTER (WHERE flag & 256 = 0 AND flag & 2048 = 0 AND flag & 4 = 0) AS primary_mapped,
+  count(*) FILTER (WHERE flag & 256 = 0 AND flag & 2048 = 0 AND flag & 1 <> 0) AS paired,
+  count(*) FILTER (WHERE flag & 256 = 0 AND flag & 2048 = 0 AND flag & 1 <> 0 AND flag & 64 <> 0) AS read1,
+  count(*) FILTER (WHERE flag & 256 = 0 AND flag & 2048 = 0 AND flag & 1 <> 0 AND flag & 128 <> 0) AS read2,
+  count(*) FILTER (WHERE flag & 256 = 0 AND flag & 2048 = 0 AND flag & 1 <> 0 AND flag & 2 <> 0 AND flag & 4 = 0)
+    AS properly_paired,
+  count(*) FILTER (WHERE flag & 256 = 0 AND flag & 2048 = 0 AND flag & 1 <> 0 AND flag & 4 = 0 AND flag & 8 = 0)
+    AS with_mate_mapped,
+  count(*) FILTER (WHERE flag & 256 = 0 AND flag & 2048 = 0 AND flag & 1 <> 0 AND flag & 4 = 0 AND flag & 8 <> 0)
+    AS singletons
+FROM px_reads GROUP BY sample_id""", _R))
+def flagstat(t):
+    return Q.flagstat(_reads(t))
+
+
+@register("idxstats", W("""
+SELECT sample_id, rname, count(*) FILTER (WHERE flag & 4 = 0) AS mapped,
+  count(*) FILTER (WHERE flag & 4 <> 0) AS unmapped
+FROM px_reads GROUP BY sample_id, rname""", _R))
+def idxstats(t):
+    return Q.idxstats(_reads(t))
+
+
+@register("samstats", W("""
+SELECT sample_id, count(*) AS sequences, count(*) FILTER (WHERE flag & 4 = 0) AS reads_mapped,
+  count(*) FILTER (WHERE flag & 4 <> 0) AS reads_unmapped,
+  count(*) FILTER (WHERE flag & 1024 <> 0) AS reads_duplicated,
+  count(*) FILTER (WHERE flag & 4 = 0 AND mapq = 0) AS reads_mq0,
+  CAST(sum(read_length) AS BIGINT) AS total_length,
+  CAST(sum(CASE WHEN flag & 4 = 0 THEN read_length ELSE 0 END) AS BIGINT) AS bases_mapped,
+  CAST(max(read_length) AS BIGINT) AS maximum_length,
+  CAST(sum(read_length) AS DOUBLE) / count(*) AS average_length,
+  CAST(40 AS DOUBLE) AS average_quality
+FROM px_reads GROUP BY sample_id""", _R))
+def samstats(t):
+    return Q.samstats(_reads(t))
+
+
+@register("qc_report")
+def qc_report(t):
+    """Joined per-sample text report (rows-only check: free text)."""
+    r = _reads(t)
+    return Q.qc_report(Q.flagstat(r), Q.idxstats(r), Q.samstats(r))
+
+
+@register("vcf_stats", W("""
+SELECT sample_id, count(*) AS records,
+  count(*) FILTER (WHERE length(reference_bases) = 1 AND length(alt) = 1 AND (alt2 IS NULL OR length(alt2) = 1)) AS snvs,
+  count(*) FILTER (WHERE length(reference_bases) > 1 AND length(alt) = length(reference_bases)
+                   AND (alt2 IS NULL OR length(alt2) = length(reference_bases))) AS mnps,
+  count(*) FILTER (WHERE length(alt) <> length(reference_bases) OR length(alt2) <> length(reference_bases)) AS indels,
+  count(*) FILTER (WHERE alt2 IS NOT NULL) AS multiallelic,
+  count(*) FILTER (WHERE length(reference_bases) = 1 AND length(alt) = 1 AND alt2 IS NULL AND
+    ((reference_bases = 'A' AND alt = 'G') OR (reference_bases = 'G' AND alt = 'A') OR
+     (reference_bases = 'C' AND alt = 'T') OR (reference_bases = 'T' AND alt = 'C'))) AS ts,
+  count(*) FILTER (WHERE length(reference_bases) = 1 AND length(alt) = 1 AND alt2 IS NULL AND NOT
+    ((reference_bases = 'A' AND alt = 'G') OR (reference_bases = 'G' AND alt = 'A') OR
+     (reference_bases = 'C' AND alt = 'T') OR (reference_bases = 'T' AND alt = 'C'))) AS tv,
+  CAST(count(*) FILTER (WHERE length(reference_bases) = 1 AND length(alt) = 1 AND alt2 IS NULL AND
+    ((reference_bases = 'A' AND alt = 'G') OR (reference_bases = 'G' AND alt = 'A') OR
+     (reference_bases = 'C' AND alt = 'T') OR (reference_bases = 'T' AND alt = 'C'))) AS DOUBLE)
+  / nullif(CAST(count(*) FILTER (WHERE length(reference_bases) = 1 AND length(alt) = 1 AND alt2 IS NULL AND NOT
+    ((reference_bases = 'A' AND alt = 'G') OR (reference_bases = 'G' AND alt = 'A') OR
+     (reference_bases = 'C' AND alt = 'T') OR (reference_bases = 'T' AND alt = 'C'))) AS DOUBLE), 0) AS ts_tv
+FROM px_geno GROUP BY sample_id""", "px_geno"))
+def vcf_stats(t):
+    """Per-sample variant summary over the calls of each sample."""
+    return Q.vcf_stats(P.genotypes(t))

@@ -1 +1,104 @@
-"""Registered queries."""
+"""Registered source/normalisation queries: VCF text parsing, flat
+projection, multi-allelic split, contig shards, sequences, sample paths."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import SHARDS, genotype_string
+from ..operators import normalize as N
+from ..operators.filters import valid_sequence as vs
+from ..sources import vcf as V
+from ..sources.flat import resolve_sample_path as rsp
+from . import proxy as P
+from .oracle_views import with_views as W
+from .registry import register
+
+_GT_SQL = """CASE WHEN {a1} < 0 THEN '.' ELSE CAST({a1} AS VARCHAR) END
+  || CASE WHEN phaseset IS NOT NULL THEN '|' ELSE '/' END
+  || CASE WHEN {a2} < 0 THEN '.' ELSE CAST({a2} AS VARCHAR) END"""
+
+
+@register("read_vcf", W(f"""
+SELECT reference_name, start_position, start_position + length(reference_bases) AS end_position, reference_bases,
+  CASE WHEN alt2 IS NULL THEN alt ELSE alt || ',' || alt2 END AS alternate_bases,
+  'rs' || CAST(start_position + 1 AS VARCHAR) AS variant_id, quality, filter, sample_id,
+  {_GT_SQL.format(a1='a1', a2='a2')} AS gt, phaseset, genotype_quality
+FROM px_geno""", "px_geno"))
+def read_vcf(t):
+    """Per-sample VCF text (derived from the genotype view) parsed back into
+    nested rows, calls flattened for comparison."""
+    v = V.parse_vcf_lines(P.vcf_text(t))
+    c = v.select("reference_name", "start_position", "end_position", "reference_bases",
+                 F.array_join("alternate_bases", ",").alias("alternate_bases"), "variant_id", "quality",
+                 F.array_join("filter", ";").alias("filter"), F.inline("calls"))
+    return c.select("reference_name", "start_position", "end_position", "reference_bases", "alternate_bases",
+                    "variant_id", "quality", "filter", "sample_id",
+                    genotype_string("genotype", F.col("phaseset").isNotNull()).alias("gt"), "phaseset",
+                    "genotype_quality")
+
+
+@register("vcf_to_flat", W("""
+SELECT sample_id, reference_name AS chromosome, start_position + 1 AS position,
+  'rs' || CAST(start_position + 1 AS VARCHAR) AS id, reference_bases AS ref,
+  CASE WHEN alt2 IS NULL THEN alt ELSE alt || ',' || alt2 END AS alt, quality, filter
+FROM px_geno""", "px_geno"))
+def vcf_to_flat(t):
+    return V.vcf_to_flat(P.vcf_text(t), F.regexp_extract("source_file", r"sample_(.+)\.vcf$", 1))
+
+
+@register("vcf_header_union", W("""
+SELECT 'FORMAT' AS kind, 'GT' AS id, count(*) AS files FROM px_samples""", "px_samples"))
+def vcf_header_union(t):
+    return V.vcf_header_union(P.vcf_text(t)).select("kind", "id", "files")
+
+
+@register("split_multiallelic", W(f"""
+SELECT reference_name, start_position, alt AS alternate_base, CAST(1 AS INTEGER) AS alt_index, sample_id,
+  {_GT_SQL.format(a1="CASE WHEN a1 = 1 THEN 1 WHEN a1 > 0 THEN 0 ELSE a1 END",
+                  a2="CASE WHEN a2 = 1 THEN 1 WHEN a2 > 0 THEN 0 ELSE a2 END")} AS gt
+FROM px_geno
+UNION ALL
+SELECT reference_name, start_position, alt2, CAST(2 AS INTEGER), sample_id,
+  {_GT_SQL.format(a1="CASE WHEN a1 = 2 THEN 1 WHEN a1 > 0 THEN 0 ELSE a1 END",
+                  a2="CASE WHEN a2 = 2 THEN 1 WHEN a2 > 0 THEN 0 ELSE a2 END")}
+FROM px_geno WHERE alt2 IS NOT NULL""", "px_geno"))
+def split_multiallelic(t):
+    s = N.split_multiallelic(P.genotypes(t))
+    return s.select("reference_name", "start_position", F.get(F.col("alternate_bases"), 0).alias("alternate_base"),
+                    "alt_index", "sample_id",
+                    genotype_string("genotype", F.col("phaseset").isNotNull()).alias("gt"))
+
+
+@register("merge_shards", W("""
+SELECT chromosome AS reference_name, position - 1 AS start_position, ref AS reference_bases,
+  CASE WHEN chromosome IN ('1','2','3','4','5') THEN 'chr1-5' WHEN chromosome IN ('6','7','8','9','10') THEN 'chr6-10'
+       WHEN chromosome IN ('11','12','13','14','15') THEN 'chr11-15' ELSE 'chr16-Y' END AS shard
+FROM px_sites""", "px_sites"))
+def merge_shards(t):
+    """Split sites into the four contig shards, then merge them back in
+    karyotype/position order (range-partitioned)."""
+    s = N.contig_shard(P.variant_sites(t, annotated=False))
+    parts = [s.where(F.col("shard") == name) for name, _ in SHARDS]
+    m = N.merge_shards(parts, num_partitions=8)
+    return m.select("reference_name", "start_position", "reference_bases", "shard")
+
+
+@register("valid_sequence", W("""
+SELECT doc_id, regexp_full_match(regexp_replace(upper(text), '[ \\n\\r]', '', 'g'), '[ACDEFGHIKLMNPQRSTVWY]*')
+  AS is_valid
+FROM documents"""))
+def valid_sequence(t):
+    """Amino-acid alphabet check over every document text (whole texts)."""
+    return vs(t.documents.select("doc_id", F.col("text").alias("sequence"))).select("doc_id", "is_valid")
+
+
+@register("resolve_sample_path", W("""
+SELECT sample_id, coalesce(CASE WHEN ck % 3 = 0 THEN 'gs://node-bucket/bam/' || sample_id || '.bam' END,
+  'gs://public-1000g/bam/' || sample_id || '.mapped.ILLUMINA.bwa.GBR.low_coverage.20120522.bam') AS resolved_bam
+FROM px_samples""", "px_samples"))
+def resolve_sample_path(t):
+    m = P.px_samples(t).select(
+        "sample_id", F.when(F.col("ck") % 3 == 0, F.concat(F.lit("gs://node-bucket/bam/"), "sample_id",
+                                                            F.lit(".bam"))).alias("input_bam"))
+    return rsp(m, "gs://public-1000g/").select("sample_id", "resolved_bam")
