@@ -149,6 +149,9 @@ def with_views(body: str, *names: str) -> str:
     body = body.strip()
     if not order:
         return body
-    if body[:4].upper() == "WITH":
+    head = body[:14].upper()
+    if head.startswith("WITH RECURSIVE"):
+        return f"WITH RECURSIVE {ctes},\n{body[14:].lstrip()}"
+    if head.startswith("WITH"):
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"
