@@ -17,11 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.tables import Tables
 
-_ACGT = F.lit("ACGT")
-
-
 def _base(idx: Column) -> Column:
-    return F.substring(_ACGT, idx.cast("int"), F.lit(1))
+    return F.substring(F.lit("ACGT"), idx.cast("int"), F.lit(1))
 
 
 def site_columns(pk: Column, ln: Column) -> list[Column]:

@@ -315,3 +315,53 @@ def unnest_annotations(t):
     from ..operators.joins import unnest_annotations as ua
     return ua(P.variant_sites(t)).select("reference_name", "start_position", "gene_symbol", "impact",
                                          "consequence")
+
+
+# ------------------------------------------------------ ML features ---------
+
+_FEAT_SQL = """SELECT chromosome AS reference_name, position - 1 AS start_position, ref AS reference_bases, alt,
+  quality, CAST(length(ref) AS INTEGER) AS ref_length, CAST(length(alt) AS INTEGER) AS alt_length,
+  CASE WHEN length(ref) = length(alt) THEN 'SNP' WHEN length(ref) > length(alt) THEN 'DEL' ELSE 'INS' END
+    AS variant_type
+FROM px_sites WHERE alt2 IS NULL AND quality IS NOT NULL"""
+
+
+@register("variant_features", W(_FEAT_SQL, "px_sites"))
+def variant_features(t):
+    from ..operators.features import variant_features as vf
+    return vf(P.variant_sites(t, annotated=False))
+
+
+def _hist_sql(col: str, bins: int) -> str:
+    return f"""SELECT '{col}' AS profile, CAST(NULL AS VARCHAR) AS label, bin,
+  lo + bin * (CAST(hi AS DOUBLE) - lo) / {bins} AS lower_edge, count(*) AS count
+FROM (SELECT CAST(least(coalesce(floor(CAST({col} - lo AS DOUBLE) / nullif(CAST(hi - lo AS DOUBLE), 0) * {bins}), 0),
+                        {bins - 1}) AS BIGINT) AS bin, lo, hi
+      FROM f, (SELECT min({col}) AS lo, max({col}) AS hi FROM f) m WHERE {col} IS NOT NULL) x
+GROUP BY bin, lo, hi"""
+
+
+@register("feature_profiles", W(f"""
+WITH f AS ({_FEAT_SQL})
+SELECT 'variant_type' AS profile, variant_type AS label, CAST(NULL AS BIGINT) AS bin,
+  CAST(NULL AS DOUBLE) AS lower_edge, count(*) AS count FROM f GROUP BY variant_type
+UNION ALL
+{_hist_sql('quality', 50)}
+UNION ALL
+{_hist_sql('ref_length', 20)}""", "px_sites"))
+def feature_profiles(t):
+    from ..operators.features import feature_profiles as fp, variant_features as vf
+    return fp(vf(P.variant_sites(t, annotated=False)))
+
+
+@register("label_with_annotations", W(f"""
+WITH f AS ({_FEAT_SQL})
+SELECT f.reference_name, f.start_position, f.variant_type, c.clinical_significance,
+  CASE WHEN c.clinical_significance IS NULL THEN NULL WHEN c.clinical_significance LIKE '%Pathogenic%' THEN 1 ELSE 0 END
+    AS label
+FROM f LEFT JOIN px_clinvar c ON f.reference_name = c.chromosome AND f.start_position = c.start
+  AND f.reference_bases = c.reference AND f.alt = c.alternate""", "px_sites", "px_clinvar"))
+def label_with_annotations(t):
+    from ..operators.features import label_with_annotations as lw, variant_features as vf
+    j = lw(vf(P.variant_sites(t, annotated=False)), P.px_clinvar(t))
+    return j.select("reference_name", "start_position", "variant_type", "clinical_significance", "label")

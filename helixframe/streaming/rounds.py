@@ -6,7 +6,7 @@ source is a configuration change).  Per-round state lives in
 node (bounded by the node count), emits the n-weighted average once
 ``num_nodes`` distinct nodes have reported, ignores late or repeated
 updates for an emitted round, and drops a round's state after ``timeout``
-without progress (incomplete rounds are reported as such).
+without progress in event time (incomplete rounds are reported as such).
 """
 
 from __future__ import annotations
@@ -73,34 +73,45 @@ def _round_fn(num_nodes: int, timeout_ms: int):
                                      "nodes_aggregated": ",".join(sorted(ups))}])
             return
         done, raw = state.get if state.exists else (False, "{}")
-        if done:
-            for _ in pdfs:      # late or repeated updates for an emitted round
-                pass
-            return
         ups = json.loads(raw)
+        last_ms = 0
         for pdf in pdfs:
+            if len(pdf):
+                last_ms = max(last_ms, int(pd.Timestamp(pdf["ts"].max()).value // 1_000_000))
+            if done:
+                continue        # late or repeated updates for an emitted round
             for row in pdf.sort_values("event_id").itertuples(index=False):
                 if row.node_id not in ups or row.event_id < ups[row.node_id]["event_id"]:
                     ups[row.node_id] = {"event_id": int(row.event_id), "n_samples": int(row.n_samples),
                                         "weights": [float(x) for x in row.weights], "bias": float(row.bias)}
+        # idle timer in event time: the round is given up (or, once emitted,
+        # forgotten) when the watermark passes its last update + timeout
+        expire = max(last_ms + timeout_ms, state.getCurrentWatermarkMs() + 1)
+        if done:
+            state.update((True, "{}"))
+            state.setTimeoutTimestamp(expire)
+            return
         if len(ups) >= num_nodes:
             n, w, b = _average(ups)
             state.update((True, "{}"))
-            state.setTimeoutDuration(timeout_ms)
+            state.setTimeoutTimestamp(expire)
             yield pd.DataFrame([{"round": rnd, "status": "complete", "n_nodes": len(ups), "total_samples": n,
                                  "weights": w, "bias": b, "nodes_aggregated": ",".join(sorted(ups))}])
         else:
             state.update((False, json.dumps(ups)))
-            state.setTimeoutDuration(timeout_ms)
+            state.setTimeoutTimestamp(expire)
     return fn
 
 
-def round_aggregator(updates: DataFrame, num_nodes: int, timeout: str = "60 seconds") -> DataFrame:
-    """Streaming rounds: see module doc.  Output mode ``append``."""
+def round_aggregator(updates: DataFrame, num_nodes: int, timeout: str = "60 seconds",
+                     watermark: str = "1 minute") -> DataFrame:
+    """Streaming rounds: see module doc.  Output mode ``append``.  Rounds
+    time out in event time (``ts``): ``timeout`` after their last update,
+    once the watermark (max ts - ``watermark``) has passed it."""
     ms = _duration_ms(timeout)
-    return (updates.groupBy("round")
+    return (updates.withWatermark("ts", watermark).groupBy("round")
             .applyInPandasWithState(_round_fn(num_nodes, ms), ROUND_OUT, ROUND_STATE, "append",
-                                    GroupStateTimeout.ProcessingTimeTimeout))
+                                    GroupStateTimeout.EventTimeTimeout))
 
 
 def _duration_ms(s: str) -> int:
