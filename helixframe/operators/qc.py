@@ -9,7 +9,9 @@ map-side first).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import first_alt, mutation_type, safe_ratio
 
@@ -53,10 +55,29 @@ def idxstats(reads: DataFrame) -> DataFrame:
         F.count_if(_has(UNMAPPED)).alias("unmapped"))
 
 
+@F.pandas_udf(T.LongType())
+def phred_sum(qual: pd.Series) -> pd.Series:
+    """Sum of Phred+33 base qualities per read ('*' = none -> 0).
+
+    Vectorised over the Arrow batch: all strings are joined into one byte
+    buffer and summed per read with ``np.add.reduceat`` (a per-character
+    SQL lambda would run interpreted, ~50x slower)."""
+    q = qual.fillna("*").where(qual != "*", "")
+    lens = q.str.len().to_numpy()
+    buf = np.frombuffer("".join(q.tolist()).encode("latin-1"), dtype=np.uint8).astype(np.int64)
+    out = np.zeros(len(q), dtype=np.int64)
+    nz = lens > 0
+    if nz.any():
+        starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
+        sums = np.add.reduceat(buf, starts[nz]) if len(buf) else np.zeros(int(nz.sum()), dtype=np.int64)
+        out[nz] = sums - 33 * lens[nz]
+    return pd.Series(out)
+
+
 def samstats(reads: DataFrame) -> DataFrame:
     """Summary numbers (``SN`` lines) per sample.  Read length comes from
     ``read_length`` when present, else ``length(seq)``; base quality is the
-    Phred mean over all bases (``qual`` decoded with a higher-order sum)."""
+    Phred mean over all bases (``qual`` decoded by a vectorised UDF)."""
     rl = F.col("read_length") if "read_length" in reads.columns else F.length("seq")
     mapped = ~_has(UNMAPPED)
     aggs = [
@@ -70,9 +91,7 @@ def samstats(reads: DataFrame) -> DataFrame:
         F.max(rl).cast("long").alias("maximum_length"),
     ]
     if "qual" in reads.columns:
-        phred = F.aggregate(F.split(F.col("qual"), ""), F.lit(0).cast("long"),
-                            lambda acc, ch: acc + (F.ascii(ch) - 33).cast("long"))
-        aggs.append(F.sum(F.when(F.col("qual") != "*", phred)).alias("_qsum"))
+        aggs.append(F.sum(F.when(F.col("qual") != "*", phred_sum(F.col("qual")))).alias("_qsum"))
         aggs.append(F.sum(F.when(F.col("qual") != "*", F.length("qual"))).alias("_qn"))
     out = reads.groupBy("sample_id").agg(*aggs)
     out = out.withColumn("average_length", safe_ratio("total_length", "sequences"))

@@ -38,6 +38,21 @@ def read_vcf(t):
                     "genotype_quality")
 
 
+@register("read_vcf_genotypes", W(f"""
+SELECT reference_name, start_position, reference_bases,
+  CASE WHEN alt2 IS NULL THEN alt ELSE alt || ',' || alt2 END AS alternate_bases, quality, filter, sample_id,
+  CAST(0 AS INTEGER) AS sample_index, {_GT_SQL.format(a1='a1', a2='a2')} AS gt, phaseset, genotype_quality
+FROM px_geno""", "px_geno"))
+def read_vcf_genotypes(t):
+    """The same VCF text parsed straight into the long genotype table."""
+    g = V.parse_vcf_genotypes(P.vcf_text(t))
+    return g.select("reference_name", "start_position", "reference_bases",
+                    F.array_join("alternate_bases", ",").alias("alternate_bases"), "quality",
+                    F.array_join("filter", ";").alias("filter"), "sample_id", "sample_index",
+                    genotype_string("genotype", F.col("phaseset").isNotNull()).alias("gt"), "phaseset",
+                    "genotype_quality")
+
+
 @register("vcf_to_flat", W("""
 SELECT sample_id, reference_name AS chromosome, start_position + 1 AS position,
   'rs' || CAST(start_position + 1 AS VARCHAR) AS id, reference_bases AS ref,

@@ -19,6 +19,18 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # AQE turns a sort-merge join into a shuffled hash join when every
+    # post-shuffle partition of the build side is below this size (checked
+    # per partition at runtime, so it stays safe at any scale).
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Broadcast only on *measured* sizes: no plan-time broadcast from file
+    # statistics (estimates of derived frames can be off by orders of
+    # magnitude); AQE broadcasts a join side after its shuffle stage has
+    # produced less than the runtime threshold, else keeps the shuffle join.
+    # Explicit broadcast() hints remain only on lookups bounded by
+    # construction (nodes, cohorts, policies, one-row models).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

@@ -45,49 +45,48 @@ def vcf_headers(lines: DataFrame, names: str = "keep") -> DataFrame:
     return h.select("source_file", s.alias("_sample_names"))
 
 
-def _call(vals: Column, keys: Column, name: Column) -> Column:
+_FORMAT_KEYS = ("GT", "PS", "GQ", "DP", "AD")
+
+
+def _format_index(keys: Column) -> dict[str, Column]:
+    """0-based position of each known FORMAT key in the line's FORMAT list
+    (-1 when absent), computed once per line, not once per call."""
+    return {k: (F.array_position(keys, k) - 1).cast("int") for k in _FORMAT_KEYS}
+
+
+def _genotype(gt: Column) -> Column:
+    """'0|1' / '1/.' -> [0, 1] / [1, -1]; NULL GT -> NULL."""
+    alleles = F.split(F.translate(gt, "|", "/"), "/")
+    return F.when(gt.isNull(), F.lit(None).cast("array<bigint>")).otherwise(
+        F.transform(alleles, lambda a: F.when(a == ".", F.lit(-1).cast("long")).otherwise(a.try_cast("long"))))
+
+
+def _depths(ad: Column) -> Column:
+    return F.when(ad.isNull(), F.lit(None).cast("array<bigint>")).otherwise(
+        F.transform(F.split(ad, ","), lambda x: _missing(x).try_cast("long")))
+
+
+def _call_fields(vals: Column, ix: dict[str, Column], name: Column) -> list[Column]:
     def field(k: str) -> Column:
-        return _missing(F.get(vals, (F.array_position(keys, k) - 1).cast("int")))
+        return _missing(F.get(vals, ix[k]))
 
     gt = field("GT")
-    phased = gt.contains("|")
-    genotype = F.when(gt.isNull(), F.lit(None).cast("array<bigint>")).otherwise(
-        F.transform(F.split(gt, r"[/|]"), lambda a: F.when(a == ".", F.lit(-1).cast("long"))
-                    .otherwise(a.try_cast("long"))))
-    ad = field("AD")
-    return F.struct(
+    return [
         name.alias("sample_id"),
-        genotype.alias("genotype"),
-        F.coalesce(field("PS"), F.when(phased, F.lit("*"))).alias("phaseset"),
+        _genotype(gt).alias("genotype"),
+        F.coalesce(field("PS"), F.when(gt.contains("|"), F.lit("*"))).alias("phaseset"),
         field("GQ").try_cast("long").alias("genotype_quality"),
         field("DP").try_cast("long").alias("read_depth"),
-        F.when(ad.isNull(), F.lit(None).cast("array<bigint>"))
-         .otherwise(F.transform(F.split(ad, ","), lambda x: _missing(x).try_cast("long"))).alias("allele_depths"),
-    )
+        _depths(field("AD")).alias("allele_depths"),
+    ]
 
 
-def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bool = False) -> DataFrame:
-    """Data lines -> nested ``variants`` rows (see ``schemas.VARIANTS``).
-
-    ``start_position`` is 0-based (POS - 1), ``end_position`` = start +
-    len(REF); ``.`` fields become NULL; genotype no-calls become -1; a phased
-    call without PS gets phase set ``*``.  Extra column ``info`` keeps the
-    raw INFO text.
-    """
-    headers = vcf_headers(lines, names)
-    if broadcast_headers:
-        headers = F.broadcast(headers)
-    data = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0))
-    data = data.join(headers, "source_file", "left")
-    f = F.split("value", "\t")
-    keys = F.split(F.get(f, 8), ":")
-    samples = F.slice(f, 10, F.greatest(F.size(f) - 9, F.lit(0)))
+def _site_columns(f: Column) -> list[Column]:
     alt = _missing(F.get(f, 4))
     filt = _missing(F.get(f, 6))
     ref = F.get(f, 3)
     start = (F.get(f, 1).try_cast("long") - 1)
-    calls = F.transform(samples, lambda s, i: _call(F.split(s, ":"), keys, F.get(F.col("_sample_names"), i)))
-    return data.select(
+    return [
         F.get(f, 0).alias("reference_name"),
         start.alias("start_position"),
         (start + F.length(ref)).alias("end_position"),
@@ -96,6 +95,34 @@ def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bo
         _missing(F.get(f, 2)).alias("variant_id"),
         _missing(F.get(f, 5)).try_cast("double").alias("quality"),
         F.when(filt.isNull(), F.lit(None).cast("array<string>")).otherwise(F.split(filt, ";")).alias("filter"),
+    ]
+
+
+def _data_with_names(lines: DataFrame, names: str, broadcast_headers: bool) -> DataFrame:
+    headers = vcf_headers(lines, names)
+    if broadcast_headers:
+        headers = F.broadcast(headers)
+    data = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0))
+    return data.join(headers, "source_file", "left")
+
+
+def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bool = False) -> DataFrame:
+    """Data lines -> nested ``variants`` rows (see ``schemas.VARIANTS``).
+
+    ``start_position`` is 0-based (POS - 1), ``end_position`` = start +
+    len(REF); ``.`` fields become NULL; genotype no-calls become -1; a phased
+    call without PS gets phase set ``*``.  Extra column ``info`` keeps the
+    raw INFO text.  Each sample column is split once; FORMAT key positions
+    are resolved once per line.
+    """
+    data = _data_with_names(lines, names, broadcast_headers)
+    f = F.split("value", "\t")
+    ix = _format_index(F.split(F.get(f, 8), ":"))
+    samples = F.slice(f, 10, F.greatest(F.size(f) - 9, F.lit(0)))
+    parts = F.transform(samples, lambda x: F.split(x, ":"))
+    calls = F.transform(parts, lambda v, i: F.struct(*_call_fields(v, ix, F.get(F.col("_sample_names"), i))))
+    return data.select(
+        *_site_columns(f),
         calls.alias("calls"),
         F.array().cast(T.ArrayType(ANNOTATION)).alias("annotations"),
         F.lit(None).cast(POPULATION_FREQUENCIES).alias("population_frequencies"),
@@ -106,6 +133,25 @@ def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bo
     )
 
 
+def parse_vcf_genotypes(lines: DataFrame, names: str = "keep", broadcast_headers: bool = False) -> DataFrame:
+    """Data lines -> long genotype rows (one per site and sample): the sample
+    columns are exploded first, then every field is a plain column
+    expression (whole-stage codegen, no per-call lambda)."""
+    data = _data_with_names(lines, names, broadcast_headers)
+    f = F.split("value", "\t")
+    x = data.select(
+        *_site_columns(f), "source_file", "_sample_names",
+        *[v.alias(f"_ix_{k}") for k, v in _format_index(F.split(F.get(f, 8), ":")).items()],
+        F.posexplode(F.slice(f, 10, F.greatest(F.size(f) - 9, F.lit(0)))).alias("sample_index", "_s"))
+    vals = F.split("_s", ":")
+    ix = {k: F.col(f"_ix_{k}") for k in _FORMAT_KEYS}
+    site = ["reference_name", "start_position", "end_position", "reference_bases", "alternate_bases",
+            "variant_id", "quality", "filter"]
+    return x.select(*site, "sample_index",
+                    *_call_fields(vals, ix, F.get(F.col("_sample_names"), F.col("sample_index"))),
+                    "source_file")
+
+
 def read_vcf(spark: SparkSession, path_glob: str, names: str = "keep",
              max_broadcast_files: int = HEADER_BROADCAST_FILES) -> DataFrame:
     """Read VCF file(s) (glob allowed, ``.gz`` fine) into nested rows.
