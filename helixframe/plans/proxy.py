@@ -13,173 +13,159 @@ scale that saves a shuffle of the largest table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..sources.tables import Tables
 
-def _base(idx: Column) -> Column:
-    return F.substring(F.lit("ACGT"), idx.cast("int"), F.lit(1))
-
-
-def site_columns(pk: Column, ln: Column) -> list[Column]:
-    """chromosome, position, ref, alt, alt2, quality, filter of a site."""
-    m = (pk * 7 + ln * 13) % 600
-    return [
-        F.when(pk % 24 == 22, F.lit("X")).when(pk % 24 == 23, F.lit("Y"))
-         .otherwise((pk % 24 + 1).cast("string")).alias("chromosome"),
-        (pk * 100 + ln).alias("position"),
-        F.concat(_base(pk % 4 + 1),
-                 F.when(pk % 10 == 1, F.lit("AT")).when(pk % 10 == 2, F.lit("G")).otherwise(F.lit("")))
-         .alias("ref"),
-        F.concat(_base((pk + ln % 3 + 1) % 4 + 1),
-                 F.when(pk % 10 == 0, F.lit("A")).when(pk % 10 == 2, F.lit("C")).otherwise(F.lit("")))
-         .alias("alt"),
-        F.when(pk % 7 == 0, _base((pk + (ln + 1) % 3 + 1) % 4 + 1)).alias("alt2"),
-        F.when(pk % 50 == 0, F.lit(None).cast("double")).otherwise(m / F.lit(10.0)).alias("quality"),
-        F.when(m < 50, F.lit("RefCall")).otherwise(F.lit("PASS")).alias("filter"),
-    ]
+# Each view is one SQL statement (one parse on the driver instead of
+# thousands of Column round trips); tables and earlier views are bound as
+# DataFrame parameters.
+
+
+def _memo(t: Tables, key: str, build) -> DataFrame:
+    frames = t._frames
+    if key not in frames:
+        frames[key] = build()
+    return frames[key]
+
+
+def _sql(t: Tables, text: str, **frames: DataFrame) -> DataFrame:
+    return t.spark.sql(text, **frames)
+
+
+def site_sql(pk: str = "pk", ln: str = "ln") -> str:
+    """chromosome, position, ref, alt, alt2, quality, filter of a site as a
+    SELECT list over key columns ``pk``, ``ln``."""
+    m = f"({pk} * 7 + {ln} * 13) % 600"
+    return f"""
+  CASE WHEN {pk} % 24 = 22 THEN 'X' WHEN {pk} % 24 = 23 THEN 'Y' ELSE CAST({pk} % 24 + 1 AS STRING) END AS chromosome,
+  {pk} * 100 + {ln} AS position,
+  substr('ACGT', CAST({pk} % 4 + 1 AS INT), 1)
+    || CASE WHEN {pk} % 10 = 1 THEN 'AT' WHEN {pk} % 10 = 2 THEN 'G' ELSE '' END AS ref,
+  substr('ACGT', CAST(({pk} + {ln} % 3 + 1) % 4 + 1 AS INT), 1)
+    || CASE WHEN {pk} % 10 = 0 THEN 'A' WHEN {pk} % 10 = 2 THEN 'C' ELSE '' END AS alt,
+  CASE WHEN {pk} % 7 = 0 THEN substr('ACGT', CAST(({pk} + ({ln} + 1) % 3 + 1) % 4 + 1 AS INT), 1) END AS alt2,
+  CASE WHEN {pk} % 50 = 0 THEN NULL ELSE {m} / CAST(10 AS DOUBLE) END AS quality,
+  CASE WHEN {m} < 50 THEN 'RefCall' ELSE 'PASS' END AS filter"""
 
 
 def px_sites(t: Tables) -> DataFrame:
     """One row per distinct (pk, ln) of lineitem."""
-    s = t.lineitem.select(F.col("l_partkey").alias("pk"), F.col("l_linenumber").alias("ln")).distinct()
-    return s.select("pk", "ln", *site_columns(F.col("pk"), F.col("ln")))
+    return _memo(t, "px_sites", lambda: _sql(t, f"""
+SELECT pk, ln, {site_sql()}
+FROM (SELECT DISTINCT l_partkey AS pk, l_linenumber AS ln FROM {{lineitem}}) s""", lineitem=t.lineitem))
 
 
 def px_calls(t: Tables, with_site: bool = False) -> DataFrame:
-    """One row per (site, sample); a1/a2 alleles, -1 = no call."""
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag",
-                           "l_linestatus", "l_quantity")
-    o = t.orders.select("o_orderkey", "o_custkey")
-    g = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .groupBy(F.col("l_partkey").alias("pk"), F.col("l_linenumber").alias("ln"),
-                  F.col("o_custkey").alias("ck"))
-         # max() of the one-character flags taken on their character code:
-         # same value as the string max, but a fixed-width buffer, so the
-         # aggregation runs hash-based with map-side partial aggregation
-         # instead of sorting every row (string max forces SortAggregate).
-         .agg(F.chr(F.max(F.ascii("l_returnflag"))).alias("rf"),
-              F.chr(F.max(F.ascii("l_linestatus"))).alias("ls"),
-              F.max("l_quantity").alias("q")))
-    pk, rf, ls, q = F.col("pk"), F.col("rf"), F.col("ls"), F.col("q")
-    cols = [
-        "pk", "ln", "ck",
-        F.when(q >= 50, -1).when(rf == "R", 1).otherwise(0).alias("a1"),
-        F.when(q >= 50, -1).when((rf == "R") & (ls == "F") & (pk % 7 == 0), 2)
-         .when(rf.isin("A", "R"), 1).otherwise(0).alias("a2"),
-        F.when(ls == "F", F.lit("*")).alias("phaseset"),
-        q.cast("long").alias("genotype_quality"),
-    ]
-    if with_site:
-        cols += site_columns(F.col("pk"), F.col("ln"))
-    return g.select(*cols)
+    """One row per (site, sample); a1/a2 alleles, -1 = no call.
+
+    max() of the one-character flags is taken on the character code: same
+    value as the string max, but a fixed-width buffer, so the aggregation is
+    hash-based with map-side partial aggregation (a string max forces a
+    sort-based aggregate over every row)."""
+    calls = _memo(t, "px_calls", lambda: _sql(t, """
+SELECT pk, ln, ck,
+  CASE WHEN q >= 50 THEN -1 WHEN rf = 'R' THEN 1 ELSE 0 END AS a1,
+  CASE WHEN q >= 50 THEN -1 WHEN rf = 'R' AND ls = 'F' AND pk % 7 = 0 THEN 2 WHEN rf IN ('A','R') THEN 1 ELSE 0 END
+    AS a2,
+  CASE WHEN ls = 'F' THEN '*' END AS phaseset,
+  CAST(q AS BIGINT) AS genotype_quality
+FROM (SELECT l_partkey AS pk, l_linenumber AS ln, o_custkey AS ck, chr(max(ascii(l_returnflag))) AS rf,
+             chr(max(ascii(l_linestatus))) AS ls, max(l_quantity) AS q
+      FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+      GROUP BY l_partkey, l_linenumber, o_custkey) g""", lineitem=t.lineitem, orders=t.orders))
+    if not with_site:
+        return calls
+    return _sql(t, f"SELECT *, {site_sql()} FROM {{c}}", c=calls)
 
 
 def px_ann(t: Tables) -> DataFrame:
-    p = t.part
-    pk, ptype = F.col("p_partkey"), F.col("p_type")
-    size6 = F.col("p_size") % 6
-    return p.select(
-        pk.alias("pk"),
-        F.when(ptype == "STANDARD", F.lit(None).cast("string"))
-         .when(pk % 25 == 0, F.lit("BRCA1")).when(pk % 25 == 1, F.lit("BRCA2"))
-         .when(pk % 25 == 2, F.lit("TP53")).otherwise(F.col("p_brand")).alias("gene_symbol"),
-        F.when(ptype == "STANDARD", F.lit(None).cast("string"))
-         .when(ptype == "ECONOMY", F.lit("HIGH")).when(ptype == "SMALL", F.lit("MODERATE"))
-         .when(ptype == "MEDIUM", F.lit("LOW")).otherwise(F.lit("MODIFIER")).alias("impact"),
-        F.when(pk % 6 == 0, F.lit(None).cast("double"))
-         .when(size6 == 0, F.lit(0.00005)).when(size6 == 1, F.lit(0.0005))
-         .when(size6 == 2, F.lit(0.005)).when(size6 == 3, F.lit(0.03))
-         .when(size6 == 4, F.lit(0.05)).otherwise(F.lit(0.3)).alias("gnomad_af"),
-    )
+    return _memo(t, "px_ann", lambda: _sql(t, """
+SELECT p_partkey AS pk,
+  CASE WHEN p_type = 'STANDARD' THEN NULL WHEN p_partkey % 25 = 0 THEN 'BRCA1' WHEN p_partkey % 25 = 1 THEN 'BRCA2'
+       WHEN p_partkey % 25 = 2 THEN 'TP53' ELSE p_brand END AS gene_symbol,
+  CASE p_type WHEN 'STANDARD' THEN NULL WHEN 'ECONOMY' THEN 'HIGH' WHEN 'SMALL' THEN 'MODERATE'
+       WHEN 'MEDIUM' THEN 'LOW' ELSE 'MODIFIER' END AS impact,
+  CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE CASE p_size % 6
+       WHEN 0 THEN CAST(0.00005 AS DOUBLE) WHEN 1 THEN CAST(0.0005 AS DOUBLE) WHEN 2 THEN CAST(0.005 AS DOUBLE)
+       WHEN 3 THEN CAST(0.03 AS DOUBLE) WHEN 4 THEN CAST(0.05 AS DOUBLE) ELSE CAST(0.3 AS DOUBLE) END END AS gnomad_af
+FROM {part}""", part=t.part))
 
 
 def px_samples(t: Tables) -> DataFrame:
-    c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-    n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
-    r = t.region.select("r_regionkey", "r_name")
-    seg, rn = F.col("c_mktsegment"), F.col("r_name")
-    return (c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
-            .select(F.col("c_custkey").alias("ck"), F.col("c_custkey").cast("string").alias("sample_id"),
-                    F.when(seg.isin("BUILDING", "AUTOMOBILE"), F.lit("case"))
-                     .when(seg.isin("FURNITURE", "MACHINERY"), F.lit("control"))
-                     .otherwise(F.lit("unknown")).alias("disease_status"),
-                    F.col("n_name").alias("population"),
-                    F.when(rn == "AFRICA", F.lit("AFR")).when(rn == "AMERICA", F.lit("AMR"))
-                     .when(rn == "ASIA", F.lit("EAS")).when(rn == "EUROPE", F.lit("EUR"))
-                     .otherwise(F.lit("SAS")).alias("super_population")))
+    return _memo(t, "px_samples", lambda: _sql(t, """
+SELECT c_custkey AS ck, CAST(c_custkey AS STRING) AS sample_id,
+  CASE WHEN c_mktsegment IN ('BUILDING','AUTOMOBILE') THEN 'case'
+       WHEN c_mktsegment IN ('FURNITURE','MACHINERY') THEN 'control' ELSE 'unknown' END AS disease_status,
+  n_name AS population,
+  CASE r_name WHEN 'AFRICA' THEN 'AFR' WHEN 'AMERICA' THEN 'AMR' WHEN 'ASIA' THEN 'EAS'
+       WHEN 'EUROPE' THEN 'EUR' ELSE 'SAS' END AS super_population
+FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",
+                                                customer=t.customer, nation=t.nation, region=t.region))
 
 
 def px_populations(t: Tables) -> DataFrame:
-    return px_samples(t).where(F.col("ck") % 10 != 0).select("sample_id", "population", "super_population")
+    return _sql(t, "SELECT sample_id, population, super_population FROM {s} WHERE ck % 10 <> 0",
+                s=px_samples(t))
 
 
 def px_genes(t: Tables) -> DataFrame:
-    s, a = px_sites(t), px_ann(t).where(F.col("gene_symbol").isNotNull())
-    return (s.join(a, "pk").groupBy("gene_symbol", "chromosome")
-            .agg(F.min("position").alias("start_position"), F.max("position").alias("end_position")))
+    return _sql(t, """
+SELECT gene_symbol, chromosome, min(position) AS start_position, max(position) AS end_position
+FROM {s} s JOIN {a} a ON s.pk = a.pk WHERE gene_symbol IS NOT NULL GROUP BY gene_symbol, chromosome""",
+                s=px_sites(t), a=px_ann(t))
 
 
 def px_clinvar(t: Tables) -> DataFrame:
-    s = px_sites(t).where(F.col("ln") % 2 == 0)
-    return s.select("chromosome", (F.col("position") - 1).alias("start"), F.col("ref").alias("reference"),
-                    F.col("alt").alias("alternate"),
-                    F.when(F.col("pk") % 4 == 0, F.lit("Pathogenic"))
-                     .when(F.col("pk") % 4 == 1, F.lit("Likely_pathogenic"))
-                     .when(F.col("pk") % 4 == 2, F.lit("Benign"))
-                     .otherwise(F.lit("Pathogenic/Likely_pathogenic")).alias("clinical_significance"))
+    return _sql(t, """
+SELECT chromosome, position - 1 AS start, ref AS reference, alt AS alternate,
+  CASE pk % 4 WHEN 0 THEN 'Pathogenic' WHEN 1 THEN 'Likely_pathogenic' WHEN 2 THEN 'Benign'
+       ELSE 'Pathogenic/Likely_pathogenic' END AS clinical_significance
+FROM {s} WHERE ln % 2 = 0""", s=px_sites(t))
 
 
 def px_patients(t: Tables) -> DataFrame:
-    s = px_samples(t)
-    ck, sp = F.col("ck"), F.col("super_population")
-    brca_bump = F.when(ck % 100 < 85, 0).when(ck % 100 < 97, 8).otherwise(16)
-    return s.select(
-        "ck", F.col("sample_id").alias("patient_id"),
-        F.when(sp.isin("AFR", "AMR"), F.lit("US")).when(sp == "EAS", F.lit("SG")).otherwise(F.lit("EU"))
-         .alias("node_id"),
-        (25 + (ck * 37) % 56).alias("age"),
-        F.when(ck % 100 < 85, 0).when(ck % 100 < 97, 1).otherwise(2).alias("variant_brca1"),
-        F.when((ck * 3) % 100 < 90, 0).when((ck * 3) % 100 < 98, 1).otherwise(2).alias("variant_tp53"),
-        F.when((ck * 11) % 100 < 80, 0).when((ck * 11) % 100 < 95, 1).otherwise(2).alias("variant_apoe4"),
-        (F.lit(18.5) + ((ck * 53) % 266) / F.lit(10.0)).alias("bmi"),
-        F.when((ck * 17) % 100 < F.lit(5) + brca_bump + ((ck * 37) % 56) / F.lit(10.0), 1).otherwise(0)
-         .alias("diagnosis_cancer"),
-    )
+    return _memo(t, "px_patients", lambda: _sql(t, """
+SELECT ck, sample_id AS patient_id,
+  CASE WHEN super_population IN ('AFR','AMR') THEN 'US' WHEN super_population = 'EAS' THEN 'SG' ELSE 'EU' END
+    AS node_id,
+  25 + (ck * 37) % 56 AS age,
+  CASE WHEN ck % 100 < 85 THEN 0 WHEN ck % 100 < 97 THEN 1 ELSE 2 END AS variant_brca1,
+  CASE WHEN (ck * 3) % 100 < 90 THEN 0 WHEN (ck * 3) % 100 < 98 THEN 1 ELSE 2 END AS variant_tp53,
+  CASE WHEN (ck * 11) % 100 < 80 THEN 0 WHEN (ck * 11) % 100 < 95 THEN 1 ELSE 2 END AS variant_apoe4,
+  CAST(18.5 AS DOUBLE) + ((ck * 53) % 266) / CAST(10 AS DOUBLE) AS bmi,
+  CASE WHEN (ck * 17) % 100 < 5 + (CASE WHEN ck % 100 < 85 THEN 0 WHEN ck % 100 < 97 THEN 8 ELSE 16 END)
+            + ((ck * 37) % 56) / CAST(10 AS DOUBLE) THEN 1 ELSE 0 END AS diagnosis_cancer
+FROM {s}""", s=px_samples(t)))
 
 
 def px_reads(t: Tables) -> DataFrame:
-    e = t.events
-    eid, et, uid = F.col("event_id"), F.col("event_type"), F.col("user_id")
-    flag = (F.lit(1) + F.when(et == "error", 4).otherwise(2) + F.when(eid % 11 == 0, 8).otherwise(0)
-            + F.when(eid % 13 == 0, 256).otherwise(0) + F.when(eid % 17 == 0, 1024).otherwise(0))
-    return e.select(
-        eid.alias("qname"), (uid % 5).cast("string").alias("sample_id"), flag.alias("flag"),
-        F.when(et == "error", F.lit("*")).otherwise((uid % 22 + 1).cast("string")).alias("rname"),
-        (eid * 10).alias("pos"), (F.floor("value").cast("long") % 61).alias("mapq"),
-        (100 + eid % 50).alias("read_length"))
+    return _sql(t, """
+SELECT event_id AS qname, CAST(user_id % 5 AS STRING) AS sample_id,
+  1 + (CASE WHEN event_type = 'error' THEN 4 ELSE 2 END) + (CASE WHEN event_id % 11 = 0 THEN 8 ELSE 0 END)
+    + (CASE WHEN event_id % 13 = 0 THEN 256 ELSE 0 END) + (CASE WHEN event_id % 17 = 0 THEN 1024 ELSE 0 END) AS flag,
+  CASE WHEN event_type = 'error' THEN '*' ELSE CAST(user_id % 22 + 1 AS STRING) END AS rname,
+  event_id * 10 AS pos, CAST(floor(value) AS BIGINT) % 61 AS mapq, 100 + event_id % 50 AS read_length
+FROM {e}""", e=t.events)
 
 
 def px_updates(t: Tables) -> DataFrame:
-    e = t.events
-    eid = F.col("event_id")
-    return e.select(
-        "event_id", F.col("event_type").alias("node_id"),
-        F.floor(eid / F.lit(8.0)).cast("long").alias("round"),
-        (100 + F.col("user_id")).alias("n_samples"), ((eid % 1000) / F.lit(1000.0)).alias("w0"),
-        ((eid % 7) / F.lit(8.0)).alias("w1"), ((eid % 3) / F.lit(4.0)).alias("bias"))
+    return _sql(t, """
+SELECT event_id, event_type AS node_id, CAST(floor(event_id / CAST(8 AS DOUBLE)) AS BIGINT) AS round,
+  100 + user_id AS n_samples, (event_id % 1000) / CAST(1000 AS DOUBLE) AS w0,
+  (event_id % 7) / CAST(8 AS DOUBLE) AS w1, (event_id % 3) / CAST(4 AS DOUBLE) AS bias
+FROM {e}""", e=t.events)
 
 
 def px_audit(t: Tables) -> DataFrame:
-    e = t.events
-    et, eid = F.col("event_type"), F.col("event_id")
-    return e.select(
-        "event_id", "ts",
-        F.when(et == "purchase", F.lit("storage.objects.create")).when(et == "view", F.lit("jobservice.query"))
-         .otherwise(F.lit("storage.objects.get")).alias("method_name"),
-        F.when(eid % 50 == 0, F.lit("external-bucket")).otherwise(F.lit("node-us-results")).alias("bucket"),
-        F.when(et == "error", F.lit("ERROR")).otherwise(F.lit("INFO")).alias("severity"),
-        F.when(F.col("user_id") % 2 == 0, F.concat(F.lit("nf-"), et)).otherwise(et).alias("job_name"))
+    return _sql(t, """
+SELECT event_id, ts,
+  CASE event_type WHEN 'purchase' THEN 'storage.objects.create' WHEN 'view' THEN 'jobservice.query'
+       ELSE 'storage.objects.get' END AS method_name,
+  CASE WHEN event_id % 50 = 0 THEN 'external-bucket' ELSE 'node-us-results' END AS bucket,
+  CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS severity,
+  CASE WHEN user_id % 2 = 0 THEN 'nf-' || event_type ELSE event_type END AS job_name
+FROM {e}""", e=t.events)
 
 
 # ---------------------------------------------------------------------------
@@ -190,75 +176,48 @@ def px_audit(t: Tables) -> DataFrame:
 CONSEQUENCE_BY_IMPACT = [("HIGH", "stop_gained"), ("MODERATE", "missense_variant"),
                          ("LOW", "synonymous_variant"), ("MODIFIER", "intron_variant")]
 
-
-def _consequence(impact: Column) -> Column:
-    expr = None
-    for imp, term in CONSEQUENCE_BY_IMPACT:
-        expr = F.when(impact == imp, F.lit(term)) if expr is None else expr.when(impact == imp, F.lit(term))
-    return expr
-
-
-def _alts() -> Column:
-    return F.when(F.col("alt2").isNull(), F.array("alt")).otherwise(F.array("alt", "alt2"))
+_CONSEQUENCE_SQL = "CASE impact " + " ".join(f"WHEN '{i}' THEN '{c}'" for i, c in CONSEQUENCE_BY_IMPACT) + " END"
+_ALTS_SQL = "CASE WHEN alt2 IS NULL THEN array(alt) ELSE array(alt, alt2) END"
+_SITE_HEAD = f"""pk, ln, chromosome AS reference_name, position - 1 AS start_position,
+  position - 1 + length(ref) AS end_position, ref AS reference_bases, {_ALTS_SQL} AS alternate_bases,
+  'rs' || CAST(position AS STRING) AS variant_id, quality, array(filter) AS filter"""
 
 
 def variant_sites(t: Tables, annotated: bool = True) -> DataFrame:
     """The nested ``variants`` schema minus ``calls``: one row per site with
     annotation array and population frequencies (sites LEFT JOIN part).
     ``annotated=False`` skips the part join for queries that need none."""
-    s = px_sites(t)
     if not annotated:
-        return s.select(
-            "pk", "ln", F.col("chromosome").alias("reference_name"),
-            (F.col("position") - 1).alias("start_position"),
-            (F.col("position") - 1 + F.length("ref")).alias("end_position"),
-            F.col("ref").alias("reference_bases"), _alts().alias("alternate_bases"),
-            F.concat(F.lit("rs"), F.col("position").cast("string")).alias("variant_id"),
-            "quality", F.array("filter").alias("filter"))
-    j = s.join(px_ann(t), "pk", "left")
-    ann = F.struct(F.col("gene_symbol"), F.lit(None).cast("string").alias("gene_id"),
-                   F.lit(None).cast("string").alias("transcript_id"),
-                   _consequence(F.col("impact")).alias("consequence"), F.col("impact"),
-                   F.lit(None).cast("string").alias("amino_acid_change"),
-                   F.lit(None).cast("string").alias("codon_change"))
-    return j.select(
-        "pk", "ln",
-        F.col("chromosome").alias("reference_name"),
-        (F.col("position") - 1).alias("start_position"),
-        (F.col("position") - 1 + F.length("ref")).alias("end_position"),
-        F.col("ref").alias("reference_bases"),
-        _alts().alias("alternate_bases"),
-        F.concat(F.lit("rs"), F.col("position").cast("string")).alias("variant_id"),
-        "quality",
-        F.array("filter").alias("filter"),
-        F.when(F.col("gene_symbol").isNull(), F.array().cast("array<struct<gene_symbol:string,gene_id:string,"
-               "transcript_id:string,consequence:string,impact:string,amino_acid_change:string,"
-               "codon_change:string>>")).otherwise(F.array(ann)).alias("annotations"),
-        F.struct(F.col("gnomad_af")).alias("population_frequencies"),
-    )
+        return _sql(t, f"SELECT {_SITE_HEAD} FROM {{s}}", s=px_sites(t))
+    return _sql(t, f"""
+SELECT {_SITE_HEAD},
+  CASE WHEN gene_symbol IS NULL
+       THEN CAST(array() AS ARRAY<STRUCT<gene_symbol: STRING, gene_id: STRING, transcript_id: STRING,
+                 consequence: STRING, impact: STRING, amino_acid_change: STRING, codon_change: STRING>>)
+       ELSE array(named_struct('gene_symbol', gene_symbol, 'gene_id', CAST(NULL AS STRING),
+                  'transcript_id', CAST(NULL AS STRING), 'consequence', {_CONSEQUENCE_SQL}, 'impact', impact,
+                  'amino_acid_change', CAST(NULL AS STRING), 'codon_change', CAST(NULL AS STRING))) END
+    AS annotations,
+  named_struct('gnomad_af', gnomad_af) AS population_frequencies
+FROM {{s}} s LEFT JOIN {{a}} a USING (pk)""", s=px_sites(t), a=px_ann(t))
 
 
 def genotypes(t: Tables) -> DataFrame:
     """Long genotype table (one row per site and sample), site columns
     computed from the key instead of joined."""
-    c = px_calls(t, with_site=True)
-    return c.select(
-        "pk", "ln", "ck",
-        F.col("chromosome").alias("reference_name"),
-        (F.col("position") - 1).alias("start_position"),
-        F.col("ref").alias("reference_bases"),
-        _alts().alias("alternate_bases"),
-        F.col("ck").cast("string").alias("sample_id"),
-        F.array(F.col("a1").cast("long"), F.col("a2").cast("long")).alias("genotype"),
-        "phaseset", "genotype_quality", "quality", "filter")
+    return _memo(t, "genotypes", lambda: _sql(t, f"""
+SELECT pk, ln, ck, chromosome AS reference_name, position - 1 AS start_position, ref AS reference_bases,
+  {_ALTS_SQL} AS alternate_bases, CAST(ck AS STRING) AS sample_id,
+  array(CAST(a1 AS BIGINT), CAST(a2 AS BIGINT)) AS genotype, phaseset, genotype_quality, quality, filter
+FROM (SELECT *, {site_sql()} FROM {{c}}) x""", c=px_calls(t)))
 
 
 def flat_variants(t: Tables) -> DataFrame:
     """Seven-column flat call table (``chromosome position id ref alt quality
     filter``), ALT comma-joined for multi-allelic sites as in VCF text."""
-    s = px_sites(t)
-    return s.select("chromosome", "position", F.lit(None).cast("string").alias("id"), "ref",
-                    F.concat_ws(",", "alt", "alt2").alias("alt"), "quality", "filter")
+    return _sql(t, """
+SELECT chromosome, position, CAST(NULL AS STRING) AS id, ref, concat_ws(',', alt, alt2) AS alt, quality, filter
+FROM {s}""", s=px_sites(t))
 
 
 def summary(t: Tables) -> DataFrame:
