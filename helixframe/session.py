@@ -23,13 +23,13 @@ DEFAULT_CONF = {
     # post-shuffle partition of the build side is below this size (checked
     # per partition at runtime, so it stays safe at any scale).
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
-    # Broadcast only on *measured* sizes: no plan-time broadcast from file
-    # statistics (estimates of derived frames can be off by orders of
-    # magnitude); AQE broadcasts a join side after its shuffle stage has
-    # produced less than the runtime threshold, else keeps the shuffle join.
-    # Explicit broadcast() hints remain only on lookups bounded by
-    # construction (nodes, cohorts, policies, one-row models).
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # Broadcast only behind a size check: at plan time Spark compares the
+    # (conservative, file-statistics based) size estimate with 10 MB; at run
+    # time AQE re-checks the *measured* shuffle output of each join side and
+    # converts to a broadcast join only under its own threshold.  Anything
+    # larger stays a shuffle join.  Explicit broadcast() hints are used only
+    # on lookups bounded by construction (nodes, cohorts, one-row models).
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -119,8 +119,12 @@ def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bo
     f = F.split("value", "\t")
     ix = _format_index(F.split(F.get(f, 8), ":"))
     samples = F.slice(f, 10, F.greatest(F.size(f) - 9, F.lit(0)))
+    names_ = F.col("_sample_names")
     parts = F.transform(samples, lambda x: F.split(x, ":"))
-    calls = F.transform(parts, lambda v, i: F.struct(*_call_fields(v, ix, F.get(F.col("_sample_names"), i))))
+    many = F.transform(parts, lambda v, i: F.struct(*_call_fields(v, ix, F.get(names_, i))))
+    # single-sample files (one VCF per sample) skip the per-call lambda
+    one = F.array(F.struct(*_call_fields(F.split(F.get(samples, 0), ":"), ix, F.get(names_, 0))))
+    calls = F.when(F.size(samples) == 1, one).otherwise(many)
     return data.select(
         *_site_columns(f),
         calls.alias("calls"),
