@@ -14,13 +14,13 @@ from .registry import register
 
 def _audit(t):
     a = P.px_audit(t)
-    svc = (F.when(F.col("method_name").startswith("storage."), F.lit("storage.googleapis.com"))
-           .otherwise(F.lit("bigquery.googleapis.com")))
+    svc = (F.when(F.col("method_name").startswith("storage."), F.lit("storage-service"))
+           .otherwise(F.lit("warehouse-service")))
     return a.withColumn("service", svc)
 
 
-_SVC = """CASE WHEN starts_with(method_name, 'storage.') THEN 'storage.googleapis.com'
-  ELSE 'bigquery.googleapis.com' END"""
+_SVC = """CASE WHEN starts_with(method_name, 'storage.') THEN 'storage-service'
+  ELSE 'warehouse-service' END"""
 
 
 @register("egress_audit", W("""
