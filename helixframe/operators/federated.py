@@ -118,22 +118,27 @@ def gd_epoch(data: DataFrame, model: DataFrame, lr: float = GD_LR) -> DataFrame:
     """One full-batch gradient step per node (mean gradient of the log-loss).
 
     Also returns the loss and accuracy of the forward pass that produced the
-    gradient (before the update), threshold ``p > 0.5``."""
-    j = data.join(F.broadcast(model), "node_id")
-    p = sigmoid(_logit())
-    err = p - F.col(TARGET)
-    y = F.col(TARGET)
-    g = j.groupBy("node_id").agg(
-        *[F.avg(err * F.col(f)).alias(f"_g{i}") for i, f in enumerate(FEATURES)],
-        F.avg(err).alias("_gb"),
-        (-F.avg(y * F.log(p + EPS) + (1 - y) * F.log(1 - p + EPS))).alias("final_loss"),
-        F.avg(F.when((p > 0.5) == (y == 1), 1.0).otherwise(0.0)).alias("final_accuracy"),
-        F.count(F.lit(1)).alias("n_samples"),
-        *[F.first(f"w{i}").alias(f"_w{i}") for i in range(len(FEATURES))],
-        F.first("bias").alias("_b"))
-    return g.select(
-        "node_id", *[(F.col(f"_w{i}") - lr * F.col(f"_g{i}")).alias(f"w{i}") for i in range(len(FEATURES))],
-        (F.col("_b") - lr * F.col("_gb")).alias("bias"), "n_samples", "final_loss", "final_accuracy")
+    gradient (before the update), threshold ``p > 0.5``.  Written as one SQL
+    statement: the model (one row per node) is broadcast, the data is
+    aggregated per node with partial aggregation."""
+    k = range(len(FEATURES))
+    z = "m.bias + " + " + ".join(f"m.w{i} * d.{f}" for i, f in zip(k, FEATURES))
+    y = TARGET
+    return data.sparkSession.sql(f"""
+SELECT node_id, {", ".join(f"w{i} - {lr}D * g{i} AS w{i}" for i in k)}, bias - {lr}D * gb AS bias,
+  n_samples, final_loss, final_accuracy
+FROM (
+  SELECT node_id, {", ".join(f"first(w{i}) AS w{i}" for i in k)}, first(bias) AS bias,
+    {", ".join(f"avg((p - {y}) * {f}) AS g{i}" for i, f in zip(k, FEATURES))}, avg(p - {y}) AS gb,
+    -avg({y} * ln(p + {EPS}D) + (1 - {y}) * ln(1 - p + {EPS}D)) AS final_loss,
+    avg(CASE WHEN (p > 0.5D) = ({y} = 1) THEN 1.0D ELSE 0.0D END) AS final_accuracy,
+    count(*) AS n_samples
+  FROM (
+    SELECT /*+ BROADCAST(m) */ d.node_id, {", ".join(f"d.{f}" for f in FEATURES)}, d.{y},
+      {", ".join(f"m.w{i}" for i in k)}, m.bias,
+      1.0D / (1.0D + exp(-least(greatest({z}, -500.0D), 500.0D))) AS p
+    FROM {{data}} d JOIN {{model}} m ON d.node_id = m.node_id) x
+  GROUP BY node_id) g""", data=data, model=model)
 
 
 def local_gd(patients: DataFrame, epochs: int = GD_EPOCHS, lr: float = GD_LR, standardize: bool = True,
