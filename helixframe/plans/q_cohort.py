@@ -82,11 +82,13 @@ def gene_carriers(t):
 
 
 @register("sample_vs_population", W("""
-WITH y AS (SELECT count(*) AS n, count(*) FILTER (WHERE gnomad_af < 0.01) AS rare FROM px_summary),
+WITH y AS (SELECT count(*) AS n, count(*) FILTER (WHERE gnomad_af < 0.01) AS rare,
+                  count(*) FILTER (WHERE gnomad_af < 0.01 OR gnomad_af IS NULL) AS rare_novel FROM px_summary),
      e AS (SELECT count(*) > 0 AS present FROM px_samples WHERE sample_id = '7'),
      p AS (SELECT count(*) / CAST(2504 AS DOUBLE) AS population_avg FROM px_sites WHERE chromosome = '17')
 SELECT CAST(CASE WHEN present THEN n ELSE 0 END AS BIGINT) AS your_variant_count,
-  CAST(CASE WHEN present THEN rare ELSE 0 END AS BIGINT) AS your_rare_count, population_avg,
+  CAST(CASE WHEN present THEN rare ELSE 0 END AS BIGINT) AS your_rare_count,
+  CAST(CASE WHEN present THEN rare_novel ELSE 0 END AS BIGINT) AS your_rare_or_novel_count, population_avg,
   round(CAST(CASE WHEN present THEN n ELSE 0 END AS DOUBLE) / nullif(population_avg, 0) * 100 - 100, 2)
     AS pct_diff_from_avg
 FROM y, e, p""", "px_summary", "px_samples", "px_sites"))

@@ -183,3 +183,42 @@ def test_region_filter_reaches_scan(spark, tmp_out):
     assert "EqualTo(reference_name,17)" in plan and "GreaterThanOrE" in plan, plan
     assert "ReadSchema: struct<reference_name:string,start_position:bigint>" in plan, plan
     assert q.count() == 11
+
+
+def test_sinks_and_training_paths(spark, tmp_out):
+    from helixframe.sources.sinks import export_dataset, write_model_json
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long")
+    export_dataset(df, tmp_out + "/csv", "csv")
+    back = spark.read.option("header", True).csv(tmp_out + "/csv")
+    assert sorted(r.k for r in back.collect()) == ["a", "b"]
+    export_dataset(df, tmp_out + "/js", "json")
+    assert spark.read.json(tmp_out + "/js").count() == 2
+    model = spark.createDataFrame([([0.1, 0.2], 0.5, 10, ["US"])],
+                                  "weights array<double>, bias double, total_samples long, "
+                                  "nodes_aggregated array<string>")
+    write_model_json(model, tmp_out + "/model")
+    assert spark.read.json(tmp_out + "/model").first().bias == 0.5
+    rep = fd.fed_transfer_report(model).first()
+    assert rep.volume_gain == 0.01 and rep.raw_bytes_est == 10 * 50 * 1024 and rep.weights_bytes > 0
+
+
+def test_fed_train_gd_and_sgd(spark):
+    rows = [(n, f"{n}-{i:03d}", 25 + (i * 7) % 50, i % 3, (i // 3) % 2, i % 2, 20.0 + i % 20, int(i % 5 == 0))
+            for n in ("US", "EU") for i in range(60)]
+    p = spark.createDataFrame(rows, "node_id string, patient_id string, age int, variant_brca1 int, "
+                                    "variant_tp53 int, variant_apoe4 int, bmi double, diagnosis_cancer int")
+    for local in ("sgd", "gd"):
+        h = fd.fed_train(p, rounds=2, local=local, n_rows=20, lr=0.1).orderBy("round").collect()
+        assert [r["round"] for r in h] == [1, 2] and 0.0 <= h[-1]["GLOBAL"] <= 1.0
+
+
+def test_cohort_membership_list_and_manifest(spark, fx, tmp_out):
+    from helixframe.operators.joins import cohort_membership, cohort_membership_list
+    from helixframe.sources.flat import read_manifest
+    g = unnest_calls(vcf.read_vcf(spark, fx("mini.vcf")))
+    assert cohort_membership_list(g, ["NA001"]).count() == 5
+    ids = spark.createDataFrame([("NA002",), ("NA002",)], "sample_id string")
+    assert cohort_membership(g, ids).count() == 5       # listed twice, no duplicates
+    open(tmp_out + "/m.csv", "w").write("sample_id,input_bam,node_id\nHG00119,,US\nS2,gs://b/s2.bam,EU\n")
+    assert {r.sample_id: r.input_bam for r in read_manifest(spark, tmp_out + "/m.csv").collect()} == \
+        {"HG00119": None, "S2": "gs://b/s2.bam"}
