@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import first_alt, is_carrier, safe_ratio
+from .joins import sized_lookup
 from .summary import SITE_KEY
 
 
@@ -65,7 +66,7 @@ def population_carriers(genotypes: DataFrame, cohorts: DataFrame, names: list[st
     """
     key = key or SITE_KEY
     c = cohorts.where(F.col(cohort_col).isin(list(names))).select("sample_id", F.col(cohort_col).alias("_cohort"))
-    j = genotypes.join(c, "sample_id", "left")
+    j = genotypes.join(sized_lookup(c), "sample_id", "left")
     aggs = []
     for n in names:
         in_c = F.col("_cohort") == n
@@ -82,10 +83,10 @@ def case_control_burden(samples: DataFrame, genotypes: DataFrame, site_genes: Da
     Reference semantics kept: any sample *listed* in the calls counts
     (hom-ref included) and samples with zero such sites are absent.
     """
-    gs = (site_genes.where((F.col("gene_symbol") == gene) & F.col("impact").isin(list(impacts)))
-          .select(*key).distinct())
+    gs = sized_lookup(site_genes.where((F.col("gene_symbol") == gene) & F.col("impact").isin(list(impacts)))
+                      .select(*key).distinct())
     per = (genotypes.join(gs, key, "left_semi")
-           .join(samples.select("sample_id", "disease_status"), "sample_id")
+           .join(sized_lookup(samples.select("sample_id", "disease_status")), "sample_id")
            .groupBy("sample_id", "disease_status")
            .agg(F.count_distinct(F.concat_ws(":", "reference_name", F.col("start_position").cast("string")))
                 .alias("variant_count")))
@@ -128,7 +129,7 @@ def cohort_quality(genotypes: DataFrame, samples: DataFrame, by: str = "super_po
     filt = F.col("filter")
     is_pass = (F.array_contains(filt, "PASS") if dict(genotypes.dtypes)["filter"].startswith("array")
                else filt == "PASS")
-    j = genotypes.join(samples.select("sample_id", by), "sample_id")
+    j = genotypes.join(sized_lookup(samples.select("sample_id", by)), "sample_id")
     return j.groupBy(by).agg(
         F.count_distinct("sample_id").alias("sample_count"),
         F.count(F.lit(1)).alias("call_count"),
@@ -139,7 +140,7 @@ def cohort_quality(genotypes: DataFrame, samples: DataFrame, by: str = "super_po
 
 def carriers_by_cohort(genotypes: DataFrame, samples: DataFrame, by: str = "super_population") -> DataFrame:
     """Carrier calls per cohort and site count (dashboard "cohort comparisons")."""
-    j = genotypes.join(samples.select("sample_id", by), "sample_id")
+    j = genotypes.join(sized_lookup(samples.select("sample_id", by)), "sample_id")
     return j.groupBy(by).agg(F.count_if(is_carrier("genotype")).alias("carrier_calls"),
                              F.count(F.lit(1)).alias("calls"))
 

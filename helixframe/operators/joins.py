@@ -1,11 +1,13 @@
 """Joins: lateral unnests, cohort joins, ClinVar and gene-range joins.
 
-No join here carries a broadcast hint on a side whose size grows with the
-data: the planner (AQE, ``spark.sql.adaptive.autoBroadcastJoinThreshold``)
-switches a join to broadcast only after it has *measured* the small side at
-runtime, and otherwise keeps the sort-merge join - a size-checked broadcast
-with a shuffle fallback.  Hints are used only for lookups bounded by
-construction (a handful of cohorts or contigs).
+Broadcast policy: a join side is broadcast only behind a size check.
+Lookups whose size is bounded by the cohort (samples, cohort lists, one
+gene's sites) go through ``sized_lookup``: materialised once, counted, and
+broadcast only under ``LOOKUP_MAX_ROWS`` - so the genotype table is not
+shuffled just to meet a small lookup.  Everything else (ClinVar, gene bins,
+site tables) is left to Spark's plan-time threshold and AQE's runtime
+conversion, which measure before broadcasting and otherwise keep the
+shuffle join.
 """
 
 from __future__ import annotations
@@ -14,6 +16,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import is_carrier, normalize_contig
 
+# A lookup side up to this many rows is broadcast (tens of MB for the
+# narrow lookups used here); above it the join stays a shuffle join.
+LOOKUP_MAX_ROWS = 1_000_000
+
+
+def sized_lookup(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
+    """Materialise a lookup side once into the shared checkpoint folder and
+    broadcast it only if its *actual* row count is within ``max_rows``.
+
+    Plan-time estimates of derived lookups (filtered joins of dimension
+    tables) are products of input sizes and would force a shuffle of the
+    genotype table; the runtime count avoids that shuffle when the lookup is
+    small and keeps the shuffle join when it is not.  The checkpoint cuts
+    the lookup's lineage, so the count and the join read it once."""
+    m = df.checkpoint(eager=True)
+    return F.broadcast(m) if m.count() <= max_rows else m
+
 
 def unnest_annotations(variants: DataFrame) -> DataFrame:
     """Site x annotation rows (``inline``; sites without annotations drop,
@@ -47,7 +66,7 @@ def cohort_size(samples: DataFrame, populations: DataFrame) -> DataFrame:
 def cohort_membership(genotypes: DataFrame, cohort: DataFrame) -> DataFrame:
     """Calls of samples listed in ``cohort`` (one ``sample_id`` column):
     a left-semi join, so a sample listed twice does not duplicate calls."""
-    return genotypes.join(cohort.select("sample_id"), "sample_id", "left_semi")
+    return genotypes.join(sized_lookup(cohort.select("sample_id").distinct()), "sample_id", "left_semi")
 
 
 def cohort_membership_list(genotypes: DataFrame, sample_ids: list[str]) -> DataFrame:
@@ -59,7 +78,7 @@ def sample_in_calls(samples: DataFrame, genotypes: DataFrame) -> DataFrame:
     """Sample rows joined to every site whose calls list the sample: the
     reference's ``sample_id IN (SELECT ... FROM UNNEST(calls))`` ON clause
     rewritten as an equi-join on the long table (no nested-loop join)."""
-    return samples.join(genotypes, "sample_id")
+    return sized_lookup(samples).join(genotypes, "sample_id")
 
 
 def clinvar_join(variants: DataFrame, clinvar: DataFrame, contig: str | None = None,
@@ -113,7 +132,7 @@ def gene_carriers(genotypes: DataFrame, site_genes: DataFrame, gene: str, key: l
     The gene filter runs on the annotation side before the join, so only
     that gene's sites meet the genotype table.
     """
-    gs = site_genes.where(F.col("gene_symbol") == gene).select(*key).distinct()
+    gs = sized_lookup(site_genes.where(F.col("gene_symbol") == gene).select(*key).distinct())
     c = genotypes.where(is_carrier("genotype")).join(gs, key, "left_semi")
     return (c.groupBy("sample_id")
             .agg(F.count(F.lit(1)).alias("carried_sites")))
@@ -121,5 +140,5 @@ def gene_carriers(genotypes: DataFrame, site_genes: DataFrame, gene: str, key: l
 
 def phenotype_join(genotypes: DataFrame, samples: DataFrame) -> DataFrame:
     """Calls joined to the samples' phenotype records (``inline(phenotypes)``)."""
-    ph = samples.select("sample_id", F.inline("phenotypes"))
+    ph = sized_lookup(samples.select("sample_id", F.inline("phenotypes")))
     return genotypes.join(ph, "sample_id")
