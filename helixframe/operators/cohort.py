@@ -104,22 +104,23 @@ def sample_vs_population(summary: DataFrame, samples: DataFrame, pop_variants: D
 
     Reference semantics: the sample side counts the whole summary when the
     sample row exists (else 0); the population side is one contig divided by
-    ``n_pop``.  Both sides are one-row aggregates, so the cross join is
-    1 x 1.
+    ``n_pop``.  The sample check and the population mean are scalar
+    subqueries.
     """
-    exists = samples.where(F.col("sample_id") == sample_id).agg((F.count(F.lit(1)) > 0).alias("_present"))
+    present = samples.where(F.col("sample_id") == sample_id).agg(F.count(F.lit(1)) > 0).scalar()
     af = F.col("gnomad_af")
     y = summary.agg(F.count(F.lit(1)).alias("_n"), F.count_if(af < 0.01).alias("_rare"),
                     F.count_if((af < 0.01) | af.isNull()).alias("_rare_novel"))
-    y = y.crossJoin(exists).select(
-        F.when(F.col("_present"), F.col("_n")).otherwise(F.lit(0)).cast("long").alias("your_variant_count"),
-        F.when(F.col("_present"), F.col("_rare")).otherwise(F.lit(0)).cast("long").alias("your_rare_count"),
-        # corrected: novel (not in gnomAD) sites are rare too
-        F.when(F.col("_present"), F.col("_rare_novel")).otherwise(F.lit(0)).cast("long")
-         .alias("your_rare_or_novel_count"))
-    p = pop_variants.where(F.col("reference_name") == pop_contig).agg(
-        (F.count(F.lit(1)) / F.lit(float(n_pop))).alias("population_avg"))
-    return y.crossJoin(p).select(
+    pop = pop_variants.where(F.col("reference_name") == pop_contig).agg(
+        F.count(F.lit(1)) / F.lit(float(n_pop))).scalar()
+
+    def gated(c):
+        return F.when(present, F.col(c)).otherwise(F.lit(0)).cast("long")
+
+    y = y.select(gated("_n").alias("your_variant_count"), gated("_rare").alias("your_rare_count"),
+                 # corrected: novel (not in gnomAD) sites are rare too
+                 gated("_rare_novel").alias("your_rare_or_novel_count"), pop.alias("population_avg"))
+    return y.select(
         "your_variant_count", "your_rare_count", "your_rare_or_novel_count", "population_avg",
         F.round(safe_ratio("your_variant_count", "population_avg") * 100 - 100, 2).alias("pct_diff_from_avg"))
 

@@ -97,11 +97,9 @@ def quality_histogram(df: DataFrame, width: int = 10, filter_col: str = "filter"
 def filter_distribution(flat: DataFrame) -> DataFrame:
     """Rows per FILTER value and their share of the total (percent).
 
-    The total comes from a window over the (few) grouped rows, not from a
-    second scan."""
-    from pyspark.sql import Window
+    The total is a scalar subquery over the (few) grouped rows."""
     g = flat.groupBy("filter").agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
+    total = g.agg(F.sum("count")).scalar()
     return g.select("filter", "count", F.round(F.col("count") * 100.0 / total, 4).alias("pct"))
 
 

@@ -24,10 +24,11 @@ def variant_features(variants: DataFrame, limit: int | None = None) -> DataFrame
 
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """Equal-width histogram between the column's min and max (max falls in
-    the last bin).  The one-row min/max aggregate is cross-joined (1 x N),
-    then a grouped count: two passes, no sort, no driver round trip."""
-    mm = df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    x = df.where(F.col(col).isNotNull()).crossJoin(mm)
+    the last bin).  min and max are scalar subqueries (one small aggregate
+    each, run once), then a grouped count: no sort, no driver round trip."""
+    lo = df.agg(F.min(col)).scalar()
+    hi = df.agg(F.max(col)).scalar()
+    x = df.where(F.col(col).isNotNull()).select(F.col(col), lo.alias("_lo"), hi.alias("_hi"))
     span = (F.col("_hi") - F.col("_lo")).cast("double")
     raw = F.floor(F.try_divide((F.col(col) - F.col("_lo")).cast("double"), span) * bins)
     b = F.least(F.coalesce(raw, F.lit(0)), F.lit(bins - 1)).cast("long")

@@ -107,6 +107,12 @@ def model_array(model: DataFrame) -> DataFrame:
     return model.select(*keep, F.array(*_weights_cols()).alias("weights"))
 
 
+def model_scalars(model: DataFrame) -> list[Column]:
+    """w0..w4 and bias of a one-row model as scalar-subquery columns (each
+    evaluated once), so the model meets the data without a join."""
+    return [model.select(c).scalar().alias(c) for c in _weights_cols() + ["bias"]]
+
+
 def _logit(prefix: str = "w") -> Column:
     z = F.col("bias")
     for i, f in enumerate(FEATURES):
@@ -175,7 +181,7 @@ def local_sgd(patients: DataFrame, model: DataFrame, n_rows: int = SGD_ROWS, lr:
             .groupBy("node_id")
             .agg(F.sort_array(F.collect_list(F.struct("_rn", *FEATURES, TARGET))).alias("_rows"),
                  F.count(F.lit(1)).alias("n_rows")))
-    j = rows.crossJoin(F.broadcast(model.select(*_weights_cols(), "bias")))
+    j = rows.select("*", *model_scalars(model))
     init = F.struct(*[F.col(c).cast("double").alias(c) for c in _weights_cols()],
                     F.col("bias").cast("double").alias("bias"))
 
@@ -225,7 +231,7 @@ def fed_avg(updates: DataFrame, group: list[str] | None = None) -> DataFrame:
 def evaluate_nodes(data: DataFrame, model: DataFrame, threshold_ge: bool = True) -> DataFrame:
     """Accuracy per node of a global model row (``p >= 0.5`` by default) and
     the n-weighted global accuracy as node ``GLOBAL``."""
-    j = data.crossJoin(F.broadcast(model.select(*_weights_cols(), "bias")))
+    j = data.select("*", *model_scalars(model))
     p = sigmoid(_logit())
     hit = ((p >= 0.5) if threshold_ge else (p > 0.5)) == (F.col(TARGET) == 1)
     per = j.groupBy("node_id").agg(F.count(F.lit(1)).alias("n"),
@@ -255,12 +261,13 @@ def fed_train(patients: DataFrame, rounds: int = 3, local: str = "sgd", n_rows:
             sizes = data.groupBy("node_id").agg(F.count(F.lit(1)).alias("n_samples"))
             upd = upd.join(sizes, "node_id")
         else:
-            nodes_model = data.select("node_id").distinct().crossJoin(F.broadcast(model))
+            nodes_model = data.select("node_id").distinct().select("node_id", *model_scalars(model))
             upd = local_gd(data, epochs=epochs, lr=lr, standardize=False, model=nodes_model)
         model = fed_avg(upd).select(*_weights_cols(), "bias").checkpoint(eager=True)
         acc = evaluate_nodes(data, model)
         accs = acc.groupBy().pivot("node_id").agg(F.first("accuracy"))
-        history.append(model.crossJoin(accs).withColumn("round", F.lit(r)))
+        history.append(model.select("*", *[accs.select(c).scalar().alias(c) for c in accs.columns])
+                       .withColumn("round", F.lit(r)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), history)
 
 
