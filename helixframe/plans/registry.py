@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +26,8 @@ def register(name: str, oracle: str | None = None):
             raise ValueError(f"duplicate query {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # lookups and training rounds checkpoint into the shared folder
+            ensure_checkpoint_dir(spark)
             return fn(Tables(spark, sf_dir))
 
         run.__name__ = f"q_{name}"
