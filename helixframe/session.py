@@ -32,6 +32,9 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "10m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
+    # checkpointed lookups and model rounds are removed from the shared
+    # folder once no plan references them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
