@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions import dot, sigmoid
+from ..functions import sigmoid
 from ..schemas import FEATURES, TARGET
 
 EPS = 1e-8

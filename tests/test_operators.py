@@ -222,3 +222,14 @@ def test_cohort_membership_list_and_manifest(spark, fx, tmp_out):
     open(tmp_out + "/m.csv", "w").write("sample_id,input_bam,node_id\nHG00119,,US\nS2,gs://b/s2.bam,EU\n")
     assert {r.sample_id: r.input_bam for r in read_manifest(spark, tmp_out + "/m.csv").collect()} == \
         {"HG00119": None, "S2": "gs://b/s2.bam"}
+
+
+def test_stream_dedupe_within_watermark(spark, fx, tmp_out):
+    from helixframe.streaming import rounds as R
+    s = R.dedupe_updates_stream(R.updates_stream(spark, fx("updates")), watermark="1 hour")
+    q = (s.writeStream.format("memory").queryName("dedup_updates").outputMode("append")
+         .option("checkpointLocation", tmp_out + "/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = spark.sql("SELECT round, node_id FROM dedup_updates").collect()
+    assert sorted((r["round"], r.node_id) for r in rows) == [
+        (1, "EU"), (1, "SG"), (1, "US"), (2, "US"), (3, "EU"), (3, "SG"), (3, "US")]
