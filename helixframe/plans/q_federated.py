@@ -183,10 +183,52 @@ def evaluate_nodes(t):
     return FD.evaluate_nodes(p, FD.initial_model(None, t.spark))
 
 
-@register("fed_train")
+NODES = ["EU", "SG", "US"]   # proxy node set (by construction of the patient view)
+
+
+def fed_train_oracle(rounds: int, n_rows: int, lr: float) -> str:
+    """Rounds unrolled into CTEs: per round a recursive per-row SGD from the
+    previous global model, n-weighted average, then per-node accuracy."""
+    feats = ("CAST(age AS DOUBLE) / 100.0 AS age, CAST(variant_brca1 AS DOUBLE) AS variant_brca1, "
+             "CAST(variant_tp53 AS DOUBLE) AS variant_tp53, CAST(variant_apoe4 AS DOUBLE) AS variant_apoe4, "
+             "bmi / 50.0 AS bmi")
+    ctes = [f"""d AS (SELECT node_id, row_number() OVER (PARTITION BY node_id ORDER BY patient_id) AS rn, {feats},
+    CAST(diagnosis_cancer AS DOUBLE) AS y FROM px_patients)""",
+            "n AS (SELECT node_id, count(*) AS n FROM d GROUP BY node_id)",
+            "m0 AS (SELECT " + ", ".join(f"CAST(0.01 AS DOUBLE) AS w{i}" for i in range(5))
+            + ", CAST(0.0 AS DOUBLE) AS b)"]
+    z_s = "s.b + " + " + ".join(f"s.w{i} * r.{c}" for i, c in enumerate(FEATURES))
+    err = f"(r.y - {_sig(z_s)})"
+    z_m = "m.b + " + " + ".join(f"m.w{i} * d.{c}" for i, c in enumerate(FEATURES))
+    sel = []
+    for k in range(1, rounds + 1):
+        ctes.append(f"""s{k}(node_id, k, w0, w1, w2, w3, w4, b) AS (
+  SELECT n.node_id, CAST(0 AS BIGINT), m.w0, m.w1, m.w2, m.w3, m.w4, m.b FROM n, m{k - 1} m
+  UNION ALL
+  SELECT s.node_id, s.k + 1, {", ".join(f"s.w{i} + {lr} * {err} * r.{c}" for i, c in enumerate(FEATURES))},
+    s.b + {lr} * {err}
+  FROM s{k} s JOIN d r ON r.node_id = s.node_id AND r.rn = s.k + 1 WHERE s.k < {n_rows})""")
+        ctes.append(f"""f{k} AS (SELECT s.*, n.n FROM s{k} s JOIN n ON s.node_id = n.node_id
+  WHERE s.k = (SELECT max(k) FROM s{k} x WHERE x.node_id = s.node_id))""")
+        ctes.append(f"m{k} AS (SELECT " + ", ".join(f"sum(w{i} * n) / sum(n) AS w{i}" for i in range(5))
+                    + f", sum(b * n) / sum(n) AS b FROM f{k})")
+        ctes.append(f"""h{k} AS (SELECT d.node_id, CASE WHEN ({_sig(z_m)} >= 0.5) = (d.y = 1) THEN 1 ELSE 0 END AS hit
+  FROM d, m{k} m)""")
+        accs = ", ".join(
+            f"(SELECT CAST(sum(hit) AS DOUBLE) / count(*) FROM h{k} WHERE node_id = '{nd}') AS {nd}" for nd in NODES)
+        sel.append(f"SELECT {', '.join(f'round(w{i}, {_D}) + 0.0 AS w{i}' for i in range(5))}, "
+                   f"round(b, {_D}) + 0.0 AS bias, {accs}, "
+                   f"(SELECT CAST(sum(hit) AS DOUBLE) / count(*) FROM h{k}) AS GLOBAL, {k} AS round FROM m{k}")
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(sel)
+
+
+@register("fed_train", W(fed_train_oracle(3, FD.DEMO_ROWS, FD.DEMO_LR), "px_patients"))
 def fed_train(t):
-    """Three demo rounds (SGD clients, FedAvg, evaluation); rows-only check."""
-    return FD.fed_train(P.px_patients(t), rounds=3, local="sgd")
+    """Three demo rounds (SGD clients on the first 200 rows per node, FedAvg,
+    evaluation of the new global model per node and overall)."""
+    out = FD.fed_train(P.px_patients(t), rounds=3, local="sgd")
+    return _r(out, [f"w{i}" for i in range(5)] + ["bias"]).select(
+        *[f"w{i}" for i in range(5)], "bias", *NODES, "GLOBAL", F.col("round").cast("int").alias("round"))
 
 
 @register("fed_transfer_report")
