@@ -64,10 +64,19 @@ def is_called(genotype) -> Column:
     return F.exists(_c(genotype), lambda g: g >= 0)
 
 
+def _allele_text(a: Column) -> Column:
+    return F.when(a < 0, F.lit(".")).otherwise(a.cast("string"))
+
+
 def genotype_string(genotype, phased=None) -> Column:
-    """``[0,1]`` -> ``0/1`` (``0|1`` when phased); -1 -> ``.``."""
-    parts = F.transform(_c(genotype), lambda g: F.when(g < 0, F.lit(".")).otherwise(g.cast("string")))
-    unphased = F.array_join(parts, "/")
-    if phased is None:
-        return unphased
-    return F.when(_c(phased), F.array_join(parts, "|")).otherwise(unphased)
+    """``[0,1]`` -> ``0/1`` (``0|1`` when phased); -1 -> ``.``.
+
+    Diploid calls take a lambda-free path (stays in generated code); other
+    ploidies fall back to ``transform``."""
+    g = _c(genotype)
+    sep = F.lit("/") if phased is None else F.when(_c(phased), F.lit("|")).otherwise(F.lit("/"))
+    diploid = F.concat(_allele_text(F.get(g, 0)), sep, _allele_text(F.get(g, 1)))
+    other = F.array_join(F.transform(g, _allele_text), "/")
+    if phased is not None:
+        other = F.when(_c(phased), F.array_join(F.transform(g, _allele_text), "|")).otherwise(other)
+    return F.when(F.size(g) == 2, diploid).otherwise(other)

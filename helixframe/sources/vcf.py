@@ -54,11 +54,18 @@ def _format_index(keys: Column) -> dict[str, Column]:
     return {k: (F.array_position(keys, k) - 1).cast("int") for k in _FORMAT_KEYS}
 
 
+def _allele_code(a: Column) -> Column:
+    return F.when(a == ".", F.lit(-1).cast("long")).otherwise(a.try_cast("long"))
+
+
 def _genotype(gt: Column) -> Column:
-    """'0|1' / '1/.' -> [0, 1] / [1, -1]; NULL GT -> NULL."""
+    """'0|1' / '1/.' -> [0, 1] / [1, -1]; NULL GT -> NULL.  Diploid calls
+    take a lambda-free path; other ploidies use ``transform``."""
     alleles = F.split(F.translate(gt, "|", "/"), "/")
-    return F.when(gt.isNull(), F.lit(None).cast("array<bigint>")).otherwise(
-        F.transform(alleles, lambda a: F.when(a == ".", F.lit(-1).cast("long")).otherwise(a.try_cast("long"))))
+    diploid = F.array(_allele_code(F.get(alleles, 0)), _allele_code(F.get(alleles, 1)))
+    return (F.when(gt.isNull(), F.lit(None).cast("array<bigint>"))
+            .when(F.size(alleles) == 2, diploid)
+            .otherwise(F.transform(alleles, _allele_code)))
 
 
 def _depths(ad: Column) -> Column:
