@@ -105,24 +105,32 @@ def _site_columns(f: Column) -> list[Column]:
     ]
 
 
-def _data_with_names(lines: DataFrame, names: str, broadcast_headers: bool) -> DataFrame:
-    headers = vcf_headers(lines, names)
+def _data_with_names(lines: DataFrame, names: str, broadcast_headers: bool,
+                     headers: DataFrame | None = None) -> DataFrame:
+    if headers is None:
+        headers = vcf_headers(lines, names)
     if broadcast_headers:
         headers = F.broadcast(headers)
     data = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0))
+    if "_file_name" in headers.columns:      # names keyed by file name (manifest)
+        data = data.withColumn("_file_name", F.regexp_extract("source_file", r"([^/]+)$", 1))
+        return data.join(headers, "_file_name", "left").drop("_file_name")
     return data.join(headers, "source_file", "left")
 
 
-def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bool = False) -> DataFrame:
+def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bool = False,
+                    headers: DataFrame | None = None) -> DataFrame:
     """Data lines -> nested ``variants`` rows (see ``schemas.VARIANTS``).
 
     ``start_position`` is 0-based (POS - 1), ``end_position`` = start +
     len(REF); ``.`` fields become NULL; genotype no-calls become -1; a phased
     call without PS gets phase set ``*``.  Extra column ``info`` keeps the
     raw INFO text.  Each sample column is split once; FORMAT key positions
-    are resolved once per line.
+    are resolved once per line.  ``headers`` (``source_file``,
+    ``_sample_names``), e.g. from a sample manifest, skips the scan for
+    ``#CHROM`` lines.
     """
-    data = _data_with_names(lines, names, broadcast_headers)
+    data = _data_with_names(lines, names, broadcast_headers, headers)
     f = F.split("value", "\t")
     ix = _format_index(F.split(F.get(f, 8), ":"))
     samples = F.slice(f, 10, F.greatest(F.size(f) - 9, F.lit(0)))
@@ -144,11 +152,12 @@ def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bo
     )
 
 
-def parse_vcf_genotypes(lines: DataFrame, names: str = "keep", broadcast_headers: bool = False) -> DataFrame:
+def parse_vcf_genotypes(lines: DataFrame, names: str = "keep", broadcast_headers: bool = False,
+                        headers: DataFrame | None = None) -> DataFrame:
     """Data lines -> long genotype rows (one per site and sample): the sample
     columns are exploded first, then every field is a plain column
     expression (whole-stage codegen, no per-call lambda)."""
-    data = _data_with_names(lines, names, broadcast_headers)
+    data = _data_with_names(lines, names, broadcast_headers, headers)
     f = F.split("value", "\t")
     x = data.select(
         *_site_columns(f), "source_file", "_sample_names",
@@ -164,17 +173,25 @@ def parse_vcf_genotypes(lines: DataFrame, names: str = "keep", broadcast_headers
 
 
 def read_vcf(spark: SparkSession, path_glob: str, names: str = "keep",
-             max_broadcast_files: int = HEADER_BROADCAST_FILES) -> DataFrame:
-    """Read VCF file(s) (glob allowed, ``.gz`` fine) into nested rows.
+             max_broadcast_files: int = HEADER_BROADCAST_FILES,
+             sample_names: dict[str, list[str]] | None = None, long: bool = False) -> DataFrame:
+    """Read VCF file(s) (glob allowed, ``.gz`` fine) into nested rows (or
+    the long genotype table with ``long=True``).
 
     The per-file header table has one row per file; the file count is known
     from the listing (no data scan), so it is broadcast only under
-    ``max_broadcast_files`` and shuffled otherwise.
+    ``max_broadcast_files`` and shuffled otherwise.  ``sample_names``
+    ({file name: [names]}, e.g. from the batch manifest) avoids the second
+    pass over the text for ``#CHROM`` lines.
     """
     raw = spark.read.text(path_glob)
-    n_files = len(raw.inputFiles())
+    files = raw.inputFiles()
     lines = raw.select("value", F.col("_metadata.file_path").alias("source_file"))
-    return parse_vcf_lines(lines, names, broadcast_headers=n_files <= max_broadcast_files)
+    headers = None
+    if sample_names is not None:
+        headers = spark.createDataFrame(sorted(sample_names.items()), "_file_name string, _sample_names array<string>")
+    parse = parse_vcf_genotypes if long else parse_vcf_lines
+    return parse(lines, names, broadcast_headers=len(files) <= max_broadcast_files, headers=headers)
 
 
 def vcf_to_flat(lines: DataFrame, sample_id: str | Column | None = None) -> DataFrame:

@@ -118,3 +118,8 @@ def test_manifest_paths(spark):
     assert r["S2"].resolved_bam == "gs://b/s2.bam"
     assert r["HG00119"].resolved_bam == \
         "gs://public/bam/HG00119.mapped.ILLUMINA.bwa.GBR.low_coverage.20120522.bam"
+
+
+def test_read_vcf_with_manifest_names_and_long(spark, fx):
+    v = vcf.read_vcf(spark, fx("mini.vcf"), sample_names={"mini.vcf": ["S1", "S2"]}, long=True)
+    assert {r.sample_id for r in v.collect()} == {"S1", "S2"} and v.count() == 10
