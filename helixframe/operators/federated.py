@@ -73,14 +73,29 @@ def scale_fixed(patients: DataFrame) -> DataFrame:
             .withColumn("age", F.col("age") / 100.0).withColumn("bmi", F.col("bmi") / 50.0))
 
 
-def standardize_per_node(patients: DataFrame) -> DataFrame:
+# Per-node tables (moments, models) are broadcast when the frame has at most
+# this many nodes - checked once per job by counting the distinct node ids.
+MAX_BROADCAST_NODES = 100_000
+
+
+def nodes_bounded(df: DataFrame) -> bool:
+    """True when ``df`` has at most ``MAX_BROADCAST_NODES`` distinct nodes, so
+    one-row-per-node tables may be broadcast (a shuffle join on a handful of
+    node ids would put each node's rows in a single task)."""
+    return df.select("node_id").distinct().count() <= MAX_BROADCAST_NODES
+
+
+def standardize_per_node(patients: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """z-score per node: (x - node mean) / (node population sd + 1e-8).
 
-    The per-node moments are one row per node, joined back by ``node_id``."""
+    The per-node moments are one row per node, joined back by ``node_id``
+    (broadcast after the node-count check)."""
     p = patient_features(patients)
     m = p.groupBy("node_id").agg(*[F.avg(c).alias(f"_m_{c}") for c in FEATURES],
                                  *[F.stddev_pop(c).alias(f"_s_{c}") for c in FEATURES])
-    j = p.join(F.broadcast(m), "node_id")
+    if broadcast is None:
+        broadcast = nodes_bounded(p)
+    j = p.join(F.broadcast(m) if broadcast else m, "node_id")
     return j.select("node_id", *[c for c in ("patient_id",) if c in p.columns],
                     *[((F.col(c) - F.col(f"_m_{c}")) / (F.col(f"_s_{c}") + EPS)).alias(c) for c in FEATURES],
                     TARGET)
@@ -120,13 +135,15 @@ def _logit(prefix: str = "w") -> Column:
     return z
 
 
-def gd_epoch(data: DataFrame, model: DataFrame, lr: float = GD_LR) -> DataFrame:
+def gd_epoch(data: DataFrame, model: DataFrame, lr: float = GD_LR, broadcast: bool = True) -> DataFrame:
     """One full-batch gradient step per node (mean gradient of the log-loss).
 
     Also returns the loss and accuracy of the forward pass that produced the
     gradient (before the update), threshold ``p > 0.5``.  Written as one SQL
-    statement: the model (one row per node) is broadcast, the data is
-    aggregated per node with partial aggregation."""
+    statement: the model (one row per node) is broadcast when the caller has
+    checked the node count, the data is aggregated per node with partial
+    aggregation."""
+    hint = "/*+ BROADCAST(m) */ " if broadcast else ""
     k = range(len(FEATURES))
     z = "m.bias + " + " + ".join(f"m.w{i} * d.{f}" for i, f in zip(k, FEATURES))
     y = TARGET
@@ -140,7 +157,7 @@ FROM (
     avg(CASE WHEN (p > 0.5D) = ({y} = 1) THEN 1.0D ELSE 0.0D END) AS final_accuracy,
     count(*) AS n_samples
   FROM (
-    SELECT /*+ BROADCAST(m) */ d.node_id, {", ".join(f"d.{f}" for f in FEATURES)}, d.{y},
+    SELECT {hint}d.node_id, {", ".join(f"d.{f}" for f in FEATURES)}, d.{y},
       {", ".join(f"m.w{i}" for i in k)}, m.bias,
       1.0D / (1.0D + exp(-least(greatest({z}, -500.0D), 500.0D))) AS p
     FROM {{data}} d JOIN {{model}} m ON d.node_id = m.node_id) x
@@ -152,7 +169,8 @@ def local_gd(patients: DataFrame, epochs: int = GD_EPOCHS, lr: float = GD_LR, st
     """Full-batch logistic regression per node: zero init (unless ``model``),
     ``epochs`` steps.  Output per node: w0..w4, bias, n_samples, final_loss,
     final_accuracy (of the last forward pass)."""
-    data = standardize_per_node(patients) if standardize else patient_features(patients)
+    bounded = nodes_bounded(patients)
+    data = standardize_per_node(patients, bounded) if standardize else patient_features(patients)
     data = data.select("node_id", *FEATURES, TARGET)
     if epochs > 1:
         data = data.cache()
@@ -160,7 +178,7 @@ def local_gd(patients: DataFrame, epochs: int = GD_EPOCHS, lr: float = GD_LR, st
     m = m.select("node_id", *_weights_cols(), "bias")
     out = None
     for e in range(epochs):
-        out = gd_epoch(data, m, lr)
+        out = gd_epoch(data, m, lr, broadcast=bounded)
         if checkpoint_every and (e + 1) % checkpoint_every == 0:
             out = out.checkpoint(eager=True)
         m = out.select("node_id", *_weights_cols(), "bias")

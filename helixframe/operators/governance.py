@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from .joins import sized_lookup
+
 # Log severity levels in rank order.
 SEVERITY_RANK = [("DEFAULT", 0), ("DEBUG", 100), ("INFO", 200), ("NOTICE", 300), ("WARNING", 400),
                  ("ERROR", 500), ("CRITICAL", 600), ("ALERT", 700), ("EMERGENCY", 800)]
@@ -71,14 +73,15 @@ def residency_check(assets: DataFrame, policy: DataFrame) -> DataFrame:
     bounded lookup (nodes x regions), joined left so nodes without a policy
     are flagged too."""
     allowed = policy.select("node_id", F.col("allowed_region").alias("region"), F.lit(True).alias("_ok"))
-    j = assets.join(F.broadcast(allowed), ["node_id", "region"], "left")
+    j = assets.join(sized_lookup(allowed), ["node_id", "region"], "left")
     return j.where(F.col("_ok").isNull()).drop("_ok")
 
 
 def erase_patients(patients: DataFrame, erase_ids: DataFrame, id_col: str = "patient_id") -> DataFrame:
     """Right to erasure: every row whose id is in ``erase_ids`` removed
-    (left anti-join; the caller rewrites the table from the result)."""
-    return patients.join(erase_ids.select(F.col(id_col)).distinct(), id_col, "left_anti")
+    (left anti-join against the size-checked request list; the caller
+    rewrites the table from the result)."""
+    return patients.join(sized_lookup(erase_ids.select(F.col(id_col)).distinct()), id_col, "left_anti")
 
 
 def node_row_counts(tables: dict[str, DataFrame], node_col: str = "node_id") -> DataFrame:
