@@ -144,9 +144,15 @@ def qc_report(flag: DataFrame, idx: DataFrame, stats: DataFrame, top_contigs: in
     idx_txt = top.groupBy("sample_id").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_rn", "_l"))), lambda s: s["_l"]), "\n")
          .alias("idxstats_text"))
+    stypes = dict(stats.dtypes)
+
+    def sn_value(c: str) -> Column:
+        return (F.format_string("%.6f", F.col(c)) if stypes[c] in ("double", "float")
+                else F.col(c).cast("string"))
+
     scols = [c for c in stats.columns if c != "sample_id"]
     sn_txt = stats.select("sample_id", F.concat_ws("\n", *[
-        F.concat(F.lit(f"SN\t{c.replace('_', ' ')}:\t"), F.col(c).cast("string")) for c in scols])
+        F.concat(F.lit(f"SN\t{c.replace('_', ' ')}:\t"), sn_value(c)) for c in scols])
         .alias("stats_text"))
     j = flag_txt.join(sn_txt, "sample_id").join(idx_txt, "sample_id")
     rule = "=" * 80

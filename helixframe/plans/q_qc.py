@@ -19,19 +19,7 @@ def _reads(t):
 _R = "px_reads"
 
 
-@register("read_sam", W("""
-SELECT sample_id, CAST(qname AS VARCHAR) AS qname, CAST(flag AS BIGINT) AS flag, rname,
-  CAST(CASE WHEN flag & 4 <> 0 THEN 0 ELSE pos END AS BIGINT) AS pos, CAST(mapq AS BIGINT) AS mapq,
-  CASE WHEN flag & 4 <> 0 THEN '*' ELSE CAST(read_length AS VARCHAR) || 'M' END AS cigar,
-  CAST(read_length AS INTEGER) AS seq_length
-FROM px_reads""", _R))
-def read_sam(t):
-    r = _reads(t)
-    return r.select("sample_id", "qname", "flag", "rname", "pos", "mapq", "cigar",
-                    F.length("seq").alias("seq_length"))
-
-
-@register("flagstat", W("""
+_FLAGSTAT_SQL = """
 SELECT sample_id, count(*) AS total,
   count(*) FILTER (WHERE flag & 256 = 0 AND flag & 2048 = 0) AS "primary",
   count(*) FILTER (WHERE flag & 256 <> 0) AS secondary,
@@ -49,20 +37,14 @@ SELECT sample_id, count(*) AS total,
     AS with_mate_mapped,
   count(*) FILTER (WHERE flag & 256 = 0 AND flag & 2048 = 0 AND flag & 1 <> 0 AND flag & 4 = 0 AND flag & 8 <> 0)
     AS singletons
-FROM px_reads GROUP BY sample_id""", _R))
-def flagstat(t):
-    return Q.flagstat(_reads(t))
-
+FROM px_reads GROUP BY sample_id"""
 
-@register("idxstats", W("""
+_IDXSTATS_SQL = """
 SELECT sample_id, rname, count(*) FILTER (WHERE flag & 4 = 0) AS mapped,
   count(*) FILTER (WHERE flag & 4 <> 0) AS unmapped
-FROM px_reads GROUP BY sample_id, rname""", _R))
-def idxstats(t):
-    return Q.idxstats(_reads(t))
-
+FROM px_reads GROUP BY sample_id, rname"""
 
-@register("samstats", W("""
+_SAMSTATS_SQL = """
 SELECT sample_id, count(*) AS sequences, count(*) FILTER (WHERE flag & 4 = 0) AS reads_mapped,
   count(*) FILTER (WHERE flag & 4 <> 0) AS reads_unmapped,
   count(*) FILTER (WHERE flag & 1024 <> 0) AS reads_duplicated,
@@ -72,14 +54,65 @@ SELECT sample_id, count(*) AS sequences, count(*) FILTER (WHERE flag & 4 = 0) AS
   CAST(max(read_length) AS BIGINT) AS maximum_length,
   CAST(sum(read_length) AS DOUBLE) / count(*) AS average_length,
   CAST(40 AS DOUBLE) AS average_quality
-FROM px_reads GROUP BY sample_id""", _R))
+FROM px_reads GROUP BY sample_id"""
+
+FLAG_COLS = ["total", "primary", "secondary", "supplementary", "duplicates", "qc_failed", "mapped",
+             "primary_mapped", "paired", "read1", "read2", "properly_paired", "with_mate_mapped", "singletons"]
+STAT_COLS = ["sequences", "reads_mapped", "reads_unmapped", "reads_duplicated", "reads_mq0", "total_length",
+             "bases_mapped", "maximum_length", "average_length", "average_quality"]
+_DOUBLE_STATS = ("average_length", "average_quality")
+
+
+def _qc_report_sql() -> str:
+    nl, tab = "chr(10)", "chr(9)"
+    flag_lines = ", ".join(f"CAST(f.\"{c}\" AS VARCHAR) || ' {c}'" for c in FLAG_COLS)
+    sn = ", ".join(
+        f"'SN' || {tab} || '{c.replace('_', ' ')}:' || {tab} || "
+        + (f"printf('%.6f', st.{c})" if c in _DOUBLE_STATS else f"CAST(st.{c} AS VARCHAR)")
+        for c in STAT_COLS)
+    return f"""
+WITH f AS ({_FLAGSTAT_SQL}), st AS ({_SAMSTATS_SQL}), ix AS ({_IDXSTATS_SQL}),
+ixt AS (SELECT sample_id, string_agg(rname || {tab} || CAST(mapped AS VARCHAR) || {tab} || CAST(unmapped AS VARCHAR),
+                                     {nl} ORDER BY rname) AS idxstats_text
+        FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY rname) AS rn FROM ix) x
+        WHERE rn <= 10 GROUP BY sample_id)
+SELECT f.sample_id, concat_ws({nl}, repeat('=', 80), 'Quality Control Report: ' || f.sample_id, repeat('=', 80),
+  'FLAGSTAT SUMMARY', concat_ws({nl}, {flag_lines}), 'CHROMOSOME COVERAGE (Top 10)', ixt.idxstats_text,
+  'DETAILED STATISTICS', concat_ws({nl}, {sn}), repeat('=', 80)) AS report
+FROM f JOIN st ON f.sample_id = st.sample_id JOIN ixt ON f.sample_id = ixt.sample_id"""
+
+
+@register("read_sam", W("""
+SELECT sample_id, CAST(qname AS VARCHAR) AS qname, CAST(flag AS BIGINT) AS flag, rname,
+  CAST(CASE WHEN flag & 4 <> 0 THEN 0 ELSE pos END AS BIGINT) AS pos, CAST(mapq AS BIGINT) AS mapq,
+  CASE WHEN flag & 4 <> 0 THEN '*' ELSE CAST(read_length AS VARCHAR) || 'M' END AS cigar,
+  CAST(read_length AS INTEGER) AS seq_length
+FROM px_reads""", _R))
+def read_sam(t):
+    r = _reads(t)
+    return r.select("sample_id", "qname", "flag", "rname", "pos", "mapq", "cigar",
+                    F.length("seq").alias("seq_length"))
+
+
+@register("flagstat", W(_FLAGSTAT_SQL, _R))
+def flagstat(t):
+    return Q.flagstat(_reads(t))
+
+
+@register("idxstats", W(_IDXSTATS_SQL, _R))
+def idxstats(t):
+    return Q.idxstats(_reads(t))
+
+
+@register("samstats", W(_SAMSTATS_SQL, _R))
 def samstats(t):
     return Q.samstats(_reads(t))
 
 
-@register("qc_report")
+@register("qc_report", W(_qc_report_sql(), _R))
 def qc_report(t):
-    """Joined per-sample text report (rows-only check: free text)."""
+    """Joined per-sample text report: flagstat block, first ten contigs of
+    idxstats, SN lines."""
     r = _reads(t)
     return Q.qc_report(Q.flagstat(r), Q.idxstats(r), Q.samstats(r))
 
