@@ -155,3 +155,41 @@ def with_views(body: str, *names: str) -> str:
     if head.startswith("WITH"):
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"
+
+
+def spark_rounding(sql: str) -> str:
+    """Rewrite every ``round(x, d)`` of an oracle into
+    ``CAST(round(CAST(x AS DECIMAL(38, 18)), d) AS DOUBLE)``.
+
+    Spark rounds a double through its decimal representation (HALF_UP), so
+    ``0.1623453125`` rounds up at 9 digits; DuckDB rounds the binary value,
+    which lies just below that tie.  Going through DECIMAL first makes exact
+    decimal ties round the same way in both engines."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] in "_."):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        k, depth, comma = j + 6, 1, None
+        while depth:
+            c = sql[k]
+            if c == "(":
+                depth += 1
+            elif c == ")":
+                depth -= 1
+            elif c == "," and depth == 1:
+                comma = k
+            k += 1
+        if comma is None:
+            out.append(sql[i:k])
+            i = k
+            continue
+        expr, digits = sql[j + 6:comma], sql[comma + 1:k - 1].strip()
+        out.append(sql[i:j])
+        out.append(f"CAST(round(CAST(({spark_rounding(expr)}) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)")
+        i = k

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import Tables
+from .oracle_views import spark_rounding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,7 +35,7 @@ def register(name: str, oracle: str | None = None):
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if oracle is not None:
-            ORACLES[name] = oracle
+            ORACLES[name] = spark_rounding(oracle)
         return fn
 
     return deco

@@ -12,6 +12,7 @@ without progress in event time (incomplete rounds are reported as such).
 from __future__ import annotations
 
 import json
+import math
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -52,10 +53,13 @@ def dedupe_updates_stream(updates: DataFrame, watermark: str | None = "10 minute
 
 
 def _average(ups: dict) -> tuple:
-    n = sum(u["n_samples"] for u in ups.values())
-    k = len(next(iter(ups.values()))["weights"])
-    w = [sum(u["weights"][i] * u["n_samples"] for u in ups.values()) / n for i in range(k)]
-    b = sum(u["bias"] * u["n_samples"] for u in ups.values()) / n
+    """n-weighted mean with exactly rounded sums (``math.fsum``), so the
+    result does not depend on the order the updates arrived in."""
+    us = [ups[k] for k in sorted(ups)]
+    n = sum(u["n_samples"] for u in us)
+    k = len(us[0]["weights"])
+    w = [math.fsum(u["weights"][i] * u["n_samples"] for u in us) / n for i in range(k)]
+    b = math.fsum(u["bias"] * u["n_samples"] for u in us) / n
     return n, w, b
 
 
