@@ -177,8 +177,10 @@ def run_rounds(spark: SparkSession, source: str, out: str, checkpoint: str, num_
     agg = round_aggregator(s, num_nodes, timeout)
     if broadcast_path:
         def both(df, eid):
+            # one folder per micro-batch, overwritten on replay: a batch
+            # re-run after a failure rewrites its own output (idempotent)
             df.persist()
-            df.write.mode("append").parquet(out)
+            df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={eid}")
             broadcast_sink(df, eid, broadcast_path)
             df.unpersist()
         q = agg.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint)
