@@ -61,3 +61,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "gene_symbol" in df.columns
+
+
+SIDE_EFFECT_QUERIES = {"round_aggregator", "stream_ingest_flat"}
+
+
+def test_no_row_at_a_time_python_or_cartesian(spark):
+    """Every registered batch query stays JVM-side (at most Arrow-batched
+    pandas UDFs) and contains no cartesian product."""
+    for name, fn in sorted(E.queries().items()):
+        if name in SIDE_EFFECT_QUERIES:
+            continue
+        plan = fn(spark, SMALL_SF)._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" not in plan, name
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
