@@ -131,7 +131,9 @@ def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bo
     ``#CHROM`` lines.
     """
     data = _data_with_names(lines, names, broadcast_headers, headers)
-    f = F.split("value", "\t")
+    # split once into a column: later expressions reference it many times
+    data = data.select("source_file", "_sample_names", F.split("value", "\t").alias("_f"))
+    f = F.col("_f")
     ix = _format_index(F.split(F.get(f, 8), ":"))
     samples = F.slice(f, 10, F.greatest(F.size(f) - 9, F.lit(0)))
     names_ = F.col("_sample_names")
@@ -158,7 +160,8 @@ def parse_vcf_genotypes(lines: DataFrame, names: str = "keep", broadcast_headers
     columns are exploded first, then every field is a plain column
     expression (whole-stage codegen, no per-call lambda)."""
     data = _data_with_names(lines, names, broadcast_headers, headers)
-    f = F.split("value", "\t")
+    data = data.select("source_file", "_sample_names", F.split("value", "\t").alias("_f"))
+    f = F.col("_f")
     x = data.select(
         *_site_columns(f), "source_file", "_sample_names",
         *[v.alias(f"_ix_{k}") for k, v in _format_index(F.split(F.get(f, 8), ":")).items()],
