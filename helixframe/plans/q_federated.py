@@ -231,9 +231,23 @@ def fed_train(t):
         *[f"w{i}" for i in range(5)], "bias", *NODES, "GLOBAL", F.col("round").cast("int").alias("round"))
 
 
-@register("fed_transfer_report")
+def transfer_report_oracle() -> str:
+    gd = gd_oracle(FD.GD_EPOCHS)
+    body = gd[gd.index("WITH ") + 5:gd.rindex("\nSELECT ")]
+    num = "printf('%.16e', {})"
+    js = ("'{\"weights\":[' || " + " || ',' || ".join(num.format(f"w{i}") for i in range(5))
+          + " || '],\"bias\":' || " + num.format("b") + " || ',\"total_samples\":' || CAST(n AS VARCHAR) || '}'")
+    return f"""WITH {body},
+g AS (SELECT {", ".join(f"sum(w{i} * n_samples) / sum(n_samples) AS w{i}" for i in range(5))},
+        sum(b * n_samples) / sum(n_samples) AS b, CAST(sum(n_samples) AS BIGINT) AS n FROM e{FD.GD_EPOCHS})
+SELECT n / 1000.0 AS volume_gain, CAST(n * 51200 AS BIGINT) AS raw_bytes_est,
+  CAST(length({js}) AS BIGINT) AS weights_bytes, CAST(n * 51200 AS DOUBLE) / length({js}) AS reduction_factor
+FROM g"""
+
+
+@register("fed_transfer_report", W(transfer_report_oracle(), "px_patients"))
 def fed_transfer_report(t):
     """Transfer report of the global model after FedAvg of the five-epoch
-    node models; rows-only check."""
+    node models."""
     m = FD.model_array(FD.fed_avg(FD.local_gd(P.px_patients(t))).drop("nodes_aggregated"))
     return FD.fed_transfer_report(m)
