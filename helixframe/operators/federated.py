@@ -224,21 +224,38 @@ def weight_columns(df: DataFrame) -> list[str]:
     return sorted(ws, key=lambda c: int(c[1:]))
 
 
-def fed_avg(updates: DataFrame, group: list[str] | None = None) -> DataFrame:
+def _ordered_sum(values: Column) -> Column:
+    """Left fold of ``array<struct<k, v>>`` values in key order (plain double
+    additions in a fixed order: the same bits on every run and partitioning)."""
+    return F.aggregate(F.transform(F.sort_array(values), lambda s: s["v"]), F.lit(0.0),
+                       lambda acc, x: acc + x)
+
+
+def fed_avg(updates: DataFrame, group: list[str] | None = None, ordered: bool = False) -> DataFrame:
     """n-weighted mean of node weights and bias (per ``group``, e.g. round).
 
     ``updates``: node_id, w0..wk (or a ``weights`` array of the model's
     five features), bias, n_samples.  Output: w0..wk, bias, total_samples,
-    nodes_aggregated (sorted; bounded by the node count)."""
+    nodes_aggregated (sorted; bounded by the node count).  ``ordered`` sums
+    in node-id order for bit-reproducible results on deduplicated updates;
+    the default is a partial-aggregation sum."""
     group = group or []
     u = updates
     if "weights" in u.columns and "w0" not in u.columns:
         u = u.select("*", *[F.get(F.col("weights"), i).alias(f"w{i}") for i in range(len(FEATURES))])
     ws = weight_columns(u)
     n = F.col("n_samples")
+    if ordered:
+        # one update per node and group (deduplicated input): the per-group
+        # arrays are bounded by the node count
+        def wsum(c):
+            return _ordered_sum(F.collect_list(F.struct(F.col("node_id").alias("k"), (c * n).alias("v"))))
+    else:
+        def wsum(c):
+            return F.sum(c * n)
     agg = u.groupBy(*group).agg(
-        *[F.sum(F.col(w) * n).alias(f"_s{w}") for w in ws],
-        F.sum(F.col("bias") * n).alias("_sb"), F.sum(n).alias("total_samples"),
+        *[wsum(F.col(w)).alias(f"_s{w}") for w in ws],
+        wsum(F.col("bias")).alias("_sb"), F.sum(n).alias("total_samples"),
         F.sort_array(F.collect_set("node_id")).alias("nodes_aggregated"))
     return agg.select(
         *group, *[(F.col(f"_s{w}") / F.col("total_samples")).alias(w) for w in ws],

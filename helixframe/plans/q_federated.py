@@ -153,16 +153,16 @@ def local_sgd(t):
 @register("fed_avg", W(f"""
 WITH d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY round, node_id ORDER BY event_id) AS rn
                           FROM px_updates) x WHERE rn = 1)
-SELECT round, round(sum(w0 * n_samples) / sum(n_samples), {_D}) AS w0,
-  round(sum(w1 * n_samples) / sum(n_samples), {_D}) AS w1,
-  round(sum(bias * n_samples) / sum(n_samples), {_D}) AS bias, CAST(sum(n_samples) AS BIGINT) AS total_samples,
+SELECT round, round(list_reduce(list(w0 * n_samples ORDER BY node_id), lambda a, b: a + b) / sum(n_samples), {_D}) AS w0,
+  round(list_reduce(list(w1 * n_samples ORDER BY node_id), lambda a, b: a + b) / sum(n_samples), {_D}) AS w1,
+  round(list_reduce(list(bias * n_samples ORDER BY node_id), lambda a, b: a + b) / sum(n_samples), {_D}) AS bias, CAST(sum(n_samples) AS BIGINT) AS total_samples,
   string_agg(node_id, ',' ORDER BY node_id) AS nodes_aggregated
 FROM d GROUP BY round""", "px_updates"))
 def fed_avg(t):
     """n-weighted FedAvg per round over the first update of each node."""
     from ..streaming.rounds import dedupe_updates
     u = dedupe_updates(P.px_updates(t))
-    out = FD.fed_avg(u, group=["round"])
+    out = FD.fed_avg(u, group=["round"], ordered=True)
     out = _r(out, ["w0", "w1", "bias"])
     return out.withColumn("nodes_aggregated", F.array_join("nodes_aggregated", ","))
 

@@ -148,11 +148,18 @@ def round_aggregator_batch(updates: DataFrame, num_nodes: int) -> DataFrame:
     d = dedupe_updates(updates)
     n = F.col("n_samples")
     x = d.select("round", "node_id", "n_samples", "bias", F.posexplode("weights").alias("i", "w"))
-    per_w = x.groupBy("round", "i").agg((F.sum(F.col("w") * n) / F.sum(n)).alias("w"))
+
+    def wsum(v):
+        # deduplicated: one row per node and round, so the fold is bounded
+        # by the node count; node-id order makes the sum bit-reproducible
+        vals = F.collect_list(F.struct(F.col("node_id").alias("k"), (v * n).alias("v")))
+        return F.aggregate(F.transform(F.sort_array(vals), lambda s: s["v"]), F.lit(0.0), lambda a, b: a + b)
+
+    per_w = x.groupBy("round", "i").agg((wsum(F.col("w")) / F.sum(n)).alias("w"))
     ws = per_w.groupBy("round").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("i", "w"))), lambda s: s["w"]).alias("weights"))
     r = d.groupBy("round").agg(F.count(F.lit(1)).alias("n_nodes"), F.sum(n).alias("total_samples"),
-                               (F.sum(F.col("bias") * n) / F.sum(n)).alias("bias"),
+                               (wsum(F.col("bias")) / F.sum(n)).alias("bias"),
                                F.array_join(F.sort_array(F.collect_list("node_id")), ",").alias("nodes_aggregated"))
     return (r.where(F.col("n_nodes") >= num_nodes).join(ws, "round")
             .select("round", F.lit("complete").alias("status"), F.col("n_nodes").cast("long"),
