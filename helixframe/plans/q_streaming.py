@@ -35,9 +35,9 @@ def _messages(t):
 WITH d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY round, node_id ORDER BY event_id) AS rn
                           FROM px_updates) x WHERE rn = 1)
 SELECT round, 'complete' AS status, CAST(count(*) AS BIGINT) AS n_nodes, CAST(sum(n_samples) AS BIGINT) AS total_samples,
-  round(fsum(w0 * n_samples) / sum(n_samples), 9) + 0.0 AS w0,
-  round(fsum(w1 * n_samples) / sum(n_samples), 9) + 0.0 AS w1,
-  round(fsum(bias * n_samples) / sum(n_samples), 9) + 0.0 AS bias,
+  round(list_reduce(list(w0 * n_samples ORDER BY node_id), lambda a, b: a + b) / sum(n_samples), 9) + 0.0 AS w0,
+  round(list_reduce(list(w1 * n_samples ORDER BY node_id), lambda a, b: a + b) / sum(n_samples), 9) + 0.0 AS w1,
+  round(list_reduce(list(bias * n_samples ORDER BY node_id), lambda a, b: a + b) / sum(n_samples), 9) + 0.0 AS bias,
   string_agg(node_id, ',' ORDER BY node_id) AS nodes_aggregated
 FROM d GROUP BY round HAVING count(*) >= {NUM_NODES}""", "px_updates"))
 def round_aggregator(t):

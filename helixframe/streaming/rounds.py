@@ -12,7 +12,6 @@ without progress in event time (incomplete rounds are reported as such).
 from __future__ import annotations
 
 import json
-import math
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -52,14 +51,23 @@ def dedupe_updates_stream(updates: DataFrame, watermark: str | None = "10 minute
     return updates.dropDuplicates(["round", "node_id"])
 
 
+def _fold(values) -> float:
+    """Plain left-to-right double additions (no compensation), the same
+    operation sequence as the SQL fold over node-ordered contributions."""
+    acc = 0.0
+    for v in values:
+        acc = acc + v
+    return acc
+
+
 def _average(ups: dict) -> tuple:
-    """n-weighted mean with exactly rounded sums (``math.fsum``), so the
-    result does not depend on the order the updates arrived in."""
+    """n-weighted mean summed in node-id order, so the result does not
+    depend on the order the updates arrived in (bit-reproducible)."""
     us = [ups[k] for k in sorted(ups)]
     n = sum(u["n_samples"] for u in us)
     k = len(us[0]["weights"])
-    w = [math.fsum(u["weights"][i] * u["n_samples"] for u in us) / n for i in range(k)]
-    b = math.fsum(u["bias"] * u["n_samples"] for u in us) / n
+    w = [_fold(u["weights"][i] * u["n_samples"] for u in us) / n for i in range(k)]
+    b = _fold(u["bias"] * u["n_samples"] for u in us) / n
     return n, w, b
 
 
