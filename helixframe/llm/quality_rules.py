@@ -8,6 +8,7 @@ no shuffle: one scan, one projection.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,7 @@ STOP_WORDS = ("the be to of and that have with is in "
               "der die das und zu den ist ein nicht von "
               "le la les des et un une est que pour "
               "el los de y en por se del las con").split()
+CAPITALISED = [w.capitalize() for w in STOP_WORDS]
 
 
 @dataclass(frozen=True)
@@ -46,14 +48,9 @@ RULES = (
 )
 
 
-def _repeat_words(w: Column, n: Column) -> Column:
-    """Words inside 8-word windows that occur twice or more.  Windows are
-    hashed (xxhash64 over the eight words, within one text only), sorted with
-    their positions, and those equal to a neighbour kept; the words they
-    cover are counted from the sorted positions."""
-    hashes = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)),
-                                             lambda i: F.xxhash64(F.slice(w, i, F.lit(WINDOW)))))
-    return hashes
+def _paired(h: Column, step: int) -> Column:
+    """Hash of each element with the one ``step`` further on."""
+    return F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + step)))
 
 
 def _covered(sorted_windows: Column) -> Column:
@@ -70,6 +67,30 @@ def _covered(sorted_windows: Column) -> Column:
     return total
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _repeat_words(w: Column, n: Column) -> Column:
+    """Words inside 8-word windows that occur twice or more in the text.
+    Windows are hashed in three doublings (2, 4, 8 words; 64 bits suffice,
+    as windows meet within one text only).  Where some hash repeats, windows
+    are sorted by hash and those equal to a neighbour kept."""
+    def count(windows: Column) -> Column:
+        repeats = F.size(F.array_distinct(windows)) < F.size(windows)
+        placed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("p"))))
+        return F.when(repeats, _let(placed, _covered)).otherwise(F.lit(0))
+
+    def whole_windows(h: Column) -> Column:  # the last 7 starts have none
+        return _let(F.slice(h, F.lit(1), n - (WINDOW - 1)), count)
+
+    hashed = _let(F.transform(w, lambda x: F.xxhash64(x)),
+                  lambda one: _let(_paired(one, 1), lambda two: _let(_paired(two, 2), lambda four: _let(
+                      _paired(four, 4), whole_windows))))
+    return F.when(n >= WINDOW, hashed).otherwise(F.lit(0))
+
+
 def metrics(docs: DataFrame) -> DataFrame:
     """doc_id and every metric of the rules, from the whole text.  A null or
     empty text has zero words, lines and ratios; ties and repeated rows do
@@ -78,25 +99,20 @@ def metrics(docs: DataFrame) -> DataFrame:
     t = docs.select("doc_id", text.alias("t"))
     t = t.select("doc_id", "t", words(F.col("t")).alias("w"),
                  F.filter(F.split("t", "\n"), lambda x: x.rlike(f"[^{WS}]")).alias("lines"))
-    t = t.withColumn("n", F.size("w"))
-    t = t.withColumn("h", _repeat_words(F.col("w"), F.col("n")))
-    t = t.withColumn("s", F.when(F.size(F.array_distinct("h")) < F.size("h"), F.sort_array(
-        F.transform("h", lambda h, i: F.struct(h.alias("h"), i.alias("p"))))))
-    n, lines = F.col("n"), F.size("lines")
+    n, lines = F.size("w"), F.size("lines")
 
     def ratio(a: Column, b: Column) -> Column:
         return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
-    plain = F.regexp_replace("t", f"[{WS}]+", "")
     out = t.select(
         "doc_id",
         n.cast("long").alias("n_words"),
-        F.char_length(plain).cast("long").alias("word_chars"),
+        F.char_length(F.array_join("w", "")).cast("long").alias("word_chars"),
         (F.char_length("t") - F.char_length(F.regexp_replace("t", r"[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
         (lines - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(F.when(F.col("s").isNotNull(), _covered(F.col("s"))), F.lit(0)).cast("long").alias("n_repeat_words"),
-        ratio(F.size(F.filter("w", lambda x: F.lower(x).isin(*STOP_WORDS))), n).alias("stop_word_ratio"),
-        ratio(F.size(F.filter("w", lambda x: x.rlike(r"\p{L}"))), n).alias("alpha_word_ratio"),
+        _repeat_words(F.col("w"), n).cast("long").alias("n_repeat_words"),
+        ratio(F.size(F.filter("w", lambda x: x.isin(*STOP_WORDS, *CAPITALISED))), n).alias("stop_word_ratio"),
+        ratio(F.regexp_count("t", F.lit(rf"\p{{L}}[^{WS}]*+")), n).alias("alpha_word_ratio"),
         ratio(F.size(F.filter("lines", lambda x: x.rlike(r"^\s*[-*•]"))), lines).alias("bullet_line_ratio"),
         ratio(F.size(F.filter("lines", lambda x: x.rlike(r"(\.\.\.|…)\s*$"))), lines).alias("ellipsis_line_ratio"),
         lines.alias("n_lines"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, quality_rules
+from . import exact_dedup, mixing, pieces, quality_rules, secrets_scan
 from .common import table
 
 
@@ -19,13 +19,23 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2(F.encode("base", "UTF-8"), 256).alias("base_sha256"), "spans", "n_credential")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op8_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op5_sentencepiece, op6_secrets, op8_quality_rules)}
 
 _WS = r"[\x20\x09-\x0D]"
 _OP2 = """
@@ -52,7 +62,7 @@ WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
 g AS (SELECT norm, count(*) AS group_size, arg_min(doc_id, (-chars, doc_id)) AS keep_id FROM n GROUP BY norm)
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.norm) AS text_sha256
 FROM n JOIN g USING (norm)"""
-_STOP = ", ".join(f"'{w}'" for w in sorted(set(quality_rules.STOP_WORDS)))
+_STOP = ", ".join(f"'{w}'" for w in sorted({*quality_rules.STOP_WORDS, *quality_rules.CAPITALISED}))
 _OP8 = rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 a AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '{_WS}+'), lambda x: x <> '') AS w,
@@ -63,7 +73,7 @@ r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM d, range(0, 8) s(k) GROUP B
 m AS (SELECT a.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '{_WS}+', '', 'g')) AS word_chars,
              length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')) AS n_symbols,
              (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
-             len(list_filter(w, lambda x: lower(x) IN ({_STOP}))) AS stops,
+             len(list_filter(w, lambda x: x IN ({_STOP}))) AS stops,
              len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS alphas,
              len(list_filter(l, lambda x: regexp_matches(x, '^\s*[-*•]'))) AS bullets,
              len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) AS dots, len(l) AS lines
