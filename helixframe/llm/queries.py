@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, pieces, quality_rules, secrets_scan
+from . import exact_dedup, mixing, pieces, quality_rules, secrets_scan, warc
 from .common import table
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents mixed by the square root of their source's size, one epoch long."""
     out = mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -35,9 +39,17 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op5_sentencepiece, op6_secrets, op8_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_exact_dedup, op5_sentencepiece, op6_secrets, op8_quality_rules)}
 
 _WS = r"[\x20\x09-\x0D]"
+_OP1 = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+                  coalesce(html, '') AS html FROM pages),
+h AS (SELECT html, max(page_id) AS holder FROM p WHERE payload_bytes >= 1000 GROUP BY html)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN holder <> page_id THEN holder END AS refers_to
+FROM p LEFT JOIN h ON p.html = h.html"""
 _OP2 = """
 WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 weights AS (SELECT source, n, pow(n::DOUBLE, 0.5) AS w FROM counts),
@@ -84,4 +96,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND n_symbols / n_words <= 0.3 AND stops / n_words >= 0.01 AND alphas / n_words >= 0.6
        AND (lines = 0 OR (n_dup_lines / lines <= 0.5 AND bullets / lines <= 0.9 AND dots / lines <= 0.3)) AS kept
 FROM b"""
-ORACLES = {"op2_mixing": _OP2, "op3_exact_dedup": _OP3, "op8_quality_rules": _OP8}
+ORACLES = {"op1_warc": _OP1, "op2_mixing": _OP2, "op3_exact_dedup": _OP3, "op8_quality_rules": _OP8}
