@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, pieces, quality_rules, secrets_scan, warc
+from . import exact_dedup, mixing, pieces, quality_rules, secrets_scan, toxicity, warc
 from .common import table
 
 
@@ -33,13 +33,17 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.encode("base", "UTF-8"), 256).alias("base_sha256"), "spans", "n_credential")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_exact_dedup, op5_sentencepiece, op6_secrets, op8_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_exact_dedup, op5_sentencepiece, op6_secrets, op7_toxicity, op8_quality_rules)}
 
 _WS = r"[\x20\x09-\x0D]"
 _OP1 = """
