@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, pieces, quality_rules, secrets_scan, toxicity, warc
+from . import exact_dedup, mixing, pieces, pii, quality_rules, secrets_scan, toxicity, warc
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find_pii(table(spark, sf_dir, "documents")))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_exact_dedup, op5_sentencepiece, op6_secrets, op7_toxicity, op8_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_exact_dedup, op4_pii, op5_sentencepiece, op6_secrets, op7_toxicity, op8_quality_rules)}
 
 _WS = r"[\x20\x09-\x0D]"
 _OP1 = """
