@@ -8,11 +8,12 @@ intermediate tables are checkpointed into ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 
 #: White space of every contract: blank and \t \n \v \f \r, as a regex class body (Java and Python alike).
 WS = r"\x20\x09-\x0D"
@@ -49,3 +50,10 @@ def landed(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def landed_parquet(df: DataFrame, name: str) -> DataFrame:
+    """As landed(), as a compressed columnar table: for wide or long intermediates."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

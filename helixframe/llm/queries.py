@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, mixing, pieces, pii, quality_rules, secrets_scan, toxicity, warc
+from . import exact_dedup, jaccard_join, mixing, pieces, pii, pitman_yor, quality_rules, secrets_scan, toxicity, warc
 from .common import table
 
 
@@ -47,11 +47,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept")
 
 
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_exact_dedup, op4_pii, op5_sentencepiece, op6_secrets, op7_toxicity, op8_quality_rules, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_exact_dedup, op4_pii, op5_sentencepiece, op6_secrets, op7_toxicity, op8_quality_rules, op9_pitman_yor, op10_jaccard_join)}
 
 _WS = r"[\x20\x09-\x0D]"
 _OP1 = """
