@@ -173,7 +173,7 @@ def local_gd(patients: DataFrame, epochs: int = GD_EPOCHS, lr: float = GD_LR, st
     data = standardize_per_node(patients, bounded) if standardize else patient_features(patients)
     data = data.select("node_id", *FEATURES, TARGET)
     if epochs > 1:
-        data = data.cache()
+        data = data.checkpoint(eager=True)  # read by every epoch; spark.sql(..., data=...) would drop a cache
     m = model if model is not None else initial_model(data, weight=0.0, bias=0.0)
     m = m.select("node_id", *_weights_cols(), "bias")
     out = None
@@ -286,7 +286,7 @@ def fed_train(patients: DataFrame, rounds: int = 3, local: str = "sgd", n_rows:
     the weights, bias and global/per-node accuracy."""
     data = scale_fixed(patients) if scale == "fixed" else (
         standardize_per_node(patients) if scale == "zscore" else patient_features(patients))
-    data = data.cache()
+    data = data.checkpoint(eager=True)
     spark = patients.sparkSession
     model = initial_model(None, spark)
     history = []

@@ -79,11 +79,11 @@ AMINO_ACIDS = "ACDEFGHIKLMNPQRSTVWY"
 
 
 def valid_sequence(df: DataFrame, col: str = "sequence") -> DataFrame:
-    """Adds ``clean_sequence`` (upper-case, spaces/newlines removed) and
+    """Adds ``clean_sequence`` (upper-case, blanks and line feeds removed) and
     ``is_valid`` (only amino-acid letters; the empty string is valid)."""
-    clean = F.regexp_replace(F.upper(F.col(col)), r"[ \n\r]", "")
+    clean = F.regexp_replace(F.upper(F.col(col)), r"[ \n]", "")
     return (df.withColumn("clean_sequence", clean)
-            .withColumn("is_valid", F.col("clean_sequence").rlike(f"^[{AMINO_ACIDS}]*$")))
+            .withColumn("is_valid", F.col("clean_sequence").rlike(rf"\A[{AMINO_ACIDS}]*\z")))
 
 
 def json_encoded_alts(variants: DataFrame) -> DataFrame:

@@ -20,7 +20,8 @@ def _recode(genotype, alt_ix):
 
 
 def split_multiallelic(variants: DataFrame) -> DataFrame:
-    """One row per ALT allele.
+    """One row per ALT allele; a site without ALT keeps one row with an
+    empty ALT list and ``alt_index`` 0.
 
     Nested rows recode every call's genotype inside the row; a long genotype
     table (``genotype`` column, no ``calls``) recodes per row.  Both are
@@ -28,19 +29,20 @@ def split_multiallelic(variants: DataFrame) -> DataFrame:
     nested calls keep REF and the split ALT's depth.
     """
     keep = [c for c in variants.columns if c != "alternate_bases"]
-    x = variants.select(*keep, F.posexplode("alternate_bases").alias("_ix", "_alt"))
-    x = x.withColumn("alternate_bases", F.array("_alt")).withColumn("alt_index", (F.col("_ix") + 1).cast("int"))
+    x = variants.select(*keep, F.posexplode_outer("alternate_bases").alias("_ix", "_alt"))
+    x = x.withColumn("alternate_bases", F.when(F.col("_ix").isNull(), F.array().cast("array<string>"))
+                     .otherwise(F.array("_alt"))).withColumn("alt_index", (F.col("_ix") + 1).cast("int"))
     if "calls" in variants.columns:
         def fix(c):
             ad = c["allele_depths"]
             return c.withField("genotype", _recode(c["genotype"], F.col("alt_index"))) \
                     .withField("allele_depths",
-                               F.when(ad.isNull(), ad).otherwise(
+                               F.when(ad.isNull() | F.col("alt_index").isNull(), ad).otherwise(
                                    F.array(F.get(ad, 0), F.get(ad, F.col("alt_index")))))
         x = x.withColumn("calls", F.transform("calls", fix))
     elif "genotype" in variants.columns:
         x = x.withColumn("genotype", _recode(F.col("genotype"), F.col("alt_index")))
-    return x.drop("_ix", "_alt")
+    return x.withColumn("alt_index", F.coalesce("alt_index", F.lit(0))).drop("_ix", "_alt")
 
 
 def contig_shard(variants: DataFrame, contig_col: str = "reference_name") -> DataFrame:

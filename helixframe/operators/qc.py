@@ -64,12 +64,12 @@ def phred_sum(qual: pd.Series) -> pd.Series:
     SQL lambda would run interpreted, ~50x slower)."""
     q = qual.fillna("*").where(qual != "*", "")
     lens = q.str.len().to_numpy()
-    buf = np.frombuffer("".join(q.tolist()).encode("latin-1"), dtype=np.uint8).astype(np.int64)
+    buf = np.frombuffer("".join(q.tolist()).encode("latin-1"), dtype=np.uint8)
     out = np.zeros(len(q), dtype=np.int64)
     nz = lens > 0
     if nz.any():
         starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-        sums = np.add.reduceat(buf, starts[nz]) if len(buf) else np.zeros(int(nz.sum()), dtype=np.int64)
+        sums = np.add.reduceat(buf, starts[nz], dtype=np.int64) if len(buf) else np.zeros(int(nz.sum()), dtype=np.int64)
         out[nz] = sums - 33 * lens[nz]
     return pd.Series(out)
 

@@ -95,12 +95,12 @@ def merge_shards(t):
     karyotype/position order (range-partitioned)."""
     s = N.contig_shard(P.variant_sites(t, annotated=False))
     parts = [s.where(F.col("shard") == name) for name, _ in SHARDS]
-    m = N.merge_shards(parts, num_partitions=8)
+    m = N.merge_shards(parts, num_partitions=None)
     return m.select("reference_name", "start_position", "reference_bases", "shard")
 
 
 @register("valid_sequence", W("""
-SELECT doc_id, regexp_full_match(regexp_replace(upper(text), '[ \\n\\r]', '', 'g'), '[ACDEFGHIKLMNPQRSTVWY]*')
+SELECT doc_id, regexp_full_match(regexp_replace(upper(text), '[ \\n]', '', 'g'), '[ACDEFGHIKLMNPQRSTVWY]*')
   AS is_valid
 FROM documents"""))
 def valid_sequence(t):
@@ -117,3 +117,72 @@ def resolve_sample_path(t):
         "sample_id", F.when(F.col("ck") % 3 == 0, F.concat(F.lit("gs://node-bucket/bam/"), "sample_id",
                                                             F.lit(".bam"))).alias("input_bam"))
     return rsp(m, "gs://public-1000g/").select("sample_id", "resolved_bam")
+
+
+@register("split_multiallelic_no_alt", W(f"""
+SELECT reference_name, start_position, CAST(NULL AS VARCHAR) AS alternate_base, CAST(0 AS INTEGER) AS alt_index, sample_id,
+  {_GT_SQL.format(a1="CASE WHEN a1 > 0 THEN 0 ELSE a1 END", a2="CASE WHEN a2 > 0 THEN 0 ELSE a2 END")} AS gt
+FROM px_geno WHERE start_position % 5 = 0
+UNION ALL
+SELECT reference_name, start_position, alt, CAST(1 AS INTEGER), sample_id,
+  {_GT_SQL.format(a1="CASE WHEN a1 = 1 THEN 1 WHEN a1 > 0 THEN 0 ELSE a1 END",
+                  a2="CASE WHEN a2 = 1 THEN 1 WHEN a2 > 0 THEN 0 ELSE a2 END")}
+FROM px_geno WHERE start_position % 5 <> 0
+UNION ALL
+SELECT reference_name, start_position, alt2, CAST(2 AS INTEGER), sample_id,
+  {_GT_SQL.format(a1="CASE WHEN a1 = 2 THEN 1 WHEN a1 > 0 THEN 0 ELSE a1 END",
+                  a2="CASE WHEN a2 = 2 THEN 1 WHEN a2 > 0 THEN 0 ELSE a2 END")}
+FROM px_geno WHERE alt2 IS NOT NULL AND start_position % 5 <> 0""", "px_geno"))
+def split_multiallelic_no_alt(t):
+    """Every fifth position has no ALT (a ``.`` in the file): its row stays."""
+    g = P.genotypes(t).withColumn("alternate_bases", F.when(
+        F.col("start_position") % 5 == 0, F.array().cast("array<string>")).otherwise(F.col("alternate_bases")))
+    s = N.split_multiallelic(g)
+    return s.select("reference_name", "start_position", F.get(F.col("alternate_bases"), 0).alias("alternate_base"),
+                    "alt_index", "sample_id",
+                    genotype_string("genotype", F.col("phaseset").isNotNull()).alias("gt"))
+
+
+@register("valid_sequence_parts", W("""
+SELECT p_partkey, regexp_full_match(regexp_replace(upper(CASE p_partkey % 5 WHEN 0 THEN 'mkt ayi'
+    WHEN 1 THEN 'MKV' || chr(10) || 'ac' WHEN 2 THEN 'ACD' || chr(8232) WHEN 3 THEN 'ACD' || chr(13) ELSE p_name END),
+  '[ \\n]', '', 'g'), '[ACDEFGHIKLMNPQRSTVWY]*') AS is_valid
+FROM part"""))
+def valid_sequence_parts(t):
+    """Valid sequences, inner blanks and line feeds, and line terminators that make one invalid."""
+    k = F.col("p_partkey") % 5
+    seq = (F.when(k == 0, "mkt ayi").when(k == 1, "MKV\nac").when(k == 2, "ACD\u2028").when(k == 3, "ACD\r")
+           .otherwise(F.col("p_name")))
+    return vs(t.part.select("p_partkey", seq.alias("sequence"))).select("p_partkey", "is_valid")
+
+
+@register("fasta_round_trip", W("""
+SELECT 'p' || p_partkey || ' A>T ' || p_type AS name, replace(p_name, ' ', '') AS sequence FROM part"""))
+def fasta_round_trip(t):
+    """Names that hold ``>`` written as FASTA and read back."""
+    from uuid import uuid4
+
+    from ..session import scratch_path
+    from ..sources import fasta
+
+    path = scratch_path(t.spark, f"fasta-{uuid4().hex}")
+    fasta.write_fasta(t.part.select(F.concat(F.lit("p"), "p_partkey", F.lit(" A>T "), "p_type").alias("name"),
+                                    F.replace("p_name", F.lit(" "), F.lit("")).alias("sequence")), path)
+    return fasta.read_fasta(t.spark, path)
+
+
+@register("write_variants_replace", W("""
+SELECT chromosome AS reference_name, position - 1 AS start_position FROM px_sites WHERE position % 2 = 0""", "px_sites"))
+def write_variants_replace(t):
+    """Sites written twice on two dates: the second write replaces the whole table."""
+    from uuid import uuid4
+
+    from ..session import scratch_path
+    from ..sources.sinks import write_variants
+
+    path = scratch_path(t.spark, f"variants-{uuid4().hex}")
+    sites = P.variant_sites(t, annotated=False)
+    old = sites.withColumn("ingestion_timestamp", F.lit("2020-01-01 00:00:00").cast("timestamp"))
+    write_variants(old, path, mode="overwrite")
+    write_variants(sites.where(F.col("start_position") % 2 == 1), path, mode="overwrite")
+    return t.spark.read.parquet(path).select("reference_name", "start_position")

@@ -265,10 +265,10 @@ def first_alt(t):
 @register("json_alt", W("""
 SELECT chromosome AS reference_name, position - 1 AS start_position, ref AS reference_bases, alt AS alt_allele,
   'rs' || CAST(position AS VARCHAR) AS rsid
-FROM px_sites WHERE quality >= 30""", "px_sites"))
+FROM px_sites""", "px_sites"))
 def json_alt(t):
     """ALT out of JSON-encoded elements (``{"alt": "G"}``) plus the first rsid."""
-    return FL.json_alt(FL.json_encoded_alts(P.variant_sites(t, annotated=False)).where(F.col("quality") >= 30))
+    return FL.json_alt(FL.json_encoded_alts(P.variant_sites(t, annotated=False)))
 
 
 @register("normalize_contig", W("""

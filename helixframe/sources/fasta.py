@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """Multi-line FASTA: records are split on ``>`` by the text reader, so a
-    record never straddles two rows and files split across tasks."""
-    recs = spark.read.option("lineSep", ">").text(path)
+    """Multi-line FASTA: records are split on a ``>`` that begins a line by
+    the text reader, so a record never straddles two rows, a ``>`` inside a
+    name stays there, and files split across tasks."""
+    recs = spark.read.option("lineSep", "\n>").text(path)
+    recs = recs.select(F.regexp_replace("value", "^>", "").alias("value"))  # of a file's first record
     recs = recs.where(F.length(F.trim("value")) > 0)
     name = F.trim(F.substring_index("value", "\n", 1))
     body = F.expr("substr(value, instr(value, '\\n') + 1)")

@@ -11,13 +11,13 @@ def write_variants(df: DataFrame, path: str, mode: str = "append", num_partition
     """Append (or overwrite) variants stamped with ``ingestion_timestamp``,
     partitioned by ingestion date and clustered by (contig, start):
     range-partitioned and sorted so row-group statistics prune region
-    queries.  ``overwrite`` replaces only the dates being written."""
+    queries.  ``overwrite`` replaces the whole table, all dates."""
     ts = (F.coalesce(F.col("ingestion_timestamp"), F.current_timestamp()) if "ingestion_timestamp" in df.columns
           else F.current_timestamp())
     x = df.withColumn("ingestion_timestamp", ts).withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     x = layout_for_write(x, n)
-    (x.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("ingestion_date")
+    (x.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("ingestion_date")
      .parquet(path))
 
 
