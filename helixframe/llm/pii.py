@@ -198,9 +198,11 @@ def sanitise(docs: DataFrame, pii: DataFrame, remove: float = REMOVE) -> DataFra
     """doc_id and the text with entities replaced by their kind, telling
     terms generalised, and those that tell nearly everything removed.  Ids
     must be unique here.  Spans that overlap an earlier one are skipped."""
+    def masked(kind: str):
+        return lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(f"[{kind}]").alias("by"))
+
     marks = F.concat(
-        *[F.transform(k, lambda s, k=k: F.struct(s["start"].alias("start"), s["end"].alias("end"),
-                                                 F.lit(f"[{k}]").alias("by"))) for k in KINDS],
+        *[F.transform(k, masked(k)) for k in KINDS],
         F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(
             s["share"] >= remove, F.lit("")).otherwise(generalised(s["value"])).alias("by"))))
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole("text").alias("t"))
