@@ -94,8 +94,9 @@ def _tokens(text: str) -> list[str]:
 
 
 def block_words(blocks: DataFrame) -> DataFrame:
-    """block, word, n: each distinct word ('' is the end) of a block with its
-    count in the block's training texts (0 if only in others)."""
+    """block, word, n: the distinct words ('' is the end) of a block with their
+    counts in its training texts (0 if only in others).  A word may come in
+    several rows, which add up."""
 
     def emit(block: int, words: dict[str, int]) -> Iterator[pa.RecordBatch]:
         entries = iter(words.items())
@@ -105,25 +106,26 @@ def block_words(blocks: DataFrame) -> DataFrame:
                  pa.array([v for _, v in some], pa.int64())], names=["block", "word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, words = None, Counter()
+        words: dict[int, Counter] = {}
         for batch in batches:
             for lo in range(0, batch.num_rows, _TOGETHER):
                 part = batch.slice(lo, _TOGETHER)
                 for text, held, block in zip(*[part.column(k).to_pylist() for k in (1, 2, 3)]):
-                    if block != at and len(words) > CARRIED:
-                        for b in {b for b, _ in words}:
-                            yield from emit(b, {w: n for (c, w), n in words.items() if c == b})
-                        words = Counter()
-                    at = block
+                    if block not in words:
+                        if sum(map(len, words.values())) > CARRIED:
+                            for done, counts in words.items():
+                                yield from emit(done, counts)
+                            words = {}
+                        words[block] = Counter()
                     tokens = _tokens(text)
                     tokens.append("")
                     if held:
                         for w in tokens:
-                            words.setdefault((block, w), 0)
+                            words[block].setdefault(w, 0)
                     else:
-                        words.update(zip(itertools.repeat(block), tokens))
-        for b in {b for b, _ in words}:
-            yield from emit(b, {w: n for (c, w), n in words.items() if c == b})
+                        words[block].update(tokens)
+        for done, counts in words.items():
+            yield from emit(done, counts)
 
     return blocks.mapInArrow(run, "block long, word string, n long")
 
