@@ -321,7 +321,8 @@ def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_I
                       F.coalesce(F.sum("t"), F.lit(0)).alias("t")).first()
     own = F.greatest(F.col("c") - WORD_DISCOUNT * F.col("t"), F.lit(0.0))
     p = (own + (WORD_STRENGTH + WORD_DISCOUNT * total["t"]) * F.col("spelt")) / (WORD_STRENGTH + total["n"])
-    known = need.select("block", "word").distinct().join(spelt.select("word", "c", F.log10(p).alias("log_p")), "word")
+    # a word that a block sent twice comes back twice with the same numbers
+    known = need.select("block", "word").join(spelt.select("word", "c", F.log10(p).alias("log_p")), "word")
     return known.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(
         _score(total["n"], total["v"]),
         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, train_tokens long")
