@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, landed, landed_parquet, lower_ascii, remainder, whole
+from .common import landed, landed_parquet, remainder, whole
 from .shingles import mix
 
 ORDER = 4
@@ -89,8 +89,14 @@ def _blocks(docs: DataFrame) -> DataFrame:
                        (remainder("doc_id", 7) == 2).alias("held_out"), block.alias("block"))
 
 
-def _tokens(text: str) -> list[str]:
-    return WORD_RE.findall(lower_ascii(text))
+def _tokens(text: bytes) -> list[bytes]:
+    """Words of a UTF-8 text, A-Z lower-cased: bytes.lower() changes A-Z alone,
+    and bytes.split() parts at blank and \\t \\n \\v \\f \\r alone."""
+    return text.lower().split()
+
+
+def _utf8(column: pa.Array) -> list[bytes]:
+    return column.cast(pa.binary()).to_pylist()
 
 
 def block_words(blocks: DataFrame) -> DataFrame:
@@ -98,11 +104,11 @@ def block_words(blocks: DataFrame) -> DataFrame:
     counts in its training texts (0 if only in others).  A word may come in
     several rows, which add up."""
 
-    def emit(block: int, words: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    def emit(block: int, words: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
         entries = iter(words.items())
         while some := list(itertools.islice(entries, 50_000)):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * len(some), pa.int64()), pa.array([k for k, _ in some], pa.string()),
+                [pa.array([block] * len(some), pa.int64()), pa.array([k for k, _ in some], pa.binary()).cast(pa.string()),
                  pa.array([v for _, v in some], pa.int64())], names=["block", "word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +116,7 @@ def block_words(blocks: DataFrame) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, _TOGETHER):
                 part = batch.slice(lo, _TOGETHER)
-                for text, held, block in zip(*[part.column(k).to_pylist() for k in (1, 2, 3)]):
+                for text, held, block in zip(_utf8(part.column(1)), *[part.column(k).to_pylist() for k in (2, 3)]):
                     if block not in words:
                         if sum(map(len, words.values())) > CARRIED:
                             for done, counts in words.items():
@@ -118,7 +124,7 @@ def block_words(blocks: DataFrame) -> DataFrame:
                             words = {}
                         words[block] = Counter()
                     tokens = _tokens(text)
-                    tokens.append("")
+                    tokens.append(b"")
                     if held:
                         for w in tokens:
                             words[block].setdefault(w, 0)
@@ -285,15 +291,15 @@ def _score(training: int, distinct: int):
     floor = math.log10(training + distinct + 1)
 
     def run(known: pa.Table, docs: pa.Table) -> pa.Table:
-        number = {w: k for k, w in enumerate(known.column("word").to_pylist())}
+        number = {w: k for k, w in enumerate(_utf8(known.column("word")))}
         c, logs = known.column("c").to_numpy(), known.column("log_p").to_numpy()
         base = np.log10(c + 1.0) - floor
         rows = []
         for lo in range(0, docs.num_rows, _TOGETHER):
-            for text in docs.column("text").slice(lo, _TOGETHER).to_pylist():
+            for text in _utf8(docs.column("text").slice(lo, _TOGETHER)):
                 tokens = _tokens(text)
-                tokens.append("")
-                at = np.array([number[w] for w in tokens])
+                tokens.append(b"")
+                at = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
                 rows.append((len(tokens), int((c[at] > 0).sum()), float(base[at].sum()), float(logs[at].sum())))
         cols = list(zip(*rows)) if rows else [()] * 4
         types = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
