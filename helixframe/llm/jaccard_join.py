@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import landed, whole
+from .common import landed, landed_parquet, whole
 from .components import components
 from .shingles import shingle_sets
 
@@ -160,7 +160,10 @@ def linked(sets: list[np.ndarray], per_cent: int) -> list[tuple[int, int]]:
 
 
 def compare_blocks(docs: DataFrame, members: DataFrame, per_cent: int) -> DataFrame:
-    """Links (a, b) inside each block of members (block columns g, i, j; node)."""
+    """Links (a, b) inside each block of members (block columns g, i, j; node).
+    Members are written as a table, whose size Spark then knows: few members
+    are broadcast to the texts (under the session's threshold), and only their
+    texts are shuffled."""
 
     def run(block: pa.Table) -> pa.Table:
         by_id = dict(zip(block.column("node").to_pylist(), block.column("text").to_pylist()))
@@ -169,6 +172,7 @@ def compare_blocks(docs: DataFrame, members: DataFrame, per_cent: int) -> DataFr
         forest = [(ids[a], ids[b]) for a, b in linked(sets, per_cent)] if len(ids) > 1 else []
         return pa.table({"a": pa.array([a for a, _ in forest], pa.int64()), "b": pa.array([b for _, b in forest], pa.int64())})
 
+    members = landed_parquet(members, "jaccard-members")
     rows = _texts(docs).join(members, F.col("doc_id") == F.col("node")).select("g", "i", "j", "node", "text")
     return rows.groupBy("g", "i", "j").applyInArrow(run, "a long, b long")
 
@@ -182,7 +186,7 @@ def class_links(docs: DataFrame, digests: DataFrame, per_cent: int) -> DataFrame
     pivots = tokens.where(F.col("at") < F.col("n_index")).groupBy("token").agg(F.min("node").alias("g"))
     met = (tokens.select("node", "n", "token").join(pivots, "token").where(F.col("node") != F.col("g"))
            .groupBy("g", "node").agg(F.max("n").alias("n")))
-    met = landed(met)
+    met = landed_parquet(met, "jaccard-met")
     sizes = met.groupBy("g").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = met.join(sizes, "g").select("g", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("i"), "node")
