@@ -13,11 +13,16 @@ Two documents link when their sets of 5-word shingles overlap in at least
 3. Classes that share a prefix shingle meet in the group of that shingle's
    smallest indexing class (its pivot), never as pairs.  A group is cut into
    blocks of bounded size, each with the pivot.
-4. In a block the overlaps of all its members are the product of the
+4. Most members meet by one chance shingle.  A set's sketch counts its
+   shingles by hash range, some bytes a set; the sum of the smaller counts of
+   two sketches is never below the overlap.  A block is first cut, by its
+   members' sketches, into parts that can hold links, and members that can
+   link with nobody leave it, before any text is shuffled.
+5. In a part the overlaps of all its members are the product of the
    document by shingle incidence matrix with its transpose, accumulated over
-   column blocks; pairs below the bound of their sizes are dropped.  A block
+   column blocks; pairs below the bound of their sizes are dropped.  A part
    returns a spanning forest of its links.
-5. Components of the links.  Members of a group of several blocks that the
+6. Components of the links.  Members of a group of several blocks that the
    pivot's component did not reach are then compared with the group's other
    blocks, chunk by chunk, until every pair that shares a prefix shingle has
    been linked or compared.
@@ -26,6 +31,7 @@ Two documents link when their sets of 5-word shingles overlap in at least
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +49,9 @@ BLOCK_MEMBERS = 512
 BLOCK_SHINGLES = 2_000_000
 #: Columns of one step of the product.
 COLUMNS = 4096
+#: Shingles in a hash range of a sketch: at most, and half of it at least but for the shortest sets.
+SKETCH_LOAD = 8
+LEAST_RANGES = 16
 _TOGETHER = 256
 
 
@@ -81,17 +90,26 @@ def shingle_histogram(docs: DataFrame) -> np.ndarray:
     return out
 
 
+def sketch(s: np.ndarray) -> bytes | None:
+    """A byte for each of a power of two of hash ranges: how many shingles of
+    the set fall into it.  None, which bounds nothing, where a byte is too small."""
+    bits = (max(LEAST_RANGES, -(-len(s) // SKETCH_LOAD)) - 1).bit_length()
+    counts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
 def set_digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, key: a 128-bit digest of the set (null for the empty set)."""
+    """doc_id, n_shingles, key: a 128-bit digest of the set, and its sketch (both null for the empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, sets in _parts(batches):
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary())],
-                names=["doc_id", "n_shingles", "key"])
+                [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
+                 pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())],
+                names=["doc_id", "n_shingles", "key", "sketch"])
 
-    return landed(_texts(docs).mapInArrow(run, "doc_id long, n_shingles long, key binary"))
+    return landed_parquet(_texts(docs).mapInArrow(run, "doc_id long, n_shingles long, key binary, sketch binary"), "jaccard-sets")
 
 
 def _ceil_share(n: int, up: int, down: int) -> int:
@@ -159,11 +177,63 @@ def linked(sets: list[np.ndarray], per_cent: int) -> list[tuple[int, int]]:
     return forest
 
 
-def compare_blocks(docs: DataFrame, members: DataFrame, per_cent: int) -> DataFrame:
+def possible(sizes: list[int], sketches: list[bytes | None], per_cent: int) -> list[int]:
+    """For each set the number of its part: sets that may link, by their sizes
+    and sketches, share a part."""
+    m = len(sizes)
+    order = sorted(range(m), key=lambda k: (sizes[k], k))
+    n = np.array([sizes[k] for k in order], dtype=np.int64)
+    held = [None if sketches[k] is None else np.frombuffer(sketches[k], dtype=np.uint8) for k in order]
+    ranges = np.array([0 if h is None else len(h) for h in held])
+    upto = np.searchsorted(per_cent * n, 100 * n, side="right")
+    part = np.arange(m)
+
+    def join(i: int, others: np.ndarray) -> None:
+        names = np.unique(part[others])
+        if len(names):
+            part[np.isin(part, names)] = part[i]
+
+    for i in np.flatnonzero(ranges == 0):  # without a sketch only sizes bound
+        join(i, np.flatnonzero((per_cent * n <= 100 * n[i]) & (per_cent * n[i] <= 100 * n)))
+    for width in np.unique(ranges[ranges > 0]).tolist():
+        own = np.flatnonzero(ranges == width)
+        at = np.flatnonzero((ranges >= width) & (np.arange(m) < upto[own].max()))
+        table = np.stack([held[k].reshape(width, -1).sum(axis=1, dtype=np.uint32) for k in at])
+        for i in own.tolist():
+            rows = np.flatnonzero((at > i) & (at < upto[i]) & (part[at] != part[i]))
+            if len(rows):
+                most = np.minimum(table[np.searchsorted(at, i)], table[rows]).sum(axis=1, dtype=np.int64)
+                join(i, at[rows[100 * most >= per_cent * (n[i] + n[at[rows]] - most)]])
+    out = np.empty(m, dtype=np.int64)
+    out[order] = part
+    return out.tolist()
+
+
+def narrow_blocks(sets: DataFrame, members: DataFrame, per_cent: int) -> DataFrame:
+    """g, i, j, part, node: the members of each block (g, i, j) that may link
+    with another one, in the parts that their sketches leave together."""
+
+    def run(block: pa.Table) -> pa.Table:
+        by_id = {node: (n, held) for node, n, held in zip(*(block.column(c).to_pylist() for c in ("node", "n", "sketch")))}
+        ids = sorted(by_id)
+        parts = possible([by_id[i][0] for i in ids], [by_id[i][1] for i in ids], per_cent)
+        size = Counter(parts)
+        kept = [(p, node) for p, node in zip(parts, ids) if size[p] > 1]
+        where = [pa.array([block.column(c)[0].as_py()] * len(kept), kind) for c, kind in (("g", pa.int64()), ("i", pa.int32()), ("j", pa.int32()))]
+        return pa.table([*where, pa.array([p for p, _ in kept], pa.int64()), pa.array([node for _, node in kept], pa.int64())],
+                        names=["g", "i", "j", "part", "node"])
+
+    held = sets.where("n_shingles > 0").select(
+        F.col("doc_id").alias("__node"), F.col("n_shingles").alias("n"), "sketch")
+    rows = members.join(held, F.col("node") == F.col("__node")).select("g", "i", "j", "node", "n", "sketch")
+    return rows.groupBy("g", "i", "j").applyInArrow(run, "g long, i int, j int, part long, node long")
+
+
+def compare_blocks(docs: DataFrame, sets: DataFrame, members: DataFrame, per_cent: int) -> DataFrame:
     """Links (a, b) inside each block of members (block columns g, i, j; node).
-    Members are written as a table, whose size Spark then knows: few members
-    are broadcast to the texts (under the session's threshold), and only their
-    texts are shuffled."""
+    What may link is written as a table, whose size Spark then knows: few
+    members are broadcast to the texts (under the session's threshold), and
+    only their texts are shuffled."""
 
     def run(block: pa.Table) -> pa.Table:
         by_id = dict(zip(block.column("node").to_pylist(), block.column("text").to_pylist()))
@@ -172,27 +242,28 @@ def compare_blocks(docs: DataFrame, members: DataFrame, per_cent: int) -> DataFr
         forest = [(ids[a], ids[b]) for a, b in linked(sets, per_cent)] if len(ids) > 1 else []
         return pa.table({"a": pa.array([a for a, _ in forest], pa.int64()), "b": pa.array([b for _, b in forest], pa.int64())})
 
-    members = landed_parquet(members, "jaccard-members")
-    rows = _texts(docs).join(members, F.col("doc_id") == F.col("node")).select("g", "i", "j", "node", "text")
-    return rows.groupBy("g", "i", "j").applyInArrow(run, "a long, b long")
+    narrow = landed_parquet(narrow_blocks(sets, members, per_cent), "jaccard-members")
+    rows = _texts(docs).join(narrow, F.col("doc_id") == F.col("node")).select("g", "i", "j", "part", "node", "text")
+    return rows.groupBy("g", "i", "j", "part").applyInArrow(run, "a long, b long")
 
 
 def class_links(docs: DataFrame, digests: DataFrame, per_cent: int) -> DataFrame:
     """node, label: components of the classes that some link joins."""
     reps = digests.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("node"))
     rare = prefixes(docs, shingle_histogram(docs), per_cent)
-    nodes = rare.join(reps.select("node"), F.col("doc_id") == F.col("node"), "left_semi")
-    tokens = nodes.select(F.col("doc_id").alias("node"), "n", "n_index", F.posexplode("prefix").alias("at", "token"))
-    pivots = tokens.where(F.col("at") < F.col("n_index")).groupBy("token").agg(F.min("node").alias("g"))
-    met = (tokens.select("node", "n", "token").join(pivots, "token").where(F.col("node") != F.col("g"))
-           .groupBy("g", "node").agg(F.max("n").alias("n")))
-    met = landed_parquet(met, "jaccard-met")
+    nodes = landed_parquet(rare.join(reps.select("node"), F.col("doc_id") == F.col("node"), "left_semi"), "jaccard-prefixes")
+    index = nodes.select(F.col("doc_id").alias("node"), F.explode(F.slice("prefix", F.lit(1), F.col("n_index"))).alias("token"))
+    pivots = index.groupBy("token").agg(F.min("node").alias("g"))
+    tokens = nodes.select(F.col("doc_id").alias("node"), F.explode("prefix").alias("token"))
+    met = tokens.join(pivots, "token").where(F.col("node") != F.col("g")).select("g", "node").distinct()
+    n = nodes.select(F.col("doc_id").alias("__node"), "n")
+    met = landed_parquet(met.join(n, F.col("node") == F.col("__node")).groupBy("g", "node").agg(F.max("n").alias("n")), "jaccard-met")
     sizes = met.groupBy("g").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = met.join(sizes, "g").select("g", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("i"), "node")
     everywhere = sizes.select("g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), F.col("g").alias("node"))
     members = placed.unionByName(everywhere).withColumn("j", F.lit(-1))
-    edges = landed(compare_blocks(docs, members, per_cent))
+    edges = landed(compare_blocks(docs, digests, members, per_cent))
     labels = components(edges)
     several = landed(sizes.where("blocks > 1"))
     if several.isEmpty():
@@ -214,7 +285,7 @@ def class_links(docs: DataFrame, digests: DataFrame, per_cent: int) -> DataFrame
         F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).cast("int").alias("j"), "node")
     right = inside.join(chunks, "g").select(
         "g", "i", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"), "node")
-    more = compare_blocks(docs, left.unionByName(right).distinct(), per_cent)
+    more = compare_blocks(docs, digests, left.unionByName(right).distinct(), per_cent)
     return components(edges.unionByName(more))
 
 

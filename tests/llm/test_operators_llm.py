@@ -377,3 +377,26 @@ def test_pipeline_against_brute_force(spark):
     texts = dict(rows)
     seg = pieces.Segmenter(pieces.load_pieces())
     assert all(r.round_trip and seg.decode(r.ids) == texts[r.doc_id] for r in got)
+
+
+def test_sketches_keep_every_link():
+    """Sets that link share a part, whatever their sizes or a missing sketch; unrelated sets part."""
+    rng = np.random.default_rng(3)
+    new = lambda n: rng.integers(0, 1 << 64, n, dtype=np.uint64)
+    sets = []
+    for n in (1, 2, 5, 9, 40, 130, 300, 2000):
+        for _ in range(4):
+            base = new(n)
+            sets += [np.unique(base), np.unique(np.concatenate([base, new(n // 4)])), np.unique(base[:-(n // 10) or None])]
+    sketches = [None if k % 17 == 16 else jaccard_join.sketch(s) for k, s in enumerate(sets)]
+    part = jaccard_join.possible([len(s) for s in sets], sketches, 80)
+    links = 0
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                links += 1
+                assert part[a] == part[b]
+    assert links > 40
+    apart = [new(900) for _ in range(30)]
+    assert len(set(jaccard_join.possible([900] * 30, [jaccard_join.sketch(s) for s in apart], 80))) == 30
