@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import landed, landed_parquet, whole
 from .components import components
+from .idfilter import flagged
 from .shingles import shingle_sets
 
 BUCKETS = 1 << 18
@@ -231,9 +232,7 @@ def narrow_blocks(sets: DataFrame, members: DataFrame, per_cent: int) -> DataFra
 
 def compare_blocks(docs: DataFrame, sets: DataFrame, members: DataFrame, per_cent: int) -> DataFrame:
     """Links (a, b) inside each block of members (block columns g, i, j; node).
-    What may link is written as a table, whose size Spark then knows: few
-    members are broadcast to the texts (under the session's threshold), and
-    only their texts are shuffled."""
+    Only the texts of members that may link, and few others, are shuffled."""
 
     def run(block: pa.Table) -> pa.Table:
         by_id = dict(zip(block.column("node").to_pylist(), block.column("text").to_pylist()))
@@ -243,7 +242,8 @@ def compare_blocks(docs: DataFrame, sets: DataFrame, members: DataFrame, per_cen
         return pa.table({"a": pa.array([a for a, _ in forest], pa.int64()), "b": pa.array([b for _, b in forest], pa.int64())})
 
     narrow = landed_parquet(narrow_blocks(sets, members, per_cent), "jaccard-members")
-    rows = _texts(docs).join(narrow, F.col("doc_id") == F.col("node")).select("g", "i", "j", "part", "node", "text")
+    texts = flagged(_texts(docs), F.col("doc_id"), narrow.select("node").distinct(), "__member").where("__member")
+    rows = texts.join(narrow, F.col("doc_id") == F.col("node")).select("g", "i", "j", "part", "node", "text")
     return rows.groupBy("g", "i", "j", "part").applyInArrow(run, "a long, b long")
 
 
@@ -310,7 +310,12 @@ def jaccard_components(docs: DataFrame, per_cent: int = 80) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, per_cent: int = 80) -> DataFrame:
-    """The documents with the smallest id of their component, columns as they came."""
-    stay = jaccard_components(docs, per_cent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__keep_id")).distinct()
-    return docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__keep_id")), "left_semi")
+    """The documents with the smallest id of their component, columns as they
+    came.  Only rows that may go are shuffled; the others stay where they are."""
+    found = jaccard_components(docs, per_cent)
+    stays = F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = landed(found.groupBy(F.col("doc_id").alias("__gone_id")).agg(stays.alias("stays")).where("not stays").select("__gone_id"))
+    marked = flagged(docs, F.col("doc_id"), gone, "__may_go")
+    sure = marked.where("not __may_go")
+    kept = marked.where("__may_go").join(gone, F.col("doc_id").cast("long") == F.col("__gone_id"), "left_anti")
+    return sure.unionByName(kept).drop("__may_go")

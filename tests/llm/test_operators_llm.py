@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from helixframe.llm import (exact_dedup, jaccard_join, mixing, pieces, pii, pitman_yor, quality_rules, secrets_scan,
                             toxicity, warc)
+from helixframe.llm.idfilter import flagged
 from helixframe.llm.shingles import shingle_sets
 
 SMALL = "/root/testdata/sf0.001"
@@ -400,3 +401,14 @@ def test_sketches_keep_every_link():
     assert links > 40
     apart = [new(900) for _ in range(30)]
     assert len(set(jaccard_join.possible([900] * 30, [jaccard_join.sketch(s) for s in apart], 80))) == 30
+
+
+def test_id_filter(spark):
+    """Every member passes, few strangers and no null id; without members nothing does."""
+    ids = spark.range(0, 40_000, 7).withColumnRenamed("id", "member")
+    rows = spark.range(-20_000, 40_000).selectExpr("if(id = -1, null, id) as id", "'x' as p")
+    got = flagged(rows, F.col("id"), ids, "hit")
+    assert got.columns == ["id", "p", "hit"] and got.count() == 60_000
+    hits = {r.id for r in got.where("hit").collect()}
+    assert set(range(0, 40_000, 7)) <= hits and None not in hits and len(hits) < 5_715 + 6_000
+    assert flagged(rows, F.col("id"), ids.where("member < 0"), "hit").where("hit").count() == 0
