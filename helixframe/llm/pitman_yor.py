@@ -1,35 +1,37 @@
 """LM scoring by a hierarchical Pitman-Yor model.
 
-Words are dishes of one restaurant; its base spells a word character by
-character, and there a restaurant stands for a context of up to ORDER - 1
-characters.  The parent of a context is the context without its oldest
-character, so contexts share parents down to the empty one, whose base is
-uniform over the code points.  Customers of a restaurant are the tables of
-its children; those of the longest contexts spell one table of every word.
-A text's probability is the product of its words' and its end's.
+A restaurant of words stands for the up to WORD_ORDER - 1 words before a
+token.  The parent of a context is the context without its oldest word, down
+to the empty one, whose base spells a word character by character; there a
+restaurant stands for a context of up to ORDER - 1 characters, down to the
+empty one, whose base is uniform over the code points.  Customers of a
+restaurant are the tables of its children: all training n-grams seat the
+longest contexts of words, and the tables of the word restaurant are spelt.
+A text's probability is the product of its words' and its end's, each given
+the words before it.
 
 Seating is sampled by Gibbs steps on the number of tables of each dish given
 the rest of its restaurant and the parent's predictive probability.  Up to
 EXACT customers the step draws from the exact conditional (generalised
 Stirling numbers); beyond, the further customers are seated in turn, with
 the waiting time to the next new table drawn in closed form.  Restaurants
-are rows (context and character), so a sweep is a few joins and window sums:
-a restaurant of characters has at most one row per code point, whatever the
-corpus.  Draws are seeded by the row, so a lost task redraws the same
-seating.  Predictive probabilities are averaged over the sweeps after
-BURN_IN.
-
-Counting and scoring go by blocks of documents (the splits of the files they
-come from): a block sends its distinct words and gets back their counts and
-probabilities, so tokens are never shuffled one by one.
+are rows (context and dish), so a sweep is a few joins and sums, from the
+longest contexts of words down to single characters.  A dish seen once has
+one customer and one table whatever is drawn, so only dishes seen more often
+are swept; the others enter as fixed numbers.  Draws are seeded by the row,
+so a lost task redraws the same seating.  Predictive probabilities are
+averaged over the sweeps after BURN_IN.
+
+Words travel as 64-bit numbers of their bytes; two words of one number stop
+the run.
 """
 
 from __future__ import annotations
 
-import itertools
 import math
-from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +48,16 @@ BURN_IN = 1
 #: Discount and strength by length of context.
 DISCOUNT = (0.3, 0.5, 0.6, 0.7)
 STRENGTH = (1.0, 1.0, 1.0, 1.0)
-WORD_DISCOUNT, WORD_STRENGTH = 0.7, 10.0
+#: A word and the words before it that its probability depends on.
+WORD_ORDER = 3
+WORD_DISCOUNT = (0.7, 0.8, 0.85)
+WORD_STRENGTH = (10.0, 1.0, 1.0)
 EXACT = 48
 START, END = 2, 3
 _BASE = 1.0 / 0x110000
 _TOGETHER = 512
-#: Distinct words a task carries over from one block to the next.
-CARRIED = 50_000
+#: Numbers of words that a task keeps at most.
+CARRIED = 200_000
 
 
 def _codes(words: list[str]) -> np.ndarray:
@@ -78,17 +83,6 @@ def _ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return key.view(np.int64)[first[owner] + within], owner
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    """doc_id, text, held_out, block: the file split a row comes from, or for
-    rows that come from no file one of as many hash blocks as shuffles have partitions."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    name = F.input_file_name()
-    block = F.when(name != "", F.xxhash64(name, F.input_file_block_start())).otherwise(
-        F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole("text").alias("text"),
-                       (remainder("doc_id", 7) == 2).alias("held_out"), block.alias("block"))
-
-
 def _tokens(text: bytes) -> list[bytes]:
     """Words of a UTF-8 text, A-Z lower-cased: bytes.lower() changes A-Z alone,
     and bytes.split() parts at blank and \\t \\n \\v \\f \\r alone."""
@@ -99,41 +93,59 @@ def _utf8(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def block_words(blocks: DataFrame) -> DataFrame:
-    """block, word, n: the distinct words ('' is the end) of a block with their
-    counts in its training texts (0 if only in others).  A word may come in
-    several rows, which add up."""
+def _number(word: bytes) -> int:
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+
+
+#: Numbers of the end of a text and of the places before its first word.
+_END, _BEFORE = _number(b""), 0
+
+
+def _names(length: int) -> list[str]:
+    """Columns of a word (h0) and of the ``length`` words before it, the nearest first."""
+    return [f"h{k}" for k in range(length + 1)]
 
-    def emit(block: int, words: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
-        entries = iter(words.items())
-        while some := list(itertools.islice(entries, 50_000)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * len(some), pa.int64()), pa.array([k for k, _ in some], pa.binary()).cast(pa.string()),
-                 pa.array([v for _, v in some], pa.int64())], names=["block", "word", "n"])
+
+def token_rows(docs: DataFrame) -> DataFrame:
+    """A row per token, the end ('') of each text among them: row, doc_id,
+    held_out, h0 (its number), h1... (those of the words before it), and the
+    word itself where a task meets it first."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       (remainder("doc_id", 7) == 2).alias("held_out"), whole("text").alias("text"))
+    back = WORD_ORDER - 1
+    names = ["row", "doc_id", "held_out", *_names(back), "word"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[int, Counter] = {}
+        numbers: dict[bytes, int] = {}
         for batch in batches:
-            for lo in range(0, batch.num_rows, _TOGETHER):
-                part = batch.slice(lo, _TOGETHER)
-                for text, held, block in zip(_utf8(part.column(1)), *[part.column(k).to_pylist() for k in (2, 3)]):
-                    if block not in words:
-                        if sum(map(len, words.values())) > CARRIED:
-                            for done, counts in words.items():
-                                yield from emit(done, counts)
-                            words = {}
-                        words[block] = Counter()
-                    tokens = _tokens(text)
+            lo = 0
+            while lo < batch.num_rows:
+                at, numbered, sizes, first = lo, [_BEFORE] * back, [], {}
+                while lo < batch.num_rows and lo - at < _TOGETHER and len(numbered) < 200_000:
+                    tokens = _tokens(_utf8(batch.column(3).slice(lo, 1))[0])
                     tokens.append(b"")
-                    if held:
-                        for w in tokens:
-                            words[block].setdefault(w, 0)
-                    else:
-                        words[block].update(tokens)
-        for done, counts in words.items():
-            yield from emit(done, counts)
-
-    return blocks.mapInArrow(run, "block long, word string, n long")
+                    for k, w in enumerate(tokens, len(numbered)):
+                        if w not in numbers:
+                            numbers[w] = _number(w)
+                            first[k] = w
+                    numbered.extend(map(numbers.__getitem__, tokens))
+                    numbered.extend([_BEFORE] * back)
+                    sizes.append(len(tokens))
+                    lo += 1
+                if len(numbers) > CARRIED:
+                    numbers = {}
+                h = np.array(numbered, dtype=np.int64)
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                place = np.arange(len(owner)) + back * (owner + 1)
+                words = np.full(len(h), None, dtype=object)
+                words[np.array(list(first), dtype=np.int64)] = list(first.values())
+                part = batch.slice(at, lo - at).select([0, 1, 2]).take(pa.array(owner))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, *[pa.array(h[place - k]) for k in range(back + 1)],
+                     pa.array(words[place], pa.binary()).cast(pa.string())], names=names)
+
+    return rows.mapInArrow(run, "row long, doc_id long, held_out boolean, "
+                           + "".join(f"{h} long, " for h in _names(back)) + "word string")
 
 
 def _stirling(discount: float, size: int) -> np.ndarray:
@@ -228,86 +240,185 @@ def _passed_down(level: DataFrame, length: int, rows: DataFrame) -> DataFrame:
     return level.join(sent, level.key == F.col("__key")).drop("__key", "c").withColumnRenamed("sent", "c")
 
 
-def gram_probabilities(counts: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> DataFrame:
-    """key, p: averaged predictive probability of each n-gram of ``counts`` (key, c; c may be 0)."""
-    top = counts.select("key", "c", F.least("c", F.lit(1)).alias("t"))
-    levels = [landed(top)]
-    for length in range(ORDER - 1, 0, -1):  # to begin with, a table for each dish
+def _first_levels(counts: DataFrame) -> list[DataFrame]:
+    """The levels of characters for n-grams of ``counts`` (key, c; c may be 0), to begin with a table for each dish."""
+    levels = [landed(counts.select("key", "c", F.least("c", F.lit(1)).alias("t")))]
+    for length in range(ORDER - 1, 0, -1):
         key = F.col("key").bitwiseAND(_mask(length))
         lower = levels[0].groupBy(key.alias("key")).agg(F.sum("t").alias("c"))
         levels.insert(0, landed(lower.withColumn("t", F.least("c", F.lit(1)))))
-    total = None
-    state = _predictive(levels)
-    for sweep in range(sweeps):
-        above: DataFrame | None = None
-        new: list[DataFrame] = []
-        for length in range(ORDER - 1, -1, -1):
-            level = state[length] if above is None else _passed_down(state[length], length + 1, above)
-            above = landed(_reseat(level, length, sweep))
-            new.insert(0, above)
-        state = _predictive(new)
-        if sweep >= burn_in:
-            p = state[-1].select("key", "p")
-            total = p if total is None else total.unionByName(p)
-    return total.groupBy("key").agg(F.avg("p").alias("p"))
+    return _predictive(levels)
 
 
-def spelling(words: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> DataFrame:
-    """word, c, t, spelt: the probability of each word's spelling and the
-    tables it takes in the restaurant of words."""
-    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    words = words.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)))
+def _sweep_characters(state: list[DataFrame], counts: DataFrame, sweep: int) -> list[DataFrame]:
+    """The levels of characters with their tables drawn anew for ``counts``."""
+    above: DataFrame | None = None
+    new: list[DataFrame] = []
+    for length in range(ORDER - 1, -1, -1):
+        level = state[length].drop("c").join(counts, "key") if above is None else _passed_down(state[length], length + 1, above)
+        above = landed(_reseat(level, length, sweep))
+        new.insert(0, above)
+    return _predictive(new)
 
+
+def _written(words: DataFrame) -> DataFrame:
+    """part, gram, n: the character n-grams that a part of the words (word, part, t) has, each word spelt t times."""
     def grams_of(part: pa.Table) -> pa.Table:
         key, owner = _ngrams(part.column("word").to_pylist())
-        known = part.column("c").to_numpy() > 0
         found, inverse = np.unique(key, return_inverse=True)
-        n = np.bincount(inverse, weights=known[owner], minlength=len(found)).astype(np.int64)
+        n = np.bincount(inverse, weights=part.column("t").to_numpy()[owner], minlength=len(found)).astype(np.int64)
         return pa.table({"part": pa.array(np.full(len(found), part.column("part")[0].as_py())), "gram": found, "n": n})
 
-    grams = landed(words.groupBy("part").applyInArrow(grams_of, "part long, gram long, n long"))
-    counts = landed(grams.groupBy(F.col("gram").alias("key")).agg(F.sum("n").alias("c")))
-    p = gram_probabilities(counts, sweeps, burn_in)
-    known = grams.select("part", "gram").join(p, F.col("gram") == F.col("key")).select("part", "gram", "p")
-    types = words.agg(F.count_if(F.col("c") > 0)).first()[0]
+    return words.select("word", "part", "t").groupBy("part").applyInArrow(grams_of, "part long, gram long, n long")
+
 
+def _spelt(words: DataFrame, grams: DataFrame, p: DataFrame) -> DataFrame:
+    """h0, spelt: the probability of each word's spelling, from the probabilities (key, p) of its n-grams."""
     def spell(known: pa.Table, part: pa.Table) -> pa.Table:
         key = known.column("gram").to_numpy()
         order = np.argsort(key)
         key, logs = key[order], np.log(known.column("p").to_numpy()[order])
         found, owner = _ngrams(part.column("word").to_pylist())
         spelt = np.exp(np.maximum(np.bincount(owner, weights=logs[np.searchsorted(key, found)], minlength=part.num_rows), -700))
-        c = part.column("c").to_numpy()
-        seed = part.column("seed").to_numpy()
-        t = np.where(c > 0, sample_tables(c, np.full(len(c), max(0, types - 1)), spelt, seed, WORD_DISCOUNT, WORD_STRENGTH), 0)
-        return pa.table([part.column("word"), part.column("c"), pa.array(t), pa.array(spelt)], names=["word", "c", "t", "spelt"])
-
-    seeded = words.withColumn("seed", F.xxhash64(F.lit("seat"), F.col("word")))
-    return known.groupBy("part").cogroup(seeded.groupBy("part")).applyInArrow(
-        spell, "word string, c long, t long, spelt double")
-
-
-def _score(training: int, distinct: int):
-    floor = math.log10(training + distinct + 1)
-
-    def run(known: pa.Table, docs: pa.Table) -> pa.Table:
-        number = {w: k for k, w in enumerate(_utf8(known.column("word")))}
-        c, logs = known.column("c").to_numpy(), known.column("log_p").to_numpy()
-        base = np.log10(c + 1.0) - floor
-        rows = []
-        for lo in range(0, docs.num_rows, _TOGETHER):
-            for text in _utf8(docs.column("text").slice(lo, _TOGETHER)):
-                tokens = _tokens(text)
-                tokens.append(b"")
-                at = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
-                rows.append((len(tokens), int((c[at] > 0).sum()), float(base[at].sum()), float(logs[at].sum())))
-        cols = list(zip(*rows)) if rows else [()] * 4
-        types = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        return pa.table([docs.column("doc_id"), docs.column("held_out"), *[pa.array(c, t) for c, t in zip(cols, types)],
-                         pa.array([training] * len(rows), pa.int64())],
-                        names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "train_tokens"])
-
-    return run
+        return pa.table([part.column("h0"), pa.array(spelt)], names=["h0", "spelt"])
+
+    known = grams.select("part", "gram").join(p, F.col("gram") == F.col("key")).select("part", "gram", "p")
+    return known.groupBy("part").cogroup(words.select("h0", "word", "part").groupBy("part")).applyInArrow(
+        spell, "h0 long, spelt double")
+
+
+def _reseat_words(level: DataFrame, length: int, sweep: int) -> DataFrame:
+    """The level's dishes, n, fixed and c, with their tables t drawn anew."""
+    kept = [*_names(length), "n", "fixed", "c"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = [batch.column(k).to_numpy() for k in range(length + 1)]
+            c, others, parent = (batch.column(k).to_numpy() for k in range(length + 3, length + 6))
+            t = sample_tables(c, np.maximum(others, 0), parent, word_seed(h, sweep), WORD_DISCOUNT[length], WORD_STRENGTH[length])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:length + 4], pa.array(t)], names=[*kept, "t"])
+
+    return level.select(*kept, "others", "parent").mapInArrow(run, ", ".join(f"{k} long" for k in [*kept, "t"]))
+
+
+def word_seed(h: list[np.ndarray], sweep: int) -> np.ndarray:
+    start = np.full(len(h[0]), sweep * 1_000_003 + len(h), dtype=np.uint64)
+    return reduce(lambda s, k: mix(s ^ k.view(np.uint64)), h, start).view(np.int64)
+
+
+def _word_probability(length: int, c: Column, t: Column, customers: Column, tables: Column, parent: Column) -> Column:
+    d, s = WORD_DISCOUNT[length], WORD_STRENGTH[length]
+    return (F.greatest(c - d * t, F.lit(0.0)) + (s + d * tables) * parent) / (s + customers)
+
+
+def _predictive_words(live: list[DataFrame], once: list[DataFrame | int], spelt: DataFrame) -> list[DataFrame]:
+    """The swept dishes with the tables of their restaurant's other dishes and the parent's probability."""
+    out: list[DataFrame] = []
+    below = spelt.select("h0", F.col("spelt").alias("parent"))
+    for length, rows in enumerate(live):
+        dish = _names(length)
+        if length:
+            sums = rows.groupBy(*dish[1:]).agg(F.sum("c").alias("__c"), F.sum("t").alias("__t"))
+            sums = sums.join(once[length], dish[1:], "left").na.fill({"once": 0})
+            rows = rows.join(sums, dish[1:])
+            customers, tables = F.col("__c") + F.col("once"), F.col("__t") + F.col("once")
+        else:
+            sums = rows.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c"), F.coalesce(F.sum("t"), F.lit(0)).alias("t")).first()
+            customers, tables = F.lit(sums["c"] + once[0]), F.lit(sums["t"] + once[0])
+        rows = rows.join(below, dish[:max(length, 1)])
+        p = _word_probability(length, F.col("c"), F.col("t"), customers, tables, F.col("parent"))
+        out.append(landed(rows.select(*dish, "n", "fixed", "c", "t", (tables - F.col("t")).alias("others"), "parent",
+                                      p.alias("p"))))
+        below = out[-1].select(*dish, F.col("p").alias("parent"))
+    return out
+
+
+def gram_probabilities(grams: DataFrame, words: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> DataFrame:
+    """h0, h1..., n_word, p: the averaged predictive probability of each
+    n-gram of words in ``grams`` (h0, h1..., n; n may be 0), and how often its
+    word was learnt.  ``words``: word, h0."""
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = WORD_ORDER - 1
+    levels = [grams]
+    for length in range(top - 1, -1, -1):
+        levels.insert(0, landed_parquet(levels[0].groupBy(*_names(length)).agg(
+            F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("fixed")), f"lm-level{length}"))
+    words = landed_parquet(words.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts))).join(
+        levels[0].select("h0", "n"), "h0"), "lm-words")
+    # dishes seen once, by restaurant
+    once: list[DataFrame | int] = [levels[0].where("n = 1").count()]
+    live = []
+    for length, rows in enumerate(levels):
+        if length == top:
+            rows = rows.withColumn("fixed", F.lit(0).cast("long"))
+        swept = landed(rows.where("n > 1").select(*_names(length), "n", "fixed"))
+        if length:
+            some = swept.select(*_names(length)[1:]).distinct()
+            once.append(landed(rows.where("n = 1").join(some, _names(length)[1:], "left_semi").groupBy(
+                *_names(length)[1:]).agg(F.count(F.lit(1)).alias("once"))))
+        live.append(swept)
+
+    def customers(length: int, above: DataFrame | None) -> DataFrame:
+        """The level with its customers, given the swept dishes of the longer contexts."""
+        if above is None:
+            return live_now[length].withColumn("c", F.col("n"))
+        sent = above.groupBy(*_names(length)).agg(F.sum("t").alias("sent"))
+        return live_now[length].join(sent, _names(length), "left").na.fill({"sent": 0}).withColumn(
+            "c", F.col("fixed") + F.col("sent")).drop("sent")
+
+    live_now = live
+    above = None
+    for length in range(top, -1, -1):  # to begin with, a table for each dish
+        above = landed(customers(length, above).withColumn("t", F.lit(1).cast("long")))
+        live_now = [*live_now[:length], above, *live_now[length + 1:]]
+
+    def spelt_words(tables: DataFrame) -> DataFrame:
+        t = F.coalesce("t", F.least("n", F.lit(1)))
+        return words.join(tables.select("h0", "t"), "h0", "left").select("word", "part", t.alias("t"))
+
+    def char_counts(written: DataFrame) -> DataFrame:
+        return landed(written.groupBy(F.col("gram").alias("key")).agg(F.sum("n").alias("c")))
+
+    written = landed(_written(spelt_words(live_now[0])))
+    characters = _first_levels(char_counts(written))
+    spelt = landed(_spelt(words, written, characters[-1].select("key", "p")))
+    history = [[] for _ in levels]
+    spellings = []
+    for sweep in range(sweeps):
+        live_now = _predictive_words(live_now, once, spelt)
+        above = None
+        for length in range(top, -1, -1):
+            above = landed(_reseat_words(customers(length, above), length, sweep))
+            live_now = [*live_now[:length], above, *live_now[length + 1:]]
+        characters = _sweep_characters(characters, char_counts(_written(spelt_words(live_now[0]))), sweep)
+        spelt = landed(_spelt(words, written, characters[-1].select("key", "p")))
+        if sweep >= burn_in:
+            k = len(spellings)
+            spellings.append(spelt.select("h0", F.col("spelt").alias(f"parent{k}")))
+            for length, rows in enumerate(live_now):
+                history[length].append(rows.select(*_names(length), F.col("c").alias(f"c{k}"), F.col("t").alias(f"t{k}")))
+
+    # once over all dishes, with a column for each sweep that counts
+    kept = range(len(spellings))
+    below = reduce(lambda a, b: a.join(b, "h0"), spellings)
+    for length, rows in enumerate(levels):
+        dish = _names(length)
+        swept = reduce(lambda a, b: a.join(b, dish), history[length])
+        few = F.least("n", F.lit(1))
+        rows = rows.select(*dish, "n").join(swept, dish, "left").select(
+            *dish, "n", *[F.coalesce(f"{x}{k}", few).alias(f"{x}{k}") for x in "ct" for k in kept])
+        sums = rows.groupBy(*dish[1:]).agg(*[F.coalesce(F.sum(f"{x}{k}"), F.lit(0)).alias(f"all_{x}{k}") for x in "ct" for k in kept])
+        if length:
+            rows = rows.join(sums, dish[1:])
+        else:
+            rows = rows.withColumns({name: F.lit(value) for name, value in sums.first().asDict().items()})
+            rows = rows.withColumn("n_word", F.col("n"))
+        rows = rows.join(below, dish[:max(length, 1)])
+        rows = rows.select(*dish, "n_word", *[_word_probability(
+            length, *[F.col(f"{x}{k}") for x in ("c", "t", "all_c", "all_t", "parent")]).alias(f"parent{k}") for k in kept])
+        below = landed_parquet(rows, f"lm-p{length}") if length < top else rows
+    p = reduce(lambda a, b: a + b, [F.col(f"parent{k}") for k in kept]) / len(kept)
+    return below.select(*_names(top), "n_word", p.alias("p"))
 
 
 def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> DataFrame:
@@ -319,16 +430,20 @@ def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_I
     from each time.  Without training texts every word is spelt from the
     uniform base.  An empty table gives no row.
     """
-    blocks = _blocks(docs)
-    need = landed_parquet(block_words(blocks), "lm-blocks")
-    words = landed_parquet(need.groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
-    spelt = landed_parquet(spelling(words, sweeps, burn_in), "lm-spelt")
-    total = spelt.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v"),
-                      F.coalesce(F.sum("t"), F.lit(0)).alias("t")).first()
-    own = F.greatest(F.col("c") - WORD_DISCOUNT * F.col("t"), F.lit(0.0))
-    p = (own + (WORD_STRENGTH + WORD_DISCOUNT * total["t"]) * F.col("spelt")) / (WORD_STRENGTH + total["n"])
-    # a word that a block sent twice comes back twice with the same numbers
-    known = need.select("block", "word").join(spelt.select("word", "c", F.log10(p).alias("log_p")), "word")
-    return known.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(
-        _score(total["n"], total["v"]),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, train_tokens long")
+    top = _names(WORD_ORDER - 1)
+    tokens = landed_parquet(token_rows(docs), "lm-tokens")
+    words = tokens.where("word IS NOT NULL").select("h0", "word").distinct()
+    grams = landed_parquet(tokens.groupBy(*top).agg(F.count_if(~F.col("held_out")).alias("n")), "lm-grams")
+    words = landed_parquet(words, "lm-spellings")
+    if words.count() != words.select("h0").distinct().count():
+        raise ValueError("two different words share one number")
+    p = gram_probabilities(grams, words, sweeps, burn_in)
+    learnt = grams.groupBy("h0").agg(F.sum("n").alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
+    floor = math.log10(learnt["n"] + learnt["v"] + 1)
+    scores = tokens.select("row", *top).join(p, top).groupBy("row").agg(
+        F.count(F.lit(1)).alias("n_tokens"), F.count_if(F.col("n_word") > 0).alias("n_known"),
+        F.sum(F.log10(F.col("n_word") + 1.0) - floor).alias("base_score"), F.sum(F.log10("p")).alias("score"))
+    ends = tokens.where(F.col("h0") == _END).select("row", "doc_id", "held_out")
+    return ends.join(scores, "row").select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(learnt["n"]).cast("long").alias("train_tokens"), "base_score", "score")

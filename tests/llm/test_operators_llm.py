@@ -361,6 +361,83 @@ def test_language_model(spark, odd, empty):
     assert pitman_yor.score_documents(empty, sweeps=1, burn_in=0).count() == 0
 
 
+def brute_model(texts, learnt, spelt, sweeps, burn_in):
+    """Restaurants of word contexts in dictionaries: score, base score and known tokens of each text."""
+    size = pitman_yor.WORD_ORDER
+    number = lambda w: pitman_yor._number(w) if w is not None else 0
+    split = [[None] * (size - 1) + (t or "").encode().lower().split() + [b""] for t in texts]
+    grams = [[tuple(map(number, w[k:k - size if k >= size else None:-1])) for k in range(size - 1, len(w))] for w in split]
+    n = {g: 0 for gs in grams for g in gs}
+    for gs, yes in zip(grams, learnt):
+        for g in gs:
+            n[g] += yes
+    c, t = [{} for _ in range(size)], [{} for _ in range(size)]
+
+    def customers(k):
+        if k == size - 1:
+            return dict(n)
+        out = {}
+        for g, x in t[k + 1].items():
+            out[g[:-1]] = out.get(g[:-1], 0) + x
+        return out
+
+    def probability(k, g):
+        d, s = pitman_yor.WORD_DISCOUNT[k], pitman_yor.WORD_STRENGTH[k]
+        same = [x for x in c[k] if x[1:] == g[1:]]
+        below = probability(k - 1, g[:-1]) if k else spelt
+        return ((max(c[k][g] - d * t[k][g], 0) + (s + d * sum(t[k][x] for x in same)) * below)
+                / (s + sum(c[k][x] for x in same)))
+
+    for k in range(size - 1, -1, -1):
+        c[k] = customers(k)
+        t[k] = {g: min(x, 1) for g, x in c[k].items()}
+    total = dict.fromkeys(n, 0.0)
+    for sweep in range(sweeps):
+        before = [{g: (sum(t[k][x] for x in t[k] if x[1:] == g[1:]) - t[k][g],
+                       probability(k - 1, g[:-1]) if k else spelt) for g in t[k]} for k in range(size)]
+        for k in range(size - 1, -1, -1):
+            c[k] = customers(k)
+            for g in c[k]:
+                seed = pitman_yor.word_seed([np.array([x]) for x in g], sweep)
+                others, parent = before[k][g]
+                t[k][g] = int(pitman_yor.sample_tables(
+                    np.array([c[k][g]]), np.array([others]), np.array([parent]), seed,
+                    pitman_yor.WORD_DISCOUNT[k], pitman_yor.WORD_STRENGTH[k])[0])
+        if sweep >= burn_in:
+            for g in total:
+                total[g] += probability(size - 1, g) / (sweeps - burn_in)
+    count = {}
+    for g, x in n.items():
+        count[g[0]] = count.get(g[0], 0) + x
+    floor = np.log10(sum(count.values()) + sum(x > 0 for x in count.values()) + 1)
+    return [(len(gs), sum(count[g[0]] > 0 for g in gs), sum(np.log10(count[g[0]] + 1) - floor for g in gs),
+             sum(np.log10(total[g]) for g in gs)) for gs in grams]
+
+
+def test_word_contexts_against_brute_force(make, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "_spelt", lambda words, grams, p: words.select("h0", F.lit(1e-3).alias("spelt")))
+    rng = random.Random(4)
+    vocab = [f"W{k}" for k in range(9)]
+    rows = [(i, " ".join(rng.choices(vocab, weights=range(9, 0, -1), k=rng.randint(0, 12))), "s") for i in range(30)]
+    rows += [(30, None, "s"), (31, "never seen w1 W2 w1 W2", "s"), (None, "w1 w2 w1", "s")]
+    got = pitman_yor.score_documents(make(rows), sweeps=3, burn_in=1).collect()
+    held = {r.doc_id: r.held_out for r in got}
+    assert len(got) == len(rows) and 0 < sum(held.values()) < len(rows)
+    want = brute_model([t for _, t, _ in rows], [not held[i] for i, _, _ in rows], 1e-3, 3, 1)
+    by_id = {r.doc_id: r for r in got}
+    for (i, _, _), w in zip(rows, want):
+        r = by_id[i]
+        assert np.allclose((r.n_tokens, r.n_known, r.base_score, r.score), w)
+
+
+def test_order_of_words_counts(make):
+    text = "one two three four five six seven eight"
+    docs = make([(i, text, "s") for i in range(40)] + [(100 + i, "eight three one six two seven five four", "s") for i in range(14)])
+    got = pitman_yor.score_documents(docs, sweeps=2, burn_in=1).collect()
+    score = {r.doc_id: r.score for r in got}
+    assert score[0] > 0.5 * score[100] and len(set(round(x, 6) for x in score.values())) == 2
+
+
 # --- pipeline
 
 def test_pipeline_against_brute_force(spark):
