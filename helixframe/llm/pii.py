@@ -1,14 +1,15 @@
 """PII: fixed patterns, then information-theoretic sanitisation.
 
 The patterns (email, ip, card, phone) give the protected entities.  A term is
-a word of three letters or more within CONTEXT characters of a mention.  From
-the corpus, with documents as the unit: PMI(t; e) = log p(e|t) / p(e) is what
-a term t tells about an entity e, and IC(e) = -log p(e) is all there is to
-tell.  Where PMI >= disclosure * IC, the term gives the entity away once the
-entity itself is masked: it is generalised, or removed where it tells nearly
-everything.  Co-occurrence is counted inside the context of mentions, so the
-pairs grow with the mentions, never with the square of a text; p(t) counts
-all documents.
+a token that begins with a letter, outside of all mentions.  From the corpus,
+with documents as the unit: PMI(t; e) = log p(e|t) / p(e) is what a term t
+tells about an entity e, and IC(e) = -log p(e) is all there is to tell.
+Where PMI >= disclosure * IC, the term gives the entity away once the entity
+itself is masked: each of its occurrences in the documents that mention the
+entity is generalised, or removed where it tells nearly everything.  Pairs
+are counted over whole documents.  Since a pair can be in no more documents
+than its entity, PMI bounds how frequent a telling term may be: terms above
+that bound leave before the pairs are formed, and no telling pair is lost.
 
 Everything is DataFrame expressions.  Positions come from splitting the text
 at the matches: the lengths of the gaps and of the matches add up to the
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, landed, whole
+from .common import landed, landed_parquet, whole
 
 KINDS = ("email", "ip", "card", "phone")
 #: The contract's patterns with possessive quantifiers where no shorter match can succeed, and with a guard that a
@@ -35,8 +36,7 @@ PATTERNS = {
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 #: A character without which a pattern cannot match.
 _NEEDS = {"email": "@", "ip": ".", "phone": "+"}
-CONTEXT = 60
-TERM = rf"(?<=[{WS}])\p{{L}}{{3,}}+(?=[.,;:!?]*+[{WS}])"
+TERM = r"\p{L}[\p{L}\p{N}'-]*(?<=[\p{L}\p{N}])"
 #: A term is judged from this many documents where it meets the entity, at least.
 SUPPORT = 3
 #: Share of the entity's information a term may give away; from REMOVE on it is removed, below it generalised.
@@ -100,78 +100,117 @@ def _spans(text: Column, kind: str) -> Column:
     return found
 
 
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of the spans, all positions kept."""
+    def blanks(n: Column) -> Column:
+        return F.repeat(F.lit(" "), n.cast("int"))
+
+    def step(acc: Column, s: Column) -> Column:
+        at, out = acc["at"], acc["out"]
+        cut = F.concat(out, F.substring(text, at + 1, s["start"] - at), blanks(s["end"] - s["start"]))
+        return (F.when(s["start"] >= at, F.struct(s["end"].alias("at"), cut.alias("out")))
+                .when(s["end"] > at, F.struct(s["end"].alias("at"), F.concat(out, blanks(s["end"] - at)).alias("out")))
+                .otherwise(acc))
+
+    whole_text = F.aggregate(F.sort_array(spans), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
+                             lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.char_length(text))))
+    return F.when(F.size(spans) > 0, whole_text).otherwise(text)
+
+
 def base_spans(docs: DataFrame) -> DataFrame:
-    """__row, doc_id, a column of spans per kind, and ``mentions``: the
-    entity (kind and value, lower-cased, digits alone for card and phone) of
-    each span with the text around it.  Landed: the texts are read once."""
+    """__row, doc_id, a column of spans per kind, ``entities``: the distinct
+    entities (kind and value, lower-cased, digits alone for card and phone) of
+    the spans, and ``rest``: the text with its mentions blanked.  Landed: the
+    texts are read once."""
     t = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole("text").alias("t"))
     t = t.select("doc_id", "t", *[_spans(F.col("t"), k).alias(k) for k in KINDS])
 
-    def mention(kind: str):
+    def entity(kind: str):
         def of(s: Column) -> Column:
             name = _digits(s["value"]) if kind in ("card", "phone") else F.lower(s["value"])
-            at = F.greatest(s["start"] - CONTEXT, F.lit(0))  # in the text with a blank put before and after it
-            return F.struct(F.concat(F.lit(f"{kind}:"), name).alias("entity"), (at - 1).alias("at"),
-                            F.substring(F.concat(F.lit(" "), F.col("t"), F.lit(" ")), at + 1,
-                                        s["end"] + 2 + CONTEXT - at).alias("around"))
+            return F.concat(F.lit(f"{kind}:"), name)
         return of
 
-    mentions = F.concat(*[F.transform(k, mention(k)) for k in KINDS])
-    found = t.select(F.monotonically_increasing_id().alias("__row"), "doc_id", *KINDS, mentions.alias("mentions"))
-    return landed(found)
+    entities = F.array_distinct(F.concat(*[F.transform(k, entity(k)) for k in KINDS]))
+    return landed_parquet(t.select(F.monotonically_increasing_id().alias("__row"), "doc_id", *KINDS, entities.alias("entities"),
+                                   _blanked(F.col("t"), F.concat(*KINDS)).alias("rest")), "pii-spans")
 
 
-def contexts(found: DataFrame) -> DataFrame:
-    """__row, entity, term, start, end: the terms around each mention."""
-    m = found.where(F.size("mentions") > 0).select("__row", F.explode("mentions").alias("m"))
-    m = m.select("__row", F.col("m.entity").alias("entity"), F.col("m.at").alias("at"),
-                 located(F.col("m.around"), TERM).alias("terms"))
-    m = m.select("__row", "entity", "at", F.explode("terms").alias("s"))
-    return m.select("__row", "entity", F.lower("s.value").alias("term"), (F.col("at") + F.col("s.start")).alias("start"),
-                    (F.col("at") + F.col("s.end")).alias("end"))
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
-def document_counts(docs: DataFrame) -> DataFrame:
+def document_counts(found: DataFrame) -> DataFrame:
     """term, n_term: how many documents hold each term, over all documents."""
-    padded = F.concat(F.lit(" "), whole("text"), F.lit(" "))
-    terms = F.array_distinct(F.transform(F.regexp_extract_all(padded, F.lit(TERM), F.lit(0)), F.lower))
-    return docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    return found.select(F.explode(_terms(F.col("rest"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
 
 
-def disclosive_terms(docs: DataFrame, found: DataFrame, around: DataFrame, disclosure: float = DISCLOSURE,
+def entity_rows(found: DataFrame, support: int) -> DataFrame:
+    """__row, entity, n_entity: the entities of each document that are in ``support`` documents or more."""
+    rows = found.select("__row", F.explode("entities").alias("entity"))
+    counts = rows.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= support)
+    return rows.join(counts, "entity")
+
+
+def disclosive_terms(found: DataFrame, entities: DataFrame, disclosure: float = DISCLOSURE,
                      support: int = SUPPORT) -> DataFrame:
     """entity, term, share: the part of the entity's information that the
     term gives away, where that is at least ``disclosure``."""
-    pairs = around.select("__row", "entity", "term").distinct().groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
-    entities = found.where(F.size("mentions") > 0).select(
-        F.explode(F.array_distinct(F.transform("mentions", lambda m: m["entity"]))).alias("entity")).groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= support)
-    n = found.agg(F.count(F.lit(1)).alias("n")).scalar().cast("double")
-    judged = pairs.join(entities, "entity").join(document_counts(docs), "term")
-    information = F.log(n / F.col("n_entity"))
-    pmi = F.log(F.col("n_both") * n / (F.col("n_term") * F.col("n_entity")))
+    n = float(found.count())
+    terms = landed(document_counts(found).where(F.col("n_term") >= support))
+    information = F.log(F.lit(n) / F.col("n_entity"))
+    # n_both <= n_entity, so that share >= disclosure bounds n_term; the margin is for rounding
+    bound = F.col("n_entity") * F.exp((1 - disclosure) * information) * (1 + 1e-9)
+    entities = entities.withColumn("bound", F.when(information > 0, bound).otherwise(F.lit(n)))
+    most = entities.groupBy("__row").agg(F.max("bound").alias("most"))
+    held = (found.join(most, "__row").select("__row", "most", F.explode(_terms(F.col("rest"))).alias("term"))
+            .join(terms, "term").where(F.col("n_term") <= F.col("most")).select("__row", "term", "n_term"))
+    pairs = held.join(entities, "__row").where(F.col("n_term") <= F.col("bound"))
+    judged = pairs.groupBy("entity", "term", "n_entity", "n_term").agg(F.count(F.lit(1)).alias("n_both")).where(
+        F.col("n_both") >= support)
+    pmi = F.log(F.col("n_both") * F.lit(n) / (F.col("n_term") * F.col("n_entity")))
     share = F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
     return judged.select("entity", "term", share.alias("share")).where(F.col("share") >= disclosure)
 
 
+MARKED = "array<struct<start:int,end:int,value:string,share:double>>"
+
+
+def _marked(text: Column, shares: Column) -> Column:
+    """All occurrences of the terms that ``shares`` (term to share) holds."""
+    pairs = F.arrays_zip(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("value"), F.split(text, TERM, -1).alias("gap"))
+    none = F.array().cast(MARKED)
+
+    def step(acc: Column, p: Column) -> Column:
+        start = acc["at"] + F.char_length(p["gap"])
+        end = start + F.char_length(p["value"])
+        share = F.try_element_at(shares, F.lower(p["value"]))
+        one = F.array(F.struct(start.alias("start"), end.alias("end"), F.lower(p["value"]).alias("value"),
+                               share.alias("share"))).cast(MARKED)
+        return F.struct(end.alias("at"), F.when(share.isNotNull(), F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+
+    named = F.filter(pairs, lambda p: p["value"].isNotNull())
+    return F.when(shares.isNotNull(), F.aggregate(named, F.struct(F.lit(0).alias("at"), none.alias("out")), step,
+                                                  lambda a: a["out"])).otherwise(none)
+
+
 def find_pii(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """One row per document: doc_id, the spans of each kind, and ``terms``:
-    (start, end, value, share) of the terms that give a protected entity away.
+    (start, end, value, share) of the terms that give away an entity that the
+    document mentions, at each of their occurrences.
 
-    Null and empty texts have no span.  A term near several entities keeps
-    its largest share.  Repeated rows are documents of their own and count
-    each in the statistics.  Extra columns are not read.
+    Null and empty texts have no span.  A term that tells of several entities
+    keeps its largest share.  Repeated rows are documents of their own and
+    count each in the statistics.  Extra columns are not read.
     """
     found = base_spans(docs)
-    around = landed(contexts(found))
-    telling = disclosive_terms(docs, found, around, disclosure, support)
-    added = (around.join(telling, ["entity", "term"]).groupBy("__row", "start", "end", "term")
-             .agg(F.max("share").alias("share")).groupBy("__row")
-             .agg(F.sort_array(F.collect_list(F.struct("start", "end", F.col("term").alias("value"), "share"))).alias("terms")))
-    none = F.array().cast("array<struct<start:int,end:int,value:string,share:double>>")
-    return (found.join(added, "__row", "left")
-            .select("doc_id", *KINDS, F.coalesce("terms", none).alias("terms")))
+    entities = landed(entity_rows(found, support))
+    telling = landed(disclosive_terms(found, entities, disclosure, support))
+    shares = (entities.join(telling, "entity").groupBy("__row", "term").agg(F.max("share").alias("share"))
+              .groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("shares")))
+    return (found.join(shares, "__row", "left")
+            .select("doc_id", *KINDS, _marked(F.col("rest"), F.col("shares")).alias("terms")))
 
 
 def written(kind: str, spans: Column) -> Column:

@@ -195,6 +195,39 @@ def test_pii_terms(make):
     assert clean[12] == rows[6][1]
 
 
+def test_pii_terms_of_whole_documents(make):
+    """Terms far from the mention, in quotes and brackets, with digits and hyphens, at every occurrence."""
+    far = " and the weather is about to change" * 8
+    rows = [(i, f"the (Smith-Jones) house {far} ann@x.org {far} 'Zanzibar7' again Smith-Jones.", "s") for i in range(4)]
+    rows += [(4, "Zanzibar7 and ann@x.org", "s"), (5, "o'ann@x.org the house", "s")]
+    rows += [(10 + i, f"the weather {i} is about to change and again and again", "s") for i in range(60)]
+    rows += [(100 + i, "the house", "s") for i in range(40)]
+    docs = make(rows)
+    found = pii.find_pii(docs)
+    got = {r.doc_id: r for r in found.collect()}
+    texts = {i: t for i, t, _ in rows}
+    word = re.compile(r"[^\W\d_](?:[^\W_]|['-])*(?<=[^\W_])")
+    n, blank = len(rows), lambda t: re.sub(PATTERNS[0][1], lambda m: " " * len(m[0]), t)
+    held = {i: {m[0].lower() for m in word.finditer(blank(t))} for i, t in texts.items()}
+    mails = {i: {m[0].lower() for m in re.finditer(PATTERNS[0][1], t)} for i, t in texts.items()}
+    for i, t in texts.items():
+        want = []
+        for m in word.finditer(blank(t)):
+            shares = []
+            for e in mails[i]:
+                n_e, n_t = sum(e in x for x in mails.values()), sum(m[0].lower() in x for x in held.values())
+                both = sum(e in mails[k] and m[0].lower() in held[k] for k in texts)
+                if min(n_e, both) >= 3:
+                    shares.append(np.log(both * n / (n_t * n_e)) / np.log(n / n_e))
+            if shares and max(shares) >= pii.DISCLOSURE:
+                want.append((m.start(), m.end(), m[0].lower()))
+        assert [(s.start, s.end, s.value) for s in got[i].terms] == want
+    assert [s.value for s in got[0].terms] == ["smith-jones", "zanzibar7", "smith-jones"]
+    assert [s.value for s in got[4].terms] == ["zanzibar7"] and got[5].terms == []
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs, found).collect()}
+    assert "Smith" not in clean[0] and "ann@x.org" not in clean[0]
+
+
 # --- secrets
 
 def test_secrets(make, odd, empty):
