@@ -4,10 +4,11 @@ guess cost is high.
 The cost of guessing a value is found by dynamic programming: the value is
 cut into dictionary words (cost: rank), dates, repeats, keyboard walks,
 sequences and brute-force spans such that the sum of the logarithms of their
-guesses is least.  The dictionary is the ranked vocabulary of a public
-tokenizer (a parameter).  Every span has a bounded longest length, and
-brute force and repeats grow by one character at a time, so the cost of a
-value is linear in its length.
+guesses is least, over all segmentations.  The dictionary is the ranked
+vocabulary of a public tokenizer (a parameter).  Words and dates have a
+bounded longest length.  Any three characters or more of a walk, sequence or
+repeat are a span; as its cost grows with the logarithm of its length, the
+starts that can be best for a later end are few, and the others are dropped.
 """
 
 from __future__ import annotations
@@ -77,10 +78,15 @@ def guess_cost(value: str, words: dict[str, int]) -> float:
     n = len(value)
     best = [0.0] + [math.inf] * n
     dates: dict[int, list[int]] = {}
-    for m in _DATE.finditer(value):
-        dates.setdefault(m.start(), []).append(m.end())
+    for start in range(n):
+        if "0" <= value[start] <= "9":
+            dates[start] = [end for end in range(start + 4, min(n, start + 10) + 1) if _DATE.fullmatch(value, start, end)]
     split = math.log10(2)  # each further span doubles the ways to combine them
+    runs = [_Run(goes_on, base) for goes_on, base in _RUNS]
     for i in range(n):
+        # best[i] is final here: every span that ends at i starts before it
+        for run in runs:
+            best[i] = min(best[i], run.ending(low, i, best, split))
         here = best[i] + (split if i else 0.0)
         # brute force: one character more, from an alphabet of its class
         c = value[i]
@@ -97,27 +103,44 @@ def guess_cost(value: str, words: dict[str, int]) -> float:
                 best[j] = min(best[j], here + cost)
         for j in dates.get(i, ()):
             best[j] = min(best[j], here + math.log10(365 * 120))
-    # walks, sequences and repeats run on for any length: one pass over their maximal runs
-    _runs(low, best, split, lambda a, b: a + b in ADJACENT, math.log10(94 * 4))
-    _runs(low, best, split, lambda a, b: a.isalnum() and b.isalnum() and abs(ord(a) - ord(b)) == 1, math.log10(26 * 4))
-    _runs(low, best, split, lambda a, b: a == b, math.log10(36))
-    # settle what the runs made cheaper
-    for i in range(n):
-        c = value[i]
-        size = 10 if c.isdigit() else 26 if c.isascii() and c.isalpha() else 33
-        best[i + 1] = min(best[i + 1], best[i] + math.log10(size))
-    return best[n]
-
-
-def _runs(low: str, best: list[float], split: float, goes_on, base: float) -> None:
-    start = 0
-    for i in range(1, len(low) + 1):
-        if i < len(low) and goes_on(low[i - 1], low[i]):
-            continue
-        if i - start >= 3:
-            cost = best[start] + (split if start else 0.0) + base + math.log10(i - start)
-            best[i] = min(best[i], cost)
-        start = i
+    return min([best[n], *[run.ending(low, n, best, split) for run in runs]])
+
+
+#: Walks, sequences and repeats: whether two characters go on, and log10 of the guesses of one character of length.
+_RUNS = (
+    (lambda a, b: a + b in ADJACENT, math.log10(94 * 4)),
+    (lambda a, b: a.isalnum() and b.isalnum() and abs(ord(a) - ord(b)) == 1, math.log10(26 * 4)),
+    (lambda a, b: a == b, math.log10(36)),
+)
+
+
+class _Run:
+    """The cheapest span of one kind that ends at each position, asked for from left to right."""
+
+    def __init__(self, goes_on, base: float):
+        self.goes_on, self.base = goes_on, base
+        self.starts: list[tuple[int, float]] = []  # of the present run, with the cost before the span
+
+    def ending(self, low: str, end: int, best: list[float], split: float) -> float:
+        if end < 3:
+            return math.inf
+        if not self.goes_on(low[end - 2], low[end - 1]):
+            self.starts = []
+            return math.inf
+        start = end - 3
+        if self.goes_on(low[start], low[start + 1]):
+            self.starts.append((start, best[start] + (split if start else 0.0)))
+        # a start leaves where a later one costs no more before its span (it stays the cheaper one), and where an
+        # earlier one is as cheap already (the longer span's handicap only shrinks)
+        kept: list[tuple[int, float]] = []
+        for s, before in self.starts:
+            while kept and kept[-1][1] >= before:
+                kept.pop()
+            cost = before + math.log10(end - s)
+            if not kept or cost < kept[-1][1] + math.log10(end - kept[-1][0]):
+                kept.append((s, before))
+        self.starts = kept
+        return min((before + self.base + math.log10(end - s) for s, before in kept), default=math.inf)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -132,18 +155,28 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def credential_spans(text: str, words: dict[str, int], base: list[tuple[int, int, int]],
                      least: float = GUESSES_LOG10) -> list[tuple[int, int, int]]:
-    """Values in credential contexts that cost at least 10**least guesses and lie in no base span."""
+    """Values in credential contexts that cost at least 10**least guesses and
+    that base spans do not cover wholly.  Contexts inside a value that is
+    left out are looked at, too."""
     if not _HINT.search(text):
         return []
+    merged: list[list[int]] = []
+    for s, _, e in base:
+        if merged and s <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], e)
+        else:
+            merged.append([s, e])
     found = []
-    at = 0
-    for m in CONTEXT.finditer(text):
+    at, m = 0, CONTEXT.search(text)
+    while m:
         start, end = m.span(1)
-        while at < len(base) and base[at][2] <= start:
+        while at < len(merged) and merged[at][1] <= start:
             at += 1
-        covered = any(s < end and e > start for s, _, e in base[max(0, at - 3):at + 3])
+        covered = at < len(merged) and merged[at][0] <= start and end <= merged[at][1]
         if not covered and guess_cost(m[1], words) >= least:
             found.append((start, 3, end))
+            start = end
+        m = CONTEXT.search(text, start)
     return found
 
 

@@ -250,6 +250,54 @@ def test_guess_cost_orders_passwords():
     assert secrets_scan.guess_cost("ab" * 50_000, ranks) > 0  # linear in length
 
 
+def brute_cost(value, ranks):
+    """All segmentations: every word, date, run of three or more and single characters."""
+    low, n, log = value.lower(), len(value), np.log10
+    plain = low.translate(secrets_scan._LEET)
+    best = [0.0] + [np.inf] * n
+    for j in range(1, n + 1):
+        for i in range(j):
+            part, costs = low[i:j], []
+            if j - i <= secrets_scan.LONGEST_WORD and plain[i:j] in ranks:
+                costs.append(log(ranks[plain[i:j]] + 1) + (log(4) if plain[i:j] != part else 0) + (
+                    0 if value[i:j] == part else log(2 if value[i:j].istitle() or value[i:j].isupper() else 8)))
+            if secrets_scan._DATE.fullmatch(value[i:j]):
+                costs.append(log(365 * 120))
+            pairs = list(zip(part, part[1:]))
+            if j - i >= 3:
+                if all(a + b in secrets_scan.ADJACENT for a, b in pairs):
+                    costs.append(log(94 * 4) + log(j - i))
+                if all(a.isalnum() and b.isalnum() and abs(ord(a) - ord(b)) == 1 for a, b in pairs):
+                    costs.append(log(26 * 4) + log(j - i))
+                if all(a == b for a, b in pairs):
+                    costs.append(log(36) + log(j - i))
+            best[j] = min([best[j], *[best[i] + (log(2) if i else 0) + c for c in costs]])
+        c = value[j - 1]
+        best[j] = min(best[j], best[j - 1] + log(10 if c.isdigit() else 26 if c.isascii() and c.isalpha() else 33))
+    return best[n]
+
+
+def test_guess_cost_against_all_segmentations():
+    ranks = secrets_scan.load_words()
+    rng = random.Random(8)
+    parts = ["secret", "asdfghjkl", "qwe", "aaaa", "abcdef", "4321", "1999-12-31", "2001", "12/5/99", "x", "#", "Love", "p@ss",
+             "horse", "zzzzzzzz", "56789", "ok", "é"]
+    values = ["asdfghjklsecret", "x1999-12-31zzz", "120001"]
+    values += ["".join(rng.choices(parts, k=rng.randint(1, 6))) for _ in range(300)]
+    for v in values:
+        assert np.isclose(secrets_scan.guess_cost(v, ranks), brute_cost(v, ranks)), v
+    assert secrets_scan.guess_cost("asdfghjklsecret", ranks) < secrets_scan.GUESSES_LOG10
+
+
+def test_credentials_beside_base_spans():
+    ranks = secrets_scan.load_words()
+    for text, want in [("password=correcthorse!batteryStaple$91 x", ["correcthorse!batteryStaple$91"]),
+                       ('token: pwd="xK9#mPq2vLw8"', ["xK9#mPq2vLw8"]),
+                       ('password = "hunter2hunter2" deadbeefdeadbeef', [])]:
+        base = secrets_scan.base_spans(text)
+        assert [text[s:e] for s, _, e in secrets_scan.credential_spans(text, ranks, base)] == want
+
+
 # --- WARC
 
 def test_warc_round_trip(spark, tmp_out):
