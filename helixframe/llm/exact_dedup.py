@@ -82,8 +82,15 @@ def exact_dedup(docs: DataFrame, hash_of: Callable[[Column], Column] = content_h
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with their columns as they came.  Rows that
-    repeat the id of a row that stays are dropped but for one."""
-    keep = (exact_dedup(docs).where("kept").select(F.col("doc_id").alias("__keep_id")).distinct())
-    stay = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep_id")), "left_semi")
-    return stay.dropDuplicates(["doc_id"])
+    """One row of each class of equal texts, with its columns as they came:
+    that of the id that stays.  Among several rows of that id (or without
+    one) the longest text stays.  Rows of different texts stay whatever
+    their ids are: none, or the same."""
+    norm = normalised(whole("text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.char_length(whole("text")).alias("chars"),
+                       F.col("doc_id").cast("long").alias("id"), content_hash(norm).alias("h"),
+                       F.sha2(F.encode(norm, "UTF-8"), 256).alias("sha"))
+    keep = classes(docs).where("group_size > 0").select("h", "sha", F.col("keep_id").alias("id"))  # group_size: fails on a collision
+    same = (rows.h == keep.h) & (rows.sha == keep.sha) & rows.id.eqNullSafe(keep.id)
+    stay = rows.join(keep, same, "left_semi").groupBy("h", "sha").agg(F.max_by("row", "chars").alias("row"))
+    return stay.select(*[F.col("row")[c].alias(c) for c in docs.columns])

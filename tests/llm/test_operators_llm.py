@@ -81,6 +81,14 @@ def test_exact_stage(odd, empty):
     assert exact_dedup.exact_dedup(empty).count() == 0
 
 
+def test_exact_stage_keeps_every_text(make):
+    """Rows without id, one id with two texts, copies under other ids, rows that repeat."""
+    rows = [(None, "first text", "a"), (None, "second text", "a"), (None, "third text", "b"), (None, "third  text", "b"),
+            (1, "one", "a"), (1, "another", "a"), (1, "another", "a"), (2, "one", "a"), (None, "one", "a"), (3, "second text", "a")]
+    out = sorted(((r.doc_id, r.text) for r in exact_dedup.drop_copies(make(rows)).collect()), key=repr)
+    assert out == sorted([(None, "first text"), (3, "second text"), (None, "third  text"), (1, "one"), (1, "another")], key=repr)
+
+
 # --- mixing
 
 def test_mixing(make, odd, empty):
