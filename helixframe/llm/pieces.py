@@ -35,6 +35,8 @@ CACHE = 400_000
 TOGETHER = 512
 #: Longer chunks are not cached.
 CACHED_CHARS = 64
+#: Segmentations that are returned of each text.
+NBEST = 5
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
 _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Where no piece joins a Latin letter and another visible character, the lattice falls apart there too.
@@ -80,7 +82,7 @@ _CACHES: dict[tuple[int, int], dict[str, tuple]] = {}
 class Segmenter:
     """Encodes and decodes with one vocabulary."""
 
-    def __init__(self, vocabulary: tuple[dict[str, int], list[int], list[bytes]], nbest: int = 2):
+    def __init__(self, vocabulary: tuple[dict[str, int], list[int], list[bytes]], nbest: int = NBEST):
         ids, self.byte_ids, self.written = vocabulary
         self.nbest = nbest
         # every prefix of a piece; a piece itself with its edge, (ids, score)
@@ -101,6 +103,7 @@ class Segmenter:
         self.hashed_ids = np.array([*[hashed[h] for h in order], -1], dtype=np.int64)
         self.cut = (_CHUNK if _crosses(ids) else _SCRIPT_CHUNK).findall
         self.cache = _CACHES.setdefault((len(self.written), nbest), {})
+        self.found: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
 
     def _spelt(self, char: str) -> tuple[tuple[int, ...], float]:
         spelt = tuple(self.byte_ids[b] for b in char.encode())
@@ -236,35 +239,58 @@ class Segmenter:
         found = self.search(chunk, 2)
         return list(found[0][1]), found[0][0] - found[1][0] if len(found) > 1 else math.inf, found[0][0]
 
-    def encode_all(self, texts: list[str]) -> list[tuple[list[int], list[float]]]:
-        """Ids of the best segmentation of each whole text and the scores of
-        its n best, best first.  The empty text has no piece and score 0."""
+    def _nbest(self, chunk: str) -> list[tuple[float, tuple[int, ...]]]:
+        """search() for the n best, cached as chunks are."""
+        found = self.found.get(chunk)
+        if found is None:
+            found = self.search(chunk, self.nbest)
+            if len(chunk) <= CACHED_CHARS:
+                if len(self.found) >= CACHE // 10:
+                    self.found.clear()
+                self.found[chunk] = found
+        return found
+
+    def encode_all(self, texts: list[str]) -> list[list[tuple[float, np.ndarray]]]:
+        """Score and ids of the n best segmentations of each whole text, best
+        first.  The empty text has one, without pieces, of score 0."""
         cut = [self.cut(" " + t) if t else [] for t in texts]
         new = {c for chunks in cut for c in chunks if len(c) <= CACHED_CHARS} - self.cache.keys()
         self.learn(sorted(new))
         return [self._join(t, chunks) for t, chunks in zip(texts, cut)]
 
-    def _join(self, text: str, chunks: list[str]) -> tuple[list[int], list[float]]:
+    def _join(self, text: str, chunks: list[str]) -> list[tuple[float, np.ndarray]]:
         if not chunks:
-            return [], [0.0]
+            return [(0.0, np.zeros(0, dtype=np.int32))]
         cached = self.cache.get
         hits = [cached(c) or self._one(c) for c in chunks]
         ids = list(itertools.chain.from_iterable([h[0] for h in hits]))
         if b"".join([self.written[i] for i in ids]) != b" " + text.encode():  # two pieces with one hash
             hits = [self._one(c) for c in chunks]
             ids = list(itertools.chain.from_iterable([h[0] for h in hits]))
+        best = np.array(ids, dtype=np.int32)
         # a segmentation among the n best leaves the best one only in the n - 1 chunks that lose least by it
-        losses = [0.0]
+        merged: list[tuple[float, tuple]] = [(0.0, ())]  # loss, and the ids in each chunk looked at
         lost = [h[1] for h in hits]
         for k in heapq.nsmallest(self.nbest - 1, range(len(hits)), key=lost.__getitem__):
             if lost[k] < math.inf:
-                found = self.search(chunks[k], self.nbest)
-                losses = heapq.nsmallest(self.nbest, (a + found[0][0] - s for a in losses for s, _ in found))
+                found = self._nbest(chunks[k])
+                merged = heapq.nsmallest(self.nbest, (
+                    (a + found[0][0] - s, (*how, (k, i))) for a, how in merged for s, i in found), key=lambda x: x[0])
         total = math.fsum([h[2] for h in hits])
-        return ids, [total - x for x in losses]
+        ends = np.cumsum([len(h[0]) for h in hits]) if len(merged[0][1]) else None
+        out = []
+        for loss, how in merged:
+            parts, at = [], 0
+            for k, other in sorted(how):
+                parts += [best[at:ends[k] - len(hits[k][0])], np.array(other, dtype=np.int32)]
+                at = ends[k]
+            out.append((total - loss, np.concatenate([*parts, best[at:]])))
+        return out
 
     def encode(self, text: str) -> tuple[list[int], list[float]]:
-        return self.encode_all([text])[0]
+        """Ids of the best segmentation and the scores of the n best."""
+        found = self.encode_all([text])[0]
+        return found[0][1].tolist(), [s for s, _ in found]
 
     def segmentations(self, text: str, n: int) -> list[tuple[float, list[int]]]:
         """The n best segmentations of a whole text, by A* over its whole lattice."""
@@ -276,13 +302,19 @@ class Segmenter:
         return b"".join([written[i] for i in ids]).decode("utf-8")[1:]
 
 
-SCHEMA = "doc_id long, ids array<int>, n_pieces long, scores array<double>, round_trip boolean"
+SCHEMA = ("doc_id long, ids array<int>, n_pieces long, scores array<double>, round_trip boolean, "
+          "segmentations array<struct<score:double,ids:array<int>>>")
+
+
+def _listed(values: pa.Array, sizes: list[int]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), values)
 
 
-def encode_documents(docs: DataFrame, path: str = MODEL, nbest: int = 2) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str = MODEL, nbest: int = NBEST) -> DataFrame:
     """doc_id, ids of the best segmentation, n_pieces, scores of the n best
     segmentations of the whole text (fewer if there are fewer), round_trip
-    (decoding the ids gives the text back).
+    (decoding the ids gives the text back), and ``segmentations``: score and
+    ids of each of the n best, best first.
 
     A null text counts as empty: no ids, scores [0].  Rows are encoded by
     themselves, so ties, repeated rows and extra columns do not matter.
@@ -297,13 +329,17 @@ def encode_documents(docs: DataFrame, path: str = MODEL, nbest: int = 2) -> Data
             for lo in range(0, len(texts), TOGETHER):
                 part = texts.slice(lo, TOGETHER).to_pylist()
                 coded = seg.encode_all(part)
+                every = [x for found in coded for x in found]
+                scores, counts = pa.array([s for s, _ in every], pa.float64()), [len(found) for found in coded]
+                ids = _listed(pa.array(np.concatenate([i for _, i in every])), [len(i) for _, i in every])
                 yield pa.RecordBatch.from_arrays([
                     doc_ids.slice(lo, TOGETHER),
-                    pa.array([np.asarray(i, dtype=np.int32) for i, _ in coded], pa.list_(pa.int32())),
-                    pa.array([len(i) for i, _ in coded], pa.int64()),
-                    pa.array([s for _, s in coded], pa.list_(pa.float64())),
-                    pa.array([seg.decode(i) == t for (i, _), t in zip(coded, part)], pa.bool_()),
-                ], names=["doc_id", "ids", "n_pieces", "scores", "round_trip"])
+                    pa.array([found[0][1] for found in coded], pa.list_(pa.int32())),
+                    pa.array([len(found[0][1]) for found in coded], pa.int64()),
+                    _listed(scores, counts),
+                    pa.array([seg.decode(found[0][1].tolist()) == t for found, t in zip(coded, part)], pa.bool_()),
+                    _listed(pa.StructArray.from_arrays([scores, ids], names=["score", "ids"]), counts),
+                ], names=["doc_id", "ids", "n_pieces", "scores", "round_trip", "segmentations"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole("text").alias("text")).mapInArrow(run, SCHEMA)
 

@@ -147,6 +147,21 @@ def test_pieces_against_all_segmentations():
         assert seg.decode(ids) == t
 
 
+def test_pieces_nbest_ids(make):
+    """All N segmentations of each document come back, with the scores of the best of all."""
+    seg = pieces.Segmenter(pieces.load_pieces())
+    rng = random.Random(6)
+    texts = ["", "a", "the other day"] + ["".join(rng.choice("abet h,.1 \nñ▁漢") for _ in range(rng.randint(1, 8))) for _ in range(60)]
+    got = {r.doc_id: r for r in pieces.encode_documents(make([(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        found, best = got[i].segmentations, brute_segmentations(seg, t) if len(t) < 9 else seg.segmentations(t, 5)
+        assert len(found) == min(5, len(best)) == len({tuple(x.ids) for x in found})
+        assert np.allclose([x.score for x in found], [s for s, _ in best[:5]]) and found[0].ids == got[i].ids
+        scored = {tuple(k): s for s, k in best}
+        assert all(np.isclose(scored[tuple(x.ids)], x.score) for x in found) or len(t) >= 9
+        assert all(seg.decode(x.ids) == t for x in found) and got[i].scores == [x.score for x in found]
+
+
 def test_pieces_edges(odd, empty):
     rows = pieces.encode_documents(odd).collect()
     assert len(rows) == 9 and all(r.round_trip for r in rows)
