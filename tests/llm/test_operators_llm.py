@@ -52,6 +52,13 @@ def test_quality_edges(odd, empty):
     assert kept.columns == odd.columns and kept.count() == 1
 
 
+def test_quality_stage_keeps_long_texts(make):
+    rng = random.Random(2)
+    clean = " ".join(rng.choice(["the", "of"]) if k % 9 == 0 else f"word{rng.randrange(10**6)}" for k in range(100_001))
+    docs = make([(1, clean, "s"), (2, "# " * 100_001, "s"), (3, "the word", "s")])
+    assert [r.doc_id for r in quality_rules.apply_quality(docs).collect()] == [1]
+
+
 # --- exact dedup
 
 def brute_exact(rows):
