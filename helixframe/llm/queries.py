@@ -1,12 +1,13 @@
-"""The queries op1 to op10 and their DuckDB oracles, where SQL can express them."""
+"""The queries op1 to op13 and their DuckDB oracles, where SQL can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, mixing, pieces, pii, pitman_yor, quality_rules, secrets_scan, toxicity, warc
-from .common import table
+from . import (collocations, exact_dedup, jaccard_join, lexical_search, mixing, pieces, pii, pitman_yor, quality_rules,
+               secrets_scan, token_counts, toxicity, warc)
+from .common import ASCII_UPPER, table
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +56,21 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_exact_dedup, op4_pii, op5_sentencepiece, op6_secrets, op7_toxicity, op8_quality_rules, op9_pitman_yor, op10_jaccard_join)}
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_exact_dedup, op4_pii, op5_sentencepiece, op6_secrets, op7_toxicity,
+                                   op8_quality_rules, op9_pitman_yor, op10_jaccard_join, op11_token_counts,
+                                   op12_collocations, op13_lexical_search)}
 
 _WS = r"[\x20\x09-\x0D]"
 _OP1 = """
@@ -112,4 +127,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND n_symbols / n_words <= 0.3 AND stops / n_words >= 0.01 AND alphas / n_words >= 0.6
        AND (lines = 0 OR (n_dup_lines / lines <= 0.5 AND bullets / lines <= 0.9 AND dots / lines <= 0.3)) AS kept
 FROM b"""
-ORACLES = {"op1_warc": _OP1, "op2_mixing": _OP2, "op3_exact_dedup": _OP3, "op8_quality_rules": _OP8}
+_LOWER = f"translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_UPPER.lower()}')"
+_OP12 = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+o AS (SELECT lang, k, w[i:i + k - 1] AS p FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 4) r(k))),
+f AS (SELECT lang, k, p, count(*) AS a FROM o GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, k, p, a, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+s AS (SELECT c.*, x.a AS l, y.a AS r, (1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a) AS score
+      FROM c JOIN f x ON x.lang = c.lang AND x.p = c.p[1:cut] JOIN f y ON y.lang = c.lang AND y.p = c.p[cut + 1:]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+g AS (SELECT lang, q, max(a) AS a FROM (SELECT lang, a, unnest([p[1:2], p[2:3]]) AS q FROM f WHERE k = 3) GROUP BY lang, q),
+z AS (SELECT b.lang, array_to_string(b.p, ' ') AS phrase, b.a, l, r, n, score::BIGINT AS score
+      FROM b JOIN n ON n.lang = b.lang LEFT JOIN g ON g.lang = b.lang AND g.q = b.p WHERE g.a IS NULL OR 100 * g.a < 50 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM z
+QUALIFY rank <= 2000"""
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS d, doc_id, {_TERMS} AS t FROM documents),
+h AS (SELECT d, doc_id, len(t) AS n, t FROM d WHERE len(t) > 0),
+s AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS nt FROM h),
+tf AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(t) AS term FROM h) GROUP BY d, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT i, item_id, term, count(*) AS times FROM (SELECT i, item_id, unnest(t) AS term FROM
+      (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS t FROM benchmark)) GROUP BY i, item_id, term),
+w AS (SELECT i, item_id, q.term, times * floor(1000 * ln((2 * nd + 2) / (2 * df + 1)))::BIGINT AS w FROM q JOIN df USING (term), s),
+x AS (SELECT i, item_id, tf.d, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // nt))))::BIGINT AS score
+      FROM w JOIN tf USING (term) JOIN h ON h.d = tf.d, s GROUP BY i, item_id, tf.d)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM x JOIN h USING (d) WHERE score > 0 QUALIFY rank <= 20"""
+ORACLES = {"op1_warc": _OP1, "op2_mixing": _OP2, "op3_exact_dedup": _OP3, "op8_quality_rules": _OP8,
+           "op12_collocations": _OP12, "op13_lexical_search": _OP13}
