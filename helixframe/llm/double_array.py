@@ -21,19 +21,18 @@ class DoubleArray:
     @classmethod
     def build(cls, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> "DoubleArray":
         """Of the distinct non-empty keys data[begin:end] (uint8)."""
-        node = np.zeros(len(begin), dtype=np.int64)
-        parents, symbols, nodes, depth = [], [], 1, 0
-        active = np.arange(len(begin))
+        node = np.zeros(len(begin), dtype=np.int32)
+        parents, symbols = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.uint8)]
+        nodes, depth, active = 1, 0, np.arange(len(begin), dtype=np.int32)
         while len(active):
-            edge, which = np.unique(node[active] << 8 | data[begin[active] + depth], return_inverse=True)
-            parents.append(edge >> 8)
-            symbols.append(edge & 255)
+            edge, which = np.unique(node[active].astype(np.int64) << 8 | data[begin[active] + depth], return_inverse=True)
+            parents.append((edge >> 8).astype(np.int32))
+            symbols.append((edge & 255).astype(np.uint8))
             node[active] = nodes + which
             nodes += len(edge)
             depth += 1
             active = active[end[active] - begin[active] > depth]
-        parent = np.concatenate(parents) if parents else np.zeros(0, dtype=np.int64)
-        symbol = np.concatenate(symbols) if symbols else np.zeros(0, dtype=np.int64)
+        parent, symbol = np.concatenate(parents), np.concatenate(symbols)  # ascending by parent
         size = 256
         while size < 1.6 * nodes:
             size *= 2
@@ -83,9 +82,8 @@ def _place(parent: np.ndarray, symbol: np.ndarray, nodes: int, size: int) -> tup
     or None where the array is too small.  Nodes with several children try
     random places, all of a class at once; single children fill what is free."""
     rng, mask = np.random.default_rng(nodes), size - 1
-    by_parent = np.argsort(parent, kind="stable")
-    children = np.bincount(parent, minlength=nodes)
-    first = np.concatenate([[0], np.cumsum(children)])[:-1]
+    children = np.bincount(parent, minlength=nodes).astype(np.int32)
+    first = np.searchsorted(parent, np.arange(nodes, dtype=np.int32)).astype(np.int32)
     base, slot = np.zeros(nodes, np.int32), np.zeros(nodes, np.int32)
     used, claim = np.zeros(size, dtype=bool), np.zeros(size, dtype=np.int32)
     used[0] = True
@@ -98,7 +96,7 @@ def _place(parent: np.ndarray, symbol: np.ndarray, nodes: int, size: int) -> tup
                 break
             n = children[todo]
             owner = np.repeat(np.arange(len(todo)), n)
-            edge = by_parent[np.repeat(first[todo] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            edge = np.repeat(first[todo] - np.cumsum(n) + n, n) + np.arange(n.sum())
             at = rng.integers(0, size, len(todo))
             spot = (at[owner] + symbol[edge]) & mask
             claim[spot] = owner
@@ -114,7 +112,7 @@ def _place(parent: np.ndarray, symbol: np.ndarray, nodes: int, size: int) -> tup
     free = np.flatnonzero(~used)[:len(alone)]
     if len(free) < len(alone):
         return None
-    edge = by_parent[first[alone]]
+    edge = first[alone]
     slot[edge + 1] = free
     base[alone] = (free - symbol[edge]) & mask
     return base, slot
