@@ -1,4 +1,4 @@
-"""Double-array tries over bytes, built and walked by numpy."""
+"""Double-array tries over bytes with tails, built and walked by numpy."""
 
 from __future__ import annotations
 
@@ -9,31 +9,54 @@ _CLASSES = (129, 65, 33, 17, 9, 5, 3, 2)
 _ROUNDS = 400
 
 
+def spread(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """All places of begin .. begin + length - 1, one after the other."""
+    upto = np.cumsum(length)
+    return np.repeat(begin - upto + length, length) + np.arange(upto[-1] if len(upto) else 0)
+
+
+def differ(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether a[at:at + length] and b[bt:bt + length] differ, for each."""
+    bad = a[spread(at, length)] != b[spread(bt, length)]
+    out = np.zeros(len(length), dtype=bool)
+    if bad.any():
+        out[np.repeat(np.arange(len(length)), length)[bad]] = True
+    return out
+
+
 class DoubleArray:
     """The state reached from state s by byte b is t = base[s] + b (modulo the
     size), if check[t] = s; state 0 is the root.  value[t] is the number of
-    the key that ends in t, or -1."""
+    the key that ends in t, or -1.  Where one key alone goes on, base[t] is -1
+    and the rest of that key lies in ``tails``, cut by ``edges``."""
 
-    def __init__(self, base: np.ndarray, check: np.ndarray, value: np.ndarray) -> None:
-        self.base, self.check, self.value = base, check, value
+    def __init__(self, base: np.ndarray, check: np.ndarray, value: np.ndarray, tails: np.ndarray, edges: np.ndarray) -> None:
+        self.parts = base, check, value, tails, edges
+        self.base, self.check, self.value, self.tails, self.edges = self.parts
         self.mask = len(base) - 1
 
     @classmethod
     def build(cls, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> "DoubleArray":
         """Of the distinct non-empty keys data[begin:end] (uint8)."""
+        begin, end = begin.astype(np.int64), end.astype(np.int64)
         node = np.zeros(len(begin), dtype=np.int32)
+        rest = end.copy()  # where each key's tail begins
         parents, symbols = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.uint8)]
         nodes, depth, active = 1, 0, np.arange(len(begin), dtype=np.int32)
         while len(active):
-            edge, which = np.unique(node[active].astype(np.int64) << 8 | data[begin[active] + depth], return_inverse=True)
+            edge, which, held = np.unique(node[active].astype(np.int64) << 8 | data[begin[active] + depth],
+                                          return_inverse=True, return_counts=True)
             parents.append((edge >> 8).astype(np.int32))
             symbols.append((edge & 255).astype(np.uint8))
             node[active] = nodes + which
             nodes += len(edge)
             depth += 1
+            alone = held[which] == 1
+            rest[active[alone]] = begin[active[alone]] + depth
+            active = active[~alone]
             active = active[end[active] - begin[active] > depth]
         parent, symbol = np.concatenate(parents), np.concatenate(symbols)  # ascending by parent
-        size = 256
+        size = 256  # siblings must not meet
         while size < 1.6 * nodes:
             size *= 2
         while (placed := _place(parent, symbol, nodes, size)) is None:
@@ -43,38 +66,41 @@ class DoubleArray:
         base[slot] = offset
         check[slot[1:]] = slot[parent]
         value[slot[node]] = np.arange(len(begin))
-        return cls(base, check, value)
+        base[slot[node[rest < end]]] = -1
+        edges = np.concatenate([[0], np.cumsum(end - rest)])
+        return cls(base, check, value, data[spread(rest, end - rest)], edges)
 
     @classmethod
     def of(cls, keys: list[bytes]) -> "DoubleArray":
-        ends = np.cumsum([len(k) for k in keys], dtype=np.int64)
-        return cls.build(np.frombuffer(b"".join(keys), dtype=np.uint8), np.concatenate([[0], ends])[:-1].astype(np.int64), ends)
-
-    def step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The next states, and whether there is one."""
-        to = (self.base[state] + symbol) & self.mask
-        return to, self.check[to] == state
+        ends = np.cumsum([0, *map(len, keys)], dtype=np.int64)
+        return cls.build(np.frombuffer(b"".join(keys), dtype=np.uint8), ends[:-1], ends[1:])
 
-    def reach(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, state: np.ndarray | None = None) -> np.ndarray:
-        """The states reached by data[begin:end] from ``state`` (the root), -1
-        where the trie ends before or the state was -1: all advance together, byte by byte."""
+    def find(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The number of the key that each data[begin:end] is, or -1: all
+        advance together, level by level."""
         out = np.full(len(begin), -1, dtype=np.int32)
-        state = np.zeros(len(begin), dtype=np.int32) if state is None else state
-        item = np.flatnonzero(state >= 0)
-        state, at, end = state[item], begin[item], end[item]
+        item = np.flatnonzero(end > begin)
+        at, state = begin[item], np.zeros(len(item), dtype=np.int32)
         while len(item):
-            over = at >= end
+            to = (self.base[state] + data[at]) & self.mask
+            ok = np.flatnonzero(self.check[to] == state)
+            item, state, at = item[ok], to[ok], at[ok] + 1
+            alone, over = self.base[state] < 0, at >= end[item]
+            if alone.any():
+                self._end(out, item[alone], self.value[state[alone]], data, at[alone], end)
             if over.any():
-                out[item[over]] = state[over]
-                item, state, at, end = item[~over], state[~over], at[~over], end[~over]
-            to, ok = self.step(state, data[at])
-            item, state, at, end = item[ok], to[ok], at[ok] + 1, end[ok]
+                done = over & ~alone
+                out[item[done]] = self.value[state[done]]
+            on = np.flatnonzero(~(alone | over))
+            item, state, at = item[on], state[on], at[on]
         return out
 
-    def find(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, state: np.ndarray | None = None) -> np.ndarray:
-        """The number of the key that data[begin:end] is, or -1."""
-        reached = self.reach(data, begin, end, state)
-        return np.where(reached < 0, -1, self.value[np.maximum(reached, 0)])
+    def _end(self, out: np.ndarray, item: np.ndarray, key: np.ndarray, data: np.ndarray, at: np.ndarray, end: np.ndarray) -> None:
+        """Keys whose tails are what is left."""
+        length = end[item] - at
+        fits = np.flatnonzero(length == self.edges[key + 1] - self.edges[key])
+        item, key, at, length = item[fits], key[fits], at[fits], length[fits]
+        out[item] = np.where(differ(data, at, self.tails, self.edges[key], length), -1, key)
 
 
 def _place(parent: np.ndarray, symbol: np.ndarray, nodes: int, size: int) -> tuple[np.ndarray, np.ndarray] | None:
@@ -96,7 +122,7 @@ def _place(parent: np.ndarray, symbol: np.ndarray, nodes: int, size: int) -> tup
                 break
             n = children[todo]
             owner = np.repeat(np.arange(len(todo)), n)
-            edge = np.repeat(first[todo] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            edge = spread(first[todo], n)
             at = rng.integers(0, size, len(todo))
             spot = (at[owner] + symbol[edge]) & mask
             claim[spot] = owner

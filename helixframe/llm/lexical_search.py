@@ -70,7 +70,7 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
 def document_terms(docs: DataFrame, vocabulary: list[bytes]) -> DataFrame:
     """doc_id, n (all terms of the text), terms (ascending numbers of the vocabulary's terms that it holds) and tfs."""
     trie = DoubleArray.of(vocabulary)
-    shared = docs.sparkSession.sparkContext.broadcast((trie.base, trie.check, trie.value))
+    shared = docs.sparkSession.sparkContext.broadcast(trie.parts)
     v = len(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

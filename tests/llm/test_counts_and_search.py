@@ -175,11 +175,20 @@ def test_collocations_that_no_bucket_may_lose(spark, monkeypatch):
     monkeypatch.setattr(C, "FEWEST_BUCKETS", 3)
     monkeypatch.setattr(C, "MOST_BUCKETS", 3)
     monkeypatch.setattr(C, "_BLOCK", 8)
+    monkeypatch.setattr(C, "_SLICE", 8)
     rows = some_texts()
     got = C.collocations(texts_of(spark, rows), least=4, top=10**6)
     assert sorted(map(tuple, got.collect())) == brute_collocations(rows, 4, 10**6)
 
 
+def test_words_of_one_hash_stay_apart(monkeypatch):
+    monkeypatch.setattr(C, "_word_hashes", lambda data, begin, end: np.zeros(len(begin), dtype=np.uint64))
+    words = C.Words(["a bc. a", "", "bc dd"])
+    assert words.distinct().to_pylist() == ["a", "bc", "dd"]
+    assert words.number.tolist() == [0, 1, 0, 1, 2]
+    assert words.closes.tolist() == [False, True, True, False, True]
+
+
 def test_collocation_scores_beyond_64_bits(spark):
     one = spark.createDataFrame([(3_000_000_000_000, 3_100_000_000_000, 3_200_000_000_000)], "a long, l long, r long")
     a, left, right = 3_000_000_000_000, 3_100_000_000_000, 3_200_000_000_000
