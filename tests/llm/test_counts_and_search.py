@@ -186,7 +186,7 @@ def test_words_of_one_hash_stay_apart(monkeypatch):
     words = C.Words(["a bc. a", "", "bc dd"])
     assert words.distinct().to_pylist() == ["a", "bc", "dd"]
     assert words.number.tolist() == [0, 1, 0, 1, 2]
-    assert words.closes.tolist() == [False, True, True, False, True]
+    assert words.cells().tolist() == [0, 1, -1, 0, -1, 1, 2, -1]
 
 
 def test_collocation_scores_beyond_64_bits(spark):
