@@ -37,8 +37,9 @@ class DoubleArray:
 
     @classmethod
     def build(cls, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> "DoubleArray":
-        """Of the distinct non-empty keys data[begin:end] (uint8)."""
-        begin, end = begin.astype(np.int64), end.astype(np.int64)
+        """Of the distinct non-empty keys data[begin:end] (uint8), which follow one another."""
+        kind = np.int32 if len(data) < 1 << 31 else np.int64
+        begin, end = begin.astype(kind), end.astype(kind)
         node = np.zeros(len(begin), dtype=np.int32)
         rest = end.copy()  # where each key's tail begins
         parents, symbols = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.uint8)]
@@ -67,8 +68,11 @@ class DoubleArray:
         check[slot[1:]] = slot[parent]
         value[slot[node]] = np.arange(len(begin))
         base[slot[node[rest < end]]] = -1
-        edges = np.concatenate([[0], np.cumsum(end - rest)])
-        return cls(base, check, value, data[spread(rest, end - rest)], edges)
+        edges = np.concatenate([[0], np.cumsum(end - rest)]).astype(kind)
+        cover = np.zeros(len(data) + 1, dtype=np.int8)  # keys lie one after the other, tails in their order
+        np.add.at(cover, rest, 1)
+        np.subtract.at(cover, end, 1)
+        return cls(base, check, value, data[np.cumsum(cover[:-1], dtype=np.int8) > 0], edges)
 
     @classmethod
     def of(cls, keys: list[bytes]) -> "DoubleArray":
