@@ -7,6 +7,8 @@ import numpy as np
 #: Nodes of more children are placed first, while the array is empty.
 _CLASSES = (129, 65, 33, 17, 9, 5, 3, 2)
 _ROUNDS = 400
+#: Below all places that a base can name.
+LEAF = -1024
 
 
 def spread(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -25,15 +27,15 @@ def differ(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, length:
 
 
 class DoubleArray:
-    """The state reached from state s by byte b is t = base[s] + b (modulo the
-    size), if check[t] = s; state 0 is the root.  value[t] is the number of
-    the key that ends in t, or -1.  Where one key alone goes on, base[t] is -1
-    and the rest of that key lies in ``tails``, cut by ``edges``."""
+    """The state reached from state s by byte b is t = base[s] + b, if
+    check[t] = s; state 0 is the root.  Where only one key is left, base[t]
+    is LEAF - number of the key, and the rest of it lies in ``tails``, cut by
+    ``edges``; keys that end where others go on are in ``inner`` (states,
+    ascending, and numbers)."""
 
-    def __init__(self, base: np.ndarray, check: np.ndarray, value: np.ndarray, tails: np.ndarray, edges: np.ndarray) -> None:
-        self.parts = base, check, value, tails, edges
-        self.base, self.check, self.value, self.tails, self.edges = self.parts
-        self.mask = len(base) - 1
+    def __init__(self, base: np.ndarray, check: np.ndarray, tails: np.ndarray, edges: np.ndarray, inner: np.ndarray) -> None:
+        self.parts = base, check, tails, edges, inner
+        self.base, self.check, self.tails, self.edges, self.inner = self.parts
 
     @classmethod
     def build(cls, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> "DoubleArray":
@@ -42,6 +44,7 @@ class DoubleArray:
         begin, end = begin.astype(kind), end.astype(kind)
         node = np.zeros(len(begin), dtype=np.int32)
         rest = end.copy()  # where each key's tail begins
+        alone = np.zeros(len(begin), dtype=bool)
         parents, symbols = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.uint8)]
         nodes, depth, active = 1, 0, np.arange(len(begin), dtype=np.int32)
         while len(active):
@@ -52,27 +55,26 @@ class DoubleArray:
             node[active] = nodes + which
             nodes += len(edge)
             depth += 1
-            alone = held[which] == 1
-            rest[active[alone]] = begin[active[alone]] + depth
-            active = active[~alone]
+            last = held[which] == 1
+            alone[active[last]] = True
+            rest[active[last]] = begin[active[last]] + depth
+            active = active[~last]
             active = active[end[active] - begin[active] > depth]
         parent, symbol = np.concatenate(parents), np.concatenate(symbols)  # ascending by parent
-        size = 256  # siblings must not meet
-        while size < 1.6 * nodes:
-            size *= 2
+        size = 256 + nodes + nodes // 4
         while (placed := _place(parent, symbol, nodes, size)) is None:
-            size *= 2
+            size += size // 4
         offset, slot = placed
-        base, check, value = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
+        base, check = np.zeros(size + 256, np.int32), np.full(size + 256, -1, np.int32)
         base[slot] = offset
         check[slot[1:]] = slot[parent]
-        value[slot[node]] = np.arange(len(begin))
-        base[slot[node[rest < end]]] = -1
-        edges = np.concatenate([[0], np.cumsum(end - rest)]).astype(kind)
-        cover = np.zeros(len(data) + 1, dtype=np.int8)  # keys lie one after the other, tails in their order
+        base[slot[node[alone]]] = LEAF - np.flatnonzero(alone)
+        inner = np.stack([slot[node[~alone]], np.flatnonzero(~alone)]).astype(np.int32)
+        cover = np.zeros(len(data) + 1, dtype=np.int8)
         np.add.at(cover, rest, 1)
         np.subtract.at(cover, end, 1)
-        return cls(base, check, value, data[np.cumsum(cover[:-1], dtype=np.int8) > 0], edges)
+        edges = np.concatenate([[0], np.cumsum(end - rest)]).astype(kind)
+        return cls(base, check, data[np.cumsum(cover[:-1], dtype=np.int8) > 0], edges, inner[:, np.argsort(inner[0])])
 
     @classmethod
     def of(cls, keys: list[bytes]) -> "DoubleArray":
@@ -86,16 +88,18 @@ class DoubleArray:
         item = np.flatnonzero(end > begin)
         at, state = begin[item], np.zeros(len(item), dtype=np.int32)
         while len(item):
-            to = (self.base[state] + data[at]) & self.mask
+            to = self.base[state] + data[at]
             ok = np.flatnonzero(self.check[to] == state)
             item, state, at = item[ok], to[ok], at[ok] + 1
-            alone, over = self.base[state] < 0, at >= end[item]
-            if alone.any():
-                self._end(out, item[alone], self.value[state[alone]], data, at[alone], end)
-            if over.any():
-                done = over & ~alone
-                out[item[done]] = self.value[state[done]]
-            on = np.flatnonzero(~(alone | over))
+            left = self.base[state]
+            leaf, over = left <= LEAF, at >= end[item]
+            if leaf.any():
+                self._end(out, item[leaf], LEAF - left[leaf], data, at[leaf], end)
+            done = np.flatnonzero(over & ~leaf)
+            if len(done) and self.inner.shape[1]:
+                spot = np.minimum(np.searchsorted(self.inner[0], state[done]), self.inner.shape[1] - 1)
+                out[item[done]] = np.where(self.inner[0][spot] == state[done], self.inner[1][spot], -1)
+            on = np.flatnonzero(~(leaf | over))
             item, state, at = item[on], state[on], at[on]
         return out
 
@@ -110,12 +114,13 @@ class DoubleArray:
 def _place(parent: np.ndarray, symbol: np.ndarray, nodes: int, size: int) -> tuple[np.ndarray, np.ndarray] | None:
     """base of each node and slot of each node (edge e leads to node e + 1),
     or None where the array is too small.  Nodes with several children try
-    random places, all of a class at once; single children fill what is free."""
-    rng, mask = np.random.default_rng(nodes), size - 1
+    random places, all of a class at once; single children fill what is free.
+    A base may lie up to 255 below 0; then no other byte meets a slot of its own."""
+    rng = np.random.default_rng(nodes)
     children = np.bincount(parent, minlength=nodes).astype(np.int32)
     first = np.searchsorted(parent, np.arange(nodes, dtype=np.int32)).astype(np.int32)
     base, slot = np.zeros(nodes, np.int32), np.zeros(nodes, np.int32)
-    used, claim = np.zeros(size, dtype=bool), np.zeros(size, dtype=np.int32)
+    used, claim = np.zeros(size + 256, dtype=bool), np.zeros(size + 256, dtype=np.int32)
     used[0] = True
     above = 257
     for least in _CLASSES:
@@ -125,10 +130,10 @@ def _place(parent: np.ndarray, symbol: np.ndarray, nodes: int, size: int) -> tup
             if not len(todo):
                 break
             n = children[todo]
-            owner = np.repeat(np.arange(len(todo)), n)
+            owner = np.repeat(np.arange(len(todo), dtype=np.int32), n)
             edge = spread(first[todo], n)
-            at = rng.integers(0, size, len(todo))
-            spot = (at[owner] + symbol[edge]) & mask
+            at = rng.integers(0, size, len(todo), dtype=np.int32)
+            spot = at[owner] + symbol[edge]
             claim[spot] = owner
             failed = np.bincount(owner[used[spot] | (claim[spot] != owner)], minlength=len(todo)) > 0
             good = ~failed[owner]
@@ -144,5 +149,5 @@ def _place(parent: np.ndarray, symbol: np.ndarray, nodes: int, size: int) -> tup
         return None
     edge = first[alone]
     slot[edge + 1] = free
-    base[alone] = (free - symbol[edge]) & mask
+    base[alone] = free - symbol[edge]
     return base, slot
