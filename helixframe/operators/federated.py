@@ -10,16 +10,21 @@ short and a lost executor never forces a replay of earlier rounds.
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import sigmoid
 from ..schemas import FEATURES, TARGET
+from ..session import scratch_path
 
 EPS = 1e-8
 # Training defaults (epochs, learning rates, initial weights).
 GD_EPOCHS, GD_LR = 5, 0.01
+BATCH_SIZE = 32
 SGD_ROWS, SGD_LR = 100, 0.01
 DEMO_ROWS, DEMO_LR = 200, 0.1
 INIT_WEIGHT, INIT_BIAS = 0.01, 0.0
@@ -185,6 +190,95 @@ def local_gd(patients: DataFrame, epochs: int = GD_EPOCHS, lr: float = GD_LR, st
     return out
 
 
+class _Fold:
+    """Minibatch steps of one node; at most one batch of rows waits."""
+
+    def __init__(self, k: int, batch_size: int, lr: float) -> None:
+        self.w, self.b, self.lr, self.batch_size = np.zeros(k), 0.0, lr, batch_size
+        self.x, self.y = np.zeros((0, k)), np.zeros(0)
+        self.steps = 0
+        self.open_epoch()
+
+    def open_epoch(self) -> None:
+        self.n, self.loss, self.hits = 0, 0.0, 0
+
+    def _step(self, x: np.ndarray, y: np.ndarray) -> None:
+        p = 1.0 / (1.0 + np.exp(-np.clip(x @ self.w + self.b, -500.0, 500.0)))
+        self.n += len(y)
+        self.loss -= float(np.sum(y * np.log(p + EPS) + (1 - y) * np.log(1 - p + EPS)))
+        self.hits += int(np.sum((p > 0.5) == (y == 1)))
+        self.w = self.w - self.lr * ((p - y) @ x) / len(y)
+        self.b = self.b - self.lr * float(np.mean(p - y))
+        self.steps += 1
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> None:
+        x, y = np.concatenate([self.x, x]), np.concatenate([self.y, y])
+        whole = len(y) - len(y) % self.batch_size
+        for lo in range(0, whole, self.batch_size):
+            self._step(x[lo:lo + self.batch_size], y[lo:lo + self.batch_size])
+        self.x, self.y = x[whole:], y[whole:]
+
+    def close_epoch(self) -> None:
+        if len(self.y):
+            self._step(self.x, self.y)
+            self.x, self.y = self.x[:0], self.y[:0]
+
+
+def local_minibatch(patients: DataFrame, epochs: int = GD_EPOCHS, batch_size: int = BATCH_SIZE, lr: float = GD_LR,
+                    standardize: bool = True, seed: int = 17) -> DataFrame:
+    """Minibatch gradient descent per node from zero weights.
+
+    Each epoch puts a node's rows in an order of its own, by md5 of seed,
+    epoch and ``patient_id`` (then the id), and takes steps with the mean
+    gradient of ``batch_size`` rows; the last batch may be smaller.  Rows are
+    shuffled and sorted by (node, epoch, order) and folded as they stream by:
+    a task holds the weights and one unfinished batch, whatever the node's
+    size.  Steps of one node follow one another, so a node is one task's work.
+
+    Output per node: w0.., bias, n_samples, steps, and final_loss and
+    final_accuracy over the last epoch's batches, each before its step.  Rows
+    without a value among features and target are left out; an empty frame
+    gives no rows."""
+    data = standardize_per_node(patients) if standardize else patient_features(patients)
+    data = data.select("node_id", "patient_id", *FEATURES, TARGET).dropna(subset=FEATURES + [TARGET])
+    key = F.concat_ws(":", F.lit(str(seed)), F.col("_e").cast("string"), F.col("patient_id").cast("string"))
+    each = data.withColumn("_e", F.explode(F.sequence(F.lit(1), F.lit(epochs)))).withColumn("_o", F.md5(key.cast("binary")))
+    rows = each.repartition("node_id").sortWithinPartitions("node_id", "_e", "_o", "patient_id").select(
+        "node_id", "_e", *FEATURES, TARGET)
+    k, names = len(FEATURES), ["node_id", *_weights_cols(), "bias", "n_samples", "steps", "final_loss", "final_accuracy"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fold, node, epoch = None, None, None
+
+        def row() -> pa.RecordBatch:
+            fold.close_epoch()
+            values = [node, *fold.w.tolist(), fold.b, fold.n, fold.steps, fold.loss / fold.n, fold.hits / fold.n]
+            return pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names=names)
+
+        for batch in batches:
+            nodes, epochs_ = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            values = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[2:]], axis=1)
+            cuts = [0, *[i for i in range(1, len(nodes)) if (nodes[i], epochs_[i]) != (nodes[i - 1], epochs_[i - 1])], len(nodes)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if lo == hi:
+                    continue
+                if fold is None or nodes[lo] != node:
+                    if fold is not None:
+                        yield row()
+                    fold, node, epoch = _Fold(k, batch_size, lr), nodes[lo], epochs_[lo]
+                elif epochs_[lo] != epoch:
+                    fold.close_epoch()
+                    fold.open_epoch()
+                    epoch = epochs_[lo]
+                fold.add(values[lo:hi, :k], values[lo:hi, k])
+        if fold is not None:
+            yield row()
+
+    types = ", ".join(f"{c} double" for c in _weights_cols())
+    return rows.mapInArrow(run, f"node_id string, {types}, bias double, n_samples long, steps long, final_loss double, "
+                                "final_accuracy double")
+
+
 def local_sgd(patients: DataFrame, model: DataFrame, n_rows: int = SGD_ROWS, lr: float = SGD_LR,
               clip: bool = True) -> DataFrame:
     """Per-row SGD over the first ``n_rows`` rows of each node (ordered by
@@ -194,11 +288,20 @@ def local_sgd(patients: DataFrame, model: DataFrame, n_rows: int = SGD_ROWS, lr:
     fold over a bounded array: ``row_number() <= n`` is planned as a
     per-partition group limit before the shuffle, and only n rows per node
     are gathered."""
+    return sgd_fold(first_rows(patients, n_rows), model, lr, clip)
+
+
+def first_rows(patients: DataFrame, n_rows: int) -> DataFrame:
+    """node_id, _rows (the first ``n_rows`` rows by ``patient_id``), n_rows."""
     w = Window.partitionBy("node_id").orderBy("patient_id")
-    rows = (patients.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n_rows)
+    return (patients.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n_rows)
             .groupBy("node_id")
             .agg(F.sort_array(F.collect_list(F.struct("_rn", *FEATURES, TARGET))).alias("_rows"),
                  F.count(F.lit(1)).alias("n_rows")))
+
+
+def sgd_fold(rows: DataFrame, model: DataFrame, lr: float = SGD_LR, clip: bool = True) -> DataFrame:
+    """One step a row over the gathered rows of each node, from the one-row ``model``."""
     j = rows.select("*", *model_scalars(model))
     init = F.struct(*[F.col(c).cast("double").alias(c) for c in _weights_cols()],
                     F.col("bias").cast("double").alias("bias"))
@@ -213,8 +316,9 @@ def local_sgd(patients: DataFrame, model: DataFrame, n_rows: int = SGD_ROWS, lr:
                         (acc["bias"] + lr * err).alias("bias"))
 
     fold = F.aggregate("_rows", init, step)
+    keep = [c for c in rows.columns if c not in ("node_id", "_rows", "n_rows")]
     return j.select("node_id", *[fold[f"w{i}"].alias(f"w{i}") for i in range(len(FEATURES))],
-                    fold["bias"].alias("bias"), "n_rows")
+                    fold["bias"].alias("bias"), "n_rows", *keep)
 
 
 def weight_columns(df: DataFrame) -> list[str]:
@@ -277,44 +381,94 @@ def evaluate_nodes(data: DataFrame, model: DataFrame, threshold_ge: bool = True)
                       (F.col("correct") / F.col("n")).alias("accuracy"))
 
 
+def _published(spark, path: str, r: int) -> DataFrame:
+    """The model that opened round ``r``: w0.. and bias, one row."""
+    m = spark.read.schema("weights array<double>, bias double").json(f"{path}/round={r}")
+    return m.select(*[F.get("weights", i).alias(c) for i, c in enumerate(_weights_cols())], "bias")
+
+
+def long_updates(updates: DataFrame) -> DataFrame:
+    """node_id, n_samples, i, w: one row a node and weight; the bias comes last."""
+    return updates.select("node_id", "n_samples", F.posexplode(F.array(*_weights_cols(), "bias")).alias("i", "w"))
+
+
+def average_long(updates: DataFrame) -> DataFrame:
+    """The n-weighted mean of long updates as one row: weights, bias."""
+    k = len(FEATURES)
+    mean = updates.groupBy("i").agg((F.sum(F.col("w") * F.col("n_samples")) / F.sum("n_samples")).alias("w"))
+    every = mean.agg(F.sort_array(F.collect_list(F.struct("i", "w")))["w"].alias("w"))
+    return every.select(F.slice("w", 1, k).alias("weights"), F.get("w", k).alias("bias"))
+
+
 def fed_train(patients: DataFrame, rounds: int = 3, local: str = "sgd", n_rows: int = DEMO_ROWS,
-              lr: float = DEMO_LR, epochs: int = 1, scale: str = "fixed") -> DataFrame:
-    """Rounds of broadcast -> local training per node -> FedAvg -> evaluate.
+              lr: float = DEMO_LR, epochs: int = 1, scale: str = "fixed", path: str | None = None) -> DataFrame:
+    """The hub's loop: publish a model, train at the nodes, average, publish.
+
+    Round k reads the model published for it (as the broadcast sink does) under
+    ``path`` (a folder of its own in the shared checkpoint folder by default)
+    and publishes that of round k + 1: the written folder is the barrier, so
+    every round's plan is of the same size and a lost executor never forces a
+    replay of earlier rounds.  The patients are read once; SGD then runs on
+    the nodes' first rows, gathered and landed before the first round.  All
+    rounds' models are evaluated together by one scan of the landed data.
 
-    Each round's global model (one row) is checkpointed, so the plan of
-    round k does not embed rounds 1..k-1.  Output: one row per round with
-    the weights, bias and global/per-node accuracy."""
+    One row per round: w0.., bias (after the round), ``GLOBAL`` accuracy, and
+    ``accuracy``: a map of node -> accuracy."""
+    from ..streaming.rounds import publish
+
+    spark = patients.sparkSession
+    path = path or scratch_path(spark, f"fed-{uuid.uuid4().hex}")
     data = scale_fixed(patients) if scale == "fixed" else (
         standardize_per_node(patients) if scale == "zscore" else patient_features(patients))
     data = data.checkpoint(eager=True)
-    spark = patients.sparkSession
-    model = initial_model(None, spark)
-    history = []
+    if local == "sgd":
+        sizes = data.groupBy("node_id").agg(F.count(F.lit(1)).alias("n_samples"))
+        gathered = first_rows(data, n_rows).join(sizes, "node_id").checkpoint(eager=True)
+
+    def send(model: DataFrame, r: int) -> None:
+        publish(model.select(F.lit(r).alias("round"), "weights", "bias"), path, ["round"])
+
+    send(model_array(initial_model(None, spark)), 1)
     for r in range(1, rounds + 1):
+        model = _published(spark, path, r)
         if local == "sgd":
-            upd = local_sgd(data, model, n_rows, lr, clip=True)
-            sizes = data.groupBy("node_id").agg(F.count(F.lit(1)).alias("n_samples"))
-            upd = upd.join(sizes, "node_id")
+            updates = sgd_fold(gathered, model, lr)
         else:
-            nodes_model = data.select("node_id").distinct().select("node_id", *model_scalars(model))
-            upd = local_gd(data, epochs=epochs, lr=lr, standardize=False, model=nodes_model)
-        model = fed_avg(upd).select(*_weights_cols(), "bias").checkpoint(eager=True)
-        acc = evaluate_nodes(data, model)
-        accs = acc.groupBy().pivot("node_id").agg(F.first("accuracy"))
-        history.append(model.select("*", *[accs.select(c).scalar().alias(c) for c in accs.columns])
-                       .withColumn("round", F.lit(r)))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), history)
+            nodes = data.select("node_id").distinct().select("node_id", *model_scalars(model))
+            updates = local_gd(data, epochs=epochs, lr=lr, standardize=False, model=nodes)
+        send(average_long(long_updates(updates)), r + 1)
+
+    models = spark.read.schema("weights array<double>, bias double, round int").json(path).where("round > 1").select(
+        (F.col("round") - 1).alias("round"), "weights", "bias")
+    # one row of all rounds' models (bounded by the rounds) meets the data as a scalar
+    every = models.agg(F.sort_array(F.collect_list(F.struct("round", "weights", "bias")))).scalar()
+    each = data.select("node_id", TARGET, *FEATURES, F.explode(every).alias("m"))
+    z = F.col("m.bias")
+    for i, f in enumerate(FEATURES):
+        z = z + F.get("m.weights", F.lit(i)) * F.col(f)
+    hit = (sigmoid(z) >= 0.5) == (F.col(TARGET) == 1)
+    per = each.groupBy(F.col("m.round").alias("round"), "node_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(hit).alias("correct"))
+    acc = per.groupBy("round").agg(
+        (F.sum("correct") / F.sum("n")).alias("GLOBAL"),
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("node_id", F.col("correct") / F.col("n"))))).alias("accuracy"))
+    return models.join(acc, "round").select(
+        *[F.get("weights", i).alias(c) for i, c in enumerate(_weights_cols())], "bias", "GLOBAL", "accuracy", "round")
 
 
 def model_json(model: DataFrame) -> Column:
-    """The model as JSON text with every number written as 17 significant
-    digits (``%.16e``): lossless, and of a length that does not depend on
-    how an engine shortens doubles."""
+    """The model as the JSON text that is sent: ", " and ": " between parts,
+    the nodes aggregated if the frame names them, every number of the weights
+    as 17 significant digits (``%.16e``): lossless, and of a length that does
+    not depend on how an engine shortens doubles."""
     num = lambda c: F.format_string("%.16e", c)
-    return F.concat(
-        F.lit('{"weights":['), F.array_join(F.transform("weights", num), ","),
-        F.lit('],"bias":'), num(F.col("bias")),
-        F.lit(',"total_samples":'), F.col("total_samples").cast("string"), F.lit("}"))
+    parts = [F.lit('{"weights": ['), F.array_join(F.transform("weights", num), ", "),
+             F.lit('], "bias": '), num(F.col("bias")),
+             F.lit(', "total_samples": '), F.col("total_samples").cast("string")]
+    if "nodes_aggregated" in model.columns:
+        quoted = F.transform("nodes_aggregated", lambda x: F.concat(F.lit('"'), x, F.lit('"')))
+        parts += [F.lit(', "nodes_aggregated": ['), F.array_join(quoted, ", "), F.lit("]")]
+    return F.concat(*parts, F.lit("}"))
 
 
 def fed_transfer_report(model: DataFrame, per_node_baseline: int = 1000,

@@ -222,24 +222,68 @@ def fed_train_oracle(rounds: int, n_rows: int, lr: float) -> str:
     return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(sel)
 
 
+def _fed_train(t, rounds):
+    out = FD.fed_train(P.px_patients(t), rounds=rounds, local="sgd")
+    return _r(out, [f"w{i}" for i in range(5)] + ["bias"]).select(
+        *[f"w{i}" for i in range(5)], "bias", *[F.col("accuracy")[nd].alias(nd) for nd in NODES], "GLOBAL",
+        F.col("round").cast("int").alias("round"))
+
+
 @register("fed_train", W(fed_train_oracle(3, FD.DEMO_ROWS, FD.DEMO_LR), "px_patients"))
 def fed_train(t):
     """Three demo rounds (SGD clients on the first 200 rows per node, FedAvg,
     evaluation of the new global model per node and overall)."""
-    out = FD.fed_train(P.px_patients(t), rounds=3, local="sgd")
-    return _r(out, [f"w{i}" for i in range(5)] + ["bias"]).select(
-        *[f"w{i}" for i in range(5)], "bias", *NODES, "GLOBAL", F.col("round").cast("int").alias("round"))
+    return _fed_train(t, 3)
+
+
+@register("fed_train_rounds", W(fed_train_oracle(10, FD.DEMO_ROWS, FD.DEMO_LR), "px_patients"))
+def fed_train_rounds(t):
+    """Ten rounds of the hub's loop over published models."""
+    return _fed_train(t, 10)
+
+
+def minibatch_oracle(epochs: int, size: int, lr: float, seed: int) -> str:
+    """Batches numbered over all epochs, one step a batch by a recursive CTE."""
+    zs = ", ".join(f"{_ZSCORE.format(c=c)} AS {c}" for c in FEATURES)
+    p = _sig("s.b + " + " + ".join(f"s.w{i} * d.{c}" for i, c in enumerate(FEATURES)))
+    step = ", ".join(f"s.w{i} - {lr} * avg(({p} - d.y) * d.{c})" for i, c in enumerate(FEATURES))
+    ws = ", ".join(f"s.w{i}" for i in range(5))
+    return f"""
+WITH RECURSIVE z AS (SELECT node_id, patient_id, {zs}, CAST(diagnosis_cancer AS DOUBLE) AS y FROM px_patients),
+d AS (SELECT z.*, e, (e - 1) * CAST(ceil(count(*) OVER (PARTITION BY node_id, e) / {size}.0) AS BIGINT)
+        + (row_number() OVER (PARTITION BY node_id, e ORDER BY md5('{seed}:' || e || ':' || patient_id), patient_id) - 1) // {size} AS k
+      FROM z, range(1, {epochs + 1}) r(e)),
+s(node_id, k, w0, w1, w2, w3, w4, b) AS (
+  SELECT DISTINCT node_id, CAST(0 AS BIGINT), {', '.join(['CAST(0.0 AS DOUBLE)'] * 6)} FROM d
+  UNION ALL
+  SELECT s.node_id, s.k + 1, {step}, s.b - {lr} * avg({p} - d.y)
+  FROM s JOIN d ON d.node_id = s.node_id AND d.k = s.k GROUP BY s.node_id, s.k, {ws}, s.b),
+l AS (SELECT d.node_id, d.y, {p} AS p FROM s JOIN d ON d.node_id = s.node_id AND d.k = s.k WHERE d.e = {epochs}),
+f AS (SELECT node_id, count(*) AS n_samples, -avg(y * ln(p + 1e-8) + (1 - y) * ln(1 - p + 1e-8)) AS final_loss,
+        avg(CASE WHEN (p > 0.5) = (y = 1) THEN 1.0 ELSE 0.0 END) AS final_accuracy FROM l GROUP BY node_id)
+SELECT s.node_id, {', '.join(f'round(w{i}, {_D}) + 0.0 AS w{i}' for i in range(5))}, round(b, {_D}) + 0.0 AS bias, n_samples,
+  k AS steps, round(final_loss, {_D}) + 0.0 AS final_loss, round(final_accuracy, {_D}) + 0.0 AS final_accuracy
+FROM s JOIN f ON s.node_id = f.node_id WHERE k = (SELECT max(k) FROM s x WHERE x.node_id = s.node_id)"""
+
+
+@register("local_minibatch", W(minibatch_oracle(FD.GD_EPOCHS, FD.BATCH_SIZE, FD.GD_LR, 17), "px_patients"))
+def local_minibatch(t):
+    """Five epochs in batches of 32 rows, in a seeded order of their own per node and epoch."""
+    out = FD.local_minibatch(P.px_patients(t))
+    return _r(out, [f"w{i}" for i in range(5)] + ["bias", "final_loss", "final_accuracy"])
 
 
 def transfer_report_oracle() -> str:
     gd = gd_oracle(FD.GD_EPOCHS)
     body = gd[gd.index("WITH ") + 5:gd.rindex("\nSELECT ")]
     num = "printf('%.16e', {})"
-    js = ("'{\"weights\":[' || " + " || ',' || ".join(num.format(f"w{i}") for i in range(5))
-          + " || '],\"bias\":' || " + num.format("b") + " || ',\"total_samples\":' || CAST(n AS VARCHAR) || '}'")
+    js = ("'{\"weights\": [' || " + " || ', ' || ".join(num.format(f"w{i}") for i in range(5))
+          + " || '], \"bias\": ' || " + num.format("b") + " || ', \"total_samples\": ' || CAST(n AS VARCHAR)"
+          " || ', \"nodes_aggregated\": [\"' || nodes || '\"]}'")
     return f"""WITH {body},
 g AS (SELECT {", ".join(f"sum(w{i} * n_samples) / sum(n_samples) AS w{i}" for i in range(5))},
-        sum(b * n_samples) / sum(n_samples) AS b, CAST(sum(n_samples) AS BIGINT) AS n FROM e{FD.GD_EPOCHS})
+        sum(b * n_samples) / sum(n_samples) AS b, CAST(sum(n_samples) AS BIGINT) AS n,
+        string_agg(node_id, '", "' ORDER BY node_id) AS nodes FROM e{FD.GD_EPOCHS})
 SELECT n / 1000.0 AS volume_gain, CAST(n * 51200 AS BIGINT) AS raw_bytes_est,
   CAST(length({js}) AS BIGINT) AS weights_bytes, CAST(n * 51200 AS DOUBLE) / length({js}) AS reduction_factor
 FROM g"""
@@ -249,5 +293,5 @@ FROM g"""
 def fed_transfer_report(t):
     """Transfer report of the global model after FedAvg of the five-epoch
     node models."""
-    m = FD.model_array(FD.fed_avg(FD.local_gd(P.px_patients(t))).drop("nodes_aggregated"))
+    m = FD.model_array(FD.fed_avg(FD.local_gd(P.px_patients(t))))
     return FD.fed_transfer_report(m)

@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..streaming import hub as H
 from ..streaming import ingest as I
 from ..streaming import rounds as R
 from . import proxy as P
@@ -68,6 +69,45 @@ def round_aggregator_batch(t):
                     F.round(F.get("weights", 1), 9).alias("w1"), F.round("bias", 9).alias("bias"))
 
 
+_ARRIVALS = """
+u AS (SELECT 'hub-' || CAST(round % 2 AS VARCHAR) AS hub, CAST(floor(round / 2) AS BIGINT) AS round, node_id, n_samples,
+        w0, w1, bias, event_id, (event_id * 7 + round) % 3 AS part FROM px_updates),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hub, round, node_id ORDER BY part, event_id) AS again FROM u) x
+      WHERE again = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY hub, round ORDER BY part, event_id) AS place FROM f)"""
+
+
+@register("hub_rounds", W(f"""
+WITH {_ARRIVALS}
+SELECT hub, round, CASE WHEN count(*) = {NUM_NODES} THEN 'complete' ELSE 'incomplete' END AS status, count(*) AS n_nodes,
+  CAST(sum(n_samples) AS BIGINT) AS total_samples,
+  CASE WHEN count(*) = {NUM_NODES} THEN round(list_reduce(list(w0 * n_samples ORDER BY node_id), lambda a, b: a + b) / sum(n_samples), 13) + 0.0 END AS w0,
+  CASE WHEN count(*) = {NUM_NODES} THEN round(list_reduce(list(w1 * n_samples ORDER BY node_id), lambda a, b: a + b) / sum(n_samples), 13) + 0.0 END AS w1,
+  CASE WHEN count(*) = {NUM_NODES} THEN round(list_reduce(list(bias * n_samples ORDER BY node_id), lambda a, b: a + b) / sum(n_samples), 13) + 0.0 END AS bias,
+  string_agg(node_id, ',' ORDER BY node_id) AS nodes_aggregated
+FROM o WHERE place <= {NUM_NODES} GROUP BY hub, round""", "px_updates"))
+def hub_rounds(t):
+    """Two hubs whose updates arrive in three triggers, late, early and
+    repeated ones among them; a heartbeat at last closes every round that
+    waits.  Complete and incomplete rounds equal the batch SQL."""
+    spark = t.spark
+    src, out, ck = _scratch(t, "hub-updates"), _scratch(t, "hub-rounds"), _scratch(t, "hub-ckpt")
+    u = _messages(t).withColumn("part", (F.col("event_id") * 7 + F.col("round")) % 3)
+    u = u.withColumn("hub", F.concat(F.lit("hub-"), (F.col("round") % 2).cast("string"))).withColumn(
+        "round", F.floor(F.col("round") / 2).cast("long"))
+    last = t.events.agg(F.max("ts").alias("ts"))
+    beats = spark.createDataFrame([("hub-0",), ("hub-1",)], "hub string").select(
+        "hub", (last.scalar() + F.expr("INTERVAL 100 DAYS")).alias("ts"))
+    for part in range(3):
+        u.where(F.col("part") == part).drop("part").write.mode("append").json(src)
+        if part == 2:
+            beats.write.mode("append").json(src)
+        H.run_hub(spark, src, out, ck, NUM_NODES, timeout="10 minutes", watermark="60 days", first_round=0)
+    r = H.read_rounds(spark, out)
+    return r.select("hub", "round", "status", "n_nodes", "total_samples", F.round(F.get("weights", 0), 13).alias("w0"),
+                    F.round(F.get("weights", 1), 13).alias("w1"), F.round("bias", 13).alias("bias"), "nodes_aggregated")
+
+
 @register("stream_ingest_flat", W("""
 SELECT chromosome, position, ref, alt, quality, filter, sample_id FROM px_flat, (SELECT 'HG-proxy' AS sample_id)""",
                                   "px_flat"))

@@ -174,14 +174,20 @@ def round_aggregator_batch(updates: DataFrame, num_nodes: int) -> DataFrame:
                     F.col("total_samples").cast("long"), "weights", "bias", "nodes_aggregated"))
 
 
-def broadcast_sink(batch: DataFrame, epoch_id: int, path: str) -> None:
+def broadcast_sink(batch: DataFrame, epoch_id: int, path: str, by: list[str] | None = None) -> None:
     """``foreachBatch`` sink publishing ``{round, weights, bias}`` per
-    completed round; written per round folder with overwrite, so a replayed
-    micro-batch rewrites the same files (idempotent by round)."""
-    done = batch.where(F.col("status") == "complete").select("round", "weights", "bias")
-    if done.isEmpty():
-        return
-    done.write.mode("overwrite").partitionBy("round").option("partitionOverwriteMode", "dynamic").json(path)
+    completed round; written per round folder (or per folder of ``by``) with
+    overwrite, so a replayed micro-batch rewrites the same files (idempotent
+    by round)."""
+    by = by or ["round"]
+    done = batch.where(F.col("status") == "complete").select(*by, "weights", "bias")
+    if not done.isEmpty():
+        publish(done, path, by)
+
+
+def publish(models: DataFrame, path: str, by: list[str]) -> None:
+    """Write models as JSON, one folder for each value of ``by``; folders that are there already are replaced."""
+    models.write.mode("overwrite").partitionBy(*by).option("partitionOverwriteMode", "dynamic").json(path)
 
 
 def run_rounds(spark: SparkSession, source: str, out: str, checkpoint: str, num_nodes: int,
