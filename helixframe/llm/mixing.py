@@ -2,12 +2,12 @@
 
 A source with n rows, target weight w and a mixture of N rows repeats each
 of its documents Poisson(N * w / n) times.  The draw inverts the Poisson
-distribution at a uniform number hashed from (seed, id, draw): a document's
+distribution at a uniform number hashed from (seed, id and text, draw): a document's
 count depends on nothing but the rates and the seed, so lost tasks recompute
 the same mixture.  A rate above 8 is drawn as a sum of independent draws of
 at most 8 each, so the inversion table has :data:`TERMS` entries at any
 rate.  The documents are exploded by count and shuffled globally by a hash
-of (seed, id, copy).
+of (seed, id and text, copy).
 """
 
 from __future__ import annotations
@@ -27,6 +27,12 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def own_key() -> Column:
+    """What tells a document's draws apart: its id and md5 of its text (null: empty)."""
+    text = F.md5(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8"))
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text)
+
+
 def source_rates(docs: DataFrame, weights: dict[str | None, float] | None = None, power: float = 0.5,
                  total: int | None = None) -> DataFrame:
     """source, n, rate: how often each document of a source is repeated on
@@ -69,7 +75,8 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
     """The documents, each repeated by its count, in a global pseudo-random
     order, with the extra columns copy_no (1 to count) and shuffle_key.
 
-    Rows with equal ids get equal counts; a null id draws as the empty part.
+    A row draws by its id and its text's digest: rows without id, or under one
+    id, draw apart unless their texts are equal, too; repeated rows draw alike.
     A document whose count is 0 has no row: that is the sampling asked for.
     Null texts and extra columns pass unchanged; a column of the input named
     copy_no or shuffle_key is replaced.  An empty table gives no rows.
@@ -79,16 +86,16 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
         F.col("source").alias("__source"), F.col("draws").alias("__draws"), F.col("cdf").alias("__cdf"))
     if weights is not None or rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
-    drawn = docs.select(*[F.col(f"`{c}`") for c in cols]).join(rates, F.col("source").eqNullSafe(F.col("__source")))
+    drawn = docs.select(*[F.col(f"`{c}`") for c in cols]).withColumn("__own", own_key()).join(rates, F.col("source").eqNullSafe(F.col("__source")))
     count = F.aggregate(
         F.sequence(F.lit(1), F.col("__draws")), F.lit(0),
         lambda a, j: a + F.aggregate(
-            F.array(uniform(F.lit(seed), F.col("doc_id"), j)), F.lit(0),
+            F.array(uniform(F.lit(seed), F.col("__own"), j)), F.lit(0),
             lambda b, u: b + F.size(F.filter("__cdf", lambda c: c <= u))))
     drawn = drawn.withColumn("__count", count).where("__count > 0")
     copies = drawn.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("__count"))))
     copies = copies.withColumn("shuffle_key", F.conv(F.substring(F.md5(F.encode(F.concat_ws(
-        ":", F.lit(f"order {seed}"), F.col("doc_id").cast("string"), F.col("copy_no").cast("string")), "UTF-8")), 1, 15),
+        ":", F.lit(f"order {seed}"), F.col("__own"), F.col("copy_no").cast("string")), "UTF-8")), 1, 15),
         16, 10).cast("long"))
     return (copies.select(*[F.col(f"`{c}`") for c in cols], "copy_no", "shuffle_key")
             .repartition(F.col("shuffle_key")).sortWithinPartitions("shuffle_key"))

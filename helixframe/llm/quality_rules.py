@@ -9,7 +9,7 @@ no shuffle: one scan, one projection.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ class Rule:
 
 #: Base rules of the contract, compared in integers (see ``base_failed``), come first; these follow.
 RULES = (
-    Rule("word_count", "n_words", 20, 100_000),
+    Rule("word_count", "n_words", 20, None),
     Rule("mean_word_length", "mean_word_chars", 2, 14),
     Rule("symbol_ratio", "symbols_per_word", None, 0.3),
     Rule("stop_words", "stop_word_ratio", 0.01, None),
@@ -47,11 +47,6 @@ RULES = (
     Rule("alphabetic_words", "alpha_word_ratio", 0.6, None),
 )
 
-#: The rules of the pipeline's stage: as above, but length alone never speaks against a long text (the contract's SQL
-#: of op8 has the upper bound).
-STAGE_RULES = tuple(replace(r, highest=None) if r.name == "word_count" else r for r in RULES)
-
-
 def _paired(h: Column, step: int) -> Column:
     """Hash of each element with the one ``step`` further on."""
     return F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + step)))
@@ -152,7 +147,7 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
             .withColumn("kept", ~F.col("base_failed") & verdict(rules)))
 
 
-def apply_quality(docs: DataFrame, rules: tuple[Rule, ...] = STAGE_RULES) -> DataFrame:
+def apply_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents the rules keep, with their columns as they came.  The
     whole row rides along as one struct, so no join is needed and no column
     of the input can clash with a metric."""

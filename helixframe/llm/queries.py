@@ -89,16 +89,15 @@ steps AS (SELECT source, greatest(1, ceil(rate / 8.0))::INT AS draws, rate FROM
 terms AS (SELECT source, draws, k, exp(-(rate / draws)) * pow(rate / draws, k::DOUBLE) / gamma(k + 1.0) AS p
           FROM steps, range(0, 64) r(k)),
 cdf AS (SELECT source, draws, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms),
-ids AS (SELECT DISTINCT doc_id, source FROM documents),
-draw AS (SELECT i.doc_id, i.source, j,
-                ('0x' || substr(md5('17:' || i.doc_id || ':' || j), 1, 13))::BIGINT / 4503599627370496.0 AS u
-         FROM ids i JOIN steps s ON i.source IS NOT DISTINCT FROM s.source, range(1, 1000) r(j) WHERE j <= s.draws),
-hits AS (SELECT d.doc_id, d.source, count(*) FILTER (WHERE c.c <= d.u) AS n
-         FROM draw d JOIN cdf c ON d.source IS NOT DISTINCT FROM c.source GROUP BY d.doc_id, d.source)
-SELECT d.doc_id, d.source, d.lang, d.n_chars, d.text, CAST(copy_no AS INT) AS copy_no,
-       ('0x' || substr(md5('order 17:' || d.doc_id || ':' || copy_no), 1, 15))::BIGINT AS shuffle_key
-FROM documents d JOIN hits h ON d.doc_id = h.doc_id AND d.source IS NOT DISTINCT FROM h.source,
-     range(1, 1000) r(copy_no) WHERE copy_no <= h.n"""
+ids AS (SELECT DISTINCT doc_id, source, coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) AS own FROM documents),
+draw AS (SELECT own, source, ('0x' || substr(md5('17:' || own || ':' || j), 1, 13))::BIGINT / 4503599627370496.0 AS u
+         FROM (SELECT i.own, i.source, unnest(range(1, draws + 1)) AS j FROM ids i JOIN steps s ON i.source IS NOT DISTINCT FROM s.source)),
+hits AS (SELECT d.own, d.source, count(*) FILTER (WHERE c.c <= d.u) AS n
+         FROM draw d JOIN cdf c ON d.source IS NOT DISTINCT FROM c.source GROUP BY d.own, d.source),
+x AS (SELECT d.*, own, unnest(range(1, h.n + 1)) AS copy_no FROM documents d JOIN hits h
+      ON coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) = h.own AND d.source IS NOT DISTINCT FROM h.source)
+SELECT doc_id, source, lang, n_chars, text, CAST(copy_no AS INT) AS copy_no,
+       ('0x' || substr(md5('order 17:' || own || ':' || copy_no), 1, 15))::BIGINT AS shuffle_key FROM x"""
 _OP3 = rf"""
 WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
                   regexp_replace(coalesce(text, ''), '{_WS}+', '', 'g') AS norm FROM documents),
@@ -110,7 +109,7 @@ _OP8 = rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 a AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '{_WS}+'), lambda x: x <> '') AS w,
              list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
-p AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS win FROM a, range(1, 200000) r(i) WHERE i <= len(w) - 7),
+p AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM a)),
 d AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS c FROM p) WHERE c > 1),
 r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM d, range(0, 8) s(k) GROUP BY doc_id),
 m AS (SELECT a.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '{_WS}+', '', 'g')) AS word_chars,
@@ -123,7 +122,7 @@ m AS (SELECT a.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '{_WS
       FROM a LEFT JOIN r ON a.doc_id = r.doc_id),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND n_words BETWEEN 20 AND 100000 AND word_chars / n_words BETWEEN 2 AND 14
+       NOT base_failed AND n_words >= 20 AND word_chars / n_words BETWEEN 2 AND 14
        AND n_symbols / n_words <= 0.3 AND stops / n_words >= 0.01 AND alphas / n_words >= 0.6
        AND (lines = 0 OR (n_dup_lines / lines <= 0.5 AND bullets / lines <= 0.9 AND dots / lines <= 0.3)) AS kept
 FROM b"""

@@ -33,6 +33,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # the runs of [0-9a-f]+ that have 16 charact
 CONTEXT = re.compile(
     r"""(?:password|passwd|passphrase|pwd|secret|token|api_?key|access_?key|private_?key|credentials?|auth|login)["']?"""
     r"""\x20*[:=]\x20*["']?([^\x20\x09-\x0D"'<>,;]+)""", re.I | re.A)
+#: No keyword with its sign is longer.
+_KEYWORD = 16
 _HINT = re.compile("pass|pwd|secret|token|key|credential|auth|login", re.I | re.A)
 #: A value that takes at least 10 to this power guesses is a secret.
 GUESSES_LOG10 = 10.0
@@ -176,6 +178,8 @@ def credential_spans(text: str, words: dict[str, int], base: list[tuple[int, int
         if not covered and guess_cost(m[1], words) >= least:
             found.append((start, 3, end))
             start = end
+        elif covered:  # values of contexts inside end where this one does: only a context that ends there can go on
+            start = max(start, end - _KEYWORD)
         m = CONTEXT.search(text, start)
     return found
 

@@ -33,6 +33,7 @@ MAGIC = b"\x1f\x8b\x08"
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 RANGE_BYTES = 16 << 20
 READ_BYTES = 1 << 20
+MOST_TASKS = 20_000
 #: Payloads of this size or more are stored once.
 REVISIT_BYTES = 1000
 LEVEL = 6
@@ -51,7 +52,9 @@ def with_revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     holders = (rows.where(F.col("key").isNotNull()).groupBy("key")
                .agg(F.max("page_id").alias("holder"), F.count(F.lit(1)).alias("n")).where("n > 1")
                .select(F.col("key").alias("held"), "holder"))
-    out = rows.join(holders, F.col("key") == F.col("held"), "left")
+    # small pages meet nothing; a key of their own spreads them instead of gathering all nulls in one task
+    own = F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))
+    out = rows.withColumn("key", F.coalesce("key", own)).join(holders, F.col("key") == F.col("held"), "left")
     revisit = F.col("holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("holder"))
     return out.select("page_id", "url", "payload", F.sha1("payload").alias("payload_digest"),
                       F.when(revisit, "revisit").otherwise("response").alias("record_type"),
@@ -190,7 +193,9 @@ def read_warc(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) ->
     files = spark.read.format("binaryFile").load(path).select("path", "length")
     ranges = files.select("path", "length", F.explode(F.expr(
         f"sequence(0L, greatest(length - 1, 0L), {int(range_bytes)}L)")).alias("start"))
-    ranges = ranges.where("length > 0").repartition(F.col("path"), F.col("start"))
+    ranges = ranges.where("length > 0")
+    # as many tasks as ranges: the few bytes of these rows must not make one task of them
+    ranges = ranges.repartition(min(MOST_TASKS, max(1, ranges.count())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
