@@ -36,6 +36,28 @@ def region_variants(variants: DataFrame, contig: str, start: int, end: int, limi
     return out.limit(limit) if limit else out
 
 
+def contig_spellings(contig: str) -> list[str]:
+    """A contig with and without ``chr``: an IN list that the scan can push down."""
+    bare = contig[3:] if contig.lower().startswith("chr") else contig
+    return [bare, f"chr{bare}"]
+
+
+def overlaps_region(contig: str, start: int, end: int) -> Column:
+    """Spans [start_position, end_position) that touch the region's positions
+    ``start`` to ``end`` (0-based, both inclusive), under either spelling of
+    the contig; every part is pushed down to the scan."""
+    return (F.col("reference_name").isin(contig_spellings(contig)) & (F.col("start_position") <= end)
+            & (F.col("end_position") > start))
+
+
+def region_overlaps(variants: DataFrame, contig: str, start: int, end: int, limit: int | None = 100) -> DataFrame:
+    """As ``region_variants``, but sites that begin before the region and
+    reach into it (deletions, reference blocks) count, too."""
+    out = variants.where(overlaps_region(contig, start, end))
+    out = out.orderBy("start_position", "end_position", "reference_bases", F.array_join("alternate_bases", ","))
+    return out.limit(limit) if limit else out
+
+
 def region_quality(variants: DataFrame, contig: str, start: int, end: int, min_q: float = 30,
                    normalize: bool = False) -> DataFrame:
     """Sites in a region with ``quality > min_q`` (NULL quality drops)."""

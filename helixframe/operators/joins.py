@@ -125,6 +125,57 @@ def gene_region_variants(sites: DataFrame, genes: DataFrame, pos_col: str = "sta
     return j.where(F.col(pos_col).between(F.col("gene_start"), F.col("gene_end"))).drop("_contig", "_bin")
 
 
+# Bins of 2^14, 2^17, ... 2^29 positions (16 kb to 512 Mb).
+SPAN_LEVELS = (14, 17, 20, 23, 26, 29)
+
+
+def _span_bins(df: DataFrame, start: str, end: str, prefix: str) -> DataFrame:
+    """Each span [start, end) once per bin it touches, at every level whose
+    bins are at least as long as the span: two bins a level at most, however
+    long the span.  ``_level`` is the lowest of these levels."""
+    length = F.col(end) - F.col(start)
+    own = F.lit(len(SPAN_LEVELS) - 1)
+    for k in range(len(SPAN_LEVELS) - 2, -1, -1):
+        own = F.when(length <= (1 << SPAN_LEVELS[k]), F.lit(k)).otherwise(own)
+    shift = F.element_at(F.array(*[F.lit(x) for x in SPAN_LEVELS]), F.col("_at") + 1)
+    at = df.withColumn(f"{prefix}_level", own).withColumn(
+        "_at", F.explode(F.sequence(F.col(f"{prefix}_level"), F.lit(len(SPAN_LEVELS) - 1))))
+    first, last = F.call_function("shiftright", F.col(start), shift), F.call_function("shiftright", F.col(end) - 1, shift)
+    return at.withColumn(f"{prefix}_first", first).withColumn("_bin", F.explode(F.sequence(first, last)))
+
+
+def overlap_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str, str], right_span: tuple[str, str, str]) -> DataFrame:
+    """Pairs of rows whose half-open spans (contig, start, end columns) share
+    a position, each pair once.
+
+    A pair meets at the level of its longer span and counts in the later of
+    the two spans' first bins there (the owning bin), so nothing is removed
+    afterwards.  An equi-join on (contig, level, bin): no side is exploded
+    into more than two bins a level, a chromosome-long span included, and a
+    hot contig is spread by its bins.  Empty spans and NULLs meet nothing.
+    Column names of the two sides must differ."""
+    (lc, ls, le), (rc, rs, re_) = left_span, right_span
+    a = _span_bins(left.where(F.col(ls) < F.col(le)).withColumn("_lc", normalize_contig(lc)), ls, le, "_l")
+    b = _span_bins(right.where(F.col(rs) < F.col(re_)).withColumn("_rc", normalize_contig(rc)), rs, re_, "_r")
+    a = a.withColumnRenamed("_at", "_lat").withColumnRenamed("_bin", "_lbin")
+    b = b.withColumnRenamed("_at", "_rat").withColumnRenamed("_bin", "_rbin")
+    j = a.join(b, (F.col("_lc") == F.col("_rc")) & (F.col("_lat") == F.col("_rat")) & (F.col("_lbin") == F.col("_rbin")))
+    j = j.where((F.col("_lat") == F.greatest("_l_level", "_r_level")) & (F.col("_lbin") == F.greatest("_l_first", "_r_first"))
+                & (F.col(ls) < F.col(re_)) & (F.col(rs) < F.col(le)))
+    return j.select(*left.columns, *right.columns)
+
+
+def gene_span_variants(sites: DataFrame, genes: DataFrame) -> DataFrame:
+    """Each site x every gene that its span [start_position, end_position)
+    touches: deletions and reference blocks are found in all genes they cross,
+    not only where they begin.  ``genes``: gene_symbol, chromosome,
+    start_position and end_position, both inclusive as in the gene table."""
+    g = genes.select("gene_symbol", F.col("chromosome").alias("gene_contig"), F.col("start_position").alias("gene_start"),
+                     F.col("end_position").alias("gene_end"), (F.col("end_position") + 1).alias("_gene_stop"))
+    out = overlap_join(sites, g, ("reference_name", "start_position", "end_position"), ("gene_contig", "gene_start", "_gene_stop"))
+    return out.drop("gene_contig", "_gene_stop")
+
+
 def gene_carriers(genotypes: DataFrame, site_genes: DataFrame, gene: str, key: list[str]) -> DataFrame:
     """Samples carrying a called non-reference allele at any site of ``gene``.
 

@@ -280,6 +280,68 @@ def vcf_text(t: Tables) -> DataFrame:
     return _memo(t, "vcf_text", lambda: head.unionByName(body).checkpoint(eager=True))
 
 
+# Eight samples a file; header lines shared by all of them.
+SAMPLES_PER_FILE = 8
+MULTI_HEADER = [
+    "##fileformat=VCFv4.2",
+    '##INFO=<ID=END,Number=1,Type=Integer,Description="Last position">',
+    '##INFO=<ID=SVTYPE,Number=1,Type=String,Description="Kind of structural variant">',
+    '##INFO=<ID=DP,Number=1,Type=Integer,Description="Depth">',
+    '##INFO=<ID=AF,Number=A,Type=Float,Description="Frequency of each ALT">',
+    '##INFO=<ID=DB,Number=0,Type=Flag,Description="Known site">',
+]
+# Lines of blocks and deletions: ALT and last position (1-based) by site.
+MULTI_ALT = "CASE WHEN pk % 5 = 0 THEN '<NON_REF>' WHEN pk % 11 = 0 THEN '<DEL>' ELSE concat_ws(',', alt, alt2) END"
+MULTI_END = "CASE WHEN pk % 5 = 0 THEN position + 10 * ln WHEN pk % 11 = 0 THEN position + 500 ELSE position - 1 + length(ref) END"
+
+
+def vcf_multi_text(t: Tables) -> DataFrame:
+    """VCF lines of files of eight samples each (``value``, ``source_file``):
+    a line per site that one of them has a call at, with three orders of
+    FORMAT, reference blocks and deletions with END, and typed INFO."""
+    n = SAMPLES_PER_FILE
+    name = "concat('batch_', CAST({} AS STRING), '.vcf')"
+    files = _sql(t, f"SELECT ck div {n} AS b, array_sort(collect_list(ck)) AS cks FROM {{s}} GROUP BY ck div {n}", s=px_samples(t))
+    marks = "explode(array(" + ", ".join(f"'{h}'" for h in MULTI_HEADER) + ")) AS value"
+    head = _sql(t, f"SELECT {marks}, {name.format('b')} AS source_file FROM {{f}}", f=files)
+    columns = _sql(t, f"""
+SELECT concat('{VCF_COLUMNS}', chr(9), array_join(transform(cks, c -> CAST(c AS STRING)), chr(9))) AS value,
+  {name.format('b')} AS source_file FROM {{f}}""", f=files)
+    gt = ("concat(CASE WHEN a1 < 0 THEN '.' ELSE CAST(a1 AS STRING) END, CASE WHEN phaseset IS NULL THEN '/' ELSE '|' END, "
+          "CASE WHEN a2 < 0 THEN '.' ELSE CAST(a2 AS STRING) END)")
+    body = _sql(t, f"""
+SELECT concat_ws(chr(9), chromosome, CAST(position AS STRING), '.', ref, {MULTI_ALT}, coalesce(CAST(quality AS STRING), '.'),
+    filter,
+    CASE WHEN pk % 5 = 0 THEN concat('END=', position + 10 * ln)
+         WHEN pk % 11 = 0 THEN concat('SVTYPE=DEL;END=', position + 500)
+         ELSE concat('DP=', pk % 90, ';AF=0.', ln, CASE WHEN alt2 IS NULL THEN '' ELSE ',.' END, CASE WHEN ln % 2 = 0 THEN ';DB' ELSE '' END) END,
+    CASE pk % 3 WHEN 0 THEN 'GT:GQ' WHEN 1 THEN 'GQ:GT' ELSE 'GT:DP:GQ' END,
+    array_join(transform(cks, c -> CASE pk % 3
+        WHEN 0 THEN coalesce(concat(m[c].gt, ':', m[c].gq), './.')
+        WHEN 1 THEN coalesce(concat(m[c].gq, ':', m[c].gt), '.:./.')
+        ELSE coalesce(concat(m[c].gt, ':.:', m[c].gq), './.:.:.') END), chr(9))) AS value,
+  {name.format('b')} AS source_file
+FROM (SELECT pk, ln, b, first(cks) AS cks, map_from_entries(collect_list(struct(ck, struct(gt, gq)))) AS m, {site_sql()}
+      FROM (SELECT pk, ln, c.ck, ck div {n} AS b, {gt} AS gt, CAST(genotype_quality AS STRING) AS gq FROM {{c}} c) x
+      JOIN {{f}} f USING (b) GROUP BY pk, ln, b) y""", c=px_calls(t), f=files)
+    return _memo(t, "vcf_multi_text", lambda: _as_files(head.unionByName(columns).unionByName(body)).checkpoint(eager=True))
+
+
+def span_sites(t: Tables) -> DataFrame:
+    """Sites with the spans of :func:`vcf_multi_text`: blocks and deletions reach beyond their REF."""
+    return _sql(t, f"""
+SELECT chromosome AS reference_name, position - 1 AS start_position, {MULTI_END} AS end_position, ref AS reference_bases,
+  split({MULTI_ALT}, ',') AS alternate_bases FROM {{s}}""", s=px_sites(t))
+
+
+def span_genes(t: Tables) -> DataFrame:
+    """Genes of bounded spans, one for every fourth part, on that part's contig."""
+    return _sql(t, f"""
+SELECT gene_symbol, chromosome, start_position, end_position FROM (
+  SELECT concat('G', pk) AS gene_symbol, pk * 100 - 300 AS start_position, pk * 100 + (pk % 7) * 400 AS end_position, {site_sql(ln='1')}
+  FROM (SELECT p_partkey AS pk FROM {{p}} WHERE p_partkey % 4 = 0) x) y""", p=t.part)
+
+
 def _as_files(lines: DataFrame) -> DataFrame:
     """Spread rendered text over the session's parallelism, as many files
     would be read in parallel (the driver tables are single row groups)."""

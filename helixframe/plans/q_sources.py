@@ -53,6 +53,81 @@ def read_vcf_genotypes(t):
                     "genotype_quality")
 
 
+_END_SQL = P.MULTI_END
+_ALT_SQL = P.MULTI_ALT
+_MULTI = f"""
+f AS (SELECT DISTINCT pk, ln, ck // {P.SAMPLES_PER_FILE} AS b FROM px_calls),
+x AS (SELECT f.*, s.ck, s.sample_id, row_number() OVER (PARTITION BY f.pk, f.ln, f.b ORDER BY s.ck) - 1 AS i
+      FROM f JOIN px_samples s ON s.ck // {P.SAMPLES_PER_FILE} = f.b)"""
+
+
+@register("read_vcf_multi", W(f"""
+WITH {_MULTI}
+SELECT 'batch_' || CAST(b AS VARCHAR) || '.vcf' AS source_file, chromosome AS reference_name, position - 1 AS start_position,
+  end_position, ref AS reference_bases, alternate_bases, quality, x.sample_id,
+  CAST(i AS INTEGER) AS sample_index, CASE WHEN c.a1 IS NULL THEN './.' ELSE {_GT_SQL.format(a1='c.a1', a2='c.a2')} END AS gt,
+  c.genotype_quality
+FROM x JOIN (SELECT *, {_END_SQL} AS end_position, {_ALT_SQL} AS alternate_bases FROM px_sites) t ON t.pk = x.pk AND t.ln = x.ln
+LEFT JOIN px_calls c ON c.pk = x.pk AND c.ln = x.ln AND c.ck = x.ck""", "px_calls", "px_sites", "px_samples"))
+def read_vcf_multi(t):
+    """Files of eight samples, three orders of FORMAT, reference blocks and
+    deletions with END, read into nested rows."""
+    v = V.parse_vcf_lines(P.vcf_multi_text(t))
+    c = v.select("source_file", "reference_name", "start_position", "end_position", "reference_bases",
+                 F.array_join("alternate_bases", ",").alias("alternate_bases"), "quality",
+                 F.posexplode("calls").alias("sample_index", "c"))
+    return c.select("source_file", "reference_name", "start_position", "end_position", "reference_bases", "alternate_bases",
+                    "quality", F.col("c.sample_id").alias("sample_id"), "sample_index",
+                    genotype_string("c.genotype", F.col("c.phaseset").isNotNull()).alias("gt"),
+                    F.col("c.genotype_quality").alias("genotype_quality"))
+
+
+@register("vcf_info_values", W(f"""
+WITH f AS (SELECT DISTINCT pk, ln, ck // {P.SAMPLES_PER_FILE} AS b FROM px_calls),
+y AS (SELECT f.b, t.* FROM f JOIN px_sites t ON t.pk = f.pk AND t.ln = f.ln),
+v AS (
+  SELECT b, pk, ln, position, chromosome, 'END' AS info_id, 'Integer' AS type, 0 AS value_index,
+    CASE WHEN pk % 5 = 0 THEN position + 10 * ln ELSE position + 500 END AS int_value, CAST(NULL AS DOUBLE) AS float_value,
+    CAST(NULL AS VARCHAR) AS string_value, false AS flag FROM y WHERE pk % 5 = 0 OR pk % 11 = 0
+  UNION ALL SELECT b, pk, ln, position, chromosome, 'SVTYPE', 'String', 0, NULL, NULL, 'DEL', false FROM y WHERE pk % 5 <> 0 AND pk % 11 = 0
+  UNION ALL SELECT b, pk, ln, position, chromosome, 'DP', 'Integer', 0, pk % 90, NULL, NULL, false FROM y WHERE pk % 5 <> 0 AND pk % 11 <> 0
+  UNION ALL SELECT b, pk, ln, position, chromosome, 'AF', 'Float', 0, NULL, ln / 10.0, NULL, false FROM y WHERE pk % 5 <> 0 AND pk % 11 <> 0
+  UNION ALL SELECT b, pk, ln, position, chromosome, 'AF', 'Float', 1, NULL, NULL, NULL, false FROM y
+    WHERE pk % 5 <> 0 AND pk % 11 <> 0 AND alt2 IS NOT NULL
+  UNION ALL SELECT b, pk, ln, position, chromosome, 'DB', 'Flag', 0, NULL, NULL, NULL, true FROM y
+    WHERE pk % 5 <> 0 AND pk % 11 <> 0 AND ln % 2 = 0)
+SELECT 'batch_' || CAST(b AS VARCHAR) || '.vcf' AS source_file, chromosome AS reference_name, position - 1 AS start_position,
+  info_id, type, CAST(value_index AS INTEGER) AS value_index, CAST(int_value AS BIGINT) AS int_value, float_value, string_value, flag
+FROM v""", "px_calls", "px_sites"))
+def vcf_info_values(t):
+    """INFO text as values of their headers' types."""
+    lines = P.vcf_multi_text(t)
+    return V.info_values(V.parse_vcf_lines(lines), V.info_definitions(lines), ["source_file", "reference_name", "start_position"])
+
+
+@register("gene_span_variants", W(f"""
+WITH s AS (SELECT chromosome AS reference_name, position - 1 AS start_position, {_END_SQL} AS end_position, ref AS reference_bases
+           FROM px_sites),
+g AS (SELECT 'G' || p_partkey AS gene_symbol, CASE WHEN p_partkey % 24 = 22 THEN 'X' WHEN p_partkey % 24 = 23 THEN 'Y'
+        ELSE CAST(p_partkey % 24 + 1 AS VARCHAR) END AS chromosome, p_partkey * 100 - 300 AS gene_start,
+        p_partkey * 100 + (p_partkey % 7) * 400 AS gene_end FROM part WHERE p_partkey % 4 = 0)
+SELECT reference_name, start_position, end_position, reference_bases, gene_symbol, gene_start, gene_end
+FROM s JOIN g ON chromosome = reference_name AND start_position <= gene_end AND end_position > gene_start""", "px_sites"))
+def gene_span_variants(t):
+    """Sites whose spans touch a gene, blocks and deletions that begin before it among them."""
+    from ..operators.joins import gene_span_variants as spans
+    return spans(P.span_sites(t).drop("alternate_bases"), P.span_genes(t))
+
+
+@register("region_overlaps", W(f"""
+SELECT chromosome AS reference_name, position - 1 AS start_position, {_END_SQL} AS end_position, ref AS reference_bases
+FROM px_sites WHERE chromosome = '17' AND position - 1 <= 60000 AND {_END_SQL} > 20000""", "px_sites"))
+def region_overlaps(t):
+    """Sites whose spans reach into a region, under either spelling of its contig."""
+    from ..operators.filters import region_overlaps as reach
+    return reach(P.span_sites(t), "chr17", 20_000, 60_000, limit=None).drop("alternate_bases")
+
+
 @register("vcf_to_flat", W("""
 SELECT sample_id, reference_name AS chromosome, start_position + 1 AS position,
   'rs' || CAST(start_position + 1 AS VARCHAR) AS id, reference_bases AS ref,

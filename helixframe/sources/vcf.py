@@ -13,9 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..schemas import ANNOTATION, POPULATION_FREQUENCIES
 
-# Above this many input files the per-file header table is joined by
-# shuffle instead of broadcast.
+# Above this many input files, or bytes of names, the per-file header table
+# meets the lines by a shuffle join instead of a broadcast.
 HEADER_BROADCAST_FILES = 10_000
+HEADER_BROADCAST_BYTES = 32 << 20
+# In that join each file's lines are spread over so many keys.
+HEADER_SALTS = 64
 
 
 def text_lines(spark: SparkSession, path_glob: str) -> DataFrame:
@@ -88,6 +91,12 @@ def _call_fields(vals: Column, ix: dict[str, Column], name: Column) -> list[Colu
     ]
 
 
+def _info_end(info: Column) -> Column:
+    """INFO END (the 1-based last position of a block or a symbolic allele), else NULL."""
+    end = F.regexp_extract(info, r"(?:^|;)END=([0-9]+)(?:;|$)", 1)
+    return F.when(info.contains("END="), end.try_cast("long"))
+
+
 def _site_columns(f: Column) -> list[Column]:
     alt = _missing(F.get(f, 4))
     filt = _missing(F.get(f, 6))
@@ -96,7 +105,7 @@ def _site_columns(f: Column) -> list[Column]:
     return [
         F.get(f, 0).alias("reference_name"),
         start.alias("start_position"),
-        (start + F.length(ref)).alias("end_position"),
+        F.coalesce(_info_end(F.get(f, 7)), start + F.length(ref)).alias("end_position"),
         ref.alias("reference_bases"),
         F.when(alt.isNull(), F.array().cast("array<string>")).otherwise(F.split(alt, ",")).alias("alternate_bases"),
         _missing(F.get(f, 2)).alias("variant_id"),
@@ -105,24 +114,38 @@ def _site_columns(f: Column) -> list[Column]:
     ]
 
 
-def _data_with_names(lines: DataFrame, names: str, broadcast_headers: bool,
+def _data_with_names(lines: DataFrame, names: str, broadcast_headers: bool | None,
                      headers: DataFrame | None = None) -> DataFrame:
+    """Data lines with their file's sample names.  The header table (a row a
+    file) is landed and measured: up to HEADER_BROADCAST_BYTES it is broadcast
+    and no line is shuffled; beyond, lines meet it by file and salt, so a file
+    that holds most lines is still spread over HEADER_SALTS keys."""
     if headers is None:
         headers = vcf_headers(lines, names)
-    if broadcast_headers:
-        headers = F.broadcast(headers)
     data = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0))
+    key = "source_file"
     if "_file_name" in headers.columns:      # names keyed by file name (manifest)
-        data = data.withColumn("_file_name", F.regexp_extract("source_file", r"([^/]+)$", 1))
-        return data.join(headers, "_file_name", "left").drop("_file_name")
-    return data.join(headers, "source_file", "left")
+        key = "_file_name"
+        data = data.withColumn(key, F.regexp_extract("source_file", r"([^/]+)$", 1))
+    if broadcast_headers is None:
+        headers = headers.checkpoint(eager=True)
+        named = F.coalesce(F.octet_length(F.array_join("_sample_names", ",")), F.lit(0)) + F.octet_length(key) + 16
+        broadcast_headers = (headers.agg(F.sum(named.cast("long"))).first()[0] or 0) <= HEADER_BROADCAST_BYTES
+    if broadcast_headers:
+        out = data.join(F.broadcast(headers), key, "left")
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(HEADER_SALTS - 1))).alias("_salt")
+        out = (data.withColumn("_salt", F.pmod(F.xxhash64("value"), F.lit(HEADER_SALTS)).cast("int"))
+               .join(headers.select("*", salts), [key, "_salt"], "left").drop("_salt"))
+    return out.drop("_file_name")
 
 
-def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bool = False,
+def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bool | None = None,
                     headers: DataFrame | None = None) -> DataFrame:
     """Data lines -> nested ``variants`` rows (see ``schemas.VARIANTS``).
 
-    ``start_position`` is 0-based (POS - 1), ``end_position`` = start +
+    ``start_position`` is 0-based (POS - 1); ``end_position`` is INFO END
+    where a line has it (reference blocks, symbolic alleles), else start +
     len(REF); ``.`` fields become NULL; genotype no-calls become -1; a phased
     call without PS gets phase set ``*``.  Extra column ``info`` keeps the
     raw INFO text.  Each sample column is split once; FORMAT key positions
@@ -154,7 +177,7 @@ def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bo
     )
 
 
-def parse_vcf_genotypes(lines: DataFrame, names: str = "keep", broadcast_headers: bool = False,
+def parse_vcf_genotypes(lines: DataFrame, names: str = "keep", broadcast_headers: bool | None = None,
                         headers: DataFrame | None = None) -> DataFrame:
     """Data lines -> long genotype rows (one per site and sample): the sample
     columns are exploded first, then every field is a plain column
@@ -181,9 +204,10 @@ def read_vcf(spark: SparkSession, path_glob: str, names: str = "keep",
     """Read VCF file(s) (glob allowed, ``.gz`` fine) into nested rows (or
     the long genotype table with ``long=True``).
 
-    The per-file header table has one row per file; the file count is known
-    from the listing (no data scan), so it is broadcast only under
-    ``max_broadcast_files`` and shuffled otherwise.  ``sample_names``
+    The per-file header table has one row per file; it is broadcast only
+    under ``max_broadcast_files`` files (known from the listing) and
+    HEADER_BROADCAST_BYTES of names (measured), else lines meet it by file
+    and salt.  ``sample_names``
     ({file name: [names]}, e.g. from the batch manifest) avoids the second
     pass over the text for ``#CHROM`` lines.
     """
@@ -194,7 +218,7 @@ def read_vcf(spark: SparkSession, path_glob: str, names: str = "keep",
     if sample_names is not None:
         headers = spark.createDataFrame(sorted(sample_names.items()), "_file_name string, _sample_names array<string>")
     parse = parse_vcf_genotypes if long else parse_vcf_lines
-    return parse(lines, names, broadcast_headers=len(files) <= max_broadcast_files, headers=headers)
+    return parse(lines, names, broadcast_headers=None if len(files) <= max_broadcast_files else False, headers=headers)
 
 
 def vcf_to_flat(lines: DataFrame, sample_id: str | Column | None = None) -> DataFrame:
@@ -230,3 +254,41 @@ def vcf_header_union(lines: DataFrame) -> DataFrame:
                  F.sort_array(F.collect_set("type")).alias("types"),
                  F.count_distinct("source_file").alias("files"))
             .withColumn("conflict", (F.size("types") > 1) | (F.size("numbers") > 1)))
+
+
+def info_definitions(lines: DataFrame) -> DataFrame:
+    """id, number, type of each INFO field over all files' headers.  Files
+    that disagree on a field make it a String of any number."""
+    u = vcf_header_union(lines).where("kind = 'INFO'")
+    return u.select("id", F.when(F.col("conflict"), ".").otherwise(F.get("numbers", 0)).alias("number"),
+                    F.when(F.col("conflict"), "String").otherwise(F.get("types", 0)).alias("type"))
+
+
+def info_values(variants: DataFrame, definitions: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per value of a site's INFO text: the ``keep`` columns, info_id,
+    type, value_index, and the value in the column of its declared type:
+    int_value, float_value or string_value (NULL for ``.``), or flag = true
+    for a field without a value.
+
+    A field of Number 1 is one value, commas included; others are cut at
+    commas.  Fields that no header declares are strings.  The definitions are
+    a few rows a header; they are broadcast only after a check of their count."""
+    from ..operators.joins import sized_lookup
+
+    field = F.explode(F.split("info", ";")).alias("_f")
+    x = variants.where(F.col("info").isNotNull()).select(*keep, field).where("_f <> '' AND _f <> '.'")
+    at = F.instr("_f", "=")
+    x = x.select(*keep, F.when(at > 0, F.col("_f").substr(F.lit(1), at - 1)).otherwise(F.col("_f")).alias("info_id"),
+                 F.when(at > 0, F.col("_f").substr(at + 1, F.length("_f"))).alias("_raw"))
+    d = sized_lookup(definitions.select(F.col("id").alias("info_id"), "number", "type"))
+    x = x.join(d, "info_id", "left")
+    kind = F.when(F.col("_raw").isNull(), "Flag").otherwise(F.coalesce("type", F.lit("String")))
+    single = F.coalesce(F.col("number") == "1", F.lit(False)) | F.col("_raw").isNull()
+    values = F.posexplode(F.when(single, F.array("_raw")).otherwise(F.split("_raw", ","))).alias("value_index", "_v")
+    x = x.select(*keep, "info_id", kind.alias("type"), values)
+    v = _missing(F.col("_v"))
+    return x.select(*keep, "info_id", "type", "value_index",
+                    F.when(F.col("type") == "Integer", v.try_cast("long")).alias("int_value"),
+                    F.when(F.col("type") == "Float", v.try_cast("double")).alias("float_value"),
+                    F.when(~F.col("type").isin("Integer", "Float", "Flag"), v).alias("string_value"),
+                    (F.col("type") == "Flag").alias("flag"))
