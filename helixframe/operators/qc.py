@@ -100,10 +100,110 @@ def samstats(reads: DataFrame) -> DataFrame:
     return out
 
 
+# Order and wording of the lines of the flag report; a rate is (part, whole).
+FLAG_LINES = [
+    ("in total", "total", None), ("primary", "primary", None), ("secondary", "secondary", None),
+    ("supplementary", "supplementary", None), ("duplicates", "duplicates", None),
+    ("primary duplicates", "primary_duplicates", None), ("mapped", "mapped", "total"),
+    ("primary mapped", "primary_mapped", "primary"), ("paired in sequencing", "paired", None), ("read1", "read1", None),
+    ("read2", "read2", None), ("properly paired", "properly_paired", "paired"),
+    ("with itself and mate mapped", "with_mate_mapped", None), ("singletons", "singletons", "paired"),
+    ("with mate mapped to a different chr", "mate_elsewhere", None),
+    ("with mate mapped to a different chr (mapQ>=5)", "mate_elsewhere_mapq5", None),
+]
+
+
+def flagstat_report(reads: DataFrame) -> DataFrame:
+    """All sixteen lines of the flag report per sample: line_no, category,
+    passed and failed (reads with and without QC pass), passed_rate and
+    failed_rate in percent of the line they are a share of (NULL where that
+    is 0 or the line has none).  One scan: 32 conditional counts, combined in
+    the tasks, then unfolded to lines."""
+    primary = ~_has(SECONDARY) & ~_has(SUPPLEMENTARY)
+    paired = primary & _has(PAIRED)
+    mapped = ~_has(UNMAPPED)
+    both = paired & mapped & ~_has(MATE_UNMAPPED)
+    elsewhere = both & (F.col("rnext") != "=") & (F.col("rnext") != F.col("rname")) & (F.col("rnext") != "*")
+    counted = {
+        "total": F.lit(True), "primary": primary, "secondary": _has(SECONDARY),
+        "supplementary": _has(SUPPLEMENTARY) & ~_has(SECONDARY), "duplicates": _has(DUPLICATE),
+        "primary_duplicates": primary & _has(DUPLICATE), "mapped": mapped, "primary_mapped": primary & mapped, "paired": paired,
+        "read1": paired & _has(READ1), "read2": paired & _has(READ2), "properly_paired": paired & _has(PROPER) & mapped,
+        "with_mate_mapped": both, "singletons": paired & mapped & _has(MATE_UNMAPPED), "mate_elsewhere": elsewhere,
+        "mate_elsewhere_mapq5": elsewhere & (F.col("mapq") >= 5),
+    }
+    good = ~_has(QCFAIL)
+    sums = reads.groupBy("sample_id").agg(
+        *[F.count_if(c & good).alias(f"p_{k}") for k, c in counted.items()],
+        *[F.count_if(c & ~good).alias(f"f_{k}") for k, c in counted.items()])
+
+    def rate(side: str, part: str, whole: str | None) -> Column:
+        if whole is None:
+            return F.lit(None).cast("double")
+        return F.round(safe_ratio(F.col(f"{side}_{part}") * 100, f"{side}_{whole}"), 2)
+
+    lines = [F.struct(F.lit(k).alias("line_no"), F.lit(text).alias("category"), F.col(f"p_{part}").alias("passed"),
+                      F.col(f"f_{part}").alias("failed"), rate("p", part, whole).alias("passed_rate"),
+                      rate("f", part, whole).alias("failed_rate")) for k, (text, part, whole) in enumerate(FLAG_LINES, 1)]
+    return sums.select("sample_id", F.inline(F.array(*lines)))
+
+
+def idxstats_report(reads: DataFrame, contigs: DataFrame) -> DataFrame:
+    """sample_id, contig_index, rname, length, mapped, unmapped for every
+    contig of a sample's header (``contigs``: sample_id, contig, length,
+    contig_index), reads on it or not, in the header's order, and last the
+    reads without coordinate under ``*``.  Reads on contigs that no header
+    names keep a NULL length."""
+    n = idxstats(reads).withColumnRenamed("sample_id", "_s")
+    star = contigs.groupBy("sample_id").agg(F.lit("*").alias("contig"), F.lit(0).cast("long").alias("length"),
+                                            (F.max("contig_index") + 1).alias("contig_index"))
+    every = contigs.select("sample_id", "contig", F.col("length").cast("long").alias("length"), "contig_index").unionByName(
+        star.select("sample_id", "contig", "length", "contig_index"))
+    j = every.join(n, (F.col("sample_id") == F.col("_s")) & (F.col("contig") == F.col("rname")), "full")
+    return j.select(F.coalesce("sample_id", "_s").alias("sample_id"), "contig_index", F.coalesce("contig", "rname").alias("rname"),
+                    "length", F.coalesce("mapped", F.lit(0)).alias("mapped"), F.coalesce("unmapped", F.lit(0)).alias("unmapped"))
+
+
+# Largest values with a bin of their own; the last bin holds all above.
+MOST_MAPQ, MOST_LENGTH = 254, 1000
+
+
+def read_histograms(reads: DataFrame) -> DataFrame:
+    """sample_id, metric, bin, reads: mapping quality and length of primary
+    reads in fixed bins, from one scan.  Bins of equal samples add up, so
+    histograms of parts merge by a sum."""
+    rl = F.col("read_length") if "read_length" in reads.columns else F.length("seq")
+    primary = reads.where(~_has(SECONDARY) & ~_has(SUPPLEMENTARY))
+    values = F.inline(F.array(
+        F.struct(F.lit("mapq").alias("metric"), F.least("mapq", F.lit(MOST_MAPQ)).cast("long").alias("bin")),
+        F.struct(F.lit("length").alias("metric"), F.least(rl, F.lit(MOST_LENGTH)).cast("long").alias("bin"))))
+    return primary.select("sample_id", values).where("bin IS NOT NULL").groupBy("sample_id", "metric", "bin").agg(
+        F.count(F.lit(1)).alias("reads"))
+
+
+# Width of a quality bin of the variant report.
+QUALITY_BIN = 10
+
+
+def vcf_quality_histogram(calls: DataFrame) -> DataFrame:
+    """sample_id, bin (lower bound; NULL: no quality), snvs, indels, others:
+    records of each kind by quality.  A record is one kind only: SNV where all
+    alleles are single bases, indel where some ALT's bases differ in number
+    from REF's, else other (MNPs, symbolic and missing alleles)."""
+    ref, alts = F.col("reference_bases"), F.col("alternate_bases")
+    plain = (F.size(alts) > 0) & F.forall(alts, lambda a: a.rlike("^[ACGTNacgtn]+$"))
+    snv = plain & (F.length(ref) == 1) & F.forall(alts, lambda a: F.length(a) == 1)
+    indel = plain & ~snv & F.exists(alts, lambda a: F.length(a) != F.length(ref))
+    at = (F.floor(F.col("quality") / QUALITY_BIN) * QUALITY_BIN).cast("long").alias("bin")
+    return calls.groupBy("sample_id", at).agg(
+        F.count_if(snv).alias("snvs"), F.count_if(indel).alias("indels"), F.count_if(~snv & ~indel).alias("others"))
+
+
 def vcf_stats(calls: DataFrame) -> DataFrame:
     """Per-sample variant summary of a long call table (site columns +
-    ``sample_id``): records, SNV/MNP/indel/other counts, multi-allelic
-    records, transitions/transversions of SNV records and their ratio."""
+    ``sample_id``): records, SNV/MNP/indel counts, multi-allelic records,
+    transitions/transversions of SNV records and their ratio.  (Other kinds
+    and qualities: ``vcf_quality_histogram``.)"""
     ref = F.col("reference_bases")
     alts = F.col("alternate_bases")
     lens = F.transform(alts, lambda a: F.length(a))
@@ -134,7 +234,9 @@ def qc_report(flag: DataFrame, idx: DataFrame, stats: DataFrame, top_contigs: in
     flag_txt = flag.select("sample_id", F.concat_ws("\n", *[
         F.format_string(f"%d {c}", F.col(c)) for c in fcols]).alias("flagstat_text"))
     if contig_order is not None:
-        idx = idx.join(contig_order.select(F.col("contig").alias("rname"), "contig_index"), "rname", "left")
+        # contigs are ordered within their own file: the same name may come at another place in another one
+        on = [c for c in ("sample_id",) if c in contig_order.columns]
+        idx = idx.join(contig_order.select(*on, F.col("contig").alias("rname"), "contig_index"), [*on, "rname"], "left")
         okey = [F.col("contig_index").asc_nulls_last(), F.col("rname")]
     else:
         okey = [F.col("rname")]

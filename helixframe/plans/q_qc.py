@@ -140,3 +140,93 @@ FROM px_geno GROUP BY sample_id""", "px_geno"))
 def vcf_stats(t):
     """Per-sample variant summary over the calls of each sample."""
     return Q.vcf_stats(P.genotypes(t))
+
+
+def _contigs(t):
+    """The header of each sample's file: 22 contigs and one that no read lies on, in descending order of name."""
+    s = P.px_reads(t).select("sample_id").distinct()
+    k = F.explode(F.sequence(F.lit(1), F.lit(23))).alias("k")
+    return s.select("sample_id", k).select("sample_id", (F.lit(24) - F.col("k")).cast("string").alias("contig"),
+                                           (F.col("k") * 1000).cast("long").alias("length"), (F.col("k") - 1).alias("contig_index"))
+
+
+def _reads_split(t):
+    """Reads with QC failures, mates elsewhere and read numbers, derived from the event's number."""
+    r = _reads(t)
+    k = F.col("qname").cast("long")
+    flag = F.col("flag").bitwiseOR(F.when(k % 7 == 0, Q.QCFAIL).otherwise(0)).bitwiseOR(
+        F.when(k % 2 == 0, Q.READ1).otherwise(Q.READ2))
+    return r.withColumn("flag", flag).withColumn("rnext", F.when(k % 3 == 0, "=").when(k % 5 == 0, "22").otherwise("*"))
+
+
+def _flag_lines_sql() -> str:
+    p = "f & 256 = 0 AND f & 2048 = 0"
+    q = f"{p} AND f & 1 <> 0"
+    both = f"{q} AND f & 4 = 0 AND f & 8 = 0"
+    away = f"{both} AND rnext <> '=' AND rnext <> rname AND rnext <> '*'"
+    cond = {"total": "true", "primary": p, "secondary": "f & 256 <> 0", "supplementary": "f & 2048 <> 0 AND f & 256 = 0",
+            "duplicates": "f & 1024 <> 0", "primary_duplicates": f"{p} AND f & 1024 <> 0", "mapped": "f & 4 = 0",
+            "primary_mapped": f"{p} AND f & 4 = 0", "paired": q, "read1": f"{q} AND f & 64 <> 0", "read2": f"{q} AND f & 128 <> 0",
+            "properly_paired": f"{q} AND f & 2 <> 0 AND f & 4 = 0", "with_mate_mapped": both,
+            "singletons": f"{q} AND f & 4 = 0 AND f & 8 <> 0", "mate_elsewhere": away, "mate_elsewhere_mapq5": f"{away} AND mapq >= 5"}
+    sums = ", ".join(f"count(*) FILTER (WHERE {c} AND f & 512 = 0) AS p_{k}, count(*) FILTER (WHERE {c} AND f & 512 <> 0) AS f_{k}"
+                     for k, c in cond.items())
+    rate = lambda s, a, b: "CAST(NULL AS DOUBLE)" if b is None else f"round(CAST({s}_{a} * 100 AS DOUBLE) / nullif({s}_{b}, 0), 2)"
+    lines = " UNION ALL ".join(
+        f"SELECT sample_id, {n} AS line_no, '{text}' AS category, p_{a} AS passed, f_{a} AS failed, {rate('p', a, b)} AS passed_rate, "
+        f"{rate('f', a, b)} AS failed_rate FROM g" for n, (text, a, b) in enumerate(Q.FLAG_LINES, 1))
+    return f"""
+WITH r AS (SELECT sample_id, rname, mapq,
+    (flag | CASE WHEN qname % 7 = 0 THEN 512 ELSE 0 END) | CASE WHEN qname % 2 = 0 THEN 64 ELSE 128 END AS f,
+    CASE WHEN qname % 3 = 0 THEN '=' WHEN qname % 5 = 0 THEN '22' ELSE '*' END AS rnext FROM px_reads),
+g AS (SELECT sample_id, {sums} FROM r GROUP BY sample_id)
+{lines}"""
+
+
+@register("flagstat_report", W(_flag_lines_sql(), _R))
+def flagstat_report(t):
+    """All sixteen lines of the flag report, QC-passed and QC-failed reads apart."""
+    return Q.flagstat_report(_reads_split(t))
+
+
+@register("idxstats_report", W("""
+WITH c AS (SELECT sample_id, CAST(24 - k AS VARCHAR) AS rname, k * 1000 AS length, k - 1 AS contig_index
+           FROM (SELECT DISTINCT sample_id FROM px_reads) s, range(1, 24) r(k)
+           UNION ALL SELECT DISTINCT sample_id, '*', 0, 23 FROM px_reads),
+n AS (SELECT sample_id, rname, count(*) FILTER (WHERE flag & 4 = 0) AS mapped, count(*) FILTER (WHERE flag & 4 <> 0) AS unmapped
+      FROM px_reads GROUP BY sample_id, rname)
+SELECT c.sample_id, CAST(contig_index AS INTEGER) AS contig_index, c.rname, CAST(length AS BIGINT) AS length,
+  coalesce(mapped, 0) AS mapped, coalesce(unmapped, 0) AS unmapped
+FROM c LEFT JOIN n ON n.sample_id = c.sample_id AND n.rname = c.rname""", _R))
+def idxstats_report(t):
+    """Every contig of the header with its length, reads or not, and the reads without coordinate."""
+    return Q.idxstats_report(_reads(t), _contigs(t))
+
+
+@register("read_histograms", W("""
+WITH p AS (SELECT * FROM px_reads WHERE flag & 256 = 0 AND flag & 2048 = 0)
+SELECT sample_id, 'mapq' AS metric, CAST(least(mapq, 254) AS BIGINT) AS bin, count(*) AS reads FROM p GROUP BY ALL
+UNION ALL SELECT sample_id, 'length', CAST(least(read_length, 1000) AS BIGINT), count(*) FROM p GROUP BY ALL""", _R))
+def read_histograms(t):
+    return Q.read_histograms(_reads(t))
+
+
+@register("vcf_quality_histogram", W("""
+WITH k AS (SELECT sample_id, CAST(floor(quality / 10) * 10 AS BIGINT) AS bin,
+    length(reference_bases) = 1 AND length(alt) = 1 AND coalesce(length(alt2), 1) = 1 AS snv,
+    length(alt) <> length(reference_bases) OR coalesce(length(alt2) <> length(reference_bases), false) AS differs FROM px_geno)
+SELECT sample_id, bin, count(*) FILTER (WHERE snv) AS snvs, count(*) FILTER (WHERE NOT snv AND differs) AS indels,
+  count(*) FILTER (WHERE NOT snv AND NOT differs) AS others
+FROM k GROUP BY sample_id, bin""", "px_geno"))
+def vcf_quality_histogram(t):
+    return Q.vcf_quality_histogram(P.genotypes(t))
+
+
+@register("qc_report_file_order", W(_qc_report_sql().replace(
+    "row_number() OVER (PARTITION BY sample_id ORDER BY rname) AS rn FROM ix",
+    "row_number() OVER (PARTITION BY sample_id ORDER BY CASE WHEN rname = '*' THEN 99 ELSE 23 - CAST(rname AS INTEGER) END) AS rn FROM ix")
+    .replace("chr(10) ORDER BY rname)", "chr(10) ORDER BY rn)"), _R))
+def qc_report_file_order(t):
+    """The report with each sample's first ten contigs in the order of its own header."""
+    r = _reads(t)
+    return Q.qc_report(Q.flagstat(r), Q.idxstats(r), Q.samstats(r), contig_order=_contigs(t))

@@ -233,3 +233,42 @@ def test_stream_dedupe_within_watermark(spark, fx, tmp_out):
     rows = spark.sql("SELECT round, node_id FROM dedup_updates").collect()
     assert sorted((r["round"], r.node_id) for r in rows) == [
         (1, "EU"), (1, "SG"), (1, "US"), (2, "US"), (3, "EU"), (3, "SG"), (3, "US")]
+
+
+def test_flag_report_lines_and_contig_dictionary(spark, fx):
+    r = sam.read_sam(spark, fx("mini.sam"))
+    lines = {x.category: x for x in qc.flagstat_report(r).collect()}
+    assert len(lines) == 16 and [lines[c].passed for c in ("in total", "primary", "secondary", "supplementary", "mapped")] == [8, 6, 1, 1, 6]
+    assert lines["mapped"].passed_rate == 75.0 and lines["mapped"].failed_rate is None and lines["singletons"].passed == 1
+    failed = qc.flagstat_report(r.withColumn("flag", F.col("flag").bitwiseOR(qc.QCFAIL)))
+    assert {x.category: (x.passed, x.failed) for x in failed.collect()}["read1"] == (0, lines["read1"].passed)
+    contigs = spark.createDataFrame([("mini", "chr2", 2000, 0), ("mini", "chr1", 1000, 1), ("mini", "chrM", 16, 2), ("empty", "chr1", 9, 0)],
+                                    "sample_id string, contig string, length long, contig_index int")
+    got = [tuple(x) for x in qc.idxstats_report(r, contigs).orderBy("sample_id", "contig_index").collect()]
+    assert [(x[0], x[2], x[3]) for x in got] == [("empty", "chr1", 9), ("empty", "*", 0), ("mini", "chr2", 2000), ("mini", "chr1", 1000),
+                                                 ("mini", "chrM", 16), ("mini", "*", 0)]
+    assert got[2][4:] == (2, 1) and got[4][4:] == (0, 0) and got[5][4:] == (0, 1)
+    h = {(x.metric, x.bin): x.reads for x in qc.read_histograms(r).collect()}
+    assert h["mapq", 60] == 2 and sum(v for (m, _), v in h.items() if m == "mapq") == 6
+
+
+def test_report_orders_contigs_by_each_file(spark, fx):
+    r = sam.read_sam(spark, fx("mini.sam"))
+    two = r.unionByName(r.withColumn("sample_id", F.lit("other")))
+    order = spark.createDataFrame([("mini", "chr1", 0), ("mini", "chr2", 1), ("other", "chr2", 0), ("other", "chr1", 1)],
+                                  "sample_id string, contig string, contig_index int")
+    text = {x.sample_id: x.report for x in qc.qc_report(qc.flagstat(two), qc.idxstats(two), qc.samstats(two), contig_order=order).collect()}
+    assert text["mini"].index("chr1\t") < text["mini"].index("chr2\t") and text["other"].index("chr2\t") < text["other"].index("chr1\t")
+    assert text["mini"].count("chr1\t") == 1
+
+
+def test_quality_histogram_kinds(spark, nested):
+    h = qc.vcf_quality_histogram(unnest_calls(nested)).agg(F.sum("snvs"), F.sum("indels"), F.sum("others")).first()
+    kinds = {"s": 0, "i": 0, "o": 0}
+    for v in nested.collect():
+        alts = v.alternate_bases
+        plain = alts and all(set(a) <= set("ACGTN") for a in alts)
+        k = "s" if plain and len(v.reference_bases) == 1 and all(len(a) == 1 for a in alts) else (
+            "i" if plain and any(len(a) != len(v.reference_bases) for a in alts) else "o")
+        kinds[k] += len(v.calls)
+    assert tuple(h) == (kinds["s"], kinds["i"], kinds["o"]) and min(kinds.values()) > 0
