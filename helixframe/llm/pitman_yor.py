@@ -11,7 +11,9 @@ A text's probability is the product of its words' and its end's, each given
 the words before it.
 
 Seating is sampled by Gibbs steps on the number of tables of each dish given
-the rest of its restaurant and the parent's predictive probability.  Up to
+the rest of its restaurant and the parent's predictive probability, both as
+they stood before the sweep: all dishes are redrawn at once, which is a
+parallel approximation of the sampler that redraws one after another.  Up to
 EXACT customers the step draws from the exact conditional (generalised
 Stirling numbers); beyond, the further customers are seated in turn, with
 the waiting time to the next new table drawn in closed form.  Restaurants

@@ -5,10 +5,10 @@ subsequence that spans m characters counts DECAY ** m in either string, and
 spans up to SPAN characters count, so an insult with gaps or inserted
 characters keeps most of its likeness.  A unit is a word, or a run of single
 characters between blanks ("i d i o t").  Each unit's kernel is scaled by
-its length.  Sentences of labelled documents are bags of units: in a toxic
-document the most suspicious unit of its most suspicious sentence stands for
-it (chosen anew in each round by the machine of the round before), and every
-unit of clean sentences is clean.
+its length.  Labelled documents are bags of units, texts are not cut into
+sentences: in a toxic document its most suspicious unit stands for it (chosen
+anew in each round by the machine of the round before), and every unit of
+clean documents is clean.
 
 The machine is trained on the driver from a bounded sample of labelled rows
 (the only bounded part).  Units are mapped to their kernels with the
