@@ -2,7 +2,7 @@
 
 from .alleles import (alt_count, first_alt, genotype_string, has_allele, is_called, is_carrier,
                       is_snv, mutation_type, pass_member, variant_class)
-from .contigs import (KARYOTYPE, SHARDS, contig_shard, is_karyotype, karyotype_index,
+from .contigs import (KARYOTYPE, SHARDS, contig_rank, contig_shard, is_karyotype, karyotype_index,
                       normalize_contig, shard_index)
 from .numeric import dot, pct, safe_ratio, sigmoid, truncate_1dp
 

@@ -40,6 +40,13 @@ def karyotype_index(c) -> Column:
             .when(as_int.between(1, 22), as_int))
 
 
+def contig_rank(c) -> Column:
+    """A total order's first key: 1-22, X, Y, then MT, then scaffolds (order
+    these by name), then NULL."""
+    n = normalize_contig(c)
+    return F.coalesce(karyotype_index(c), F.when(n == "MT", F.lit(25)).when(n.isNotNull(), F.lit(26)), F.lit(27))
+
+
 def is_karyotype(c) -> Column:
     return normalize_contig(c).isin(KARYOTYPE)
 

@@ -36,18 +36,38 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     return g.select("bin", (F.col("_lo") + F.col("bin") * span / bins).alias("lower_edge"), "count")
 
 
+def profiles(df: DataFrame, classes: list[str], bins: dict[str, int]) -> DataFrame:
+    """Value counts of the ``classes`` columns and equal-width histograms of
+    the ``bins`` columns (column: number of bins) as one frame (profile,
+    label, bin, lower_edge, count), in two scans however many columns: one
+    aggregate for all ranges, then one count of a row's entries stacked.
+    Nulls fall in no bin and count as a class of their own."""
+    ranges = df.agg(F.struct(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(bins)
+                               for n, f in (("lo", F.min), ("hi", F.max))]).alias("_r")).scalar()
+    none, number = F.lit(None).cast("string"), F.lit(None).cast("long")
+
+    def entry(profile, label, b):
+        return F.struct(F.lit(profile).alias("profile"), label.alias("label"), b.alias("bin"))
+
+    entries = [entry(c, F.col(c).cast("string"), number) for c in classes]
+    edges = F.lit(None).cast("double")
+    for i, (c, n) in enumerate(bins.items()):
+        lo = F.col(f"_r.lo_{i}")
+        span = (F.col(f"_r.hi_{i}") - lo).cast("double")
+        place = F.floor(F.try_divide((F.col(c) - lo).cast("double"), span) * n)
+        b = F.least(F.coalesce(place, F.lit(0)), F.lit(n - 1)).cast("long")
+        entries.append(F.when(F.col(c).isNotNull(), entry(c, none, b)))
+        edges = F.when((F.col("profile") == c) & F.col("bin").isNotNull(), lo + F.col("bin") * span / n).otherwise(edges)
+    x = df.select(*classes, *bins, ranges.alias("_r")).select(F.explode(F.array(*entries)).alias("_e"))
+    x = x.where(F.col("_e").isNotNull()).groupBy("_e.profile", "_e.label", "_e.bin").agg(
+        F.count(F.lit(1)).alias("count"))
+    return x.select("*", ranges.alias("_r")).select("profile", "label", "bin", edges.alias("lower_edge"), "count")
+
+
 def feature_profiles(features: DataFrame, quality_bins: int = 50, length_bins: int = 20) -> DataFrame:
     """Class counts, quality histogram and REF-length histogram in one frame
     (profile, label, bin, lower_edge, count)."""
-    cls = features.groupBy(F.col("variant_type").alias("label")).agg(F.count(F.lit(1)).alias("count")).select(
-        F.lit("variant_type").alias("profile"), "label", F.lit(None).cast("long").alias("bin"),
-        F.lit(None).cast("double").alias("lower_edge"), "count")
-    q = histogram(features, "quality", quality_bins).select(
-        F.lit("quality").alias("profile"), F.lit(None).cast("string").alias("label"), "bin", "lower_edge", "count")
-    r = histogram(features, "ref_length", length_bins).select(
-        F.lit("ref_length").alias("profile"), F.lit(None).cast("string").alias("label"), "bin", "lower_edge",
-        "count")
-    return cls.unionByName(q).unionByName(r)
+    return profiles(features, ["variant_type"], {"quality": quality_bins, "ref_length": length_bins})
 
 
 def label_with_annotations(features: DataFrame, clinvar: DataFrame) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..sources import snapshots
 from .joins import sized_lookup
+from .lineage import column_sources
 
 # Log severity levels in rank order.
 SEVERITY_RANK = [("DEFAULT", 0), ("DEBUG", 100), ("INFO", 200), ("NOTICE", 300), ("WARNING", 400),
@@ -59,12 +61,21 @@ class ReleaseError(ValueError):
 
 def aggregate_release(df: DataFrame, forbidden: list[str], min_n: int | None = None,
                       count_col: str = "n") -> DataFrame:
-    """Only aggregates leave a node: refuse frames carrying patient-level
-    columns; optionally suppress cells with fewer than ``min_n`` members."""
-    bad = sorted(set(forbidden) & set(df.columns))
+    """Only aggregates leave a node: refuse frames that carry patient-level
+    columns, under their own name or another, alone, inside an expression, as
+    a grouping key, or through an aggregate that returns one row's value
+    (min, max, first, lists); optionally suppress cells with fewer than
+    ``min_n`` members."""
+    names = {f.lower() for f in forbidden}
+    bad = {c: sorted(x for x in sources | {c} if x.lower() in names) for c, sources in column_sources(df).items()}
+    bad = {c: x for c, x in bad.items() if x}
     if bad:
-        raise ReleaseError(f"patient-level columns in release: {bad}")
-    return df if min_n is None else df.where(F.col(count_col) >= min_n)
+        raise ReleaseError(f"patient-level columns in release (column: comes from): {bad}")
+    if min_n is None:
+        return df
+    if count_col not in df.columns:
+        raise ReleaseError(f"no member count {count_col!r} to hold against the minimum cell size")
+    return df.where(F.col(count_col) >= min_n)
 
 
 def residency_check(assets: DataFrame, policy: DataFrame) -> DataFrame:
@@ -79,11 +90,23 @@ def residency_check(assets: DataFrame, policy: DataFrame) -> DataFrame:
 
 def erase_patients(patients: DataFrame, erase_ids: DataFrame, id_col: str = "patient_id") -> DataFrame:
     """Right to erasure: every row whose id is in ``erase_ids`` removed
-    (left anti-join against the size-checked request list; the caller
-    rewrites the table from the result)."""
+    (left anti-join against the size-checked request list).  For a stored
+    table see ``erase_from_table``."""
     return patients.join(sized_lookup(erase_ids.select(F.col(id_col)).distinct()), id_col, "left_anti")
 
 
+def erase_from_table(spark: SparkSession, path: str, erase_ids: DataFrame, id_col: str = "patient_id",
+                     purge: bool = True) -> int:
+    """Right to erasure on a stored table (``sources.snapshots``): files with
+    a requested id are rewritten, the rest stay, and a new version takes
+    over.  ``purge`` then deletes the older versions, so the rows are gone
+    from storage too.  Returns the version."""
+    version = snapshots.rewrite_without(spark, path, erase_ids, id_col)
+    if purge:
+        snapshots.purge(spark, path)
+    return version
+
+
 def node_row_counts(tables: dict[str, DataFrame], node_col: str = "node_id") -> DataFrame:
     """Post-load row counts per table and node."""
     parts = [df.groupBy(F.col(node_col).alias("node_id")).agg(F.count(F.lit(1)).alias("rows"))

@@ -3,12 +3,14 @@ storage layout."""
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import contig_shard as shard_expr
-from ..functions import karyotype_index, normalize_contig
+from ..functions import contig_rank, normalize_contig
+from ..session import scratch_path
 
 
 def _recode(genotype, alt_ix):
@@ -58,11 +60,36 @@ def merge_shards(shards: list[DataFrame], contig_col: str = "reference_name",
     a contig holding a third of the rows is split over many partitions -
     unlike the fixed 4-shard layout."""
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shards)
-    u = u.withColumn("_k", karyotype_index(contig_col))
+    u = u.withColumn("_k", contig_rank(contig_col)).withColumn("_c", normalize_contig(contig_col))
     if num_partitions:
-        u = u.repartitionByRange(num_partitions, "_k", pos_col)
-        return u.sortWithinPartitions("_k", pos_col).drop("_k")
-    return u.orderBy("_k", pos_col).drop("_k")
+        u = u.repartitionByRange(num_partitions, "_k", "_c", pos_col)
+        return u.sortWithinPartitions("_k", "_c", pos_col).drop("_k", "_c")
+    return u.orderBy("_k", "_c", pos_col).drop("_k", "_c")
+
+
+def merge_ordered(variants: DataFrame, tie_cols: list[str], contig_col: str = "reference_name",
+                  pos_col: str = "start_position", num_partitions: int | None = None) -> DataFrame:
+    """All shards, one frame, in total order: 1-22, X, Y, MT, scaffolds by
+    name, no contig; then position, then ``tie_cols``.  ``merge_position``
+    (from 1) is each row's place in that order.
+
+    The ordered rows are written once (their ranges come from a sample, which
+    a second run may draw otherwise); a row's place is its place in its range
+    and the sizes of the ranges before it, one number a range, so no task
+    meets all rows."""
+    spark = variants.sparkSession
+    keys = ["_k", "_c", pos_col, *tie_cols]
+    x = variants.withColumn("_k", contig_rank(contig_col)).withColumn("_c", normalize_contig(contig_col))
+    x = x.repartitionByRange(num_partitions, *keys) if num_partitions else x.repartitionByRange(*keys)
+    x = x.sortWithinPartitions(*keys).drop("_k", "_c").withColumn("_row", F.monotonically_increasing_id())
+    path = scratch_path(spark, f"merged-{uuid.uuid4().hex}")
+    x.write.parquet(path)
+    x = spark.read.schema(x.schema).parquet(path).withColumn("_range", F.shiftright("_row", 33))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = x.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.col("_start") + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return x.join(F.broadcast(starts), "_range").withColumn("merge_position", place).drop("_range", "_row", "_start")
 
 
 def layout_for_write(variants: DataFrame, num_partitions: int, contig_col: str = "reference_name",

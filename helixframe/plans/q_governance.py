@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import federated as FD
 from ..operators import governance as G
+from ..session import scratch_path
+from ..sources import snapshots as SN
 from ..streaming.rounds import dedupe_updates
 from . import proxy as P
 from .oracle_views import with_views as W
@@ -103,6 +107,26 @@ def erase_patients(t):
     return G.erase_patients(P.px_patients(t), ids).select("patient_id", "node_id")
 
 
+@register("erase_from_table", W("""
+SELECT p.patient_id, p.node_id, p.node_id <> 'EU' AS file_kept FROM px_patients p
+WHERE NOT (p.node_id = 'EU' AND p.patient_id IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal < 0))""",
+                                "px_patients"))
+def erase_from_table(t):
+    """Patients written as a table, a file a node; those of one node with a
+    negative balance are erased.  ``file_kept``: the row's file is one of the
+    first version, under its first name."""
+    path = scratch_path(t.spark, f"patients-{uuid.uuid4().hex}")
+    p = P.px_patients(t).select("patient_id", "node_id")
+    for node in ("US", "EU", "SG"):  # a version a load
+        SN.append_table(p.where(F.col("node_id") == node), path, ["patient_id"], 1)
+    before = {f.rsplit("/", 1)[1] for f in SN.snapshot_files(t.spark, path)}
+    gone = t.customer.where(F.col("c_acctbal") < 0).select(F.col("c_custkey").cast("string").alias("patient_id"))
+    gone = gone.join(p.where(F.col("node_id") == "EU"), "patient_id", "left_semi")
+    G.erase_from_table(t.spark, path, gone)
+    return SN.read_table(t.spark, path).select(
+        "patient_id", "node_id", F.col("_metadata.file_name").isin(sorted(before)).alias("file_kept"))
+
+
 @register("node_row_counts", W("""
 SELECT 'patients' AS "table", node_id, count(*) AS "rows" FROM px_patients GROUP BY node_id
 UNION ALL

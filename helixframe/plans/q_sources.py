@@ -174,6 +174,27 @@ def merge_shards(t):
     return m.select("reference_name", "start_position", "reference_bases", "shard")
 
 
+# Fixed proxy values: some sites lie on MT, scaffolds or no contig.
+_ANY_CONTIG = """CASE WHEN pk % 31 = 0 THEN 'chrM' WHEN pk % 37 = 0 THEN 'GL0002' || CAST(pk % 3 AS STRING)
+  WHEN pk % 101 = 0 THEN NULL ELSE chromosome END"""
+
+
+@register("merge_shards_ordered", W(f"""
+WITH s AS (SELECT {_ANY_CONTIG} AS reference_name, position - 1 AS start_position, ref AS reference_bases, ln FROM px_sites),
+k AS (SELECT *, CASE WHEN reference_name = 'chrM' THEN 25 WHEN reference_name = 'X' THEN 23 WHEN reference_name = 'Y' THEN 24
+        WHEN reference_name IS NULL THEN 27 WHEN starts_with(reference_name, 'GL') THEN 26
+        ELSE CAST(reference_name AS INT) END AS k FROM s)
+SELECT reference_name, start_position, reference_bases,
+  row_number() OVER (ORDER BY k, reference_name NULLS FIRST, start_position, reference_bases, ln) AS merge_position
+FROM k""".replace("CAST(reference_name AS INT)", "try_cast(reference_name AS INT)"), "px_sites"))
+def merge_shards_ordered(t):
+    """Sites on all kinds of contigs merged in one order, with each row's place in it."""
+    s = P.px_sites(t).select(F.expr(_ANY_CONTIG).alias("reference_name"), (F.col("position") - 1).alias("start_position"),
+                             F.col("ref").alias("reference_bases"), "ln")
+    return N.merge_ordered(s, ["reference_bases", "ln"]).select(
+        "reference_name", "start_position", "reference_bases", "merge_position")
+
+
 @register("valid_sequence", W("""
 SELECT doc_id, regexp_full_match(regexp_replace(upper(text), '[ \\n]', '', 'g'), '[ACDEFGHIKLMNPQRSTVWY]*')
   AS is_valid

@@ -18,6 +18,8 @@ from .oracle_views import with_views as W
 from .registry import register
 
 NUM_NODES = 4
+# The fixed columns of a VCF header line.
+VCF_COLUMNS = ["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"]
 
 
 def _scratch(t, name):
@@ -123,3 +125,34 @@ def stream_ingest_flat(t):
     r = spark.read.parquet(out)
     return r.select(F.col("chromosome").cast("string").alias("chromosome"), "position", "ref", "alt", "quality",
                     "filter", "sample_id")
+
+
+@register("stream_ingest_landing", W("""
+SELECT chromosome, position, ref, alt, quality, filter, sample_id FROM px_flat,
+  (SELECT unnest(['HG-a', 'HG-b', 'HG-tsv']) AS sample_id) s
+WHERE (sample_id = 'HG-tsv') = (position % 2 = 1)""", "px_flat"))
+def stream_ingest_landing(t):
+    """VCF files of two samples (even positions) and TSV files (odd ones), a
+    file a contig, landed in one folder in two triggers; then all files come
+    again under a fresh checkpoint and add nothing."""
+    spark = t.spark
+    land, out = _scratch(t, "mixed-landing"), _scratch(t, "landed")
+    flat = P.flat_variants(t)
+    odd = F.col("position") % 2 == 1
+    text = [F.coalesce(F.col(c).cast("string"), F.lit(".")) for c in ("position", "id", "ref", "alt", "quality", "filter")]
+    sites = flat.where(~odd).select(F.col("chromosome").alias("c"), F.concat_ws(
+        "\t", "chromosome", *text, F.lit("."), F.lit("GT"), F.lit("0/1"), F.lit("./.")).alias("value"))
+    heads = flat.where(~odd).select(F.col("chromosome").alias("c")).distinct().select("c", F.explode(F.array(
+        F.lit("##fileformat=VCFv4.2"), F.lit("\t".join(VCF_COLUMNS + ["FORMAT", "HG-a", "HG-b"])))).alias("value"))
+    tsv = flat.where(odd).select(F.lit("HG-tsv").alias("sample_id"), "*")
+    first = F.col("chromosome").isin("X", "Y")
+    ck = _scratch(t, "landed-ckpt")
+    # trigger 1: contigs X and Y as VCF, the others as TSV; trigger 2: the rest
+    for vcf_part, tsv_part in ((F.col("c").isin("X", "Y"), ~first), (~F.col("c").isin("X", "Y"), first)):
+        (sites.unionByName(heads).where(vcf_part).repartition("c").write.mode("append").partitionBy("c").text(f"{land}/vcf"))
+        (tsv.where(tsv_part).repartition("chromosome").write.mode("append").option("sep", "\t").option("header", True)
+         .option("nullValue", ".").csv(f"{land}/tsv"))
+        I.stream_ingest_landing(spark, land, out, ck)
+    I.stream_ingest_landing(spark, land, out, _scratch(t, "landed-ckpt"))
+    r = I.read_landed(spark, out)
+    return r.select("chromosome", "position", "ref", "alt", "quality", "filter", "sample_id")

@@ -114,7 +114,7 @@ def _site_columns(f: Column) -> list[Column]:
     ]
 
 
-def _data_with_names(lines: DataFrame, names: str, broadcast_headers: bool | None,
+def data_with_names(lines: DataFrame, names: str = "keep", broadcast_headers: bool | None = None,
                      headers: DataFrame | None = None) -> DataFrame:
     """Data lines with their file's sample names.  The header table (a row a
     file) is landed and measured: up to HEADER_BROADCAST_BYTES it is broadcast
@@ -153,7 +153,7 @@ def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bo
     ``_sample_names``), e.g. from a sample manifest, skips the scan for
     ``#CHROM`` lines.
     """
-    data = _data_with_names(lines, names, broadcast_headers, headers)
+    data = data_with_names(lines, names, broadcast_headers, headers)
     # split once into a column: later expressions reference it many times
     data = data.select("source_file", "_sample_names", F.split("value", "\t").alias("_f"))
     f = F.col("_f")
@@ -182,7 +182,7 @@ def parse_vcf_genotypes(lines: DataFrame, names: str = "keep", broadcast_headers
     """Data lines -> long genotype rows (one per site and sample): the sample
     columns are exploded first, then every field is a plain column
     expression (whole-stage codegen, no per-call lambda)."""
-    data = _data_with_names(lines, names, broadcast_headers, headers)
+    data = data_with_names(lines, names, broadcast_headers, headers)
     data = data.select("source_file", "_sample_names", F.split("value", "\t").alias("_f"))
     f = F.col("_f")
     x = data.select(
@@ -221,14 +221,18 @@ def read_vcf(spark: SparkSession, path_glob: str, names: str = "keep",
     return parse(lines, names, broadcast_headers=None if len(files) <= max_broadcast_files else False, headers=headers)
 
 
+def site_fields(f: Column) -> list[Column]:
+    """``CHROM POS ID REF ALT QUAL FILTER`` of a data line's fields (POS kept 1-based)."""
+    return [F.get(f, 0).alias("chromosome"), F.get(f, 1).try_cast("long").alias("position"),
+            _missing(F.get(f, 2)).alias("id"), F.get(f, 3).alias("ref"), _missing(F.get(f, 4)).alias("alt"),
+            _missing(F.get(f, 5)).try_cast("double").alias("quality"), _missing(F.get(f, 6)).alias("filter")]
+
+
 def vcf_to_flat(lines: DataFrame, sample_id: str | Column | None = None) -> DataFrame:
     """``CHROM POS ID REF ALT QUAL FILTER`` projection of data lines (POS kept
     1-based), with an optional leading ``sample_id``."""
     data = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0))
-    f = F.split("value", "\t")
-    cols = [F.get(f, 0).alias("chromosome"), F.get(f, 1).try_cast("long").alias("position"),
-            _missing(F.get(f, 2)).alias("id"), F.get(f, 3).alias("ref"), _missing(F.get(f, 4)).alias("alt"),
-            _missing(F.get(f, 5)).try_cast("double").alias("quality"), _missing(F.get(f, 6)).alias("filter")]
+    cols = site_fields(F.split("value", "\t"))
     if sample_id is not None:
         sid = F.lit(sample_id) if isinstance(sample_id, str) else sample_id
         cols = [sid.alias("sample_id")] + cols
