@@ -29,12 +29,13 @@ from pyspark.sql import functions as F
 from .common import whole
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Chunks kept by a task's cache; a full cache is emptied.
+#: Chunks and their characters kept by a task's table; a full one is emptied before the next texts.
 CACHE = 400_000
+CACHE_CHARS = 8_000_000
 #: Texts encoded at a time.
-TOGETHER = 512
-#: Longer chunks are not cached.
-CACHED_CHARS = 64
+TOGETHER = 1024
+#: Longer chunks are searched one by one.
+LEARNT_CHARS = 64
 #: Segmentations that are returned of each text.
 NBEST = 5
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
@@ -75,8 +76,43 @@ def _crosses(ids: dict[str, int]) -> bool:
     return any(a != " " and bool(_LETTER.match(a)) != bool(_LETTER.match(b)) for p in ids for a, b in zip(p, p[1:]))
 
 
-#: Caches of this Python worker, by vocabulary size and n; they outlive a task where workers are reused.
-_CACHES: dict[tuple[int, int], dict[str, tuple]] = {}
+class _Chunks:
+    """Best segmentations of chunks: ``number`` of a chunk, and by number
+    where its ids lie in ``flat``, how many, their score (``total``) and the
+    loss of the second best (``lost``)."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.chars = 0
+        self.flat = np.zeros(0, dtype=np.int32)
+        self.start, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.lost, self.total = np.zeros(0), np.zeros(0)
+
+    def add(self, chunks: list[str], found: list[tuple]) -> None:
+        """``found``: (ids, lost, total) of each chunk."""
+        if not chunks:
+            return
+        size = np.fromiter((len(f[0]) for f in found), dtype=np.int64, count=len(found))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(f[0] for f in found), np.int32)])
+        self.lost = np.concatenate([self.lost, [f[1] for f in found]])
+        self.total = np.concatenate([self.total, [f[2] for f in found]])
+        self.number.update(zip(chunks, range(len(self.number), len(self.start))))
+        self.chars += sum(map(len, chunks))
+
+    def ids(self, numbers: np.ndarray) -> np.ndarray:
+        """Ids of these chunks one after the other."""
+        size = self.size[numbers]
+        ends = np.cumsum(size)
+        return self.flat[np.repeat(self.start[numbers] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+#: Tables of this Python worker, by vocabulary size and n; they outlive a task where workers are reused.
+_CACHES: dict[tuple[int, int], _Chunks] = {}
 
 
 class Segmenter:
@@ -102,7 +138,8 @@ class Segmenter:
         self.hashes = np.array([*order, (1 << 64) - 1], dtype=np.uint64)
         self.hashed_ids = np.array([*[hashed[h] for h in order], -1], dtype=np.int64)
         self.cut = (_CHUNK if _crosses(ids) else _SCRIPT_CHUNK).findall
-        self.cache = _CACHES.setdefault((len(self.written), nbest), {})
+        self.chunks = _CACHES.setdefault((len(self.written), nbest), _Chunks())
+        self.bytes_of = pa.array(self.written, pa.large_binary())
         self.found: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
 
     def _spelt(self, char: str) -> tuple[tuple[int, ...], float]:
@@ -162,25 +199,30 @@ class Segmenter:
         return found
 
     def learn(self, chunks: list[str]) -> None:
-        """Put chunks into the cache: ids and score of the best segmentation
-        and the loss of the second best (infinite if there is none).
+        """Put new chunks into the table: ids and score of the best
+        segmentation and the loss of the second best (infinite if there is
+        none).
 
         All chunks of one length go through the Viterbi passes together, a
         numpy row each.  The best score from the start to each position and
         from each position to the end price every edge; the second best
         segmentation loses what the cheapest edge off the best path loses.
-        Pieces are looked up by a 64-bit hash of their characters; encode()
-        decodes what it found and searches anew without hashes if that
-        differs from the text.
+        Pieces are looked up by a 64-bit hash of their characters; a chunk
+        whose ids do not spell it is searched anew without hashes.
         """
         by_size: dict[int, list[str]] = {}
         for c in chunks:
             by_size.setdefault(len(c), []).append(c)
         for size, same in by_size.items():
+            if size > LEARNT_CHARS or 2 * len(same) < size:  # too few for numpy's rows to pay
+                self.chunks.add(same, [self._one(c) for c in same])
+                continue
+            found = []
             for lo in range(0, len(same), max(1, 200_000 // size)):
-                self._learn(size, same[lo:lo + max(1, 200_000 // size)])
+                found += self._learn(size, same[lo:lo + max(1, 200_000 // size)])
+            self.chunks.add(same, found)
 
-    def _learn(self, size: int, chunks: list[str]) -> None:
+    def _learn(self, size: int, chunks: list[str]) -> list[tuple]:
         count = len(chunks)
         codes = np.frombuffer("".join(chunks).encode("utf-32-le"), dtype=np.uint32).reshape(count, size)
         edges: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
@@ -226,13 +268,14 @@ class Segmenter:
                 lost = best[:, size] - (best[:, start] + score + rest[:, end])
             off = ~(on_path[:, end] & (start_of[:, end] == start))
             np.minimum(loss, np.where(off & ~np.isnan(lost), lost, np.inf), out=loss)
-        if len(self.cache) + count > CACHE:
-            self.cache.clear()
+        found, written = [], self.written
         for c, ids, total, lost in zip(chunks, path, best[:, size].tolist(), loss.tolist()):
             ids.reverse()
             if min(ids) < 0:
                 ids = [j for i in ids for j in (self._spelt(chr(-2 - i))[0] if i < 0 else (i,))]
-            self.cache[c] = (ids, lost, total)
+            same = b"".join([written[i] for i in ids]) == c.encode()
+            found.append((ids, lost, total) if same else self._one(c))  # else two pieces with one hash
+        return found
 
     def _one(self, chunk: str) -> tuple:
         """As learn() for one chunk, by the search alone."""
@@ -244,7 +287,7 @@ class Segmenter:
         found = self.found.get(chunk)
         if found is None:
             found = self.search(chunk, self.nbest)
-            if len(chunk) <= CACHED_CHARS:
+            if len(chunk) <= LEARNT_CHARS:
                 if len(self.found) >= CACHE // 10:
                     self.found.clear()
                 self.found[chunk] = found
@@ -254,36 +297,46 @@ class Segmenter:
         """Score and ids of the n best segmentations of each whole text, best
         first.  The empty text has one, without pieces, of score 0."""
         cut = [self.cut(" " + t) if t else [] for t in texts]
-        new = {c for chunks in cut for c in chunks if len(c) <= CACHED_CHARS} - self.cache.keys()
+        every = list(itertools.chain.from_iterable(cut))
+        table, met = self.chunks, set(every)
+        new = met - table.number.keys()
+        if len(table.number) + len(new) > CACHE or table.chars + sum(map(len, new)) > CACHE_CHARS:
+            table.clear()
+            new = met
         self.learn(sorted(new))
-        return [self._join(t, chunks) for t, chunks in zip(texts, cut)]
+        numbers = np.fromiter(map(table.number.__getitem__, every), dtype=np.int64, count=len(every))
+        best, size = table.ids(numbers), table.size[numbers]
+        lost, total = table.lost[numbers], table.total[numbers].tolist()
+        chunk_at = np.cumsum([0, *map(len, cut)])
+        id_at = np.concatenate([[0], np.cumsum(size)])
+        out = []
+        for chunks, lo, hi in zip(cut, chunk_at[:-1].tolist(), chunk_at[1:].tolist()):
+            ends = id_at[lo:hi + 1] - id_at[lo]
+            out.append(self._join(chunks, best[id_at[lo]:id_at[hi]], ends, lost[lo:hi], math.fsum(total[lo:hi])))
+        return out
 
-    def _join(self, text: str, chunks: list[str]) -> list[tuple[float, np.ndarray]]:
-        if not chunks:
-            return [(0.0, np.zeros(0, dtype=np.int32))]
-        cached = self.cache.get
-        hits = [cached(c) or self._one(c) for c in chunks]
-        ids = list(itertools.chain.from_iterable([h[0] for h in hits]))
-        if b"".join([self.written[i] for i in ids]) != b" " + text.encode():  # two pieces with one hash
-            hits = [self._one(c) for c in chunks]
-            ids = list(itertools.chain.from_iterable([h[0] for h in hits]))
-        best = np.array(ids, dtype=np.int32)
+    def _join(self, chunks: list[str], best: np.ndarray, ends: np.ndarray, lost: np.ndarray,
+              total: float) -> list[tuple[float, np.ndarray]]:
+        """The n best segmentations of a text from its best one: ``ends`` cuts
+        its ids at the chunks, ``lost`` is each chunk's least loss."""
         # a segmentation among the n best leaves the best one only in the n - 1 chunks that lose least by it
+        few = self.nbest - 1
+        near = np.arange(len(lost))
+        if 0 < few < len(lost):
+            near = np.flatnonzero(lost <= np.partition(lost, few - 1)[few - 1])
+        near = near[np.argsort(lost[near], kind="stable")[:few]]
         merged: list[tuple[float, tuple]] = [(0.0, ())]  # loss, and the ids in each chunk looked at
-        lost = [h[1] for h in hits]
-        for k in heapq.nsmallest(self.nbest - 1, range(len(hits)), key=lost.__getitem__):
+        for k in near.tolist():
             if lost[k] < math.inf:
                 found = self._nbest(chunks[k])
                 merged = heapq.nsmallest(self.nbest, (
                     (a + found[0][0] - s, (*how, (k, i))) for a, how in merged for s, i in found), key=lambda x: x[0])
-        total = math.fsum([h[2] for h in hits])
-        ends = np.cumsum([len(h[0]) for h in hits]) if len(merged[0][1]) else None
         out = []
         for loss, how in merged:
             parts, at = [], 0
             for k, other in sorted(how):
-                parts += [best[at:ends[k] - len(hits[k][0])], np.array(other, dtype=np.int32)]
-                at = ends[k]
+                parts += [best[at:ends[k]], np.array(other, dtype=np.int32)]
+                at = ends[k + 1]
             out.append((total - loss, np.concatenate([*parts, best[at:]])))
         return out
 
@@ -301,6 +354,12 @@ class Segmenter:
         written = self.written
         return b"".join([written[i] for i in ids]).decode("utf-8")[1:]
 
+    def spell(self, ids: np.ndarray) -> bytes:
+        """The bytes of the pieces, the blank put before the text included."""
+        taken = self.bytes_of.take(pa.array(ids))
+        ends = np.frombuffer(taken.buffers()[1], dtype=np.int64, count=len(ids) + 1)
+        return taken.buffers()[2].to_pybytes()[ends[0]:ends[-1]] if len(ids) else b""
+
 
 SCHEMA = ("doc_id long, ids array<int>, n_pieces long, scores array<double>, round_trip boolean, "
           "segmentations array<struct<score:double,ids:array<int>>>")
@@ -334,10 +393,11 @@ def encode_documents(docs: DataFrame, path: str = MODEL, nbest: int = NBEST) ->
                 ids = _listed(pa.array(np.concatenate([i for _, i in every])), [len(i) for _, i in every])
                 yield pa.RecordBatch.from_arrays([
                     doc_ids.slice(lo, TOGETHER),
-                    pa.array([found[0][1] for found in coded], pa.list_(pa.int32())),
+                    _listed(pa.array(np.concatenate([found[0][1] for found in coded])), [len(found[0][1]) for found in coded]),
                     pa.array([len(found[0][1]) for found in coded], pa.int64()),
                     _listed(scores, counts),
-                    pa.array([seg.decode(found[0][1].tolist()) == t for found, t in zip(coded, part)], pa.bool_()),
+                    pa.array([seg.spell(found[0][1]) == (b" " + t.encode() if t else b"")
+                              for found, t in zip(coded, part)], pa.bool_()),
                     _listed(pa.StructArray.from_arrays([scores, ids], names=["score", "ids"]), counts),
                 ], names=["doc_id", "ids", "n_pieces", "scores", "round_trip", "segmentations"])
 
