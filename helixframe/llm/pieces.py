@@ -20,6 +20,7 @@ import itertools
 import math
 import re
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CACHE = 400_000
 CACHE_CHARS = 8_000_000
 #: Texts encoded at a time.
-TOGETHER = 1024
+TOGETHER = 512
 #: Longer chunks are searched one by one.
 LEARNT_CHARS = 64
 #: Segmentations that are returned of each text.
@@ -234,8 +235,10 @@ class Segmenter:
                 ids = np.where(self.hashes[at] == h, self.hashed_ids[at], -1)
                 if end == start + 1 and (ids < 0).any():  # spelt in bytes: kept as -2 - code point
                     ids = np.where(ids < 0, -2 - codes[:, start].astype(np.int64), ids)
-                    spelt = [self._spelt(chr(-2 - i))[1] if i < 0 else self.scores[i] for i in ids.tolist()]
-                    edges[start, end] = ids, np.array(spelt)
+                    score = self.scores[np.maximum(ids, 0)]
+                    for r in np.flatnonzero(ids < 0).tolist():
+                        score[r] = self._spelt(chr(-2 - ids[r]))[1]
+                    edges[start, end] = ids, score
                 elif (ids >= 0).any():
                     edges[start, end] = ids, self.scores[ids]  # scores[-1] is -inf: no such piece
         best = np.full((count, size + 1), -np.inf)
@@ -329,8 +332,8 @@ class Segmenter:
         for k in near.tolist():
             if lost[k] < math.inf:
                 found = self._nbest(chunks[k])
-                merged = heapq.nsmallest(self.nbest, (
-                    (a + found[0][0] - s, (*how, (k, i))) for a, how in merged for s, i in found), key=lambda x: x[0])
+                merged = sorted([(a + found[0][0] - s, (*how, (k, i))) for a, how in merged for s, i in found],
+                                key=itemgetter(0))[:self.nbest]
         out = []
         for loss, how in merged:
             parts, at = [], 0
@@ -361,7 +364,7 @@ class Segmenter:
         return taken.buffers()[2].to_pybytes()[ends[0]:ends[-1]] if len(ids) else b""
 
 
-SCHEMA = ("doc_id long, ids array<int>, n_pieces long, scores array<double>, round_trip boolean, "
+SCHEMA = ("doc_id long, n_pieces long, scores array<double>, round_trip boolean, "
           "segmentations array<struct<score:double,ids:array<int>>>")
 
 
@@ -393,15 +396,15 @@ def encode_documents(docs: DataFrame, path: str = MODEL, nbest: int = NBEST) ->
                 ids = _listed(pa.array(np.concatenate([i for _, i in every])), [len(i) for _, i in every])
                 yield pa.RecordBatch.from_arrays([
                     doc_ids.slice(lo, TOGETHER),
-                    _listed(pa.array(np.concatenate([found[0][1] for found in coded])), [len(found[0][1]) for found in coded]),
                     pa.array([len(found[0][1]) for found in coded], pa.int64()),
                     _listed(scores, counts),
                     pa.array([seg.spell(found[0][1]) == (b" " + t.encode() if t else b"")
                               for found, t in zip(coded, part)], pa.bool_()),
                     _listed(pa.StructArray.from_arrays([scores, ids], names=["score", "ids"]), counts),
-                ], names=["doc_id", "ids", "n_pieces", "scores", "round_trip", "segmentations"])
+                ], names=["doc_id", "n_pieces", "scores", "round_trip", "segmentations"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole("text").alias("text")).mapInArrow(run, SCHEMA)
+    coded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole("text").alias("text")).mapInArrow(run, SCHEMA)
+    return coded.select("doc_id", F.get("segmentations", 0)["ids"].alias("ids"), "n_pieces", "scores", "round_trip", "segmentations")
 
 
 def decode_documents(coded: DataFrame, path: str = MODEL) -> DataFrame:
