@@ -10,6 +10,8 @@ entity is generalised, or removed where it tells nearly everything.  Pairs
 are counted over whole documents.  Since a pair can be in no more documents
 than its entity, PMI bounds how frequent a telling term may be: terms above
 that bound leave before the pairs are formed, and no telling pair is lost.
+Only texts with mentions are landed, and of these only those with telling
+terms are shuffled; the others are read again, which costs less than a copy.
 
 Everything is DataFrame expressions.  Positions come from splitting the text
 at the matches: the lengths of the gaps and of the matches add up to the
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import landed, landed_parquet, whole
+from .idfilter import flagged
 
 KINDS = ("email", "ip", "card", "phone")
 #: The contract's patterns with possessive quantifiers where no shorter match can succeed, and with a guard that a
@@ -117,11 +120,10 @@ def _blanked(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, whole_text).otherwise(text)
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """__row, doc_id, a column of spans per kind, ``entities``: the distinct
-    entities (kind and value, lower-cased, digits alone for card and phone) of
-    the spans, and ``rest``: the text with its mentions blanked.  Landed: the
-    texts are read once."""
+def texts(docs: DataFrame) -> DataFrame:
+    """doc_id, a column of spans per kind, ``entities``: the distinct entities
+    (kind and value, lower-cased, digits alone for card and phone) of the
+    spans, and ``rest``: the text with its mentions blanked."""
     t = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole("text").alias("t"))
     t = t.select("doc_id", "t", *[_spans(F.col("t"), k).alias(k) for k in KINDS])
 
@@ -132,8 +134,12 @@ def base_spans(docs: DataFrame) -> DataFrame:
         return of
 
     entities = F.array_distinct(F.concat(*[F.transform(k, entity(k)) for k in KINDS]))
-    return landed_parquet(t.select(F.monotonically_increasing_id().alias("__row"), "doc_id", *KINDS, entities.alias("entities"),
-                                   _blanked(F.col("t"), F.concat(*KINDS)).alias("rest")), "pii-spans")
+    return t.select("doc_id", *KINDS, entities.alias("entities"), _blanked(F.col("t"), F.concat(*KINDS)).alias("rest"))
+
+
+def _mentions() -> Column:
+    """How many spans a document has."""
+    return sum((F.size(k) for k in KINDS[1:]), F.size(KINDS[0]))
 
 
 def _terms(text: Column) -> Column:
@@ -153,19 +159,28 @@ def entity_rows(found: DataFrame, support: int) -> DataFrame:
     return rows.join(counts, "entity")
 
 
-def disclosive_terms(found: DataFrame, entities: DataFrame, disclosure: float = DISCLOSURE,
+def held_terms(found: DataFrame, entities: DataFrame, terms: DataFrame) -> DataFrame:
+    """__row, term: the distinct terms of the documents in ``entities`` that
+    may be among ``terms``.  Bitmaps of bounded size tell before any shuffle;
+    a few others pass, which the joins after it leave out."""
+    rows = flagged(found, F.col("__row"), entities.select("__row").distinct(), "__judged").where("__judged")
+    each = rows.select("__row", F.explode(_terms(F.col("rest"))).alias("term"))
+    wanted = terms.select(F.xxhash64("term").alias("h")).distinct()
+    return flagged(each, F.xxhash64("term"), wanted, "__known").where("__known").select("__row", "term")
+
+
+def disclosive_terms(found: DataFrame, entities: DataFrame, counts: DataFrame, n: float, disclosure: float = DISCLOSURE,
                      support: int = SUPPORT) -> DataFrame:
     """entity, term, share: the part of the entity's information that the
-    term gives away, where that is at least ``disclosure``."""
-    n = float(found.count())
-    terms = landed(document_counts(found).where(F.col("n_term") >= support))
+    term gives away, where that is at least ``disclosure``.  ``counts`` are the
+    document counts of all terms over the ``n`` documents."""
     information = F.log(F.lit(n) / F.col("n_entity"))
     # n_both <= n_entity, so that share >= disclosure bounds n_term; the margin is for rounding
     bound = F.col("n_entity") * F.exp((1 - disclosure) * information) * (1 + 1e-9)
     entities = entities.withColumn("bound", F.when(information > 0, bound).otherwise(F.lit(n)))
-    most = entities.groupBy("__row").agg(F.max("bound").alias("most"))
-    held = (found.join(most, "__row").select("__row", "most", F.explode(_terms(F.col("rest"))).alias("term"))
-            .join(terms, "term").where(F.col("n_term") <= F.col("most")).select("__row", "term", "n_term"))
+    most = entities.agg(F.max("bound")).first()[0] or 0.0
+    terms = landed(counts.where((F.col("n_term") >= support) & (F.col("n_term") <= most)))
+    held = held_terms(found, entities, terms).join(terms, "term")
     pairs = held.join(entities, "__row").where(F.col("n_term") <= F.col("bound"))
     judged = pairs.groupBy("entity", "term", "n_entity", "n_term").agg(F.count(F.lit(1)).alias("n_both")).where(
         F.col("n_both") >= support)
@@ -204,13 +219,21 @@ def find_pii(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUP
     keeps its largest share.  Repeated rows are documents of their own and
     count each in the statistics.  Extra columns are not read.
     """
-    found = base_spans(docs)
+    every = texts(docs)
+    found = landed_parquet(every.where(_mentions() > 0).select(F.monotonically_increasing_id().alias("__row"), "*"), "pii-spans")
     entities = landed(entity_rows(found, support))
-    telling = landed(disclosive_terms(found, entities, disclosure, support))
-    shares = (entities.join(telling, "entity").groupBy("__row", "term").agg(F.max("share").alias("share"))
+    telling = landed(disclosive_terms(found, entities, document_counts(every), float(docs.count()), disclosure, support))
+    shares = (held_terms(found, entities.join(telling.select("entity").distinct(), "entity", "left_semi"), telling)
+              .join(entities.select("__row", "entity"), "__row").join(telling, ["entity", "term"])
+              .groupBy("__row", "term").agg(F.max("share").alias("share"))
               .groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("shares")))
-    return (found.join(shares, "__row", "left")
-            .select("doc_id", *KINDS, _marked(F.col("rest"), F.col("shares")).alias("terms")))
+    shares = landed(shares)
+    marked = flagged(found, F.col("__row"), shares.select("__row"), "__telling")
+    told = marked.where("__telling").join(shares, "__row", "left")
+    none = F.array().cast(MARKED).alias("terms")
+    return (told.select("doc_id", *KINDS, _marked(F.col("rest"), F.col("shares")).alias("terms"))
+            .unionByName(marked.where("not __telling").select("doc_id", *KINDS, none))
+            .unionByName(every.where(_mentions() == 0).select("doc_id", *KINDS, none)))
 
 
 def written(kind: str, spans: Column) -> Column:
