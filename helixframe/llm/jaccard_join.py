@@ -4,7 +4,8 @@ Two documents link when their sets of 5-word shingles overlap in at least
 0.8 of their union.  The join finds every link's component exactly:
 
 1. Documents with one set are one class, found by a 128-bit digest of the
-   set; a class is represented by its smallest id.
+   set.  Classes get numbers of their own; a class's text is that of its
+   smallest id, found again by id and digest, so ids need not be unique.
 2. Sets that overlap so far must share a shingle among the rarest
    n - ceil(0.8 n) + 1 of the larger and the rarest n - ceil(8/9 n) + 1 of
    the smaller (size-derived prefixes).  "Rarest" goes by a histogram of
@@ -38,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import landed, landed_parquet, whole
 from .components import components
@@ -99,18 +101,41 @@ def sketch(s: np.ndarray) -> bytes | None:
     return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
 
 
+def _digest(s: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
+
+
+def keyed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the digest of each text's set (null: no shingle) in the column ``name``."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, _TOGETHER):
+                part = batch.slice(lo, _TOGETHER)
+                keys = [_digest(s) for s in shingle_sets([t or "" for t in part.column(at).to_pylist()])]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.binary())], names=[*part.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
+
+
 def set_digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, key: a 128-bit digest of the set, and its sketch (both null for the empty set)."""
+    """doc_id, n_shingles, key: a 128-bit digest of the set (null for the empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, sets in _parts(batches):
-            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())],
-                names=["doc_id", "n_shingles", "key", "sketch"])
+                [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) for s in sets], pa.binary())],
+                names=["doc_id", "n_shingles", "key"])
 
-    return landed_parquet(_texts(docs).mapInArrow(run, "doc_id long, n_shingles long, key binary, sketch binary"), "jaccard-sets")
+    return landed_parquet(_texts(docs).mapInArrow(run, "doc_id long, n_shingles long, key binary"), "jaccard-sets")
+
+
+def set_classes(digests: DataFrame) -> DataFrame:
+    """node (a number of the class's own), key, rep (the smallest id, null
+    where none has one), n_class: a row per different set."""
+    classes = digests.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_class"))
+    return landed_parquet(classes.select(F.monotonically_increasing_id().alias("node"), "*"), "jaccard-classes")
 
 
 def _ceil_share(n: int, up: int, down: int) -> int:
@@ -118,7 +143,7 @@ def _ceil_share(n: int, up: int, down: int) -> int:
 
 
 def prefixes(docs: DataFrame, histogram: np.ndarray, per_cent: int) -> DataFrame:
-    """doc_id, n, n_index, prefix: the rarest shingles a link must meet in;
+    """doc_id, key, n, n_index, prefix, sketch: the rarest shingles a link must meet in;
     the first n_index of them serve when the document is the smaller one."""
     held = docs.sparkSession.sparkContext.broadcast(histogram)
 
@@ -130,12 +155,14 @@ def prefixes(docs: DataFrame, histogram: np.ndarray, per_cent: int) -> DataFrame
                 n = len(s)
                 long = n - _ceil_share(n, per_cent, 100) + 1 if n else 0
                 short = n - _ceil_share(n, 2 * per_cent, 100 + per_cent) + 1 if n else 0
-                rows.append((n, short, s[np.lexsort((s, seen[_buckets(s)]))[:long]].view(np.int64)))
+                rows.append((n, short, s[np.lexsort((s, seen[_buckets(s)]))[:long]].view(np.int64), sketch(s) if n else None))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
-                 pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["doc_id", "n", "n_index", "prefix"])
+                [ids, pa.array([_digest(s) for s in sets], pa.binary()), pa.array([r[0] for r in rows], pa.int32()),
+                 pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.list_(pa.int64())),
+                 pa.array([r[3] for r in rows], pa.binary())], names=["doc_id", "key", "n", "n_index", "prefix", "sketch"])
 
-    return _texts(docs).mapInArrow(run, "doc_id long, n int, n_index int, prefix array<long>").where("n > 0")
+    return _texts(docs).mapInArrow(
+        run, "doc_id long, key binary, n int, n_index int, prefix array<long>, sketch binary").where("n > 0")
 
 
 def linked(sets: list[np.ndarray], per_cent: int) -> list[tuple[int, int]]:
@@ -210,7 +237,7 @@ def possible(sizes: list[int], sketches: list[bytes | None], per_cent: int) -> l
     return out.tolist()
 
 
-def narrow_blocks(sets: DataFrame, members: DataFrame, per_cent: int) -> DataFrame:
+def narrow_blocks(nodes: DataFrame, members: DataFrame, per_cent: int) -> DataFrame:
     """g, i, j, part, node: the members of each block (g, i, j) that may link
     with another one, in the parts that their sketches leave together."""
 
@@ -224,13 +251,12 @@ def narrow_blocks(sets: DataFrame, members: DataFrame, per_cent: int) -> DataFra
         return pa.table([*where, pa.array([p for p, _ in kept], pa.int64()), pa.array([node for _, node in kept], pa.int64())],
                         names=["g", "i", "j", "part", "node"])
 
-    held = sets.where("n_shingles > 0").select(
-        F.col("doc_id").alias("__node"), F.col("n_shingles").alias("n"), "sketch")
+    held = nodes.select(F.col("node").alias("__node"), "n", "sketch")
     rows = members.join(held, F.col("node") == F.col("__node")).select("g", "i", "j", "node", "n", "sketch")
     return rows.groupBy("g", "i", "j").applyInArrow(run, "g long, i int, j int, part long, node long")
 
 
-def compare_blocks(docs: DataFrame, sets: DataFrame, members: DataFrame, per_cent: int) -> DataFrame:
+def compare_blocks(docs: DataFrame, classes: DataFrame, nodes: DataFrame, members: DataFrame, per_cent: int) -> DataFrame:
     """Links (a, b) inside each block of members (block columns g, i, j; node).
     Only the texts of members that may link, and few others, are shuffled."""
 
@@ -241,29 +267,33 @@ def compare_blocks(docs: DataFrame, sets: DataFrame, members: DataFrame, per_cen
         forest = [(ids[a], ids[b]) for a, b in linked(sets, per_cent)] if len(ids) > 1 else []
         return pa.table({"a": pa.array([a for a, _ in forest], pa.int64()), "b": pa.array([b for _, b in forest], pa.int64())})
 
-    narrow = landed_parquet(narrow_blocks(sets, members, per_cent), "jaccard-members")
-    texts = flagged(_texts(docs), F.col("doc_id"), narrow.select("node").distinct(), "__member").where("__member")
-    rows = texts.join(narrow, F.col("doc_id") == F.col("node")).select("g", "i", "j", "part", "node", "text")
+    of_class = classes.select(F.col("node").alias("__node"), "rep", F.col("key").alias("__key"))
+    narrow = narrow_blocks(nodes, members, per_cent).join(of_class, F.col("node") == F.col("__node")).drop("__node")
+    narrow = landed_parquet(narrow, "jaccard-members")
+    texts = flagged(_texts(docs), F.col("doc_id"), narrow.select("rep").distinct(), "__member").where("__member")
+    rows = keyed(texts.drop("__member"), "key").join(narrow, (F.col("doc_id") == F.col("rep")) & (F.col("key") == F.col("__key")))
+    rows = rows.select("g", "i", "j", "part", "node", "text")
     return rows.groupBy("g", "i", "j", "part").applyInArrow(run, "a long, b long")
 
 
-def class_links(docs: DataFrame, digests: DataFrame, per_cent: int) -> DataFrame:
+def class_links(docs: DataFrame, classes: DataFrame, per_cent: int) -> DataFrame:
     """node, label: components of the classes that some link joins."""
-    reps = digests.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("node"))
+    reps = classes.select("node", "rep", F.col("key").alias("__key")).where("rep IS NOT NULL")
     rare = prefixes(docs, shingle_histogram(docs), per_cent)
-    nodes = landed_parquet(rare.join(reps.select("node"), F.col("doc_id") == F.col("node"), "left_semi"), "jaccard-prefixes")
-    index = nodes.select(F.col("doc_id").alias("node"), F.explode(F.slice("prefix", F.lit(1), F.col("n_index"))).alias("token"))
+    nodes = rare.join(reps, (F.col("doc_id") == F.col("rep")) & (F.col("key") == F.col("__key")))
+    nodes = landed_parquet(nodes.select("node", "n", "n_index", "prefix", "sketch"), "jaccard-prefixes")
+    index = nodes.select("node", F.explode(F.slice("prefix", F.lit(1), F.col("n_index"))).alias("token"))
     pivots = index.groupBy("token").agg(F.min("node").alias("g"))
-    tokens = nodes.select(F.col("doc_id").alias("node"), F.explode("prefix").alias("token"))
+    tokens = nodes.select("node", F.explode("prefix").alias("token"))
     met = tokens.join(pivots, "token").where(F.col("node") != F.col("g")).select("g", "node").distinct()
-    n = nodes.select(F.col("doc_id").alias("__node"), "n")
+    n = nodes.select(F.col("node").alias("__node"), "n")
     met = landed_parquet(met.join(n, F.col("node") == F.col("__node")).groupBy("g", "node").agg(F.max("n").alias("n")), "jaccard-met")
     sizes = met.groupBy("g").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = met.join(sizes, "g").select("g", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("i"), "node")
     everywhere = sizes.select("g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), F.col("g").alias("node"))
     members = placed.unionByName(everywhere).withColumn("j", F.lit(-1))
-    edges = landed(compare_blocks(docs, digests, members, per_cent))
+    edges = landed(compare_blocks(docs, classes, nodes, members, per_cent))
     labels = components(edges)
     several = landed(sizes.where("blocks > 1"))
     if several.isEmpty():
@@ -285,37 +315,52 @@ def class_links(docs: DataFrame, digests: DataFrame, per_cent: int) -> DataFrame
         F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).cast("int").alias("j"), "node")
     right = inside.join(chunks, "g").select(
         "g", "i", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"), "node")
-    more = compare_blocks(docs, digests, left.unionByName(right).distinct(), per_cent)
+    more = compare_blocks(docs, classes, nodes, left.unionByName(right).distinct(), per_cent)
     return components(edges.unionByName(more))
 
 
+def _classified(docs: DataFrame, per_cent: int) -> DataFrame:
+    """doc_id, n_shingles, key, n_class, component (the smallest id that links
+    reach), keep (the digest of the component's class of that id, the smallest
+    where the id has several)."""
+    digests = set_digests(docs)
+    classes = set_classes(digests)
+    labels = class_links(docs, classes, per_cent).withColumnRenamed("node", "__node")
+    linked = landed_parquet(classes.join(labels, F.col("node") == F.col("__node")).select("key", "rep", "label"), "jaccard-linked")
+    first = linked.groupBy(F.col("label").alias("__label")).agg(F.min(F.struct("rep", "key")).alias("first"))
+    named = linked.join(first, F.col("label") == F.col("__label")).select(F.col("key").alias("__linked"), "first")
+    named = classes.join(named, F.col("key") == F.col("__linked"), "left").select(
+        F.col("key").alias("__key"), "n_class", F.coalesce("first.rep", "rep").alias("component"),
+        F.coalesce("first.key", "key").alias("keep"))
+    return digests.join(named, F.col("key") == F.col("__key"), "left").drop("__key")
+
+
 def jaccard_components(docs: DataFrame, per_cent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest
     doc_id that links reach), n_class (documents with the same set).
 
     Null and empty texts have no shingle and link with nothing: they are
     their own component, as is a row whose id is null.  Copies share a set
-    and thus a component; repeated rows are copies.  A link of exactly the
-    threshold counts.  An empty table gives no row.
+    and thus a component; repeated rows are copies.  Rows of one id with
+    different texts are documents of their own, each with its links; their id
+    names the component of each.  A link of exactly the threshold counts.  An
+    empty table gives no row.
     """
-    digests = set_digests(docs)
-    labels = class_links(docs, digests, per_cent)
-    classes = digests.where(F.col("key").isNotNull()).groupBy("key").agg(
-        F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n_class"))
-    named = classes.join(labels.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left").select(
-        F.col("key").alias("__key"), "n_class", F.coalesce("label", "node").alias("component"))
-    out = digests.join(named, F.col("key") == F.col("__key"), "left")
+    out = _classified(docs, per_cent)
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
                       F.coalesce("n_class", F.lit(1)).alias("n_class"))
 
 
 def drop_near_copies(docs: DataFrame, per_cent: int = 80) -> DataFrame:
     """The documents with the smallest id of their component, columns as they
-    came.  Only rows that may go are shuffled; the others stay where they are."""
-    found = jaccard_components(docs, per_cent)
-    stays = F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = landed(found.groupBy(F.col("doc_id").alias("__gone_id")).agg(stays.alias("stays")).where("not stays").select("__gone_id"))
-    marked = flagged(docs, F.col("doc_id"), gone, "__may_go")
-    sure = marked.where("not __may_go")
-    kept = marked.where("__may_go").join(gone, F.col("doc_id").cast("long") == F.col("__gone_id"), "left_anti")
-    return sure.unionByName(kept).drop("__may_go")
+    came; where that id has several texts in the component, those of one set.
+    Rows without id or shingles stay.  Only rows that may go are shuffled."""
+    found = _classified(docs, per_cent)
+    stays = F.col("doc_id").eqNullSafe(F.col("component")) & F.col("key").eqNullSafe(F.col("keep"))
+    gone = landed(found.where(F.col("key").isNotNull() & F.col("doc_id").isNotNull() & ~stays).select(
+        F.col("doc_id").alias("__gone_id"), F.col("key").alias("__gone_key")).distinct())
+    marked = flagged(docs, F.col("doc_id"), gone.select("__gone_id").distinct(), "__may_go")
+    sure = marked.where("not __may_go").drop("__may_go")
+    kept = keyed(marked.where("__may_go").drop("__may_go"), "__key").join(
+        gone, (F.col("doc_id").cast("long") == F.col("__gone_id")) & (F.col("__key") == F.col("__gone_key")), "left_anti")
+    return sure.unionByName(kept.drop("__key"))

@@ -65,6 +65,27 @@ def test_chain_of_near_copies(make):
     assert links and {r.doc_id: r.component_id for r in got} == {i: want.get(i, i) for i in ids}
 
 
+def test_ids_with_several_texts_keep_their_links(make):
+    """Twenty ids, each with two unrelated texts, and a near copy of every text under an id of its own."""
+    rnd = random.Random(4)
+    rows, copies = [], []
+    for k in range(40):
+        words = [f"w{rnd.randrange(10 ** 6)}" for _ in range(60)]
+        rows.append((k % 20, " ".join(words), "s"))
+        copies.append((100 + k, " ".join([*words[:-1], "other"]), "s"))
+    docs = make(rows + copies + [(None, rows[0][1], "s"), (None, "no id of its own but a text", "s")])
+    got = jaccard_join.jaccard_components(docs).collect()
+    assert {r.doc_id: r.component_id for r in got if (r.doc_id or 0) >= 100} == {100 + k: k % 20 for k in range(40)}
+    assert all(r.component_id == r.doc_id for r in got if r.doc_id is not None and r.doc_id < 20)
+    kept = jaccard_join.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.where("doc_id IS NOT NULL").collect()) == sorted((i, t) for i, t, _ in rows)
+    assert kept.where("doc_id IS NULL").count() == 2
+    # one id, two texts that link with each other: one stays
+    both = [(7, rows[0][1], "s"), (7, copies[0][1], "s"), (9, rows[0][1], "s")]
+    assert [r.doc_id for r in jaccard_join.drop_near_copies(make(both)).collect()] == [7]
+
+
 def test_rows_without_ids_draw_apart(make):
     docs = make([(None, f"text {k}", "a") for k in range(600)] + [(7, f"same id {k}", "a") for k in range(600)])
     out = mixing.mix_sources(docs, total=1200)
