@@ -52,8 +52,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def landed_parquet(df: DataFrame, name: str) -> DataFrame:
+def landed_parquet(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """As landed(), as a compressed columnar table: for wide or long intermediates."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -276,3 +276,10 @@ def test_search_of_nothing(spark):
 def test_items_under_one_id_have_ranks_of_their_own(spark):
     got = searched(spark, [(1, "red"), (2, "blue")], [(5, "red"), (5, "blue"), (None, "red")])
     assert [r[:3] for r in got] == [(5, 1, 1), (5, 1, 2), (None, 1, 1)]
+
+
+def test_counts_travel_as_planes_of_bytes():
+    n = np.array([0, 1, 255, 256, 2 ** 40 + 7, 0], dtype=np.int64)
+    assert C._from_planes(C._planes(n)).tolist() == n.tolist()
+    assert C._planes(n)[:3] == b"\0\1\xff"
+    assert C._from_planes(b"").tolist() == []
