@@ -205,14 +205,14 @@ def valid_sequence(t):
 
 
 @register("resolve_sample_path", W("""
-SELECT sample_id, coalesce(CASE WHEN ck % 3 = 0 THEN 'gs://node-bucket/bam/' || sample_id || '.bam' END,
-  'gs://public-1000g/bam/' || sample_id || '.mapped.ILLUMINA.bwa.GBR.low_coverage.20120522.bam') AS resolved_bam
+SELECT sample_id, coalesce(CASE WHEN ck % 3 = 0 THEN '/data/node/bam/' || sample_id || '.bam' END,
+  '/data/public/bam/' || sample_id || '.mapped.ILLUMINA.bwa.GBR.low_coverage.20120522.bam') AS resolved_bam
 FROM px_samples""", "px_samples"))
 def resolve_sample_path(t):
     m = P.px_samples(t).select(
-        "sample_id", F.when(F.col("ck") % 3 == 0, F.concat(F.lit("gs://node-bucket/bam/"), "sample_id",
+        "sample_id", F.when(F.col("ck") % 3 == 0, F.concat(F.lit("/data/node/bam/"), "sample_id",
                                                             F.lit(".bam"))).alias("input_bam"))
-    return rsp(m, "gs://public-1000g/").select("sample_id", "resolved_bam")
+    return rsp(m, "/data/public/").select("sample_id", "resolved_bam")
 
 
 @register("split_multiallelic_no_alt", W(f"""

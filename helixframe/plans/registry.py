@@ -43,5 +43,5 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every query module so its registrations run."""
-    from . import (q_cohort, q_federated, q_governance, q_qc, q_sources,  # noqa: F401
+    from . import (q_cohort, q_federated, q_files, q_governance, q_qc, q_sources,  # noqa: F401
                    q_streaming, q_variants)

@@ -14,9 +14,9 @@ def read_audit_log(spark: SparkSession, path: str) -> DataFrame:
 
 def read_weights_json(spark: SparkSession, path: str) -> DataFrame:
     """Node weight blobs (one JSON object per node file); the node id is the
-    file name.  Missing nodes are simply absent; no file at all is an error."""
+    name of the file, or of the folder that Spark wrote it into.  Missing nodes are simply absent; no file at all is an error."""
     raw = spark.read.schema(NODE_WEIGHTS).option("multiLine", True).json(path)
     if not raw.inputFiles():
         raise FileNotFoundError(f"no weight files under {path}")
     return raw.withColumn("node_id", F.regexp_extract(F.col("_metadata.file_path"),
-                                                      r"([^/]+?)(_weights)?\.json$", 1))
+                                                      r"([^/]+?)(_weights)?\.json(?:/part-[^/]*)?$", 1))
