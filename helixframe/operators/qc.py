@@ -74,12 +74,16 @@ def phred_sum(qual: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def samstats(reads: DataFrame) -> DataFrame:
-    """Summary numbers (``SN`` lines) per sample.  Read length comes from
+def samstats(reads: DataFrame, primary_only: bool = False) -> DataFrame:
+    """Summary numbers (``SN`` lines) per sample, over all alignments or, as
+    the tool's report counts sequences, without secondary and supplementary
+    ones (``primary_only``).  Read length comes from
     ``read_length`` when present, else ``length(seq)``; base quality is the
     Phred mean over all bases (``qual`` decoded by a vectorised UDF)."""
     rl = F.col("read_length") if "read_length" in reads.columns else F.length("seq")
     mapped = ~_has(UNMAPPED)
+    if primary_only:
+        reads = reads.where(~_has(SECONDARY) & ~_has(SUPPLEMENTARY))
     aggs = [
         F.count(F.lit(1)).alias("sequences"),
         F.count_if(mapped).alias("reads_mapped"),

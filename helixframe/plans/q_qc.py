@@ -109,6 +109,13 @@ def samstats(t):
     return Q.samstats(_reads(t))
 
 
+@register("samstats_primary", W(_SAMSTATS_SQL.replace(
+    "FROM px_reads", "FROM px_reads WHERE flag & 256 = 0 AND flag & 2048 = 0"), _R))
+def samstats_primary(t):
+    """The summary over sequences: secondary and supplementary alignments left out."""
+    return Q.samstats(_reads(t), primary_only=True)
+
+
 @register("qc_report", W(_qc_report_sql(), _R))
 def qc_report(t):
     """Joined per-sample text report: flagstat block, first ten contigs of

@@ -87,6 +87,15 @@ def test_flagstat_counts(spark, fx):
     assert s.average_quality == pytest.approx((40 * n_i + 2 * n_h) / (n_i + n_h))
 
 
+def test_samstats_of_sequences(spark, fx):
+    """The file's secondary and supplementary alignments are no sequences of their own."""
+    r = sam.read_sam(spark, fx("mini.sam"))
+    s, every = qc.samstats(r, primary_only=True).first(), qc.samstats(r).first()
+    rest = r.where("flag & 256 <> 0 OR flag & 2048 <> 0")
+    assert s.sequences == 6 and s.sequences == s.reads_mapped + s.reads_unmapped
+    assert every.total_length - s.total_length == sum(len(x.seq) for x in rest.collect())
+
+
 def test_qc_report_joins(spark, fx):
     r = sam.read_sam(spark, fx("mini.sam"))
     rep = qc.qc_report(qc.flagstat(r), qc.idxstats(r), qc.samstats(r)).first()
