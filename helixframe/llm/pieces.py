@@ -34,7 +34,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CACHE = 400_000
 CACHE_CHARS = 8_000_000
 #: Texts encoded at a time.
-TOGETHER = 512
+TOGETHER = 256
 #: Longer chunks are searched one by one.
 LEARNT_CHARS = 64
 #: Segmentations that are returned of each text.
