@@ -42,9 +42,15 @@ def unnest_annotations(variants: DataFrame) -> DataFrame:
 
 
 def unnest_calls(variants: DataFrame) -> DataFrame:
-    """Nested rows -> long genotype table (site columns x one call)."""
-    keep = [c for c in variants.columns if c != "calls"]
-    return variants.select(*keep, F.inline("calls"))
+    """Nested rows -> long genotype table (site columns x one call, with its
+    place ``sample_index`` in the row).
+
+    The outer form, then a filter: for the inner one Spark puts a filter on
+    the number of calls before it, and where the calls are computed (parsed
+    from text) that computes them all a second time."""
+    keep = [c for c in variants.columns if c not in ("calls", "sample_index")]
+    x = variants.select(*keep, F.posexplode_outer("calls").alias("sample_index", "_c"))
+    return x.where(F.col("sample_index").isNotNull()).select(*keep, "sample_index", "_c.*")
 
 
 def unnest_genotypes(genotypes: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import SHARDS, genotype_string
 from ..operators import normalize as N
 from ..operators.filters import valid_sequence as vs
+from ..operators.joins import unnest_calls
 from ..sources import vcf as V
 from ..sources.flat import resolve_sample_path as rsp
 from . import proxy as P
@@ -31,8 +32,8 @@ def read_vcf(t):
     v = V.parse_vcf_lines(P.vcf_text(t))
     c = v.select("reference_name", "start_position", "end_position", "reference_bases",
                  F.array_join("alternate_bases", ",").alias("alternate_bases"), "variant_id", "quality",
-                 F.array_join("filter", ";").alias("filter"), F.inline("calls"))
-    return c.select("reference_name", "start_position", "end_position", "reference_bases", "alternate_bases",
+                 F.array_join("filter", ";").alias("filter"), "calls")
+    return unnest_calls(c).select("reference_name", "start_position", "end_position", "reference_bases", "alternate_bases",
                     "variant_id", "quality", "filter", "sample_id",
                     genotype_string("genotype", F.col("phaseset").isNotNull()).alias("gt"), "phaseset",
                     "genotype_quality")
@@ -75,11 +76,10 @@ def read_vcf_multi(t):
     v = V.parse_vcf_lines(P.vcf_multi_text(t))
     c = v.select("source_file", "reference_name", "start_position", "end_position", "reference_bases",
                  F.array_join("alternate_bases", ",").alias("alternate_bases"), "quality",
-                 F.posexplode("calls").alias("sample_index", "c"))
-    return c.select("source_file", "reference_name", "start_position", "end_position", "reference_bases", "alternate_bases",
-                    "quality", F.col("c.sample_id").alias("sample_id"), "sample_index",
-                    genotype_string("c.genotype", F.col("c.phaseset").isNotNull()).alias("gt"),
-                    F.col("c.genotype_quality").alias("genotype_quality"))
+                 "calls")
+    return unnest_calls(c).select("source_file", "reference_name", "start_position", "end_position", "reference_bases",
+                                  "alternate_bases", "quality", "sample_id", "sample_index",
+                                  genotype_string("genotype", F.col("phaseset").isNotNull()).alias("gt"), "genotype_quality")
 
 
 @register("vcf_info_values", W(f"""

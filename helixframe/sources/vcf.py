@@ -30,7 +30,7 @@ def text_lines(spark: SparkSession, path_glob: str) -> DataFrame:
 
 def _missing(c: Column) -> Column:
     """VCF '.' (or empty) -> NULL."""
-    return F.when((c == ".") | (c == ""), F.lit(None).cast("string")).otherwise(c)
+    return F.when(~c.isin(".", ""), c)
 
 
 def vcf_headers(lines: DataFrame, names: str = "keep") -> DataFrame:
@@ -61,10 +61,13 @@ def _allele_code(a: Column) -> Column:
     return F.when(a == ".", F.lit(-1).cast("long")).otherwise(a.try_cast("long"))
 
 
-def _genotype(gt: Column) -> Column:
+def _alleles(gt: Column) -> Column:
+    return F.split(F.translate(gt, "|", "/"), "/")
+
+
+def _genotype(gt: Column, alleles: Column) -> Column:
     """'0|1' / '1/.' -> [0, 1] / [1, -1]; NULL GT -> NULL.  Diploid calls
     take a lambda-free path; other ploidies use ``transform``."""
-    alleles = F.split(F.translate(gt, "|", "/"), "/")
     diploid = F.array(_allele_code(F.get(alleles, 0)), _allele_code(F.get(alleles, 1)))
     return (F.when(gt.isNull(), F.lit(None).cast("array<bigint>"))
             .when(F.size(alleles) == 2, diploid)
@@ -76,18 +79,20 @@ def _depths(ad: Column) -> Column:
         F.transform(F.split(ad, ","), lambda x: _missing(x).try_cast("long")))
 
 
-def _call_fields(vals: Column, ix: dict[str, Column], name: Column) -> list[Column]:
-    def field(k: str) -> Column:
-        return _missing(F.get(vals, ix[k]))
+def _call_texts(vals: Column, ix: dict[str, Column]) -> list[Column]:
+    """The text of each known FORMAT key of a call, NULL where missing."""
+    return [_missing(F.get(vals, ix[k])).alias(k) for k in _FORMAT_KEYS]
 
-    gt = field("GT")
+
+def _call_fields(text: dict[str, Column], alleles: Column, name: Column) -> list[Column]:
+    """A call's typed fields from its texts by FORMAT key and its split GT."""
     return [
         name.alias("sample_id"),
-        _genotype(gt).alias("genotype"),
-        F.coalesce(field("PS"), F.when(gt.contains("|"), F.lit("*"))).alias("phaseset"),
-        field("GQ").try_cast("long").alias("genotype_quality"),
-        field("DP").try_cast("long").alias("read_depth"),
-        _depths(field("AD")).alias("allele_depths"),
+        _genotype(text["GT"], alleles).alias("genotype"),
+        F.coalesce(text["PS"], F.when(text["GT"].contains("|"), F.lit("*"))).alias("phaseset"),
+        text["GQ"].try_cast("long").alias("genotype_quality"),
+        text["DP"].try_cast("long").alias("read_depth"),
+        _depths(text["AD"]).alias("allele_depths"),
     ]
 
 
@@ -149,22 +154,29 @@ def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bo
     len(REF); ``.`` fields become NULL; genotype no-calls become -1; a phased
     call without PS gets phase set ``*``.  Extra column ``info`` keeps the
     raw INFO text.  Each sample column is split once; FORMAT key positions
-    are resolved once per line.  ``headers`` (``source_file``,
+    are resolved once per line.  Explode ``calls`` with
+    :func:`~helixframe.operators.joins.unnest_calls`: a plain ``inline``
+    filters on their number first, for which they are parsed once more.  ``headers`` (``source_file``,
     ``_sample_names``), e.g. from a sample manifest, skips the scan for
     ``#CHROM`` lines.
     """
     data = data_with_names(lines, names, broadcast_headers, headers)
-    # split once into a column: later expressions reference it many times
+    # columns of their own, so each is computed once a line: an expression of
+    # the line inside a lambda would be computed again for every call
     data = data.select("source_file", "_sample_names", F.split("value", "\t").alias("_f"))
     f = F.col("_f")
-    ix = _format_index(F.split(F.get(f, 8), ":"))
-    samples = F.slice(f, 10, F.greatest(F.size(f) - 9, F.lit(0)))
+    data = data.select(
+        "source_file", "_sample_names", "_f", F.slice(f, 10, F.greatest(F.size(f) - 9, F.lit(0))).alias("_samples"),
+        *[v.alias(f"_ix_{k}") for k, v in _format_index(F.split(F.get(f, 8), ":")).items()])
+    ix = {k: F.col(f"_ix_{k}") for k in _FORMAT_KEYS}
     names_ = F.col("_sample_names")
-    parts = F.transform(samples, lambda x: F.split(x, ":"))
-    many = F.transform(parts, lambda v, i: F.struct(*_call_fields(v, ix, F.get(names_, i))))
-    # single-sample files (one VCF per sample) skip the per-call lambda
-    one = F.array(F.struct(*_call_fields(F.split(F.get(samples, 0), ":"), ix, F.get(names_, 0))))
-    calls = F.when(F.size(samples) == 1, one).otherwise(many)
+    # one step a lambda, each reading what the step before it left: within a
+    # lambda nothing is shared
+    calls = F.transform("_samples", lambda x: F.split(x, ":"))
+    calls = F.transform(calls, lambda v: F.struct(*_call_texts(v, ix)))
+    calls = F.transform(calls, lambda t: F.struct(t.alias("t"), _alleles(t["GT"]).alias("a")))
+    calls = F.transform(calls, lambda c, i: F.struct(*_call_fields(
+        {k: c["t"][k] for k in _FORMAT_KEYS}, c["a"], F.get(names_, i))))
     return data.select(
         *_site_columns(f),
         calls.alias("calls"),
@@ -189,12 +201,16 @@ def parse_vcf_genotypes(lines: DataFrame, names: str = "keep", broadcast_headers
         *_site_columns(f), "source_file", "_sample_names",
         *[v.alias(f"_ix_{k}") for k, v in _format_index(F.split(F.get(f, 8), ":")).items()],
         F.posexplode(F.slice(f, 10, F.greatest(F.size(f) - 9, F.lit(0)))).alias("sample_index", "_s"))
-    vals = F.split("_s", ":")
     ix = {k: F.col(f"_ix_{k}") for k in _FORMAT_KEYS}
     site = ["reference_name", "start_position", "end_position", "reference_bases", "alternate_bases",
             "variant_id", "quality", "filter"]
+    # each step is a column that the next one reads, so it is computed once a call
+    x = x.select(*site, "source_file", "_sample_names", "sample_index", *ix.values(), F.split("_s", ":").alias("_v"))
+    x = x.select(*site, "source_file", "_sample_names", "sample_index", *_call_texts(F.col("_v"), ix))
+    x = x.withColumn("_alleles", _alleles(F.col("GT")))
     return x.select(*site, "sample_index",
-                    *_call_fields(vals, ix, F.get(F.col("_sample_names"), F.col("sample_index"))),
+                    *_call_fields({k: F.col(k) for k in _FORMAT_KEYS}, F.col("_alleles"),
+                                  F.get(F.col("_sample_names"), F.col("sample_index"))),
                     "source_file")
 
 
