@@ -150,24 +150,41 @@ def _span_bins(df: DataFrame, start: str, end: str, prefix: str) -> DataFrame:
     return at.withColumn(f"{prefix}_first", first).withColumn("_bin", F.explode(F.sequence(first, last)))
 
 
+def _span_candidates(left: DataFrame, right: DataFrame, left_span: tuple[str, str, str],
+                     right_span: tuple[str, str, str]) -> DataFrame:
+    """The pairs that meet in a bin, before their spans are compared."""
+    (lc, ls, le), (rc, rs, re_) = left_span, right_span
+    a = _span_bins(left.where(F.col(ls) < F.col(le)).withColumn("_lc", normalize_contig(lc)), ls, le, "_l")
+    b = _span_bins(right.where(F.col(rs) < F.col(re_)).withColumn("_rc", normalize_contig(rc)), rs, re_, "_r")
+    levels = b.where("_at = _r_level").agg(F.collect_set("_r_level").alias("levels"))
+    a = a.where((F.col("_at") == F.col("_l_level")) | F.array_contains(levels.scalar(), F.col("_at")))
+    a = a.withColumn("_left_longer", F.col("_at") == F.col("_l_level"))
+    b = b.withColumn("_right_meets", F.explode(F.when(F.col("_at") == F.col("_r_level"), F.array(F.lit(True), F.lit(False)))
+                                            .otherwise(F.array(F.lit(True)))))
+    a = a.withColumnRenamed("_at", "_lat").withColumnRenamed("_bin", "_lbin")
+    b = b.withColumnRenamed("_at", "_rat").withColumnRenamed("_bin", "_rbin")
+    return a.join(b, (F.col("_lc") == F.col("_rc")) & (F.col("_lat") == F.col("_rat")) & (F.col("_lbin") == F.col("_rbin"))
+                  & (F.col("_left_longer") == F.col("_right_meets")))
+
+
 def overlap_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str, str], right_span: tuple[str, str, str]) -> DataFrame:
     """Pairs of rows whose half-open spans (contig, start, end columns) share
     a position, each pair once.
 
     A pair meets at the level of its longer span and counts in the later of
     the two spans' first bins there (the owning bin), so nothing is removed
-    afterwards.  An equi-join on (contig, level, bin): no side is exploded
-    into more than two bins a level, a chromosome-long span included, and a
-    hot contig is spread by its bins.  Empty spans and NULLs meet nothing.
+    afterwards.  An equi-join on (contig, level, bin) and on which side is
+    the longer one: where the left span is as long as the level, it meets
+    right spans of its level and below, else a right span of the level meets
+    left ones below.  So short spans meet in small bins alone; the bins of a
+    whole chromosome hold pairs only where a span is that long.  No side is
+    exploded into more than two bins a level, a chromosome-long span
+    included, and a hot contig is spread by its bins.  Left spans pass only
+    to levels that right spans have.  Empty spans and NULLs meet nothing.
     Column names of the two sides must differ."""
-    (lc, ls, le), (rc, rs, re_) = left_span, right_span
-    a = _span_bins(left.where(F.col(ls) < F.col(le)).withColumn("_lc", normalize_contig(lc)), ls, le, "_l")
-    b = _span_bins(right.where(F.col(rs) < F.col(re_)).withColumn("_rc", normalize_contig(rc)), rs, re_, "_r")
-    a = a.withColumnRenamed("_at", "_lat").withColumnRenamed("_bin", "_lbin")
-    b = b.withColumnRenamed("_at", "_rat").withColumnRenamed("_bin", "_rbin")
-    j = a.join(b, (F.col("_lc") == F.col("_rc")) & (F.col("_lat") == F.col("_rat")) & (F.col("_lbin") == F.col("_rbin")))
-    j = j.where((F.col("_lat") == F.greatest("_l_level", "_r_level")) & (F.col("_lbin") == F.greatest("_l_first", "_r_first"))
-                & (F.col(ls) < F.col(re_)) & (F.col(rs) < F.col(le)))
+    (_, ls, le), (_, rs, re_) = left_span, right_span
+    j = _span_candidates(left, right, left_span, right_span).where(
+        (F.col("_lbin") == F.greatest("_l_first", "_r_first")) & (F.col(ls) < F.col(re_)) & (F.col(rs) < F.col(le)))
     return j.select(*left.columns, *right.columns)
 
 

@@ -2,6 +2,7 @@
 and how many rows pass, on small inputs."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from helixframe.operators import joins
 from helixframe.sources import vcf
@@ -30,3 +31,14 @@ def test_calls_are_parsed_once(lines):
     got = {(r.start_position, r.sample_index): (r.sample_id, r.genotype, r.phaseset, r.genotype_quality) for r in x.collect()}
     assert got == {(4, 0): ("S1", [0, 1], None, 9), (4, 1): ("S2", [1, 2], "*", None),
                    (5, 0): ("S1", [1], None, 4), (5, 1): ("S2", None, None, None)}
+
+
+@pytest.mark.parametrize("n", [200, 2000])
+def test_short_spans_do_not_meet_in_chromosome_bins(spark, n):
+    """Spans in a row on one contig: what the join compares grows with n, not with its square."""
+    ids = spark.range(n)
+    left = ids.select(F.col("id").alias("i"), F.lit("1").alias("c"), (F.col("id") * 9000).alias("s"), (F.col("id") * 9000 + 5).alias("e"))
+    right = ids.select(F.col("id").alias("j"), F.lit("chr1").alias("d"), (F.col("id") * 9000 + 2).alias("t"), (F.col("id") * 9000 + 7).alias("f"))
+    met = joins.overlap_join(left, right, ("c", "s", "e"), ("d", "t", "f"))
+    assert sorted((r.i, r.j) for r in met.collect()) == [(k, k) for k in range(n)]
+    assert joins._span_candidates(left, right, ("c", "s", "e"), ("d", "t", "f")).count() <= 4 * n
