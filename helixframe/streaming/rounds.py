@@ -2,8 +2,9 @@
 
 Source is a folder of JSON update messages (``readStream.json``; a Kafka
 source is a configuration change).  Per-round state lives in
-``applyInPandasWithState`` keyed by round: it holds at most one update per
-node (bounded by the node count), emits the n-weighted average once
+``applyInPandasWithState`` keyed by blocks of ``1 << ROUND_BITS`` rounds, so
+that a call of Python serves a block and not one round: it holds at most one
+update per round and node (bounded by the node count), emits the n-weighted average once
 ``num_nodes`` distinct nodes have reported, ignores late or repeated
 updates for an emitted round, and drops a round's state after ``timeout``
 without progress in event time (incomplete rounds are reported as such).
@@ -12,6 +13,7 @@ without progress in event time (incomplete rounds are reported as such).
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -24,7 +26,11 @@ UPDATE_WITH_ID = T.StructType(UPDATE_MESSAGE.fields + [T.StructField("event_id",
 
 ROUND_OUT = ("round long, status string, n_nodes long, total_samples long, weights array<double>, "
              "bias double, nodes_aggregated string")
-ROUND_STATE = "done boolean, updates string"
+ROUND_STATE = "rounds string"
+# Rounds of one block share a state and a timer.
+ROUND_BITS = 6
+# Rows that a partition holds while it looks for repeated updates.
+REDUCE_ROWS = 1 << 16
 
 
 def updates_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -71,64 +77,90 @@ def _average(ups: dict) -> tuple:
     return n, w, b
 
 
+def _incomplete(rnd: int, ups: dict) -> dict:
+    return {"round": rnd, "status": "incomplete", "n_nodes": len(ups),
+            "total_samples": sum(u["n_samples"] for u in ups.values()), "weights": None, "bias": None,
+            "nodes_aggregated": ",".join(sorted(ups))}
+
+
+def _complete(rnd: int, ups: dict) -> dict:
+    n, w, b = _average(ups)
+    return {"round": rnd, "status": "complete", "n_nodes": len(ups), "total_samples": n, "weights": w, "bias": b,
+            "nodes_aggregated": ",".join(sorted(ups))}
+
+
 def _round_fn(num_nodes: int, timeout_ms: int):
     def fn(key, pdfs, state):
-        rnd = int(key[0])
-        if state.hasTimedOut:
-            done, raw = state.get
-            state.remove()
-            if not done:
-                ups = json.loads(raw)
-                yield pd.DataFrame([{"round": rnd, "status": "incomplete", "n_nodes": len(ups),
-                                     "total_samples": sum(u["n_samples"] for u in ups.values()),
-                                     "weights": None, "bias": None,
-                                     "nodes_aggregated": ",".join(sorted(ups))}])
-            return
-        done, raw = state.get if state.exists else (False, "{}")
-        ups = json.loads(raw)
-        last_ms = 0
-        for pdf in pdfs:
-            if len(pdf):
-                last_ms = max(last_ms, int(pd.Timestamp(pdf["ts"].max()).value // 1_000_000))
-            if done:
-                continue        # late or repeated updates for an emitted round
-            for row in pdf.sort_values("event_id").itertuples(index=False):
-                if row.node_id not in ups or row.event_id < ups[row.node_id]["event_id"]:
-                    ups[row.node_id] = {"event_id": int(row.event_id), "n_samples": int(row.n_samples),
-                                        "weights": [float(x) for x in row.weights], "bias": float(row.bias)}
-        # idle timer in event time: the round is given up (or, once emitted,
-        # forgotten) when the watermark passes its last update + timeout
-        expire = max(last_ms + timeout_ms, state.getCurrentWatermarkMs() + 1)
-        if done:
-            state.update((True, "{}"))
-            state.setTimeoutTimestamp(expire)
-            return
-        if len(ups) >= num_nodes:
-            n, w, b = _average(ups)
-            state.update((True, "{}"))
-            state.setTimeoutTimestamp(expire)
-            yield pd.DataFrame([{"round": rnd, "status": "complete", "n_nodes": len(ups), "total_samples": n,
-                                 "weights": w, "bias": b, "nodes_aggregated": ",".join(sorted(ups))}])
+        # round -> [idle timer in ms, emitted, node -> update]
+        rounds = {int(k): v for k, v in json.loads(state.get[0]).items()} if state.exists else {}
+        watermark = state.getCurrentWatermarkMs()
+        last_ms: dict[int, int] = {}
+        out = []
+        for pdf in pdfs:        # none when the timer calls
+            p = pdf.sort_values("event_id")
+            at = p["ts"].astype("datetime64[ms]").astype("int64")
+            for rnd, node, event, n, w, b, ms in zip(p["round"], p["node_id"], p["event_id"], p["n_samples"], p["weights"],
+                                                     p["bias"], at):
+                rnd = int(rnd)
+                last_ms[rnd] = max(last_ms.get(rnd, 0), int(ms))
+                _, done, ups = rounds.setdefault(rnd, [0, False, {}])
+                # late or repeated updates for an emitted round are dropped
+                if not done and (node not in ups or event < ups[node]["event_id"]):
+                    ups[node] = {"event_id": int(event), "n_samples": int(n), "weights": [float(x) for x in w],
+                                 "bias": float(b)}
+        for rnd in sorted(rounds):
+            expire, done, ups = rounds[rnd]
+            if rnd in last_ms:
+                # idle timer in event time: the round is given up (or, once emitted,
+                # forgotten) when the watermark passes its last update + timeout
+                expire = max(last_ms[rnd] + timeout_ms, watermark + 1)
+                if not done and len(ups) >= num_nodes:
+                    out.append(_complete(rnd, ups))
+                    done, ups = True, {}
+                rounds[rnd] = [expire, done, ups]
+            elif expire < watermark:
+                if not done:
+                    out.append(_incomplete(rnd, ups))
+                del rounds[rnd]
+        if rounds:
+            state.update((json.dumps(rounds),))
+            state.setTimeoutTimestamp(max(min(r[0] for r in rounds.values()), watermark))
         else:
-            state.update((False, json.dumps(ups)))
-            state.setTimeoutTimestamp(expire)
+            state.remove()
+        if out:
+            yield pd.DataFrame(out)
     return fn
 
 
+def reduce_batches(batches: Iterable[pd.DataFrame], reduce: Callable[[pd.DataFrame], pd.DataFrame],
+                   rows: int = 0) -> Iterator[pd.DataFrame]:
+    """``reduce`` over a partition's batches within bounded memory and linear
+    time: it runs once ``rows`` (REDUCE_ROWS) are held.  What it leaves is
+    held on while that is at most half of them, so the next run comes after as
+    many new rows; otherwise most rows differ, and they are passed on."""
+    rows = rows or REDUCE_ROWS
+    held, n = [], 0
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        held.append(pdf)
+        n += len(pdf)
+        if n >= rows:
+            left = reduce(pd.concat(held))
+            held, n = [left], len(left)
+            if n > rows // 2:
+                yield left
+                held, n = [], 0
+    if held:
+        yield reduce(pd.concat(held))
+
+
 def _first_per_round_node(batches):
     """Map-side pre-reduction inside each partition of a micro-batch: keep
     the lowest-``event_id`` update per (round, node).  A round flooded with
-    repeated messages therefore sends at most nodes x partitions rows through
-    the shuffle instead of all of them."""
-    kept = None
-    for pdf in batches:
-        if len(pdf) == 0:
-            continue
-        red = pdf.sort_values("event_id").drop_duplicates(["round", "node_id"])
-        kept = red if kept is None else (
-            pd.concat([kept, red]).sort_values("event_id").drop_duplicates(["round", "node_id"]))
-    if kept is not None:
-        yield kept
+    repeated messages therefore sends few rows through the shuffle, not all
+    of them (see :func:`reduce_batches`)."""
+    return reduce_batches(batches, lambda x: x.sort_values("event_id").drop_duplicates(["round", "node_id"]))
 
 
 def round_aggregator(updates: DataFrame, num_nodes: int, timeout: str = "60 seconds",
@@ -136,10 +168,11 @@ def round_aggregator(updates: DataFrame, num_nodes: int, timeout: str = "60 seco
     """Streaming rounds: see module doc.  Output mode ``append``.  Rounds
     time out in event time (``ts``): ``timeout`` after their last update,
     once the watermark (max ts - ``watermark``) has passed it.  Repeated
-    updates are pre-reduced per partition before the shuffle by round."""
+    updates are pre-reduced per partition before the shuffle by blocks of rounds."""
     ms = _duration_ms(timeout)
     reduced = updates.mapInPandas(_first_per_round_node, updates.schema)
-    return (reduced.withWatermark("ts", watermark).groupBy("round")
+    blocks = reduced.withWatermark("ts", watermark).withColumn("_block", F.shiftright("round", ROUND_BITS))
+    return (blocks.groupBy("_block")
             .applyInPandasWithState(_round_fn(num_nodes, ms), ROUND_OUT, ROUND_STATE, "append",
                                     GroupStateTimeout.EventTimeTimeout))
 
