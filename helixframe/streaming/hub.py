@@ -23,17 +23,20 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-from .rounds import _average, _duration_ms, broadcast_sink
+from .rounds import ROUND_BITS, _average, _duration_ms, broadcast_sink, reduce_batches
 
 HUB_UPDATE = ("hub string, node_id string, weights array<double>, bias double, n_samples long, round long, "
               "event_id long, ts timestamp")
 HUB_OUT = ("hub string, round long, status string, n_nodes long, total_samples long, weights array<double>, "
            "bias double, nodes_aggregated string")
+# Rows of a frame that the hub's task passes on.
+ROWS_OUT = 10_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -84,10 +87,50 @@ def _row(hub: str, r: int, status: str, ups: dict) -> dict:
             "nodes_aggregated": ",".join(sorted(ups))}
 
 
+class _Arrivals:
+    """A micro-batch's updates of one hub in flat arrays (numbers of fixed
+    width, nodes by number), to be met block by block."""
+
+    def __init__(self, parts: Iterator[pd.DataFrame]) -> None:
+        names: dict[str, int] = {}
+        columns: list[list[np.ndarray]] = [[] for _ in range(8)]
+        for part in parts:
+            p = part.dropna(subset=["round", "node_id"])
+            if not len(p):
+                continue
+            weights = p["weights"].tolist()
+            for held, values in zip(columns, (
+                    p["round"].astype("int64"), p["event_id"].astype("int64"), p["n_samples"].astype("int64"), p["bias"].astype("float64"),
+                    p["ts"].astype("datetime64[ms]").astype("int64"), [names.setdefault(x, len(names)) for x in p["node_id"]],
+                    [len(w) for w in weights], np.concatenate(weights))):
+                held.append(np.asarray(values))
+        self.nodes = list(names)
+        if not columns[0]:
+            self.starts: dict[int, tuple[int, int]] = {}
+            return
+        self.round, self.event, self.n, self.bias, self.at, self.node, size, self.weights = map(np.concatenate, columns)
+        self.ends = np.cumsum(size)
+        block = self.round >> ROUND_BITS
+        self.order = np.lexsort((self.event, block))
+        found, first = np.unique(block[self.order], return_index=True)
+        self.starts = dict(zip(found.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(block)])))
+
+    def of(self, block: int) -> tuple[list[int], list[str], list[list]]:
+        """Rounds, nodes and updates of a block's rows, in order of arrival."""
+        first, stop = self.starts[block]
+        rows = self.order[first:stop]
+        begin = np.where(rows > 0, self.ends[rows - 1], 0).tolist()
+        return (self.round[rows].tolist(), [self.nodes[k] for k in self.node[rows].tolist()], [
+            [e, n, self.weights[i:j].tolist(), b, t] for e, n, i, j, b, t in zip(
+                self.event[rows].tolist(), self.n[rows].tolist(), begin, self.ends[rows].tolist(),
+                self.bias[rows].tolist(), self.at[rows].tolist())])
+
+
 class HubProcessor(StatefulProcessor):
     """The rules over state that Spark keeps: the expected round and its
-    timer, and one entry a round, so a batch reads and writes only the rounds
-    it touches or closes."""
+    timer, and one entry for ``1 << ROUND_BITS`` rounds.  A batch reads and
+    writes only the entries it touches or closes, one at a time and in order,
+    so no more than one is held in memory."""
 
     def __init__(self, num_nodes: int, timeout_ms: int, first_round: int) -> None:
         self.num_nodes, self.timeout_ms, self.first_round = num_nodes, timeout_ms, first_round
@@ -95,48 +138,45 @@ class HubProcessor(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.meta = handle.getValueState("meta", "expected long, timer long")
-        self.rounds = handle.getMapState("rounds", "round long", "updates string")
+        self.blocks = handle.getMapState("blocks", "block long", "rounds string")
 
-    def _load(self) -> tuple[Hub, int]:
+    def _blocks(self, hub_id: str, arrivals: _Arrivals, watermark_ms: int, replace_timer: bool) -> Iterator[pd.DataFrame]:
         expected, timer = self.meta.get() if self.meta.exists() else (self.first_round, -1)
-        held = {int(k[0]): json.loads(v[0]) for k, v in self.rounds.iterator()}
-        return Hub(self.num_nodes, self.timeout_ms, int(expected), held), int(timer)
-
-    def _closed(self, hub_id: str, hub: Hub, timer: int, changed: set[int], watermark_ms: int) -> Iterator[pd.DataFrame]:
-        rows = []
-        for r, status, ups in hub.close(watermark_ms):
-            rows.append(_row(hub_id, r, status, ups))
-            changed.discard(r)
-            if self.rounds.containsKey((r,)):
-                self.rounds.removeKey((r,))
-        for r in changed:
-            self.rounds.updateValue((r,), (json.dumps(hub.held[r]),))
-        if hub.expected in hub.held:
-            rows.append(_row(hub_id, hub.expected, "open", hub.held[hub.expected]))
-        due = hub.next_deadline()
-        if timer >= 0 and timer != due and timer > watermark_ms:
+        hub, timer = Hub(self.num_nodes, self.timeout_ms, int(expected), {}), int(timer)
+        kept = {int(k[0]) for k in self.blocks.keys()}
+        rows, due = [], None
+        for block in sorted(kept | set(arrivals.starts)):
+            if due is not None and block not in arrivals.starts:
+                continue            # an earlier round waits, and nothing is new here
+            hub.held = {int(k): v for k, v in json.loads(self.blocks.getValue((block,))[0]).items()} if block in kept else {}
+            changed = bool(block in arrivals.starts and hub.take(*arrivals.of(block)))
+            if due is None:
+                for r, status, ups in hub.close(watermark_ms):
+                    rows.append(_row(hub_id, r, status, ups))
+                    changed = True
+                if hub.expected in hub.held:
+                    rows.append(_row(hub_id, hub.expected, "open", hub.held[hub.expected]))
+                due = hub.next_deadline()
+            if hub.held and changed:
+                self.blocks.updateValue((block,), (json.dumps(hub.held),))
+            elif not hub.held and block in kept:
+                self.blocks.removeKey((block,))
+            if len(rows) >= ROWS_OUT:
+                yield pd.DataFrame(rows)
+                rows = []
+        if replace_timer and timer >= 0 and timer != due and timer > watermark_ms:
             self.handle.deleteTimer(timer)
-        if due is not None and timer != due:
+        if due is not None and not (replace_timer and timer == due):
             self.handle.registerTimer(due)
         self.meta.update((hub.expected, -1 if due is None else due))
         if rows:
             yield pd.DataFrame(rows)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        parts = [p for p in rows if len(p)]
-        hub, timer = self._load()
-        changed: set[int] = set()
-        if parts:
-            p = pd.concat(parts).dropna(subset=["round", "node_id"]).sort_values("event_id", kind="stable")
-            at = p["ts"].astype("datetime64[ms]").astype("int64")
-            changed = hub.take([int(r) for r in p["round"]], p["node_id"].tolist(), [
-                [int(e), int(n), [float(x) for x in w], float(b), int(t)]
-                for e, n, w, b, t in zip(p["event_id"], p["n_samples"], p["weights"], p["bias"], at)])
-        yield from self._closed(key[0], hub, timer, changed, timerValues.getCurrentWatermarkInMs())
+        yield from self._blocks(key[0], _Arrivals(rows), timerValues.getCurrentWatermarkInMs(), True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        hub, _ = self._load()
-        yield from self._closed(key[0], hub, -1, set(), timerValues.getCurrentWatermarkInMs())
+        yield from self._blocks(key[0], _Arrivals(iter(())), timerValues.getCurrentWatermarkInMs(), False)
 
     def close(self) -> None:
         pass
@@ -145,17 +185,12 @@ class HubProcessor(StatefulProcessor):
 def _first_per_node(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Repeated updates of a partition, before the shuffle by hub: the first of
     each hub, round and node stays, of heartbeats the last of each hub."""
-    kept = None
-    for pdf in batches:
-        if not len(pdf):
-            continue
-        every = pdf if kept is None else pd.concat([kept, pdf])
-        beats = every["round"].isna()
-        kept = pd.concat([
-            every[~beats].sort_values("event_id", kind="stable").drop_duplicates(["hub", "round", "node_id"]),
-            every[beats].sort_values("ts", kind="stable").drop_duplicates(["hub"], keep="last")])
-    if kept is not None:
-        yield kept
+    def first(rows: pd.DataFrame) -> pd.DataFrame:
+        beats = rows["round"].isna()
+        return pd.concat([
+            rows[~beats].sort_values("event_id", kind="stable").drop_duplicates(["hub", "round", "node_id"]),
+            rows[beats].sort_values("ts", kind="stable").drop_duplicates(["hub"], keep="last")])
+    return reduce_batches(batches, first)
 
 
 def hub_rounds(updates: DataFrame, num_nodes: int, timeout: str = "60 seconds", watermark: str = "1 minute",

@@ -103,3 +103,59 @@ def test_rounds_of_a_block_keep_their_own_timers():
     assert state.timer == 10500 and set(json.loads(state.raw)) == {"3"}
     state.watermark = 10501
     assert call() == [(3, "incomplete", 1)] and state.raw is None
+
+
+def test_hub_state_by_blocks_follows_the_rules():
+    """Random updates of 400 rounds in four batches: the rows are those of the
+    rules over all updates at once, and the state has an entry for 64 rounds."""
+    import random
+
+    import pandas as pd
+
+    from helixframe.streaming import hub as H
+
+    class Value:
+        value = None
+        exists = lambda self: self.value is not None
+        get = lambda self: self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Map(dict):
+        getValue, updateValue = dict.__getitem__, dict.__setitem__
+        keys = lambda self: iter(list(dict.keys(self)))
+
+        def removeKey(self, key):
+            del self[key]
+
+    class Handle:
+        def __init__(self):
+            self.value, self.map, self.timers = Value(), Map(), set()
+            self.getValueState = lambda *_: self.value
+            self.getMapState = lambda *_: self.map
+            self.registerTimer, self.deleteTimer = self.timers.add, self.timers.discard
+
+    class Times:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+    rnd, handle = random.Random(7), Handle()
+    processor = H.HubProcessor(2, 1000, 0)
+    processor.init(handle)
+    rules, sizes = H.Hub(2, 1000, 0, {}), []
+    for batch, watermark in enumerate((0, 3000, 9000, 20_000)):
+        rows = [(rnd.randrange(400), rnd.choice("ABC"), batch * 1000 + k, rnd.randrange(1, 9), [rnd.random()], 0.5,
+                 rnd.randrange(1, 12_000)) for k in range(700)]
+        shuffled = pd.DataFrame(rnd.sample(rows, len(rows)), columns=["round", "node_id", "event_id", "n_samples", "weights", "bias", "ts"])
+        shuffled["ts"] = pd.to_datetime(shuffled["ts"], unit="ms")
+        out = pd.concat([pd.DataFrame(columns=["round", "status"]), *processor.handleInputRows(
+            ("x",), iter([shuffled[:300], shuffled[300:]]), Times(watermark))])
+        rules.take([r[0] for r in rows], [r[1] for r in rows], [[r[2], r[3], r[4], r[5], r[6]] for r in rows])
+        want = [H._row("x", *x) for x in rules.close(watermark)]
+        got = out[out["status"] != "open"][list(want[0])].to_dict("records") if want else []
+        assert [(g["round"], g["status"], g["total_samples"], g["nodes_aggregated"]) for g in got] == [
+            (w["round"], w["status"], w["total_samples"], w["nodes_aggregated"]) for w in want]
+        due = rules.next_deadline()
+        assert handle.value.value == (rules.expected, -1 if due is None else due) and (due is None or due in handle.timers)
+        sizes.append(len(handle.map))
+    assert 0 < max(sizes) <= 7 and rules.expected > 0
