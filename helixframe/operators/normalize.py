@@ -53,6 +53,18 @@ def contig_shard(variants: DataFrame, contig_col: str = "reference_name") -> Dat
     return variants.withColumn("shard", shard_expr(contig_col)).where(F.col("shard").isNotNull())
 
 
+def write_shards(sharded: DataFrame, names: list[str]) -> list[DataFrame]:
+    """The shards ``names`` of rows with a ``shard``, written in one pass to a
+    folder each and read back: what computes the rows runs once, not for every
+    shard and once more for the sample that a merge draws its ranges from."""
+    spark = sharded.sparkSession
+    path = scratch_path(spark, f"shards-{uuid.uuid4().hex}")
+    sharded.write.partitionBy("shard").parquet(path)
+    # the names' folders are picked by the partition filter, empty shards included
+    landed = spark.read.schema(sharded.schema).parquet(path).select(*sharded.columns)
+    return [landed.where(F.col("shard") == name) for name in names]
+
+
 def merge_shards(shards: list[DataFrame], contig_col: str = "reference_name",
                  pos_col: str = "start_position", num_partitions: int | None = None) -> DataFrame:
     """Concatenate shards into one globally ordered table (karyotype order,

@@ -166,10 +166,10 @@ SELECT chromosome AS reference_name, position - 1 AS start_position, ref AS refe
        WHEN chromosome IN ('11','12','13','14','15') THEN 'chr11-15' ELSE 'chr16-Y' END AS shard
 FROM px_sites""", "px_sites"))
 def merge_shards(t):
-    """Split sites into the four contig shards, then merge them back in
-    karyotype/position order (range-partitioned)."""
-    s = N.contig_shard(P.variant_sites(t, annotated=False))
-    parts = [s.where(F.col("shard") == name) for name, _ in SHARDS]
+    """Split sites into the four contig shards, each written once to a folder
+    of its own, then merge them back in karyotype/position order
+    (range-partitioned)."""
+    parts = N.write_shards(N.contig_shard(P.variant_sites(t, annotated=False)), [name for name, _ in SHARDS])
     m = N.merge_shards(parts, num_partitions=None)
     return m.select("reference_name", "start_position", "reference_bases", "shard")
 

@@ -159,3 +159,16 @@ def test_hub_state_by_blocks_follows_the_rules():
         assert handle.value.value == (rules.expected, -1 if due is None else due) and (due is None or due in handle.timers)
         sizes.append(len(handle.map))
     assert 0 < max(sizes) <= 7 and rules.expected > 0
+
+
+def test_shards_are_written_once(spark):
+    """What computes the rows is not in the shards' plans any more; an empty shard stays empty."""
+    from helixframe.operators import normalize
+
+    sites = spark.createDataFrame([("1", 5), ("X", 3), ("2", 9), ("1", 5)], "reference_name string, start_position long").distinct()
+    names = ["chr1-5", "chr6-10", "chr16-Y"]
+    parts = normalize.write_shards(normalize.contig_shard(sites), names)
+    assert [sorted(r.reference_name for r in p.collect()) for p in parts] == [["1", "2"], [], ["X"]]
+    merged = normalize.merge_shards(parts)
+    assert "Aggregate" not in _optimized(merged)
+    assert [(r.reference_name, r.start_position) for r in merged.collect()] == [("1", 5), ("2", 9), ("X", 3)]
