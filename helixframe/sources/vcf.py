@@ -17,8 +17,6 @@ from ..schemas import ANNOTATION, POPULATION_FREQUENCIES
 # meets the lines by a shuffle join instead of a broadcast.
 HEADER_BROADCAST_FILES = 10_000
 HEADER_BROADCAST_BYTES = 32 << 20
-# In that join each file's lines are spread over so many keys.
-HEADER_SALTS = 64
 
 
 def text_lines(spark: SparkSession, path_glob: str) -> DataFrame:
@@ -123,11 +121,16 @@ def data_with_names(lines: DataFrame, names: str = "keep", broadcast_headers: bo
                      headers: DataFrame | None = None) -> DataFrame:
     """Data lines with their file's sample names.  The header table (a row a
     file) is landed and measured: up to HEADER_BROADCAST_BYTES it is broadcast
-    and no line is shuffled; beyond, lines meet it by file and salt, so a file
-    that holds most lines is still spread over HEADER_SALTS keys."""
+    and no line is shuffled; beyond, each line and each header row is shuffled
+    once, by file.  A file that holds most lines is split between tasks by
+    adaptive execution, its one header row copied to each; copies of all
+    header rows would outgrow the lines of cohorts with a file a sample.
+    Without names (``none``) there is nothing to meet."""
+    data = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0))
+    if headers is None and names == "none":
+        return data.withColumn("_sample_names", F.lit(None).cast("array<string>"))
     if headers is None:
         headers = vcf_headers(lines, names)
-    data = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0))
     key = "source_file"
     if "_file_name" in headers.columns:      # names keyed by file name (manifest)
         key = "_file_name"
@@ -136,13 +139,7 @@ def data_with_names(lines: DataFrame, names: str = "keep", broadcast_headers: bo
         headers = headers.checkpoint(eager=True)
         named = F.coalesce(F.octet_length(F.array_join("_sample_names", ",")), F.lit(0)) + F.octet_length(key) + 16
         broadcast_headers = (headers.agg(F.sum(named.cast("long"))).first()[0] or 0) <= HEADER_BROADCAST_BYTES
-    if broadcast_headers:
-        out = data.join(F.broadcast(headers), key, "left")
-    else:
-        salts = F.explode(F.sequence(F.lit(0), F.lit(HEADER_SALTS - 1))).alias("_salt")
-        out = (data.withColumn("_salt", F.pmod(F.xxhash64("value"), F.lit(HEADER_SALTS)).cast("int"))
-               .join(headers.select("*", salts), [key, "_salt"], "left").drop("_salt"))
-    return out.drop("_file_name")
+    return data.join(F.broadcast(headers) if broadcast_headers else headers, key, "left").drop("_file_name")
 
 
 def parse_vcf_lines(lines: DataFrame, names: str = "keep", broadcast_headers: bool | None = None,
@@ -222,8 +219,7 @@ def read_vcf(spark: SparkSession, path_glob: str, names: str = "keep",
 
     The per-file header table has one row per file; it is broadcast only
     under ``max_broadcast_files`` files (known from the listing) and
-    HEADER_BROADCAST_BYTES of names (measured), else lines meet it by file
-    and salt.  ``sample_names``
+    HEADER_BROADCAST_BYTES of names (measured), else lines meet it by file.  ``sample_names``
     ({file name: [names]}, e.g. from the batch manifest) avoids the second
     pass over the text for ``#CHROM`` lines.
     """
@@ -262,7 +258,7 @@ def vcf_header_union(lines: DataFrame) -> DataFrame:
     """One INFO/FORMAT definition set agreed over many files: per (kind, id)
     the distinct Number/Type values and how many files declare it;
     ``conflict`` flags ids declared with more than one Type or Number."""
-    h = lines.where(F.col("value").rlike(r"^##(INFO|FORMAT)=<"))
+    h = lines.where(F.col("value").startswith("##") & F.col("value").rlike(r"^##(INFO|FORMAT)=<"))
     x = h.select(
         "source_file",
         F.regexp_extract("value", _META, 1).alias("kind"),

@@ -172,3 +172,31 @@ def test_shards_are_written_once(spark):
     merged = normalize.merge_shards(parts)
     assert "Aggregate" not in _optimized(merged)
     assert [(r.reference_name, r.start_position) for r in merged.collect()] == [("1", 5), ("2", 9), ("X", 3)]
+
+
+@pytest.mark.parametrize("names", ["keep", "hash"])
+def test_a_header_row_is_shuffled_once(spark, lines, monkeypatch, names):
+    """By the shuffle join, too, a file's header row is one row, not one for each of many keys."""
+    monkeypatch.setattr(vcf, "HEADER_BROADCAST_BYTES", 0)
+    x = vcf.data_with_names(lines, names)
+    plan = _optimized(x)
+    assert "Generate" not in plan and "Join LeftOuter" in plan and "broadcast" not in plan
+    assert sorted((r.source_file, len(r["_sample_names"] or [])) for r in x.collect()) == [("a", 2), ("a", 2), ("b", 0)]
+
+
+def test_no_names_need_no_header(lines):
+    x = vcf.parse_vcf_genotypes(lines, names="none")
+    assert "Join" not in _optimized(x)
+    assert sorted((r.start_position, r.sample_index, r.sample_id, r.genotype_quality) for r in x.collect()) == [
+        (4, 0, None, 9), (4, 1, None, None), (5, 0, None, 4), (5, 1, None, None)]
+
+
+def test_rendered_lines_are_landed_as_columns(spark):
+    """VCF text comes back from compressed files that a reader can prune, not from rows in Spark's own form."""
+    from helixframe.plans import proxy
+    from helixframe.sources.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    for text in (proxy.vcf_text(t), proxy.vcf_multi_text(t)):
+        plan = text.where(F.col("value").startswith("#CHROM"))._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and "StringStartsWith(value,#CHROM)" in plan
