@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.joins import sized_lookup
 from ..schemas import FLAT_VARIANTS_WITH_SAMPLE
 from ..sources.vcf import data_with_names, site_fields
 
@@ -60,15 +61,22 @@ def committed_files(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema("source_file string, load string").parquet(f"{out}/commits")
 
 
+def _new_lines(batch: DataFrame, out: str) -> tuple[DataFrame, DataFrame]:
+    """The files of a micro-batch that no commit names (a row a file, kept
+    once), and their lines.  The list is broadcast after a check of its count,
+    so no line is shuffled to meet it: by file, a task would gather and sort
+    whole files."""
+    known = committed_files(batch.sparkSession, out).select("source_file")
+    new = sized_lookup(batch.select("source_file").distinct().join(known, "source_file", "left_anti"))
+    return new, batch.join(new, "source_file", "left_semi")
+
+
 def _load_batch(batch: DataFrame, out: str) -> None:
-    spark = batch.sparkSession
-    known = committed_files(spark, out).select("source_file")
-    # the files of one micro-batch: a row a file, kept once for the joins below
-    new = batch.select("source_file").distinct().join(known, "source_file", "left_anti").checkpoint(eager=True)
+    new, lines = _new_lines(batch, out)
     if new.isEmpty():
         return
     load = uuid.uuid4().hex
-    rows = parse_landed(batch.join(new, "source_file", "left_semi"))
+    rows = parse_landed(lines)
     (rows.withColumn("ingestion_timestamp", F.current_timestamp()).write.partitionBy("chromosome")
      .parquet(f"{out}/data/load={load}"))
     new.coalesce(1).withColumn("load", F.lit(load)).write.mode("append").parquet(f"{out}/commits")

@@ -200,3 +200,13 @@ def test_rendered_lines_are_landed_as_columns(spark):
     for text in (proxy.vcf_text(t), proxy.vcf_multi_text(t)):
         plan = text.where(F.col("value").startswith("#CHROM"))._jdf.queryExecution().executedPlan().toString()
         assert "FileScan parquet" in plan and "StringStartsWith(value,#CHROM)" in plan
+
+
+def test_landed_lines_are_not_shuffled_by_file(spark, lines, tmp_out):
+    from helixframe.streaming import ingest
+
+    spark.createDataFrame([("b", "x")], "source_file string, load string").write.parquet(f"{tmp_out}/commits")
+    new, kept = ingest._new_lines(lines, tmp_out)
+    assert [r.source_file for r in new.collect()] == ["a"] and {r.source_file for r in kept.collect()} == {"a"}
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
