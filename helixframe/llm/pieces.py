@@ -39,12 +39,15 @@ TOGETHER = 256
 LEARNT_CHARS = 64
 #: Segmentations that are returned of each text.
 NBEST = 5
-_CHUNK = re.compile(r" *[^ \n]+| +|\n")
-_LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
-#: Where no piece joins a Latin letter and another visible character, the lattice falls apart there too.
-_SCRIPT_CHUNK = re.compile(rf" *[{_LATIN}]+| *[^ \n{_LATIN}]+| +|\n")
-_LETTER = re.compile(f"[{_LATIN}]")
+#: Kinds of characters: other visible ones (and all from _LATIN on) are OTHER.
+_BLANK, _NEWLINE, _OTHER, _LETTER = range(4)
+_LATIN = 0x250
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a hash that choose the slot of a prefix.
+SLOTS = 20
+#: Chunks times characters that go through the Viterbi passes together.
+CELLS = 400_000
 
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>$")
 
@@ -72,9 +75,28 @@ def load_pieces(path: str = MODEL) -> tuple[dict[str, int], list[int], list[byte
     return ids, byte_ids, written
 
 
-def _crosses(ids: dict[str, int]) -> bool:
-    """Whether some piece has a letter next to another visible character."""
-    return any(a != " " and bool(_LETTER.match(a)) != bool(_LETTER.match(b)) for p in ids for a, b in zip(p, p[1:]))
+def _kinds() -> np.ndarray:
+    """The kind of each code point up to _LATIN, which stands for all beyond."""
+    kinds = np.array([_LETTER if _LETTERS.match(chr(c)) else _OTHER for c in range(_LATIN + 1)], dtype=np.uint8)
+    kinds[[ord(" "), ord("\n")]] = _BLANK, _NEWLINE
+    return kinds
+
+
+def _parted(ids: dict[str, int]) -> np.ndarray:
+    """Whether a chunk ends between two characters, by 4 * kind + kind of the
+    next: around a newline, before a blank that follows no blank, and, if no
+    piece has a Latin letter next to another visible character, between those."""
+    parted = np.zeros((4, 4), dtype=bool)
+    parted[_NEWLINE] = parted[:, _NEWLINE] = True
+    parted[_NEWLINE:, _BLANK] = True
+    parted[_OTHER, _LETTER] = parted[_LETTER, _OTHER] = not any(
+        a != " " and bool(_LETTERS.match(a)) != bool(_LETTERS.match(b)) for p in ids for a, b in zip(p, p[1:]))
+    return parted.ravel()
+
+
+def _widths(codes: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes of each code point."""
+    return 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
 
 
 class _Chunks:
@@ -92,16 +114,12 @@ class _Chunks:
         self.start, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         self.lost, self.total = np.zeros(0), np.zeros(0)
 
-    def add(self, chunks: list[str], found: list[tuple]) -> None:
-        """``found``: (ids, lost, total) of each chunk."""
-        if not chunks:
-            return
-        size = np.fromiter((len(f[0]) for f in found), dtype=np.int64, count=len(found))
+    def add(self, chunks: list[str], ids: np.ndarray, size: np.ndarray, lost: np.ndarray, total: np.ndarray) -> None:
+        """``ids`` of the chunks one after the other, ``size`` of them each."""
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(f[0] for f in found), np.int32)])
-        self.lost = np.concatenate([self.lost, [f[1] for f in found]])
-        self.total = np.concatenate([self.total, [f[2] for f in found]])
+        self.flat = np.concatenate([self.flat, ids])
+        self.lost, self.total = np.concatenate([self.lost, lost]), np.concatenate([self.total, total])
         self.number.update(zip(chunks, range(len(self.number), len(self.start))))
         self.chars += sum(map(len, chunks))
 
@@ -126,22 +144,26 @@ class Segmenter:
         self.prefixes: dict[str, tuple | None] = {p[:k]: None for p in ids for k in range(1, len(p))}
         self.prefixes |= {p: ((i,), -math.log(i + 1)) for p, i in ids.items()}
         self.longest = max(map(len, ids), default=1)
-        self.scores = np.full(len(self.written) + 1, -np.inf)
-        hashed = {}
-        for p, i in ids.items():
-            self.scores[i] = -math.log(i + 1)
+        self.scores = -np.log(np.arange(1.0, len(self.written) + 1))
+        hashed: dict[int, int] = {}
+        for p in self.prefixes:
             h = 0
             for c in p:
                 h = (h + ord(c)) * int(_MULTIPLIER) % (1 << 64)
-            hashed[h] = i
+            hashed[h] = ids.get(p, -1)
         order = sorted(hashed)
-        # a last entry above any hash keeps every position that searchsorted gives inside the table
-        self.hashes = np.array([*order, (1 << 64) - 1], dtype=np.uint64)
-        self.hashed_ids = np.array([*[hashed[h] for h in order], -1], dtype=np.int64)
-        self.cut = (_CHUNK if _crosses(ids) else _SCRIPT_CHUNK).findall
+        # two last entries above any hash: that of an empty slot, and that of a slot with several prefixes
+        self.hashes = np.array([*order, (1 << 64) - 1, (1 << 64) - 1], dtype=np.uint64)
+        self.hashed_ids = np.array([*[hashed[h] for h in order], -1, -1], dtype=np.int64)
+        slot = (self.hashes[:-2] >> np.uint64(64 - SLOTS)).astype(np.int64)
+        self.slots = np.full(1 << SLOTS, len(order), dtype=np.int32)
+        self.slots[slot] = np.arange(len(order))
+        self.slots[np.bincount(slot, minlength=1 << SLOTS) > 1] = len(order) + 1
+        self.kinds, self.parted = _kinds(), _parted(ids)
         self.chunks = _CACHES.setdefault((len(self.written), nbest), _Chunks())
         self.bytes_of = pa.array(self.written, pa.large_binary())
-        self.found: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
+        self.widths = np.fromiter(map(len, self.written), dtype=np.int64, count=len(self.written))
+        self.found: dict[str, list[tuple[float, np.ndarray]]] = {}
 
     def _spelt(self, char: str) -> tuple[tuple[int, ...], float]:
         spelt = tuple(self.byte_ids[b] for b in char.encode())
@@ -199,129 +221,181 @@ class Segmenter:
                 push(heap, (-(best[start] + s), (pieces, after), start, s))
         return found
 
+    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each hash is that of a prefix of a piece, and the id of the piece (-1: none)."""
+        at = self.slots[h >> np.uint64(64 - SLOTS)]
+        several = np.flatnonzero(at == len(self.hashes) - 1)
+        at[several] = np.searchsorted(self.hashes, h[several])
+        known = self.hashes[at] == h
+        return known, np.where(known, self.hashed_ids[at], -1)
+
     def learn(self, chunks: list[str]) -> None:
         """Put new chunks into the table: ids and score of the best
         segmentation and the loss of the second best (infinite if there is
         none).
 
-        All chunks of one length go through the Viterbi passes together, a
-        numpy row each.  The best score from the start to each position and
-        from each position to the end price every edge; the second best
-        segmentation loses what the cheapest edge off the best path loses.
-        Pieces are looked up by a 64-bit hash of their characters; a chunk
-        whose ids do not spell it is searched anew without hashes.
+        Chunks go through the Viterbi passes together, a numpy column each,
+        longest first.  From each position only the columns go on whose
+        characters so far begin a piece.  The best score from the start to
+        each position and from each position to the end price every edge;
+        the second best segmentation loses what the cheapest edge off the
+        best path loses.  Prefixes are looked up by a 64-bit hash of their
+        characters; a chunk whose ids do not spell it is searched anew
+        without hashes.
         """
-        by_size: dict[int, list[str]] = {}
-        for c in chunks:
-            by_size.setdefault(len(c), []).append(c)
-        for size, same in by_size.items():
-            if size > LEARNT_CHARS or 2 * len(same) < size:  # too few for numpy's rows to pay
-                self.chunks.add(same, [self._one(c) for c in same])
-                continue
-            found = []
-            for lo in range(0, len(same), max(1, 200_000 // size)):
-                found += self._learn(size, same[lo:lo + max(1, 200_000 // size)])
-            self.chunks.add(same, found)
-
-    def _learn(self, size: int, chunks: list[str]) -> list[tuple]:
-        count = len(chunks)
-        codes = np.frombuffer("".join(chunks).encode("utf-32-le"), dtype=np.uint32).reshape(count, size)
-        edges: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        for start in range(size):
-            h = np.zeros(count, dtype=np.uint64)
-            for end in range(start + 1, min(size, start + self.longest) + 1):
-                h = (h + codes[:, end - 1]) * _MULTIPLIER
-                at = np.searchsorted(self.hashes, h)
-                ids = np.where(self.hashes[at] == h, self.hashed_ids[at], -1)
-                if end == start + 1 and (ids < 0).any():  # spelt in bytes: kept as -2 - code point
-                    ids = np.where(ids < 0, -2 - codes[:, start].astype(np.int64), ids)
-                    score = self.scores[np.maximum(ids, 0)]
-                    for r in np.flatnonzero(ids < 0).tolist():
-                        score[r] = self._spelt(chr(-2 - ids[r]))[1]
-                    edges[start, end] = ids, score
-                elif (ids >= 0).any():
-                    edges[start, end] = ids, self.scores[ids]  # scores[-1] is -inf: no such piece
-        best = np.full((count, size + 1), -np.inf)
-        best[:, 0] = 0.0
-        start_of = np.zeros((count, size + 1), dtype=np.int64)
-        id_of = np.zeros((count, size + 1), dtype=np.int64)
-        for (start, end), (ids, score) in sorted(edges.items(), key=lambda e: e[0][1]):
-            to = best[:, start] + score
-            better = to > best[:, end]
-            best[better, end] = to[better]
-            start_of[better, end] = start
-            id_of[better, end] = ids[better]
-        rest = np.full((count, size + 1), -np.inf)
-        rest[:, size] = 0.0
-        for (start, end), (ids, score) in sorted(edges.items(), reverse=True):
-            np.maximum(rest[:, start], score + rest[:, end], out=rest[:, start])
-        on_path = np.zeros((count, size + 1), dtype=bool)
-        path: list[list[int]] = [[] for _ in range(count)]
-        rows = np.arange(count)
-        at_ = np.full(count, size)
-        while len(rows):
-            on_path[rows, at_] = True
-            for r, i in zip(rows.tolist(), id_of[rows, at_].tolist()):
-                path[r].append(i)
-            at_ = start_of[rows, at_]
-            rows, at_ = rows[at_ > 0], at_[at_ > 0]
+        chunks = sorted(chunks, key=len, reverse=True)
+        size = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
+        # too long, or too few of that length or more for numpy's columns to pay
+        alone = int(np.count_nonzero((size > LEARNT_CHARS) | (2 * np.arange(1, len(size) + 1) < size)))
+        self._add_one_by_one(chunks[:alone])
+        while alone < len(chunks):
+            upto = alone + max(1, CELLS // int(size[alone]))
+            self._learn(chunks[alone:upto], size[alone:upto])
+            alone = upto
+
+    def _add_one_by_one(self, chunks: list[str]) -> None:
+        if chunks:
+            ids, lost, total = zip(*map(self._one, chunks))
+            self.chunks.add(chunks, np.fromiter(itertools.chain.from_iterable(ids), np.int32),
+                            np.fromiter(map(len, ids), np.int64, len(ids)), np.array(lost), np.array(total))
+
+    def _learn(self, chunks: list[str], size: np.ndarray) -> None:
+        """learn() for chunks in falling order of length."""
+        count, longest, text = len(chunks), int(size[0]), "".join(chunks)
+        flat = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+        begin = np.cumsum(size) - size
+        beyond = count - np.searchsorted(size[::-1], np.arange(longest + 1), side="right")  # columns longer than that
+        codes = [flat[begin[:k] + at].astype(np.uint64) for at, k in enumerate(beyond[:-1].tolist())]
+        best = np.full((longest + 1, count), -np.inf)
+        best[0] = 0.0
+        start_of = np.zeros((longest + 1, count), dtype=np.int8)
+        id_of = np.zeros((longest + 1, count), dtype=np.int32)
+        edges = []
+        for start in range(longest):
+            rows, h, end = np.arange(beyond[start]), np.uint64(0), start + 1
+            while len(rows):
+                h = (h + codes[end - 1][rows]) * _MULTIPLIER
+                known, ids = self._find(h)
+                at = np.flatnonzero(ids >= 0)
+                reached, ids_ = rows[at], ids[at]
+                score = self.scores[ids_]
+                if end == start + 1 and len(at) < len(rows):  # spelt in bytes: kept as -2 - code point
+                    reached, ids_ = rows, np.where(ids < 0, -2 - codes[start].astype(np.int64), ids)
+                    score = self.scores[np.maximum(ids_, 0)]
+                    for i in np.unique(ids_[ids_ < 0]).tolist():
+                        score[ids_ == i] = self._spelt(chr(-2 - i))[1]
+                if len(reached):
+                    edges.append((start, end, reached, score))
+                    to = best[start][reached] + score
+                    better = np.flatnonzero(to > best[end][reached])
+                    column = reached[better]
+                    best[end][column] = to[better]
+                    start_of[end][column] = start
+                    id_of[end][column] = ids_[better]
+                if end == longest:
+                    break
+                on = np.flatnonzero(known & (rows < beyond[end]))
+                rows, h, end = rows[on], h[on], end + 1
+        rest = np.full((longest + 1, count), -np.inf)
+        columns = np.arange(count)
+        rest[size, columns] = 0.0
+        for start, end, reached, score in reversed(edges):
+            rest[start][reached] = np.maximum(rest[start][reached], score + rest[end][reached])
+        into = np.full((longest + 1, count), -1, dtype=np.int8)  # where the best path's edge to a position starts
+        steps, at, left = [], size, columns
+        while len(left):
+            before, ids = start_of[at, left], id_of[at, left]
+            into[at, left] = before
+            steps.append((left, ids))
+            on = np.flatnonzero(before)
+            at, left = before[on].astype(np.int64), left[on]
+        total = best[size, columns]
         loss = np.full(count, np.inf)
-        for (start, end), (ids, score) in edges.items():
-            with np.errstate(invalid="ignore"):
-                lost = best[:, size] - (best[:, start] + score + rest[:, end])
-            off = ~(on_path[:, end] & (start_of[:, end] == start))
-            np.minimum(loss, np.where(off & ~np.isnan(lost), lost, np.inf), out=loss)
-        found, written = [], self.written
-        for c, ids, total, lost in zip(chunks, path, best[:, size].tolist(), loss.tolist()):
-            ids.reverse()
-            if min(ids) < 0:
-                ids = [j for i in ids for j in (self._spelt(chr(-2 - i))[0] if i < 0 else (i,))]
-            same = b"".join([written[i] for i in ids]) == c.encode()
-            found.append((ids, lost, total) if same else self._one(c))  # else two pieces with one hash
-        return found
+        for start, end, reached, score in edges:
+            off = np.flatnonzero(into[end][reached] != start)
+            reached, score = reached[off], score[off]
+            lost = total[reached] - (best[start][reached] + score + rest[end][reached])
+            loss[reached] = np.minimum(loss[reached], lost)
+        owner, ids = np.concatenate([c for c, _ in steps]), np.concatenate([i for _, i in steps])
+        many = np.bincount(owner, minlength=count)
+        place = np.cumsum(many)[owner] - 1 - np.repeat(np.arange(len(steps)), [len(c) for c, _ in steps])
+        path = np.empty(len(ids), dtype=np.int32)
+        path[place] = ids
+        if (bare := np.flatnonzero(path < 0)).size:
+            spelt = [self._spelt(chr(-2 - i))[0] for i in path[bare].tolist()]
+            wide = np.ones(len(path), dtype=np.int64)
+            wide[bare] = [len(x) for x in spelt]
+            many = np.add.reduceat(wide, np.cumsum(many) - many)
+            written = np.repeat(path < 0, wide)
+            path = np.repeat(path, wide)
+            path[written] = list(itertools.chain.from_iterable(spelt))
+        first = np.cumsum(many) - many
+        same = np.array_equal(np.add.reduceat(self.widths[path], first), np.add.reduceat(_widths(flat), begin))
+        if same and self.spell(path) == text.encode():
+            self.chunks.add(chunks, path, many, loss, total)
+            return
+        good = [self.spell(path[f:f + m]) == c.encode() for c, f, m in zip(chunks, first.tolist(), many.tolist())]
+        self._add_one_by_one([c for c, g in zip(chunks, good) if not g])  # two prefixes with one hash
+        good = np.array(good)
+        self.chunks.add([c for c, g in zip(chunks, good) if g], path[np.repeat(good, many)], many[good], loss[good], total[good])
 
     def _one(self, chunk: str) -> tuple:
         """As learn() for one chunk, by the search alone."""
         found = self.search(chunk, 2)
         return list(found[0][1]), found[0][0] - found[1][0] if len(found) > 1 else math.inf, found[0][0]
 
-    def _nbest(self, chunk: str) -> list[tuple[float, tuple[int, ...]]]:
+    def _nbest(self, chunk: str) -> list[tuple[float, np.ndarray]]:
         """search() for the n best, cached as chunks are."""
         found = self.found.get(chunk)
         if found is None:
-            found = self.search(chunk, self.nbest)
+            found = [(s, np.array(i, dtype=np.int32)) for s, i in self.search(chunk, self.nbest)]
             if len(chunk) <= LEARNT_CHARS:
                 if len(self.found) >= CACHE // 10:
                     self.found.clear()
                 self.found[chunk] = found
         return found
 
+    def _cut(self, texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The chunks of the texts one after the other, each text with a blank
+        before it (the empty one has none), and where each text's begin."""
+        joined = "".join([" " + t if t else "" for t in texts])
+        codes, data = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32), joined.encode()
+        text_at = np.cumsum([0, *[len(t) + 1 if t else 0 for t in texts]])
+        kinds = self.kinds[np.minimum(codes, _LATIN)]
+        cut = np.ones(len(codes) + 1, dtype=bool)
+        cut[1:-1] = self.parted[4 * kinds[:-1] + kinds[1:]]
+        cut[text_at] = True
+        at = np.flatnonzero(cut)
+        offsets = at if len(data) == len(codes) else np.concatenate([[0], np.cumsum(_widths(codes))])[at]
+        chunks = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(offsets), pa.py_buffer(data))
+        return chunks.dictionary_encode(), np.searchsorted(at, text_at)
+
     def encode_all(self, texts: list[str]) -> list[list[tuple[float, np.ndarray]]]:
         """Score and ids of the n best segmentations of each whole text, best
         first.  The empty text has one, without pieces, of score 0."""
-        cut = [self.cut(" " + t) if t else [] for t in texts]
-        every = list(itertools.chain.from_iterable(cut))
-        table, met = self.chunks, set(every)
-        new = met - table.number.keys()
+        every, chunk_at = self._cut(texts)
+        kinds, at = every.dictionary.to_pylist(), every.indices.to_numpy()
+        table = self.chunks
+        new = [c for c in kinds if c not in table.number]
         if len(table.number) + len(new) > CACHE or table.chars + sum(map(len, new)) > CACHE_CHARS:
             table.clear()
-            new = met
-        self.learn(sorted(new))
-        numbers = np.fromiter(map(table.number.__getitem__, every), dtype=np.int64, count=len(every))
+            new = kinds
+        self.learn(new)
+        numbers = np.fromiter(map(table.number.__getitem__, kinds), dtype=np.int64, count=len(kinds))[at]
         best, size = table.ids(numbers), table.size[numbers]
         lost, total = table.lost[numbers], table.total[numbers].tolist()
-        chunk_at = np.cumsum([0, *map(len, cut)])
         id_at = np.concatenate([[0], np.cumsum(size)])
         out = []
-        for chunks, lo, hi in zip(cut, chunk_at[:-1].tolist(), chunk_at[1:].tolist()):
+        for lo, hi in zip(chunk_at[:-1].tolist(), chunk_at[1:].tolist()):
             ends = id_at[lo:hi + 1] - id_at[lo]
-            out.append(self._join(chunks, best[id_at[lo]:id_at[hi]], ends, lost[lo:hi], math.fsum(total[lo:hi])))
+            out.append(self._join(kinds, at[lo:hi], best[id_at[lo]:id_at[hi]], ends, lost[lo:hi], math.fsum(total[lo:hi])))
         return out
 
-    def _join(self, chunks: list[str], best: np.ndarray, ends: np.ndarray, lost: np.ndarray,
+    def _join(self, kinds: list[str], chunks: np.ndarray, best: np.ndarray, ends: np.ndarray, lost: np.ndarray,
               total: float) -> list[tuple[float, np.ndarray]]:
-        """The n best segmentations of a text from its best one: ``ends`` cuts
-        its ids at the chunks, ``lost`` is each chunk's least loss."""
+        """The n best segmentations of a text from its best one: ``chunks``
+        are places in ``kinds``, ``ends`` cuts its ids at the chunks, ``lost``
+        is each chunk's least loss."""
         # a segmentation among the n best leaves the best one only in the n - 1 chunks that lose least by it
         few = self.nbest - 1
         near = np.arange(len(lost))
@@ -331,14 +405,14 @@ class Segmenter:
         merged: list[tuple[float, tuple]] = [(0.0, ())]  # loss, and the ids in each chunk looked at
         for k in near.tolist():
             if lost[k] < math.inf:
-                found = self._nbest(chunks[k])
+                found = self._nbest(kinds[chunks[k]])
                 merged = sorted([(a + found[0][0] - s, (*how, (k, i))) for a, how in merged for s, i in found],
                                 key=itemgetter(0))[:self.nbest]
         out = []
         for loss, how in merged:
             parts, at = [], 0
             for k, other in sorted(how):
-                parts += [best[at:ends[k]], np.array(other, dtype=np.int32)]
+                parts += [best[at:ends[k]], other]
                 at = ends[k + 1]
             out.append((total - loss, np.concatenate([*parts, best[at:]])))
         return out

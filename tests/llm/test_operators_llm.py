@@ -169,6 +169,47 @@ def test_pieces_nbest_ids(make):
         assert all(seg.decode(x.ids) == t for x in found) and got[i].scores == [x.score for x in found]
 
 
+def test_pieces_chunks_by_kind():
+    """Chunks are what the patterns say, whatever the script, and come back whole."""
+    seg = pieces.Segmenter(pieces.load_pieces())
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab éɏɐñ  ,.1\n漢\U0001F600\t▁") for _ in range(rng.randint(0, 30))) for _ in range(400)]
+    every, at = seg._cut(texts)
+    got = every.to_pylist()
+    latin = "A-Za-zÀ-ÖØ-öø-ɏ"
+    crosses = not seg.parted[4 * pieces._OTHER + pieces._LETTER]
+    cut = re.compile(r" *[^ \n]+| +|\n" if crosses else rf" *[{latin}]+| *[^ \n{latin}]+| +|\n")
+    for t, lo, hi in zip(texts, at[:-1], at[1:]):
+        assert got[lo:hi] == (cut.findall(" " + t) if t else [])
+
+
+def test_pieces_learnt_together(monkeypatch):
+    """New chunks of all lengths share one pass that follows only beginnings of
+    pieces, and price as the search does; where a hash stands for another piece the ids still spell the chunk."""
+    rng = random.Random(9)
+    chunks = {" " + "".join(rng.choice("theraniqzxé漢\U0001F600ß") for _ in range(rng.randint(1, 14))) for _ in range(900)}
+    chunks |= {" " * 9, "\n", "x" * 40, "th" * 50}
+    for broken in (False, True):
+        monkeypatch.setattr(pieces, "_CACHES", {})
+        seg = pieces.Segmenter(pieces.load_pieces())
+        if broken:
+            seg.hashed_ids[np.flatnonzero(seg.hashed_ids == seg.prefixes["th"][0][0])] = seg.prefixes["an"][0][0]
+        passes, looked = [], []
+        learn, find = seg._learn, seg._find
+        monkeypatch.setattr(seg, "_learn", lambda c, size: (passes.append(len(c)), learn(c, size)))
+        monkeypatch.setattr(seg, "_find", lambda h: (looked.append(len(h)), find(h))[1])
+        seg.learn(list(chunks))
+        assert len(passes) == 1 and passes[0] > 0.9 * len(chunks)
+        assert sum(looked) < 0.7 * sum(len(c) * (len(c) + 1) // 2 for c in chunks if len(c) < 20)
+        table = seg.chunks
+        assert table.number.keys() == chunks
+        for c in chunks:
+            k = table.number[c]
+            ids, lost, total = seg._one(c)
+            assert table.ids(np.array([k])).tolist() == ids and np.isclose(table.total[k], total)
+            assert broken or np.isclose(table.lost[k], lost) or table.lost[k] == lost
+
+
 def test_pieces_edges(odd, empty):
     rows = pieces.encode_documents(odd).collect()
     assert len(rows) == 9 and all(r.round_trip for r in rows)
