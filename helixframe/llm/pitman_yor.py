@@ -32,15 +32,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
-from hashlib import blake2b
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import landed, landed_parquet, remainder, whole
+from .common import Scratch, remainder, shuffles_freed, whole
 from .shingles import mix
 
 ORDER = 4
@@ -57,9 +58,10 @@ WORD_STRENGTH = (10.0, 1.0, 1.0)
 EXACT = 48
 START, END = 2, 3
 _BASE = 1.0 / 0x110000
-_TOGETHER = 512
-#: Numbers of words that a task keeps at most.
-CARRIED = 200_000
+#: Bytes of text whose trigrams are dealt together, and bytes of text that a part of the contexts stands for.
+BLOCK = 24 << 20
+_TOGETHER = 1 << 19
+PART = 24 << 20
 
 
 def _codes(words: list[str]) -> np.ndarray:
@@ -85,71 +87,183 @@ def _ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return key.view(np.int64)[first[owner] + within], owner
 
 
-def _tokens(text: bytes) -> list[bytes]:
-    """Words of a UTF-8 text, A-Z lower-cased: bytes.lower() changes A-Z alone,
-    and bytes.split() parts at blank and \\t \\n \\v \\f \\r alone."""
-    return text.lower().split()
-
-
-def _utf8(column: pa.Array) -> list[bytes]:
-    return column.cast(pa.binary()).to_pylist()
+def _numbers(words: np.ndarray) -> np.ndarray:
+    """64-bit numbers (SipHash) of the words' bytes."""
+    return hash_array(words, categorize=False).view(np.int64)
 
 
 def _number(word: bytes) -> int:
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+    return int(_numbers(np.array([word], dtype=object))[0])
 
 
 #: Numbers of the end of a text and of the places before its first word.
 _END, _BEFORE = _number(b""), 0
 
 
-def _names(length: int) -> list[str]:
-    """Columns of a word (h0) and of the ``length`` words before it, the nearest first."""
-    return [f"h{k}" for k in range(length + 1)]
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Whole-number arrays as compressed planes of their bytes, as many as the largest number fills (negative: all)."""
+    planes, head = [], []
+    for a in arrays:
+        width = 8 if len(a) and a.min() < 0 else (int(a.max()).bit_length() + 7) // 8 if len(a) else 0
+        planes += [(a >> (8 * k)).astype(np.uint8) for k in range(width)]
+        head += [width, len(a)]
+    data = b"".join(planes)
+    head = np.array([len(arrays), len(data), *head], dtype=np.int64)
+    return head.tobytes() + pa.Codec("zstd", compression_level=1).compress(data, asbytes=True)
+
+
+def _unpack(data: bytes) -> list[np.ndarray]:
+    count, size = np.frombuffer(data, dtype=np.int64, count=2).tolist()
+    head = np.frombuffer(data, dtype=np.int64, count=2 * count, offset=16).reshape(-1, 2)
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data[16 + 16 * count:], decompressed_size=size), dtype=np.uint8)
+    out, lo = [], 0
+    for width, n in head.tolist():
+        a = np.zeros(n, dtype=np.int32 if width < 4 else np.int64)
+        for k in range(width):
+            a |= planes[lo:lo + n].astype(a.dtype) << (8 * k)
+            lo += n
+        out.append(a)
+    return out
 
 
-def token_rows(docs: DataFrame) -> DataFrame:
-    """A row per token, the end ('') of each text among them: row, doc_id,
-    held_out, h0 (its number), h1... (those of the words before it), and the
-    word itself where a task meets it first."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows in tables of up to BLOCK bytes of text; a longer text is a table of its own."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64)
+        lo = 0
+        while lo < batch.num_rows:
+            before = int(ends[lo - 1]) if lo else 0
+            hi = max(int(np.searchsorted(ends, before + BLOCK - size, "right")), lo + (not held))
+            if hi > lo:
+                held.append(batch.slice(lo, hi - lo))
+                size += int(ends[hi - 1]) - before
+            lo = hi
+            if lo < batch.num_rows:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _coded(text: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of the texts, the index of each word met, and how many each text has.  A-Z lower-cased;
+    Arrow's ASCII white space is blank and \\t to \\r."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(text.combine_chunks()))
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    flat, offsets = lists.values, lists.offsets.to_numpy()
+    filled = pc.greater(pc.binary_length(flat), 0)
+    upto = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
+    met = flat.filter(filled).dictionary_encode()
+    return met.dictionary, met.indices.to_numpy(), np.diff(upto[offsets])
+
+
+def _part(numbers: np.ndarray, parts: int) -> np.ndarray:
+    return (mix(numbers.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+
+
+def _order(c0: np.ndarray, c1: np.ndarray, c2: np.ndarray, size: int) -> np.ndarray:
+    """Order of trigrams by c1, c2 and c0, all below size."""
+    if size < 1 << 21:
+        return np.argsort((c1.astype(np.int64) << 42) | (c2.astype(np.int64) << 21) | c0)
+    return np.lexsort((c0, c2, c1))
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins in ordered columns."""
+    new = np.zeros(len(columns[0]), dtype=bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
+def _dealt(docs: DataFrame, parts: int, scored: bool) -> DataFrame:
+    """part, payload, spelt: the trigrams of blocks of texts, dealt by their
+    middle word (the one before the token), so that all restaurants of a
+    part's contexts and all their dishes meet in it.  A payload has the
+    numbers of its words and indices into them: of distinct trigrams with how
+    often they are learnt or, if scored, of all tokens with their text's
+    place in the block.  ``spelt`` (not if scored): the middle words."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        (remainder("doc_id", 7) == 2).alias("held_out"), whole("text").alias("text"))
-    back = WORD_ORDER - 1
-    names = ["row", "doc_id", "held_out", *_names(back), "word"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers: dict[bytes, int] = {}
-        for batch in batches:
-            lo = 0
-            while lo < batch.num_rows:
-                at, numbered, sizes, first = lo, [_BEFORE] * back, [], {}
-                while lo < batch.num_rows and lo - at < _TOGETHER and len(numbered) < 200_000:
-                    tokens = _tokens(_utf8(batch.column(3).slice(lo, 1))[0])
-                    tokens.append(b"")
-                    for k, w in enumerate(tokens, len(numbered)):
-                        if w not in numbers:
-                            numbers[w] = _number(w)
-                            first[k] = w
-                    numbered.extend(map(numbers.__getitem__, tokens))
-                    numbered.extend([_BEFORE] * back)
-                    sizes.append(len(tokens))
-                    lo += 1
-                if len(numbers) > CARRIED:
-                    numbers = {}
-                h = np.array(numbered, dtype=np.int64)
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                place = np.arange(len(owner)) + back * (owner + 1)
-                words = np.full(len(h), None, dtype=object)
-                words[np.array(list(first), dtype=np.int64)] = list(first.values())
-                part = batch.slice(at, lo - at).select([0, 1, 2]).take(pa.array(owner))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *[pa.array(h[place - k]) for k in range(back + 1)],
-                     pa.array(words[place], pa.binary()).cast(pa.string())], names=names)
-
-    return rows.mapInArrow(run, "row long, doc_id long, held_out boolean, "
-                           + "".join(f"{h} long, " for h in _names(back)) + "word string")
-
-
+        for block in _blocks(batches):
+            words, index, sizes = _coded(block.column("text"))
+            raw = np.concatenate([np.array([b"", b""], dtype=object), words.cast(pa.binary()).to_numpy(zero_copy_only=False)])
+            numbers = np.concatenate([[_BEFORE, _END], _numbers(raw[2:])]).astype(np.int64)
+            by_part = np.lexsort((numbers, _part(numbers, parts)))
+            numbers, raw = numbers[by_part], raw[by_part]
+            code = np.empty(len(numbers), dtype=np.int32)
+            code[by_part] = np.arange(len(numbers), dtype=np.int32)
+            owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
+            place = np.arange(len(owner)) + 2 * (owner.astype(np.int64) + 1)
+            own = np.ones(len(owner), dtype=bool)
+            own[np.cumsum(sizes + 1) - 1] = False
+            line = np.full(len(owner) + 2 * len(sizes), code[0], dtype=np.int32)
+            tokens = np.full(len(owner), code[1], dtype=np.int32)
+            tokens[own] = code[2:][index]
+            line[place] = tokens
+            columns = [tokens, line[place - 1], line[place - 2]]
+            held = block.column("held_out").to_numpy()
+            if scored:
+                order = _order(*columns, len(numbers))
+                columns, more = [c[order] for c in columns], owner[order]
+            else:
+                columns, more = _distinct(*columns, (~held)[owner], len(numbers))
+            ends = np.searchsorted(_part(numbers, parts)[columns[1]], np.arange(parts + 1))
+            used, local = np.zeros(len(numbers), dtype=bool), np.empty(len(numbers), dtype=np.int32)
+            dealt, payloads, spelt = [], [], []
+            for part in np.flatnonzero(np.diff(ends)).tolist():
+                some = [c[ends[part]:ends[part + 1]] for c in columns]
+                for c in some:
+                    used[c] = True
+                here = np.flatnonzero(used)
+                used[here] = False
+                local[here] = np.arange(len(here), dtype=np.int32)
+                arrays = [numbers[here], local[some[0]], np.diff(local[some[1]], prepend=np.int32(0)), local[some[2]],
+                          more[ends[part]:ends[part + 1]]]
+                if scored:
+                    arrays += _texts_that_end(block, some[0] == code[1], arrays[4])
+                dealt.append(part)
+                payloads.append(_pack(*arrays))
+                spelt.append(None if scored else b" ".join(raw[some[1][_starts(some[1])]]))
+            yield pa.RecordBatch.from_arrays([pa.array(dealt, pa.int64()), pa.array(payloads, pa.binary()), pa.array(spelt, pa.binary())],
+                                             names=["part", "payload", "spelt"])
+
+    return rows.mapInArrow(run, "part long, payload binary, spelt binary")
+
+
+def _distinct(c0: np.ndarray, c1: np.ndarray, c2: np.ndarray, learnt: np.ndarray, size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct trigrams ordered by c1, c2 and c0, and how often they are learnt."""
+    if size < 1 << 21:
+        key = (c1.astype(np.uint64) << np.uint64(43)) | (c2.astype(np.uint64) << np.uint64(22)) | (c0.astype(np.uint64) << np.uint64(1))
+        key |= learnt
+        key.sort()
+        learnt = (key & np.uint64(1)).astype(np.int32)
+        key >>= np.uint64(1)
+        start = np.flatnonzero(_starts(key))
+        key = key[start]
+        low = np.uint64((1 << 21) - 1)
+        columns = [(key & low), (key >> np.uint64(42)), (key >> np.uint64(21)) & low]
+        return [c.astype(np.int32) for c in columns], np.add.reduceat(learnt, start)
+    order = _order(c0, c1, c2, size)
+    columns = [c[order] for c in (c0, c1, c2)]
+    start = np.flatnonzero(_starts(*columns))
+    return [c[start] for c in columns], np.add.reduceat(learnt[order].astype(np.int32), start)
+
+
+def _texts_that_end(block: pa.Table, ends: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
+    """First row of the block, which of its texts are held out, and of those whose end is here: place, doc_id, without id."""
+    at = owner[ends]
+    ids = block.column("doc_id").take(pa.array(at))
+    return [block.column("row").to_numpy()[:1], block.column("held_out").to_numpy().astype(np.uint8), at,
+            pc.fill_null(ids, 0).to_numpy().astype(np.int64), pc.is_null(ids).to_numpy().astype(np.uint8)]
+
+
+@cache
 def _stirling(discount: float, size: int) -> np.ndarray:
     """log of the generalised Stirling numbers S(c, t), c and t up to size."""
     s = np.full((size + 1, size + 1), -np.inf)
@@ -173,12 +287,13 @@ def sample_tables(customers: np.ndarray, others: np.ndarray, parent: np.ndarray,
     tables = np.minimum(customers, 1).astype(np.int64)
     stirling = _stirling(discount, EXACT)
     several = np.flatnonzero(customers > 1)
-    t = np.arange(1, EXACT + 1)
+    several = several[np.argsort(np.minimum(customers[several], EXACT), kind="stable")]
     for lo in range(0, len(several), 20_000):
         at = several[lo:lo + 20_000]
         c = np.minimum(customers[at], EXACT)
+        t = np.arange(1, int(c[-1]) + 1)  # no dish of these has more tables
         opened = np.cumsum(np.log(strength + discount * (others[at, None] + t[None, :] - 1)), axis=1)
-        weight = stirling[c][:, 1:] + opened + t[None, :] * np.log(parent[at, None])
+        weight = stirling[c][:, t] + opened + t[None, :] * np.log(parent[at, None])
         weight = np.exp(weight - weight.max(axis=1, keepdims=True))
         upto = np.cumsum(weight, axis=1)
         u = _uniform(seed[at], 0) * upto[:, -1]
@@ -203,21 +318,33 @@ def _mask(symbols: int) -> Column:
     return F.lit((1 << (BITS * symbols)) - 1 if symbols < ORDER else -1).cast("long")
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
+    """Columns of up to _TOGETHER rows at a time: the draws for many customers go on for as many steps as their longest."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if held and sum(map(len, held)) + len(batch) > _TOGETHER:
+            yield [pa.concat_arrays([b.column(k) for b in held]) for k in range(batch.num_columns)]
+            held = []
+        held.append(batch)
+    if held:
+        yield [pa.concat_arrays([b.column(k) for b in held]) for k in range(held[0].num_columns)]
+
+
 def _reseat(level: DataFrame, length: int, sweep: int) -> DataFrame:
     """key, c, t: the level with its tables drawn anew."""
     discount, strength = DISCOUNT[length], STRENGTH[length]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key, c, others, parent = (batch.column(k).to_numpy() for k in range(4))
+        for columns in _together(batches):
+            key, c, others, parent = (x.to_numpy() for x in columns)
             seed = key ^ np.int64(sweep * 1_000_003 + length * 7919 + 1)
             t = sample_tables(c, np.maximum(others, 0), parent, seed, discount, strength)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(t)], names=["key", "c", "t"])
+            yield pa.RecordBatch.from_arrays([*columns[:2], pa.array(t)], names=["key", "c", "t"])
 
     return level.select("key", "c", "others", "parent").mapInArrow(run, "key long, c long, t long")
 
 
-def _predictive(levels: list[DataFrame]) -> list[DataFrame]:
+def _predictive(levels: list[DataFrame], tables: Scratch) -> list[DataFrame]:
     """key, c, t, others, parent, p of every level, from the empty context up."""
     out: list[DataFrame] = []
     for length, rows in enumerate(levels):
@@ -232,7 +359,7 @@ def _predictive(levels: list[DataFrame]) -> list[DataFrame]:
         own = F.greatest(F.col("c") - d * F.col("t"), F.lit(0.0))
         p = (own + (s + d * F.col("tables")) * F.col("parent")) / (s + F.col("customers"))
         rows = rows.select("key", "c", "t", (F.col("tables") - F.col("t")).alias("others"), "parent", p.alias("p"))
-        out.append(landed(rows))
+        out.append(tables.land(rows, "characters"))
     return out
 
 
@@ -242,25 +369,25 @@ def _passed_down(level: DataFrame, length: int, rows: DataFrame) -> DataFrame:
     return level.join(sent, level.key == F.col("__key")).drop("__key", "c").withColumnRenamed("sent", "c")
 
 
-def _first_levels(counts: DataFrame) -> list[DataFrame]:
+def _first_levels(counts: DataFrame, tables: Scratch) -> list[DataFrame]:
     """The levels of characters for n-grams of ``counts`` (key, c; c may be 0), to begin with a table for each dish."""
-    levels = [landed(counts.select("key", "c", F.least("c", F.lit(1)).alias("t")))]
+    levels = [tables.land(counts.select("key", "c", F.least("c", F.lit(1)).alias("t")), "level")]
     for length in range(ORDER - 1, 0, -1):
         key = F.col("key").bitwiseAND(_mask(length))
         lower = levels[0].groupBy(key.alias("key")).agg(F.sum("t").alias("c"))
-        levels.insert(0, landed(lower.withColumn("t", F.least("c", F.lit(1)))))
-    return _predictive(levels)
+        levels.insert(0, tables.land(lower.withColumn("t", F.least("c", F.lit(1))), "level"))
+    return _predictive(levels, tables)
 
 
-def _sweep_characters(state: list[DataFrame], counts: DataFrame, sweep: int) -> list[DataFrame]:
+def _sweep_characters(state: list[DataFrame], counts: DataFrame, sweep: int, tables: Scratch) -> list[DataFrame]:
     """The levels of characters with their tables drawn anew for ``counts``."""
     above: DataFrame | None = None
     new: list[DataFrame] = []
     for length in range(ORDER - 1, -1, -1):
         level = state[length].drop("c").join(counts, "key") if above is None else _passed_down(state[length], length + 1, above)
-        above = landed(_reseat(level, length, sweep))
+        above = tables.land(_reseat(level, length, sweep), "level")
         new.insert(0, above)
-    return _predictive(new)
+    return _predictive(new, tables)
 
 
 def _written(words: DataFrame) -> DataFrame:
@@ -289,18 +416,15 @@ def _spelt(words: DataFrame, grams: DataFrame, p: DataFrame) -> DataFrame:
         spell, "h0 long, spelt double")
 
 
-def _reseat_words(level: DataFrame, length: int, sweep: int) -> DataFrame:
-    """The level's dishes, n, fixed and c, with their tables t drawn anew."""
-    kept = [*_names(length), "n", "fixed", "c"]
-
+def _reseat_unigrams(level: DataFrame, sweep: int) -> DataFrame:
+    """h0, c, t: the empty context's dishes with their tables drawn anew."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = [batch.column(k).to_numpy() for k in range(length + 1)]
-            c, others, parent = (batch.column(k).to_numpy() for k in range(length + 3, length + 6))
-            t = sample_tables(c, np.maximum(others, 0), parent, word_seed(h, sweep), WORD_DISCOUNT[length], WORD_STRENGTH[length])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:length + 4], pa.array(t)], names=[*kept, "t"])
+        for columns in _together(batches):
+            h0, c, others, parent = (x.to_numpy() for x in columns)
+            t = sample_tables(c, np.maximum(others, 0), parent, word_seed([h0], sweep), WORD_DISCOUNT[0], WORD_STRENGTH[0])
+            yield pa.RecordBatch.from_arrays([*columns[:2], pa.array(t)], names=["h0", "c", "t"])
 
-    return level.select(*kept, "others", "parent").mapInArrow(run, ", ".join(f"{k} long" for k in [*kept, "t"]))
+    return level.select("h0", "c", "others", "parent").mapInArrow(run, "h0 long, c long, t long")
 
 
 def word_seed(h: list[np.ndarray], sweep: int) -> np.ndarray:
@@ -308,119 +432,175 @@ def word_seed(h: list[np.ndarray], sweep: int) -> np.ndarray:
     return reduce(lambda s, k: mix(s ^ k.view(np.uint64)), h, start).view(np.int64)
 
 
-def _word_probability(length: int, c: Column, t: Column, customers: Column, tables: Column, parent: Column) -> Column:
+def _word_probability(length: int, c, t, customers, tables, parent):
+    """Of a dish, from columns or from arrays."""
     d, s = WORD_DISCOUNT[length], WORD_STRENGTH[length]
-    return (F.greatest(c - d * t, F.lit(0.0)) + (s + d * tables) * parent) / (s + customers)
-
-
-def _predictive_words(live: list[DataFrame], once: list[DataFrame | int], spelt: DataFrame) -> list[DataFrame]:
-    """The swept dishes with the tables of their restaurant's other dishes and the parent's probability."""
-    out: list[DataFrame] = []
-    below = spelt.select("h0", F.col("spelt").alias("parent"))
-    for length, rows in enumerate(live):
-        dish = _names(length)
-        if length:
-            sums = rows.groupBy(*dish[1:]).agg(F.sum("c").alias("__c"), F.sum("t").alias("__t"))
-            sums = sums.join(once[length], dish[1:], "left").na.fill({"once": 0})
-            rows = rows.join(sums, dish[1:])
-            customers, tables = F.col("__c") + F.col("once"), F.col("__t") + F.col("once")
-        else:
-            sums = rows.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c"), F.coalesce(F.sum("t"), F.lit(0)).alias("t")).first()
-            customers, tables = F.lit(sums["c"] + once[0]), F.lit(sums["t"] + once[0])
-        rows = rows.join(below, dish[:max(length, 1)])
-        p = _word_probability(length, F.col("c"), F.col("t"), customers, tables, F.col("parent"))
-        out.append(landed(rows.select(*dish, "n", "fixed", "c", "t", (tables - F.col("t")).alias("others"), "parent",
-                                      p.alias("p"))))
-        below = out[-1].select(*dish, F.col("p").alias("parent"))
-    return out
-
-
-def gram_probabilities(grams: DataFrame, words: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> DataFrame:
-    """h0, h1..., n_word, p: the averaged predictive probability of each
-    n-gram of words in ``grams`` (h0, h1..., n; n may be 0), and how often its
-    word was learnt.  ``words``: word, h0."""
-    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top = WORD_ORDER - 1
-    levels = [grams]
-    for length in range(top - 1, -1, -1):
-        levels.insert(0, landed_parquet(levels[0].groupBy(*_names(length)).agg(
-            F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("fixed")), f"lm-level{length}"))
-    words = landed_parquet(words.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts))).join(
-        levels[0].select("h0", "n"), "h0"), "lm-words")
-    # dishes seen once, by restaurant
-    once: list[DataFrame | int] = [levels[0].where("n = 1").count()]
-    live = []
-    for length, rows in enumerate(levels):
-        if length == top:
-            rows = rows.withColumn("fixed", F.lit(0).cast("long"))
-        swept = landed(rows.where("n > 1").select(*_names(length), "n", "fixed"))
-        if length:
-            some = swept.select(*_names(length)[1:]).distinct()
-            once.append(landed(rows.where("n = 1").join(some, _names(length)[1:], "left_semi").groupBy(
-                *_names(length)[1:]).agg(F.count(F.lit(1)).alias("once"))))
-        live.append(swept)
-
-    def customers(length: int, above: DataFrame | None) -> DataFrame:
-        """The level with its customers, given the swept dishes of the longer contexts."""
-        if above is None:
-            return live_now[length].withColumn("c", F.col("n"))
-        sent = above.groupBy(*_names(length)).agg(F.sum("t").alias("sent"))
-        return live_now[length].join(sent, _names(length), "left").na.fill({"sent": 0}).withColumn(
-            "c", F.col("fixed") + F.col("sent")).drop("sent")
-
-    live_now = live
-    above = None
-    for length in range(top, -1, -1):  # to begin with, a table for each dish
-        above = landed(customers(length, above).withColumn("t", F.lit(1).cast("long")))
-        live_now = [*live_now[:length], above, *live_now[length + 1:]]
-
-    def spelt_words(tables: DataFrame) -> DataFrame:
-        t = F.coalesce("t", F.least("n", F.lit(1)))
-        return words.join(tables.select("h0", "t"), "h0", "left").select("word", "part", t.alias("t"))
-
-    def char_counts(written: DataFrame) -> DataFrame:
-        return landed(written.groupBy(F.col("gram").alias("key")).agg(F.sum("n").alias("c")))
-
-    written = landed(_written(spelt_words(live_now[0])))
-    characters = _first_levels(char_counts(written))
-    spelt = landed(_spelt(words, written, characters[-1].select("key", "p")))
-    history = [[] for _ in levels]
-    spellings = []
-    for sweep in range(sweeps):
-        live_now = _predictive_words(live_now, once, spelt)
-        above = None
-        for length in range(top, -1, -1):
-            above = landed(_reseat_words(customers(length, above), length, sweep))
-            live_now = [*live_now[:length], above, *live_now[length + 1:]]
-        characters = _sweep_characters(characters, char_counts(_written(spelt_words(live_now[0]))), sweep)
-        spelt = landed(_spelt(words, written, characters[-1].select("key", "p")))
-        if sweep >= burn_in:
-            k = len(spellings)
-            spellings.append(spelt.select("h0", F.col("spelt").alias(f"parent{k}")))
-            for length, rows in enumerate(live_now):
-                history[length].append(rows.select(*_names(length), F.col("c").alias(f"c{k}"), F.col("t").alias(f"t{k}")))
-
-    # once over all dishes, with a column for each sweep that counts
-    kept = range(len(spellings))
-    below = reduce(lambda a, b: a.join(b, "h0"), spellings)
-    for length, rows in enumerate(levels):
-        dish = _names(length)
-        swept = reduce(lambda a, b: a.join(b, dish), history[length])
-        few = F.least("n", F.lit(1))
-        rows = rows.select(*dish, "n").join(swept, dish, "left").select(
-            *dish, "n", *[F.coalesce(f"{x}{k}", few).alias(f"{x}{k}") for x in "ct" for k in kept])
-        sums = rows.groupBy(*dish[1:]).agg(*[F.coalesce(F.sum(f"{x}{k}"), F.lit(0)).alias(f"all_{x}{k}") for x in "ct" for k in kept])
-        if length:
-            rows = rows.join(sums, dish[1:])
-        else:
-            rows = rows.withColumns({name: F.lit(value) for name, value in sums.first().asDict().items()})
-            rows = rows.withColumn("n_word", F.col("n"))
-        rows = rows.join(below, dish[:max(length, 1)])
-        rows = rows.select(*dish, "n_word", *[_word_probability(
-            length, *[F.col(f"{x}{k}") for x in ("c", "t", "all_c", "all_t", "parent")]).alias(f"parent{k}") for k in kept])
-        below = landed_parquet(rows, f"lm-p{length}") if length < top else rows
-    p = reduce(lambda a, b: a + b, [F.col(f"parent{k}") for k in kept]) / len(kept)
-    return below.select(*_names(top), "n_word", p.alias("p"))
+    own = F.greatest(c - d * t, F.lit(0.0)) if isinstance(c, Column) else np.maximum(c - d * t, 0.0)
+    return (own + (s + d * tables) * parent) / (s + customers)
+
+
+class _Tree:
+    """Distinct trigrams of a part, ordered by context, and their bigrams."""
+
+    def __init__(self, payloads: list[list[np.ndarray]]):
+        numbers = np.sort(np.concatenate([x[0] for x in payloads]).astype(np.int64))
+        self.numbers = numbers[_starts(numbers)]
+        code = [np.searchsorted(self.numbers, x[0]).astype(np.int32) for x in payloads]
+        columns = [np.concatenate([w[i] for w, i in zip(code, c)]) for c in (
+            [x[1] for x in payloads], [np.cumsum(x[2]) for x in payloads], [x[3] for x in payloads])]
+        order = _order(*columns, len(self.numbers))
+        columns = [c[order] for c in columns]
+        new = _starts(*columns)
+        self.first = np.flatnonzero(new)
+        self.order = order
+        self.trigram = np.cumsum(new) - 1  # of each row in order
+        self.c0, self.c1, self.c2 = (c[self.first] for c in columns)
+        self.context = np.cumsum(_starts(self.c1, self.c2)) - 1
+        by_pair = np.argsort(self.c1.astype(np.int64) * len(self.numbers) + self.c0)
+        new = _starts(self.c1[by_pair], self.c0[by_pair])
+        self.pair = np.empty(len(by_pair), dtype=np.int64)
+        self.pair[by_pair] = np.cumsum(new) - 1
+        pairs = by_pair[new]
+        self.b0, self.b1 = self.c0[pairs], self.c1[pairs]
+        self.word = np.cumsum(_starts(self.b1)) - 1
+
+    def learnt(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often trigrams and bigrams are learnt, from what each row was."""
+        n3 = np.add.reduceat(n[self.order].astype(np.int64), self.first)
+        return n3, _sum(self.pair, n3, len(self.b0))
+
+
+def _sum(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(at, weights=values, minlength=size).astype(np.int64)
+
+
+def _counted(part: pa.Table) -> pa.Table:
+    """A part's dishes learnt more than once (state), what is fixed around
+    them, a table for each to begin with (seats), and what goes to the empty
+    context: words met, bigrams learnt once by word, swept bigrams by word."""
+    payloads = [_unpack(x) for x in part.column("payload").to_pylist()]
+    tree = _Tree(payloads)
+    n3, n2 = tree.learnt(np.concatenate([x[4] for x in payloads]))
+    live3, live2 = n3 > 1, n2 > 1
+    contexts, at3 = np.unique(tree.context[live3], return_inverse=True)
+    firsts, at2 = np.unique(tree.word[live2], return_inverse=True)
+    once3 = np.bincount(tree.context[n3 == 1], minlength=int(tree.context[-1]) + 1)[contexts]
+    once2 = np.bincount(tree.word[n2 == 1], minlength=int(tree.word[-1]) + 1)[firsts]
+    pair = (np.cumsum(live2) - 1)[tree.pair[live3]]
+    fixed = _sum(tree.pair, n3 == 1, len(n2))[live2]
+    b0, b1 = tree.b0[live2], tree.b1[live2]
+    used, inverse = np.unique(np.concatenate([b0, b1, tree.c2[live3]]), return_inverse=True)
+    small = [x.astype(np.int32) for x in (inverse[:len(b0)], inverse[len(b0):2 * len(b0)], at2, inverse[2 * len(b0):], at3, pair)]
+    state = _pack(tree.numbers[used], *small, fixed, once2, n3[live3], once3)
+    size = len(tree.numbers)
+    met = np.flatnonzero(np.bincount(tree.b0, minlength=size))
+    own, words = _own_words(part, payloads)
+    n = _sum(tree.c1, n3, size)[np.searchsorted(tree.numbers, own)]
+    own[own == _BEFORE] = _END  # as many texts begin as end
+    lone, sent = _sum(tree.b0, n2 == 1, size)[met], np.bincount(b0, minlength=size)[met]
+    seats = _pack(np.ones(len(pair), np.int64), np.ones(len(b0), np.int64), fixed + _sum(pair, np.ones(len(pair)), len(b0)))
+    return pa.table({"part": part.column("part").slice(0, 1), "state": pa.array([state], pa.binary()), "seats": pa.array([seats], pa.binary()),
+                     "met": pa.array([tree.numbers[met]], pa.list_(pa.int64())), "fixed": pa.array([lone], pa.list_(pa.int64())),
+                     "live": pa.array([sent > 0], pa.list_(pa.bool_())), "sent": pa.array([sent], pa.list_(pa.int64())), "own": pa.array([own], pa.list_(pa.int64())),
+                     "word": pa.array([words], pa.list_(pa.binary())).cast(pa.list_(pa.string())), "n": pa.array([n], pa.list_(pa.int64()))})
+
+
+def _own_words(part: pa.Table, payloads: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the middle words dealt to a part, and the words."""
+    middle = [np.cumsum(x[2]) for x in payloads]
+    own = np.concatenate([x[0][m[_starts(m)]] for x, m in zip(payloads, middle)]).astype(np.int64)
+    words = np.array([w for x in part.column("spelt").to_pylist() for w in x.split(b" ")], dtype=object)
+    order = np.argsort(own, kind="stable")
+    own, words = own[order], words[order]
+    new = _starts(own)
+    if (words[1:] != words[:-1])[~new[1:]].any():
+        raise ValueError("two different words share one number")
+    return own[new], words[new]
+
+
+def _swept(sweep: int):
+    """Draws a part's tables anew, given the probabilities of its words in the empty context."""
+    def run(known: pa.Table, part: pa.Table) -> pa.Table:
+        state, seats = (_unpack(x) for x in part.sort_by("kind").column("payload").to_pylist())
+        numbers, b0, b1, at2, c2, at3, pair, fixed, once2, n3, once3 = state
+        numbers = numbers.astype(np.int64)
+        t3, t2, customers2 = seats
+        words, where = np.unique(b0, return_inverse=True)
+        order = np.argsort(known.column("h0").to_numpy())
+        h0 = known.column("h0").to_numpy()[order]
+        parent2 = known.column("p").to_numpy()[order][np.searchsorted(h0, numbers[words])][where]
+        all2 = (once2 + _sum(at2, t2, len(once2)))[at2]
+        p2 = _word_probability(1, customers2, t2, (once2 + _sum(at2, customers2, len(once2)))[at2], all2, parent2)
+        others3 = (once3 + _sum(at3, t3, len(once3)))[at3] - t3
+        h = [numbers[x] for x in (b0[pair], b1[pair], c2)]
+        t3 = sample_tables(n3, np.maximum(others3, 0), p2[pair], word_seed(h, sweep), WORD_DISCOUNT[2], WORD_STRENGTH[2])
+        customers2 = fixed + _sum(pair, t3, len(b0))
+        t2 = sample_tables(customers2, np.maximum(all2 - t2, 0), parent2, word_seed([numbers[b0], numbers[b1]], sweep),
+                           WORD_DISCOUNT[1], WORD_STRENGTH[1])
+        return pa.table({"part": part.column("part").slice(0, 1), "seats": pa.array([_pack(t3, t2, customers2)], pa.binary()),
+                         "met": pa.array([numbers[words]], pa.list_(pa.int64())),
+                         "sent": pa.array([_sum(where, t2, len(words))], pa.list_(pa.int64()))})
+    return run
+
+
+def _scored(sweeps: int):
+    """What a part's tokens add to their texts: tokens, known ones, and log10 of base and model."""
+    def run(part: pa.Table) -> pa.Table:
+        part = part.sort_by("kind")
+        kinds, data = part.column("kind").to_numpy(), part.column("payload").to_pylist()
+        seats = [_unpack(x) for x, k in zip(data, kinds) if k < sweeps]
+        n_word, *parent = _unpack(data[sweeps])
+        payloads = [_unpack(x) for x, k in zip(data, kinds) if k > sweeps]
+        tree = _Tree(payloads)
+        n3, n2 = tree.learnt(np.concatenate([1 - x[6][x[4]] for x in payloads]))
+        live3, live2 = n3 > 1, n2 > 1
+        met = np.bincount(tree.b0, minlength=len(tree.numbers)) > 0  # in the order of their numbers, as listed
+        at = (np.cumsum(met) - 1)[tree.b0]
+        total = np.zeros(len(n3))
+        for k, (t3_live, t2_live, c2_live) in enumerate(seats):
+            t3, t2, c2 = np.minimum(n3, 1), np.minimum(n2, 1), np.minimum(n2, 1)
+            t3[live3], t2[live2], c2[live2] = t3_live, t2_live, c2_live
+            size = int(tree.word[-1]) + 1
+            p2 = _word_probability(1, c2, t2, _sum(tree.word, c2, size)[tree.word], _sum(tree.word, t2, size)[tree.word],
+                                   parent[k].view(np.float64)[at])
+            size = int(tree.context[-1]) + 1
+            total += _word_probability(2, n3, t3, _sum(tree.context, n3, size)[tree.context],
+                                       _sum(tree.context, t3, size)[tree.context], p2[tree.pair])
+        n_word = n_word[at][tree.pair]
+        # back to the rows as they came
+        row = np.empty(len(tree.order), dtype=np.int64)
+        row[tree.order] = tree.trigram
+        columns = [np.log10(total / sweeps), np.log10(n_word + 1.0), n_word > 0]
+        out, lo = [], 0
+        for _, i0, _, _, owner, first, held, ended, ids, without in payloads:
+            mine = row[lo:lo + len(i0)]
+            lo += len(i0)
+            n_tokens = np.bincount(owner, minlength=len(held))
+            texts = np.flatnonzero(n_tokens)
+            score, base, n_known = (np.bincount(owner, weights=c[mine], minlength=len(held))[texts] for c in columns)
+            doc_id, here = np.zeros(len(held), np.int64), np.zeros(len(held), bool)
+            doc_id[ended] = ids
+            here[ended] = without == 0
+            out.append(pa.table({
+                "row": first[0] + texts, "doc_id": pa.array(doc_id[texts], mask=~here[texts]), "held_out": held[texts] == 1,
+                "n_tokens": n_tokens[texts], "n_known": n_known.astype(np.int64), "base": base, "score": score}))
+        return pa.concat_tables(out)
+    return run
+
+
+def _listed(known: pa.Table) -> pa.Table:
+    """A part's words in the order of their numbers: how often learnt, and their probabilities in the empty context."""
+    order = np.argsort(known.column("h0").to_numpy())
+    columns = [known.column(k).to_numpy()[order].view(np.int64) for k in known.column_names[2:]]
+    return pa.table({"part": known.column("to").slice(0, 1), "payload": pa.array([_pack(*columns)], pa.binary())})
+
+
+def _given(parts: DataFrame, known: DataFrame) -> tuple:
+    return known.groupBy("to").cogroup(parts.groupBy("part"))
+
+
+def _payload(rows: DataFrame, column: str, kind: int) -> DataFrame:
+    return rows.select("part", F.lit(kind).alias("kind"), F.col(column).alias("payload"))
 
 
 def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> DataFrame:
@@ -432,20 +612,87 @@ def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_I
     from each time.  Without training texts every word is spelt from the
     uniform base.  An empty table gives no row.
     """
-    top = _names(WORD_ORDER - 1)
-    tokens = landed_parquet(token_rows(docs), "lm-tokens")
-    words = tokens.where("word IS NOT NULL").select("h0", "word").distinct()
-    grams = landed_parquet(tokens.groupBy(*top).agg(F.count_if(~F.col("held_out")).alias("n")), "lm-grams")
-    words = landed_parquet(words, "lm-spellings")
-    if words.count() != words.select("h0").distinct().count():
-        raise ValueError("two different words share one number")
-    p = gram_probabilities(grams, words, sweeps, burn_in)
-    learnt = grams.groupBy("h0").agg(F.sum("n").alias("n")).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
-    floor = math.log10(learnt["n"] + learnt["v"] + 1)
-    scores = tokens.select("row", *top).join(p, top).groupBy("row").agg(
-        F.count(F.lit(1)).alias("n_tokens"), F.count_if(F.col("n_word") > 0).alias("n_known"),
-        F.sum(F.log10(F.col("n_word") + 1.0) - floor).alias("base_score"), F.sum(F.log10("p")).alias("score"))
-    ends = tokens.where(F.col("h0") == _END).select("row", "doc_id", "held_out")
-    return ends.join(scores, "row").select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(learnt["n"]).cast("long").alias("train_tokens"), "base_score", "score")
+    with shuffles_freed(docs.sparkSession):
+        return _score(docs, sweeps, burn_in)
+
+
+def _score(docs: DataFrame, sweeps: int, burn_in: int) -> DataFrame:
+    spark = docs.sparkSession
+    spellers = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(whole("text"))), F.lit(0)).alias("n")).first()["n"]
+    parts = max(spellers, -(-size // PART))
+    start = Scratch(spark, "lm-start")
+    kept_tables, now = Scratch(spark, "lm-kept"), Scratch(spark, "lm-tables")
+    counted = start.land(_dealt(docs, parts, False).repartition(parts, "part").groupBy("part").applyInArrow(
+        _counted, "part long, state binary, seats binary, met array<long>, fixed array<long>, live array<boolean>, sent array<long>, "
+        "own array<long>, word array<string>, n array<long>"), "parts")
+    lone = counted.select(F.explode(F.arrays_zip("met", "fixed", "sent")).alias("x")).select("x.*")
+    lone = lone.groupBy(F.col("met").alias("h0")).agg(F.sum("fixed").alias("fixed"), F.sum("sent").alias("sent"))
+    words = counted.select(F.explode(F.arrays_zip("own", "word", "n")).alias("x")).select(F.col("x.own").alias("h0"), "x.word", "x.n")
+    words = start.land(words.join(lone, "h0").withColumn("part", F.pmod(F.xxhash64("word"), F.lit(spellers))), "words")
+    totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
+    once = words.where("n = 1").count()
+    swept = words.where("n > 1").select("h0", "fixed")
+    unigrams = now.land(words.where("n > 1").select("h0", (F.col("fixed") + F.col("sent")).alias("c"), F.lit(1).cast("long").alias("t")), "unigrams")
+    wanted = counted.select(F.col("part").alias("to"), F.explode(F.arrays_zip("met", "live")).alias("x")).select(
+        "to", F.col("x.met").alias("h0"), "x.live")
+
+    # words learnt once at most are written that often whatever is drawn
+    often, rare = words.where("n > 1"), words.where("n <= 1")
+    grams = [start.land(_written(often.select("word", "part", F.lit(1).cast("long").alias("t"))), "written"),
+             start.land(_written(rare.select("word", "part", F.col("n").alias("t"))), "written")]
+    constant = start.land(grams[1].groupBy("gram").agg(F.sum("n").alias("n")), "constant")
+
+    def char_counts(written: DataFrame) -> DataFrame:
+        both = written.select("gram", "n").union(constant)
+        return now.land(both.groupBy(F.col("gram").alias("key")).agg(F.sum("n").alias("c")), "grams")
+
+    def sums(tables: DataFrame) -> tuple[int, int]:
+        row = tables.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()
+        return row[0] + once, row[1] + once
+
+    characters = _first_levels(char_counts(grams[0]), now)
+    spelt = now.land(_spelt(often, grams[0], characters[-1].select("key", "p")), "spelt")
+    seats = counted
+    history: list[tuple[DataFrame, DataFrame]] = []
+    for sweep in range(sweeps):
+        last, now = now, Scratch(spark, "lm-tables")
+        customers, tables = sums(unigrams)
+        before = unigrams.join(spelt, "h0").withColumnRenamed("spelt", "parent")
+        p = _word_probability(0, F.col("c"), F.col("t"), F.lit(customers), F.lit(tables), F.col("parent"))
+        before = now.land(before.select("h0", "parent", (F.lit(tables) - F.col("t")).alias("others"), p.alias("p")), "before")
+        known = wanted.where("live").join(before, "h0").select("to", "h0", "p")
+        seats = kept_tables.land(_given(_payload(counted, "state", 0).union(_payload(seats, "seats", 1)), known).applyInArrow(
+            _swept(sweep), "part long, seats binary, met array<long>, sent array<long>"), "seats")
+        sent = seats.select(F.explode(F.arrays_zip("met", "sent")).alias("x")).groupBy(F.col("x.met").alias("h0")).agg(
+            F.sum("x.sent").alias("sent"))
+        level = swept.join(before, "h0").join(sent, "h0", "left").withColumn("c", F.col("fixed") + F.coalesce("sent", F.lit(0)))
+        unigrams = now.land(_reseat_unigrams(level, sweep), "unigrams")
+        characters = _sweep_characters(
+            characters, char_counts(_written(often.join(unigrams, "h0").select("word", "part", "t"))), sweep, now)
+        some = (words, grams[0].union(grams[1])) if sweep >= burn_in else (often, grams[0])
+        spelt = now.land(_spelt(*some, characters[-1].select("key", "p")), "spelt")
+        if sweep >= burn_in:
+            k = len(history)
+            customers, tables = sums(unigrams)
+            few = F.least("n", F.lit(1))
+            p = _word_probability(0, F.coalesce("c", few), F.coalesce("t", few), F.lit(customers), F.lit(tables), F.col("spelt"))
+            history.append((seats, start.land(words.join(unigrams, "h0", "left").join(spelt, "h0").select(
+                "h0", "n", p.alias(f"parent{k}")), "p")))
+        last.drop()
+
+    kept = range(len(history))
+    below = reduce(lambda a, b: a.join(b.drop("n"), "h0"), [x[1] for x in history])
+    known = wanted.join(below, "h0").select("to", "h0", "n", *[f"parent{k}" for k in kept])
+    listed = kept_tables.land(known.groupBy("to").applyInArrow(_listed, "part long, payload binary"), "listed")
+    now.drop()
+    start.drop()
+    rows = [*[_payload(x[0], "seats", k) for k, x in zip(kept, history)], _payload(listed, "payload", len(history)),
+            _payload(_dealt(docs, parts, True), "payload", len(history) + 1)]
+    floor = math.log10(totals["n"] + totals["v"] + 1)
+    scores = reduce(DataFrame.union, rows).groupBy("part").applyInArrow(
+        _scored(len(history)), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double")
+    return scores.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
+        F.sum("n_known").alias("n_known"), (F.sum("base") - floor * F.sum("n_tokens")).alias("base_score"), F.sum("score").alias("score"),
+    ).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(totals["n"]).cast("long").alias("train_tokens"), "base_score", "score")

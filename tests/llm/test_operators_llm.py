@@ -4,10 +4,12 @@ import gzip
 import hashlib
 import io
 import itertools
+import os
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from helixframe.llm import (exact_dedup, jaccard_join, mixing, pieces, pii, pitm
                             toxicity, warc)
 from helixframe.llm.idfilter import flagged
 from helixframe.llm.shingles import shingle_sets
+from helixframe.session import ensure_checkpoint_dir
 
 SMALL = "/root/testdata/sf0.001"
 WS = re.compile(r"[\x20\x09-\x0D]+")
@@ -590,6 +593,32 @@ def test_order_of_words_counts(make):
     assert score[0] > 0.5 * score[100] and len(set(round(x, 6) for x in score.values())) == 2
 
 
+def test_language_model_lands_no_tokens(spark, make):
+    """What stays in the shared folder is far less than a token's numbers."""
+    rng = random.Random(5)
+    docs = make([(i, " ".join(f"w{rng.randrange(60)}" for _ in range(499)), "s") for i in range(200)])
+    folder = ensure_checkpoint_dir(spark).removeprefix("file://").removeprefix("file:")
+    before = set(os.listdir(folder))
+    rows = pitman_yor.score_documents(docs, sweeps=2, burn_in=1).collect()
+    assert sum(r.n_tokens for r in rows) == 100_000
+    left = [os.path.join(d, f) for new in set(os.listdir(folder)) - before if new.startswith("lm-")
+            for d, _, files in os.walk(os.path.join(folder, new)) for f in files]
+    assert 0 < sum(map(os.path.getsize, left)) < 300_000
+
+
+def test_numbers_are_packed_whole():
+    arrays = [np.array(x, dtype=np.int64) for x in ([], [0, 0], [1, 255, 256], [1 << 24, 3], [-1, 1 << 62], [-(1 << 63)])]
+    got = pitman_yor._unpack(pitman_yor._pack(*arrays))
+    assert [a.tolist() for a in got] == [a.tolist() for a in arrays]
+
+
+def test_words_part_at_contract_blanks_alone():
+    text = "\x1cA\x1fb\u00a0C\x85d \t\n\x0b\x0c\rE  É\u2003f "
+    words, index, sizes = pitman_yor._coded(pa.chunked_array([[text, "", " e a ", "x"]]))
+    got = words.take(pa.array(index)).to_pylist()
+    assert got == [w.decode() for w in text.encode().lower().split()] + ["e", "a", "x"] and sizes.tolist() == [len(got) - 3, 0, 2, 1]
+
+
 # --- pipeline
 
 def test_pipeline_against_brute_force(spark):
