@@ -16,13 +16,18 @@ they stood before the sweep: all dishes are redrawn at once, which is a
 parallel approximation of the sampler that redraws one after another.  Up to
 EXACT customers the step draws from the exact conditional (generalised
 Stirling numbers); beyond, the further customers are seated in turn, with
-the waiting time to the next new table drawn in closed form.  Restaurants
-are rows (context and dish), so a sweep is a few joins and sums, from the
-longest contexts of words down to single characters.  A dish seen once has
-one customer and one table whatever is drawn, so only dishes seen more often
-are swept; the others enter as fixed numbers.  Draws are seeded by the row,
-so a lost task redraws the same seating.  Predictive probabilities are
-averaged over the sweeps after BURN_IN.
+the waiting time to the next new table drawn in closed form.  A dish seen
+once has one customer and one table whatever is drawn, so only dishes seen
+more often are swept; the others enter as fixed numbers.  Draws are seeded by
+the row, so a lost task redraws the same seating.  Predictive probabilities
+are averaged over the sweeps after BURN_IN.
+
+Trigrams are dealt by their middle word, so all restaurants of one or two
+words and their dishes meet in the part of that word, which sweeps them as
+arrays; only tables of the empty context, spelling and each part's words
+travel in a sweep.  Texts are read twice, to count and to score.  A part is
+held whole by its task, and a word is in one part: the memory of a task grows
+with the texts' most frequent word.
 
 Words travel as 64-bit numbers of their bytes; two words of one number stop
 the run.
