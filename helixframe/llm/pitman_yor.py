@@ -25,7 +25,7 @@ are averaged over the sweeps after BURN_IN.
 Trigrams are dealt by their middle word, so all restaurants of one or two
 words and their dishes meet in the part of that word, which sweeps them as
 arrays; only tables of the empty context, spelling and each part's words
-travel in a sweep.  Texts are read twice, to count and to score.  A part is
+travel in a sweep.  Texts are split twice, to count and to score.  A part is
 held whole by its task, and a word is in one part: the memory of a task grows
 with the texts' most frequent word.
 
