@@ -25,9 +25,13 @@ are averaged over the sweeps after BURN_IN.
 Trigrams are dealt by their middle word, so all restaurants of one or two
 words and their dishes meet in the part of that word, which sweeps them as
 arrays; only tables of the empty context, spelling and each part's words
-travel in a sweep.  Texts are split twice, to count and to score.  A part is
-held whole by its task, and a word is in one part: the memory of a task grows
-with the texts' most frequent word.
+travel in a sweep.  A middle word of more than SLICE tokens is cut into
+slices by the token: a pair of words is in one part still, and what parts
+share, the sums of that word's restaurants, is added up over them in every
+sweep.  Texts are split three times: to find such words, to count and to
+score.  A part's rows are held in a few bytes each and sorted up to ROWS at a
+time, cut between contexts.  So the memory of a task grows with the texts'
+most frequent pair of words, not with the most frequent word.
 
 Words travel as 64-bit numbers of their bytes; two words of one number stop
 the run.
@@ -35,6 +39,7 @@ the run.
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Iterator
 from functools import cache, reduce
@@ -64,9 +69,15 @@ EXACT = 48
 START, END = 2, 3
 _BASE = 1.0 / 0x110000
 #: Bytes of text whose trigrams are dealt together, and bytes of text that a part of the contexts stands for.
-BLOCK = 24 << 20
+BLOCK = 12 << 20
 _TOGETHER = 1 << 19
 PART = 24 << 20
+#: Tokens of one middle word in a part, and a part's rows that are sorted at a time.
+SLICE = 1 << 21
+ROWS = 1 << 19
+#: Frequent words that payloads have by their place in a list, and how often a block has those it tells of.
+COMMON = 1 << 16
+FEW = 8
 
 
 def _codes(words: list[str]) -> np.ndarray:
@@ -117,13 +128,14 @@ def _pack(*arrays: np.ndarray) -> bytes:
     return head.tobytes() + pa.Codec("zstd", compression_level=1).compress(data, asbytes=True)
 
 
-def _unpack(data: bytes) -> list[np.ndarray]:
+def _unpack(data: bytes | pa.Buffer, narrow: bool = False) -> list[np.ndarray]:
+    """The arrays packed; if narrow, those of one or two bytes in types of that size."""
     count, size = np.frombuffer(data, dtype=np.int64, count=2).tolist()
     head = np.frombuffer(data, dtype=np.int64, count=2 * count, offset=16).reshape(-1, 2)
     planes = np.frombuffer(pa.Codec("zstd").decompress(data[16 + 16 * count:], decompressed_size=size), dtype=np.uint8)
     out, lo = [], 0
     for width, n in head.tolist():
-        a = np.zeros(n, dtype=np.int32 if width < 4 else np.int64)
+        a = np.zeros(n, dtype=(np.uint8, np.uint8, np.uint16)[width] if narrow and width < 3 else np.int32 if width < 4 else np.int64)
         for k in range(width):
             a |= planes[lo:lo + n].astype(a.dtype) << (8 * k)
             lo += n
@@ -131,6 +143,17 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+@cache
+def _trim():
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def _release() -> None:
+    """Gives memory back that arrays no longer need; else a worker keeps its largest block or part until it ends."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The rows in tables of up to BLOCK bytes of text; a longer text is a table of its own."""
     held: list[pa.RecordBatch] = []
@@ -157,15 +180,47 @@ def _coded(text: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     Arrow's ASCII white space is blank and \\t to \\r."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(text.combine_chunks()))
     lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    flat, offsets = lists.values, lists.offsets.to_numpy()
-    filled = pc.greater(pc.binary_length(flat), 0)
-    upto = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
-    met = flat.filter(filled).dictionary_encode()
-    return met.dictionary, met.indices.to_numpy(), np.diff(upto[offsets])
-
-
-def _part(numbers: np.ndarray, parts: int) -> np.ndarray:
-    return (mix(numbers.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    offsets, met = lists.offsets.to_numpy(), lists.values.dictionary_encode()
+    del lists
+    words, index = met.dictionary, met.indices.to_numpy()
+    empty = pc.index(words, "").as_py()
+    if empty < 0:
+        return words, index, np.diff(offsets)
+    filled = index != empty
+    upto = np.concatenate([[0], np.cumsum(filled)])
+    index = index[filled]
+    words = pa.concat_arrays([words.slice(0, empty), words.slice(empty + 1)])
+    return words, index - (index > empty), np.diff(upto[offsets])
+
+
+def _part(numbers: np.ndarray, slices: np.ndarray, parts: int) -> np.ndarray:
+    """Of middle words and of their slices, which are in different parts."""
+    return ((mix(numbers.view(np.uint64)) % np.uint64(parts)).astype(np.int64) + slices) % parts
+
+
+def _frequent(docs: DataFrame, size: int, texts: int, tasks: int, parts: int) -> tuple[dict[int, int], np.ndarray]:
+    """Into how many slices the middle words of more than SLICE tokens are cut, by their numbers; ordered numbers of
+    COMMON frequent words.  Blocks keep to themselves what they have too rarely to make half a SLICE in all of them."""
+    most = SLICE
+    cut, common = {_BEFORE: texts // most + 1}, np.empty(0, dtype=np.int64)
+    if (size + texts) // 2 > most:
+        few = max(1, min(FEW, most // (2 * (2 * size // BLOCK + tasks))))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for block in _blocks(batches):
+                words, index, _ = _coded(block.column("text"))
+                n = np.bincount(index, minlength=len(words))
+                at = np.flatnonzero(n >= few)
+                found = _numbers(words.take(pa.array(at)).cast(pa.binary()).to_numpy(zero_copy_only=False).astype(object))
+                del words, index, block
+                _release()
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(n[at], pa.int64())], names=["h0", "n"])
+
+        often = docs.select(whole("text").alias("text")).mapInArrow(run, "h0 long, n long").groupBy("h0").agg(F.sum("n").alias("n"))
+        often = often.orderBy(F.desc("n"), "h0").limit(max(COMMON, 2 * (size + texts) // most)).collect()
+        cut |= {x["h0"]: (x["n"] + most // 2) // most + 1 for x in often if x["n"] >= most // 2}
+        common = np.sort(np.array([x["h0"] for x in often[:COMMON]], dtype=np.int64))
+    return {h: min(k, parts) for h, k in cut.items() if min(k, parts) > 1}, common
 
 
 def _order(c0: np.ndarray, c1: np.ndarray, c2: np.ndarray, size: int) -> np.ndarray:
@@ -184,13 +239,15 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
-def _dealt(docs: DataFrame, parts: int, scored: bool) -> DataFrame:
+def _dealt(docs: DataFrame, parts: int, cut: dict[int, int], common: np.ndarray, scored: bool) -> DataFrame:
     """part, payload, spelt: the trigrams of blocks of texts, dealt by their
-    middle word (the one before the token), so that all restaurants of a
-    part's contexts and all their dishes meet in it.  A payload has the
-    numbers of its words and indices into them: of distinct trigrams with how
-    often they are learnt or, if scored, of all tokens with their text's
-    place in the block.  ``spelt`` (not if scored): the middle words."""
+    middle word (the one before the token) and, if that is cut, by the token.
+    All restaurants of a part's contexts and all their dishes meet in it, but
+    for those of words that are cut.  A payload has the places of its words
+    in ``common`` or else their numbers, and indices into the words: of
+    distinct trigrams with how often they are learnt or, if scored, of all
+    tokens with their text's place in the block.
+    ``spelt`` (not if scored): the middle words."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        (remainder("doc_id", 7) == 2).alias("held_out"), whole("text").alias("text"))
 
@@ -199,26 +256,52 @@ def _dealt(docs: DataFrame, parts: int, scored: bool) -> DataFrame:
             words, index, sizes = _coded(block.column("text"))
             raw = np.concatenate([np.array([b"", b""], dtype=object), words.cast(pa.binary()).to_numpy(zero_copy_only=False)])
             numbers = np.concatenate([[_BEFORE, _END], _numbers(raw[2:])]).astype(np.int64)
-            by_part = np.lexsort((numbers, _part(numbers, parts)))
-            numbers, raw = numbers[by_part], raw[by_part]
+            by_number = np.argsort(numbers)
+            numbers, raw = numbers[by_number], raw[by_number]
             code = np.empty(len(numbers), dtype=np.int32)
-            code[by_part] = np.arange(len(numbers), dtype=np.int32)
+            code[by_number] = np.arange(len(numbers), dtype=np.int32)
+            before, end = code[:2].tolist()
             owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
             place = np.arange(len(owner)) + 2 * (owner.astype(np.int64) + 1)
             own = np.ones(len(owner), dtype=bool)
             own[np.cumsum(sizes + 1) - 1] = False
-            line = np.full(len(owner) + 2 * len(sizes), code[0], dtype=np.int32)
-            tokens = np.full(len(owner), code[1], dtype=np.int32)
-            tokens[own] = code[2:][index]
+            line = np.full(len(owner) + 2 * len(sizes), before, dtype=np.int32)
+            tokens = np.full(len(owner), end, dtype=np.int32)
+            tokens[own] = code[2 + index]
             line[place] = tokens
             columns = [tokens, line[place - 1], line[place - 2]]
-            held = block.column("held_out").to_numpy()
+            del words, index, own, place, line, code
+            # middle words, and once more for each further slice of those that are cut, ordered by part
+            slices = np.ones(len(numbers), dtype=np.int64)
+            often = np.flatnonzero(np.isin(numbers, list(cut)))
+            slices[often] = [cut[x] for x in numbers[often].tolist()]
+            word = np.concatenate([np.arange(len(numbers)), np.repeat(np.arange(len(numbers)), slices - 1)])
+            further = len(numbers) + np.cumsum(slices - 1) - (slices - 1)
+            within = np.concatenate([np.zeros(len(numbers), np.int64), np.arange(len(numbers), len(word)) - further[word[len(numbers):]] + 1])
+            part_of = _part(numbers[word], within, parts)
+            by_part = np.lexsort((word, part_of))
+            entry = np.empty(len(word), dtype=np.int32)
+            entry[by_part] = np.arange(len(word), dtype=np.int32)
+            word, part_of = word[by_part].astype(np.int32), part_of[by_part]
+            middle = columns[1]
+            columns[1] = entry[middle]
+            if len(often):
+                at = np.flatnonzero(slices[middle] > 1)
+                slice_of = (mix(numbers.view(np.uint64))[tokens[at]] % slices[middle[at]].astype(np.uint64)).astype(np.int64)
+                at, slice_of = at[slice_of > 0], slice_of[slice_of > 0]
+                columns[1][at] = entry[further[middle[at]] + slice_of - 1]
+            del middle, tokens
             if scored:
-                order = _order(*columns, len(numbers))
+                order = _order(*columns, len(word))
                 columns, more = [c[order] for c in columns], owner[order]
+                del order
             else:
-                columns, more = _distinct(*columns, (~held)[owner], len(numbers))
-            ends = np.searchsorted(_part(numbers, parts)[columns[1]], np.arange(parts + 1))
+                columns, more = _distinct(*columns, (~block.column("held_out").to_numpy())[owner], len(word))
+            ends = np.searchsorted(part_of[columns[1]], np.arange(parts + 1))
+            columns[1] = word[columns[1]]
+            listed = np.searchsorted(common, numbers)
+            is_common = np.append(common, 0)[listed] == numbers
+            is_common &= listed < len(common)
             used, local = np.zeros(len(numbers), dtype=bool), np.empty(len(numbers), dtype=np.int32)
             dealt, payloads, spelt = [], [], []
             for part in np.flatnonzero(np.diff(ends)).tolist():
@@ -228,13 +311,15 @@ def _dealt(docs: DataFrame, parts: int, scored: bool) -> DataFrame:
                 here = np.flatnonzero(used)
                 used[here] = False
                 local[here] = np.arange(len(here), dtype=np.int32)
-                arrays = [numbers[here], local[some[0]], np.diff(local[some[1]], prepend=np.int32(0)), local[some[2]],
+                arrays = [np.diff(listed[here][is_common[here]], prepend=0), numbers[here][~is_common[here]], local[some[0]], np.diff(local[some[1]], prepend=np.int32(0)), local[some[2]],
                           more[ends[part]:ends[part + 1]]]
                 if scored:
-                    arrays += _texts_that_end(block, some[0] == code[1], arrays[4])
+                    arrays += _texts_that_end(block, some[0] == end, arrays[5])
                 dealt.append(part)
                 payloads.append(_pack(*arrays))
                 spelt.append(None if scored else b" ".join(raw[some[1][_starts(some[1])]]))
+            del block, raw, owner, columns, more, some, arrays
+            _release()
             yield pa.RecordBatch.from_arrays([pa.array(dealt, pa.int64()), pa.array(payloads, pa.binary()), pa.array(spelt, pa.binary())],
                                              names=["part", "payload", "spelt"])
 
@@ -444,155 +529,296 @@ def _word_probability(length: int, c, t, customers, tables, parent):
     return (own + (s + d * tables) * parent) / (s + customers)
 
 
-class _Tree:
-    """Distinct trigrams of a part, ordered by context, and their bigrams."""
+class _Rows:
+    """The rows of a part's payloads, of which each has them ordered by context and token: a run of whole contexts at a
+    time, up to about ``limit`` rows but for a longer context."""
 
-    def __init__(self, payloads: list[list[np.ndarray]]):
-        numbers = np.sort(np.concatenate([x[0] for x in payloads]).astype(np.int64))
+    def __init__(self, payloads: list[pa.Buffer], common: np.ndarray, limit: int):
+        self.payloads, words, self.ends = [], [], []
+        for x in payloads:
+            listed, others, c0, step, c2, *more = _unpack(x, narrow=True)
+            numbers = np.sort(np.concatenate([common[np.cumsum(listed, dtype=np.int64)], others.astype(np.int64)]))
+            words.append(numbers)
+            self.payloads.append([c0, np.cumsum(step, dtype=np.uint16 if len(numbers) <= 1 << 16 else np.int32), c2, *more])
+        numbers = np.sort(np.concatenate(words))
         self.numbers = numbers[_starts(numbers)]
-        code = [np.searchsorted(self.numbers, x[0]).astype(np.int32) for x in payloads]
-        columns = [np.concatenate([w[i] for w, i in zip(code, c)]) for c in (
-            [x[1] for x in payloads], [np.cumsum(x[2]) for x in payloads], [x[3] for x in payloads])]
-        order = _order(*columns, len(self.numbers))
-        columns = [c[order] for c in columns]
-        new = _starts(*columns)
-        self.first = np.flatnonzero(new)
-        self.order = order
-        self.trigram = np.cumsum(new) - 1  # of each row in order
-        self.c0, self.c1, self.c2 = (c[self.first] for c in columns)
-        self.context = np.cumsum(_starts(self.c1, self.c2)) - 1
-        by_pair = np.argsort(self.c1.astype(np.int64) * len(self.numbers) + self.c0)
-        new = _starts(self.c1[by_pair], self.c0[by_pair])
-        self.pair = np.empty(len(by_pair), dtype=np.int64)
-        self.pair[by_pair] = np.cumsum(new) - 1
-        pairs = by_pair[new]
-        self.b0, self.b1 = self.c0[pairs], self.c1[pairs]
-        self.word = np.cumsum(_starts(self.b1)) - 1
-
-    def learnt(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """How often trigrams and bigrams are learnt, from what each row was."""
-        n3 = np.add.reduceat(n[self.order].astype(np.int64), self.first)
-        return n3, _sum(self.pair, n3, len(self.b0))
+        self.code = [np.searchsorted(self.numbers, x).astype(np.int32) for x in words]
+        sizes = [len(x[0]) for x in self.payloads]
+        step = 1 + limit // 256
+        cuts = np.sort(np.concatenate([self._contexts(k, -at % step, step) for k, at in enumerate(np.cumsum(sizes) - sizes)]))
+        cuts = cuts[limit // step::limit // step] if sum(sizes) > limit else cuts[:0]
+        cuts = cuts[_starts(cuts)]
+        for k, size in enumerate(sizes):
+            inner = np.searchsorted(self._contexts(k, 0, 1), cuts) if len(cuts) else cuts
+            self.ends.append(np.concatenate([[0], inner, [size]]))
+
+    def _contexts(self, k: int, first: int, step: int) -> np.ndarray:
+        _, c1, c2, *_ = self.payloads[k]
+        return (self.code[k][c1[first::step]].astype(np.int64) << 32) | self.code[k][c2[first::step]]
+
+    def runs(self) -> Iterator[tuple[list[np.ndarray], list[np.ndarray]]]:
+        """The three words of a run's rows, and what else each payload has of them."""
+        for lo, hi in zip(np.array(self.ends).T[:-1], np.array(self.ends).T[1:]):
+            if (hi > lo).any():
+                some = [(code, [c[i:j] for c in x[:4]]) for code, x, i, j in zip(self.code, self.payloads, lo, hi)]
+                yield [np.concatenate([code[x[k]] for code, x in some]) for k in range(3)], [x[3] for _, x in some]
 
 
 def _sum(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(at, weights=values, minlength=size).astype(np.int64)
 
 
-def _counted(part: pa.Table) -> pa.Table:
+def _pairs(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Ordered keys, each once, and the sums of their numbers, from those of the runs."""
+    if len(found) == 1:
+        return found[0]
+    key = np.concatenate([x[0] for x in found])
+    order = np.argsort(key)
+    first = np.flatnonzero(_starts(key[order]))
+    sums = [np.add.reduceat(np.concatenate(x)[order], first) for x in list(zip(*found))[1:]]
+    return key[order[first]], *sums
+
+
+def _lists(**columns: np.ndarray) -> dict[str, pa.Array]:
+    return {k: pa.array([v]) for k, v in columns.items()}
+
+
+def _passed_on(state: list[np.ndarray], seats: list[np.ndarray]) -> dict[str, pa.Array]:
+    """What swept dishes add to the customers and tables of the restaurants of words that are cut, by the restaurant's place."""
+    at2, at3, once2, once3, in3, place3, in2, place2 = (state[k] for k in (3, 5, 8, 10, 11, 12, 13, 14))
+    t3, t2, customers2 = seats
+    c = np.concatenate([np.zeros(len(in3), np.int64), _sum(at2, customers2, len(once2))[in2]])
+    t = np.concatenate([_sum(at3, t3, len(once3))[in3], _sum(at2, t2, len(once2))[in2]])
+    return _lists(place=np.concatenate([place3, place2]).astype(np.int64), c=c, t=t)
+
+
+def _counted(limit: int, cut: dict[int, int], common: np.ndarray):
     """A part's dishes learnt more than once (state), what is fixed around
-    them, a table for each to begin with (seats), and what goes to the empty
-    context: words met, bigrams learnt once by word, swept bigrams by word."""
-    payloads = [_unpack(x) for x in part.column("payload").to_pylist()]
-    tree = _Tree(payloads)
-    n3, n2 = tree.learnt(np.concatenate([x[4] for x in payloads]))
-    live3, live2 = n3 > 1, n2 > 1
-    contexts, at3 = np.unique(tree.context[live3], return_inverse=True)
-    firsts, at2 = np.unique(tree.word[live2], return_inverse=True)
-    once3 = np.bincount(tree.context[n3 == 1], minlength=int(tree.context[-1]) + 1)[contexts]
-    once2 = np.bincount(tree.word[n2 == 1], minlength=int(tree.word[-1]) + 1)[firsts]
-    pair = (np.cumsum(live2) - 1)[tree.pair[live3]]
-    fixed = _sum(tree.pair, n3 == 1, len(n2))[live2]
-    b0, b1 = tree.b0[live2], tree.b1[live2]
-    used, inverse = np.unique(np.concatenate([b0, b1, tree.c2[live3]]), return_inverse=True)
-    small = [x.astype(np.int32) for x in (inverse[:len(b0)], inverse[len(b0):2 * len(b0)], at2, inverse[2 * len(b0):], at3, pair)]
-    state = _pack(tree.numbers[used], *small, fixed, once2, n3[live3], once3)
-    size = len(tree.numbers)
-    met = np.flatnonzero(np.bincount(tree.b0, minlength=size))
-    own, words = _own_words(part, payloads)
-    n = _sum(tree.c1, n3, size)[np.searchsorted(tree.numbers, own)]
-    own[own == _BEFORE] = _END  # as many texts begin as end
-    lone, sent = _sum(tree.b0, n2 == 1, size)[met], np.bincount(b0, minlength=size)[met]
-    seats = _pack(np.ones(len(pair), np.int64), np.ones(len(b0), np.int64), fixed + _sum(pair, np.ones(len(pair)), len(b0)))
-    return pa.table({"part": part.column("part").slice(0, 1), "state": pa.array([state], pa.binary()), "seats": pa.array([seats], pa.binary()),
-                     "met": pa.array([tree.numbers[met]], pa.list_(pa.int64())), "fixed": pa.array([lone], pa.list_(pa.int64())),
-                     "live": pa.array([sent > 0], pa.list_(pa.bool_())), "sent": pa.array([sent], pa.list_(pa.int64())), "own": pa.array([own], pa.list_(pa.int64())),
-                     "word": pa.array([words], pa.list_(pa.binary())).cast(pa.list_(pa.string())), "n": pa.array([n], pa.list_(pa.int64()))})
-
-
-def _own_words(part: pa.Table, payloads: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the middle words dealt to a part, and the words."""
-    middle = [np.cumsum(x[2]) for x in payloads]
-    own = np.concatenate([x[0][m[_starts(m)]] for x, m in zip(payloads, middle)]).astype(np.int64)
+    them, a table for each to begin with (seats), what goes to the empty
+    context (words met, how often they are learnt, bigrams learnt once by
+    word, swept bigrams by word), and the restaurants of words that are cut:
+    their words, fixed customers and fixed tables, in the order of places."""
+    def run(part: pa.Table) -> pa.Table:
+        rows = _Rows([x.as_buffer() for x in part.column("payload")], common, limit)
+        size = len(rows.numbers)
+        is_cut = np.isin(rows.numbers, list(cut))
+        live, shared, in3, place3, pairs, n_live, places = [], [], [], [], [], 0, 0
+        for columns, n in rows.runs():
+            order = _order(*columns, size)
+            columns = [c[order] for c in columns]
+            first = np.flatnonzero(_starts(*columns))
+            n3 = np.add.reduceat(np.concatenate(n)[order].astype(np.int64), first)
+            c0, c1, c2 = (c[first] for c in columns)
+            begins = np.flatnonzero(_starts(c1, c2))
+            context = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(c0)))
+            once = np.bincount(context[n3 == 1], minlength=len(begins))
+            several = n3 > 1
+            met, at3 = np.unique(context[several], return_inverse=True)
+            live.append([c0[several], c1[several], c2[several], n3[several].astype(np.int32), (at3 + n_live).astype(np.int32), once[met]])
+            ours = is_cut[c1[begins]]
+            if ours.any():
+                shared.append([rows.numbers[c1[begins]][ours], rows.numbers[c2[begins]][ours], np.add.reduceat(n3, begins)[ours], once[ours]])
+                mine = np.flatnonzero(ours[met])
+                in3.append(mine + n_live)
+                place3.append((np.cumsum(ours) - 1)[met[mine]] + places)
+                places += int(ours.sum())
+            n_live += len(met)
+            key = (c1.astype(np.int64) << 32) | c0
+            order = np.argsort(key)
+            first = np.flatnonzero(_starts(key[order]))
+            pairs.append((key[order[first]], np.add.reduceat(n3[order], first), np.add.reduceat((n3 == 1).astype(np.int64)[order], first)))
+        c0, c1, c2, n3, at3, once3 = (np.concatenate(x) for x in zip(*live))
+        key, n2, fixed = _pairs(pairs)
+        del live, pairs
+        b1, b0 = key >> 32, key & ((1 << 32) - 1)
+        begins = np.flatnonzero(_starts(b1))
+        word = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(b1)))
+        live2 = n2 > 1
+        firsts, at2 = np.unique(word[live2], return_inverse=True)
+        once = np.bincount(word[n2 == 1], minlength=len(begins))
+        met = np.flatnonzero(np.bincount(b0, minlength=size))
+        own, words = _own_words(part, rows)
+        # the restaurants of words that are cut: their contexts of two words, then themselves, with _END for the word before
+        ours = np.flatnonzero(is_cut[b1[begins]])
+        shared.append([rows.numbers[b1[begins[ours]]], np.full(len(ours), _END), once[ours], once[ours]])
+        shared = [np.concatenate(x).astype(np.int64) for x in zip(*shared)]
+        in2 = np.flatnonzero(is_cut[b1[begins[firsts]]])
+        place2 = np.searchsorted(ours, firsts[in2]) + places
+        nothing = np.empty(0, dtype=np.int64)
+        in3, place3 = np.concatenate([nothing, *in3]), np.concatenate([nothing, *place3])
+        n = _sum(b0, n2, size)[met]
+        lone = _sum(b0, n2 == 1, size)[met]
+        pair = np.searchsorted(key[live2], (c1.astype(np.int64) << 32) | c0)
+        b0, b1, fixed = b0[live2], b1[live2], fixed[live2]
+        sent = np.bincount(b0, minlength=size)[met]
+        used, inverse = np.unique(np.concatenate([b0, b1, c2]), return_inverse=True)
+        state = [rows.numbers[used], inverse[:len(b0)], inverse[len(b0):2 * len(b0)], at2, inverse[2 * len(b0):], at3, pair, fixed,
+                 once[firsts], n3, once3, in3, place3, in2, place2]
+        seats = [np.ones(len(pair), np.int64), np.ones(len(b0), np.int64), fixed + np.bincount(pair, minlength=len(b0))]
+        _release()
+        return pa.table({
+            "part": part.column("part").slice(0, 1), "state": pa.array([_pack(*state)], pa.binary()), "seats": pa.array([_pack(*seats)], pa.binary()),
+            **_lists(met=rows.numbers[met], fixed=lone, live=sent > 0, sent=sent, learnt=n, own=own, several=np.isin(own, [_END if h == _BEFORE else h for h in cut])),
+            "word": pa.array([words], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
+            **_lists(**dict(zip(("r1", "r2", "rc", "rt"), shared))), **_passed_on(state, seats)})
+    return run
+
+
+def _own_words(part: pa.Table, rows: _Rows) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the middle words dealt to a part, of texts' ends for their beginnings, and the words."""
+    own = np.concatenate([rows.numbers[code[x[1][_starts(x[1])]]] for code, x in zip(rows.code, rows.payloads)])
     words = np.array([w for x in part.column("spelt").to_pylist() for w in x.split(b" ")], dtype=object)
     order = np.argsort(own, kind="stable")
     own, words = own[order], words[order]
     new = _starts(own)
     if (words[1:] != words[:-1])[~new[1:]].any():
         raise ValueError("two different words share one number")
-    return own[new], words[new]
+    own, words = own[new], words[new]
+    own[own == _BEFORE] = _END  # as many texts begin as end
+    return own, words
+
+
+def _added(own: np.ndarray, at: np.ndarray, places: np.ndarray, given: list[np.ndarray], k: int) -> None:
+    """Puts the sums over all parts (k 1: customers, 2: tables) where restaurants have their own; what one part has is not given."""
+    if given and len(places):
+        there = np.minimum(np.searchsorted(given[0], places), len(given[0]) - 1)
+        found = given[0][there] == places
+        own[at[found]] = given[k][there[found]]
 
 
 def _swept(sweep: int):
-    """Draws a part's tables anew, given the probabilities of its words in the empty context."""
+    """Draws a part's tables anew, given the probabilities of its words in the empty context and the sums over all parts."""
     def run(known: pa.Table, part: pa.Table) -> pa.Table:
-        state, seats = (_unpack(x) for x in part.sort_by("kind").column("payload").to_pylist())
-        numbers, b0, b1, at2, c2, at3, pair, fixed, once2, n3, once3 = state
+        kinds = part.column("kind").to_numpy()
+        state, seats, *given = (_unpack(part.column("payload")[k].as_buffer()) for k in np.argsort(kinds).tolist())
+        numbers, b0, b1, at2, c2, at3, pair, fixed, once2, n3, once3, in3, place3, in2, place2 = state
+        given = given[0] if given else []
         numbers = numbers.astype(np.int64)
         t3, t2, customers2 = seats
         words, where = np.unique(b0, return_inverse=True)
         order = np.argsort(known.column("h0").to_numpy())
         h0 = known.column("h0").to_numpy()[order]
         parent2 = known.column("p").to_numpy()[order][np.searchsorted(h0, numbers[words])][where]
-        all2 = (once2 + _sum(at2, t2, len(once2)))[at2]
-        p2 = _word_probability(1, customers2, t2, (once2 + _sum(at2, customers2, len(once2)))[at2], all2, parent2)
-        others3 = (once3 + _sum(at3, t3, len(once3)))[at3] - t3
+        tables2, all2 = once2 + _sum(at2, t2, len(once2)), once2 + _sum(at2, customers2, len(once2))
+        _added(all2, in2, place2, given, 1)
+        _added(tables2, in2, place2, given, 2)
+        p2 = _word_probability(1, customers2, t2, all2[at2], tables2[at2], parent2)
+        tables3 = once3 + _sum(at3, t3, len(once3))
+        _added(tables3, in3, place3, given, 2)
         h = [numbers[x] for x in (b0[pair], b1[pair], c2)]
+        others3 = tables3[at3] - t3
         t3 = sample_tables(n3, np.maximum(others3, 0), p2[pair], word_seed(h, sweep), WORD_DISCOUNT[2], WORD_STRENGTH[2])
         customers2 = fixed + _sum(pair, t3, len(b0))
-        t2 = sample_tables(customers2, np.maximum(all2 - t2, 0), parent2, word_seed([numbers[b0], numbers[b1]], sweep),
+        t2 = sample_tables(customers2, np.maximum(tables2[at2] - t2, 0), parent2, word_seed([numbers[b0], numbers[b1]], sweep),
                            WORD_DISCOUNT[1], WORD_STRENGTH[1])
-        return pa.table({"part": part.column("part").slice(0, 1), "seats": pa.array([_pack(t3, t2, customers2)], pa.binary()),
-                         "met": pa.array([numbers[words]], pa.list_(pa.int64())),
-                         "sent": pa.array([_sum(where, t2, len(words))], pa.list_(pa.int64()))})
+        seats = [t3, t2, customers2]
+        return pa.table({"part": part.column("part").slice(0, 1), "seats": pa.array([_pack(*seats)], pa.binary()),
+                         **_lists(met=numbers[words], sent=_sum(where, t2, len(words))), **_passed_on(state, seats)})
     return run
 
 
-def _scored(sweeps: int):
-    """What a part's tokens add to their texts: tokens, known ones, and log10 of base and model."""
+def _scored(sweeps: int, limit: int, cut: dict[int, int], common: np.ndarray):
+    """What a part's tokens add to the texts of each block: tokens, known ones, and log10 of base and model."""
     def run(part: pa.Table) -> pa.Table:
-        part = part.sort_by("kind")
-        kinds, data = part.column("kind").to_numpy(), part.column("payload").to_pylist()
-        seats = [_unpack(x) for x, k in zip(data, kinds) if k < sweeps]
-        n_word, *parent = _unpack(data[sweeps])
-        payloads = [_unpack(x) for x, k in zip(data, kinds) if k > sweeps]
-        tree = _Tree(payloads)
-        n3, n2 = tree.learnt(np.concatenate([1 - x[6][x[4]] for x in payloads]))
-        live3, live2 = n3 > 1, n2 > 1
-        met = np.bincount(tree.b0, minlength=len(tree.numbers)) > 0  # in the order of their numbers, as listed
-        at = (np.cumsum(met) - 1)[tree.b0]
-        total = np.zeros(len(n3))
-        for k, (t3_live, t2_live, c2_live) in enumerate(seats):
-            t3, t2, c2 = np.minimum(n3, 1), np.minimum(n2, 1), np.minimum(n2, 1)
-            t3[live3], t2[live2], c2[live2] = t3_live, t2_live, c2_live
-            size = int(tree.word[-1]) + 1
-            p2 = _word_probability(1, c2, t2, _sum(tree.word, c2, size)[tree.word], _sum(tree.word, t2, size)[tree.word],
-                                   parent[k].view(np.float64)[at])
-            size = int(tree.context[-1]) + 1
-            total += _word_probability(2, n3, t3, _sum(tree.context, n3, size)[tree.context],
-                                       _sum(tree.context, t3, size)[tree.context], p2[tree.pair])
-        n_word = n_word[at][tree.pair]
-        # back to the rows as they came
-        row = np.empty(len(tree.order), dtype=np.int64)
-        row[tree.order] = tree.trigram
-        columns = [np.log10(total / sweeps), np.log10(n_word + 1.0), n_word > 0]
-        out, lo = [], 0
-        for _, i0, _, _, owner, first, held, ended, ids, without in payloads:
-            mine = row[lo:lo + len(i0)]
-            lo += len(i0)
-            n_tokens = np.bincount(owner, minlength=len(held))
+        kinds = part.column("kind").to_numpy()
+        data = [[part.column("payload")[i].as_buffer() for i in np.flatnonzero(kinds == k).tolist()] for k in range(2 * sweeps + 2)]
+        seats, given = [_unpack(x[0]) for x in data[:2 * sweeps:2]], [_unpack(x[0]) if x else [] for x in data[1:2 * sweeps:2]]
+        n_word, *parent = _unpack(data[-2][0])
+        rows = _Rows(data[-1], common, limit)
+        size = len(rows.numbers)
+        is_cut = np.isin(rows.numbers, list(cut))
+        held = [x[5] for x in rows.payloads]
+        start = np.cumsum([0, *map(len, held)])
+        learnt = 1 - np.concatenate(held).astype(np.int32)
+
+        def owners(more: list[np.ndarray]) -> np.ndarray:
+            return np.concatenate([x.astype(np.int32) + np.int32(at) for x, at in zip(more, start)])
+
+        known = np.zeros(size, dtype=bool)
+        found, pairs, places = [], [], 0
+        for columns, more in rows.runs():
+            order = _order(*columns, size).astype(np.int32)
+            columns = [c[order] for c in columns]
+            new = _starts(*columns)
+            first = np.flatnonzero(new)
+            n3 = np.add.reduceat(learnt[owners(more)[order]], first)
+            c0, c1, c2 = (c[first] for c in columns)
+            known[c0] = True
+            places += int((is_cut[c1] & _starts(c1, c2)).sum()) if cut else 0
+            key, inverse = np.unique((c1.astype(np.int64) << 32) | c0, return_inverse=True)
+            pairs.append((key, _sum(inverse, n3, len(key))))
+            found.append((order, new, n3, inverse.astype(np.int32)))
+        key, n2 = _pairs(pairs)
+        at = (np.cumsum(known) - 1).astype(np.int32)  # in the order of their numbers, as listed
+        b1, b0 = (key >> 32).astype(np.int32), at[key & ((1 << 32) - 1)]
+        begins = np.flatnonzero(_starts(b1))
+        word = np.repeat(np.arange(len(begins), dtype=np.int32), np.diff(begins, append=len(b1)))
+        live2 = n2 > 1
+        ours = np.flatnonzero(is_cut[b1[begins]])
+        p2 = []
+        for k, (_, t2_live, c2_live) in enumerate(seats):
+            t2, c2 = np.minimum(n2, 1), np.minimum(n2, 1)
+            t2[live2], c2[live2] = t2_live, c2_live
+            all2, tables2 = _sum(word, c2, len(begins)), _sum(word, t2, len(begins))
+            _added(all2, ours, places + np.arange(len(ours)), given[k], 1)
+            _added(tables2, ours, places + np.arange(len(ours)), given[k], 2)
+            p2.append(_word_probability(1, c2, t2, all2[word], tables2[word], parent[k].view(np.float64)[b0]))
+        sums = np.zeros((3, start[-1]))
+        done, places = 0, 0
+        for (columns, more), (order, new, n3, inverse), (mine, _) in zip(rows.runs(), found, pairs):
+            first = order[new]
+            c0, c1, c2 = (c[first] for c in columns)
+            begins = np.flatnonzero(_starts(c1, c2))
+            context = np.repeat(np.arange(len(begins), dtype=np.int32), np.diff(begins, append=len(c0)))
+            pair = np.searchsorted(key, mine)[inverse]
+            live3 = n3 > 1
+            upto = done + int(live3.sum())
+            ours = np.flatnonzero(is_cut[c1[begins]])
+            total = np.zeros(len(n3))
+            for k, (t3_live, _, _) in enumerate(seats):
+                t3 = np.minimum(n3, 1)
+                t3[live3] = t3_live[done:upto]
+                all3, tables3 = _sum(context, n3, len(begins)), _sum(context, t3, len(begins))
+                _added(all3, ours, places + np.arange(len(ours)), given[k], 1)
+                _added(tables3, ours, places + np.arange(len(ours)), given[k], 2)
+                total += _word_probability(2, n3, t3, all3[context], tables3[context], p2[k][pair])
+            done, places = upto, places + len(ours)
+            # back to the texts
+            owner = owners(more)[order]
+            trigram = np.cumsum(new, dtype=np.int32) - 1
+            n = n_word[at[c0]]
+            for out, values in zip(sums, (np.log10(total / sweeps), np.log10(n + 1.0), n > 0)):
+                out += np.bincount(owner, weights=values[trigram], minlength=len(out))
+        blocks, out = [], []
+        for x, lo, hi in zip(rows.payloads, start[:-1].tolist(), start[1:].tolist()):
+            *_, owner, first, held_out, ended, ids, without = x
+            n_tokens = np.bincount(owner, minlength=hi - lo)
             texts = np.flatnonzero(n_tokens)
-            score, base, n_known = (np.bincount(owner, weights=c[mine], minlength=len(held))[texts] for c in columns)
-            doc_id, here = np.zeros(len(held), np.int64), np.zeros(len(held), bool)
-            doc_id[ended] = ids
-            here[ended] = without == 0
-            out.append(pa.table({
-                "row": first[0] + texts, "doc_id": pa.array(doc_id[texts], mask=~here[texts]), "held_out": held[texts] == 1,
-                "n_tokens": n_tokens[texts], "n_known": n_known.astype(np.int64), "base": base, "score": score}))
-        return pa.concat_tables(out)
+            score, base, n_known = (c[lo:hi][texts] for c in sums)
+            blocks.append(int(first[0]))
+            out.append(_pack(texts, n_tokens[texts], n_known.astype(np.int64), base.view(np.int64), score.view(np.int64),
+                             ended, held_out[ended], ids, without))
+        del rows, found, pairs, sums, p2
+        _release()
+        return pa.table({"block": pa.array(blocks, pa.int64()), "payload": pa.array(out, pa.binary())})
     return run
 
 
+def _texts(block: pa.Table) -> pa.Table:
+    """The texts of a block, with the sums of what parts have of them."""
+    found = [_unpack(x.as_buffer()) for x in block.column("payload")]
+    size = 1 + max(int(x[5].max()) for x in found if len(x[5]))  # a text has one end
+    sums = np.zeros((2, size), dtype=np.int64)
+    logs = np.zeros((2, size))
+    ids, flags = np.zeros(size, dtype=np.int64), np.zeros((2, size), dtype=bool)
+    for texts, n_tokens, n_known, base, score, ended, held_out, doc_id, without in found:
+        for out, x in zip((*sums, *logs), (n_tokens, n_known, base.view(np.float64), score.view(np.float64))):
+            out[texts] += x
+        ids[ended], flags[0, ended], flags[1, ended] = doc_id, held_out == 1, without == 1
+    return pa.table({"doc_id": pa.array(ids, mask=flags[1]), "held_out": flags[0], "n_tokens": sums[0], "n_known": sums[1],
+                     "base": logs[0], "score": logs[1]})
+
+
 def _listed(known: pa.Table) -> pa.Table:
     """A part's words in the order of their numbers: how often learnt, and their probabilities in the empty context."""
     order = np.argsort(known.column("h0").to_numpy())
@@ -608,6 +834,38 @@ def _payload(rows: DataFrame, column: str, kind: int) -> DataFrame:
     return rows.select("part", F.lit(kind).alias("kind"), F.col(column).alias("payload"))
 
 
+def _packed(totals: pa.Table) -> pa.Table:
+    """Customers and tables over all parts of the restaurants that a part shares, by place."""
+    order = np.argsort(totals.column("place").to_numpy())
+    columns = [totals.column(k).to_numpy()[order] for k in ("place", "c", "t")]
+    return pa.table({"part": totals.column("part").slice(0, 1), "payload": pa.array([_pack(*columns)], pa.binary())})
+
+
+def _zipped(rows: DataFrame, columns: list[str], names: list[str]) -> DataFrame:
+    """part, place and what else is listed, a row for each."""
+    place = "place" in columns
+    x = F.arrays_zip(*columns)
+    listed = rows.select("part", F.explode(x).alias("x")) if place else rows.select("part", F.posexplode(x).alias("place", "x"))
+    return listed.select("part", *([] if place else [F.col("place").cast("long").alias("place")]),
+                         *[F.col(f"x.{c}").alias(n) for c, n in zip(columns, names)])
+
+
+def _shared(counted: DataFrame, tables: Scratch) -> DataFrame:
+    """part, place, r1, r2, fixed_c, fixed_t: the restaurants that several parts have, with the sums of what is fixed."""
+    rows = tables.land(_zipped(counted, ["r1", "r2", "rc", "rt"], ["r1", "r2", "c", "t"]), "restaurants")
+    several = rows.groupBy("r1", "r2").agg(F.count("*").alias("n"), F.sum("c").alias("fixed_c"), F.sum("t").alias("fixed_t")).where("n > 1")
+    return tables.land(rows.select("part", "place", "r1", "r2").join(several.drop("n"), ["r1", "r2"]), "shared")
+
+
+def _totals(shared: DataFrame, seats: DataFrame) -> DataFrame:
+    """part, payload: the customers and tables of shared restaurants over all parts."""
+    swept = _zipped(seats, ["place", "c", "t"], ["place", "c", "t"]).join(shared.select("part", "place", "r1", "r2"), ["part", "place"])
+    swept = swept.groupBy("r1", "r2").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
+    both = shared.join(swept, ["r1", "r2"], "left").select(
+        "part", "place", (F.col("fixed_c") + F.coalesce("c", F.lit(0))).alias("c"), (F.col("fixed_t") + F.coalesce("t", F.lit(0))).alias("t"))
+    return both.groupBy("part").applyInArrow(_packed, "part long, payload binary")
+
+
 def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score.
@@ -624,23 +882,33 @@ def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_I
 def _score(docs: DataFrame, sweeps: int, burn_in: int) -> DataFrame:
     spark = docs.sparkSession
     spellers = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = docs.agg(F.coalesce(F.sum(F.octet_length(whole("text"))), F.lit(0)).alias("n")).first()["n"]
+    size, texts, tasks = docs.select(F.octet_length(whole("text")).alias("n"), F.spark_partition_id().alias("task")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.max("task") + 1, F.lit(0))).first()
     parts = max(spellers, -(-size // PART))
+    (cut, common), limit = _frequent(docs, size, texts, tasks, parts), ROWS
     start = Scratch(spark, "lm-start")
     kept_tables, now = Scratch(spark, "lm-kept"), Scratch(spark, "lm-tables")
-    counted = start.land(_dealt(docs, parts, False).repartition(parts, "part").groupBy("part").applyInArrow(
-        _counted, "part long, state binary, seats binary, met array<long>, fixed array<long>, live array<boolean>, sent array<long>, "
-        "own array<long>, word array<string>, n array<long>"), "parts")
-    lone = counted.select(F.explode(F.arrays_zip("met", "fixed", "sent")).alias("x")).select("x.*")
-    lone = lone.groupBy(F.col("met").alias("h0")).agg(F.sum("fixed").alias("fixed"), F.sum("sent").alias("sent"))
-    words = counted.select(F.explode(F.arrays_zip("own", "word", "n")).alias("x")).select(F.col("x.own").alias("h0"), "x.word", "x.n")
-    words = start.land(words.join(lone, "h0").withColumn("part", F.pmod(F.xxhash64("word"), F.lit(spellers))), "words")
+    counted = start.land(_dealt(docs, parts, cut, common, False).repartition(parts, "part").groupBy("part").applyInArrow(
+        _counted(limit, cut, common), "part long, state binary, seats binary, met array<long>, fixed array<long>, live array<boolean>, sent array<long>, "
+        "learnt array<long>, own array<long>, several array<boolean>, word array<string>, r1 array<long>, r2 array<long>, rc array<long>, "
+        "rt array<long>, place array<long>, c array<long>, t array<long>"), "parts")
+    lone = counted.select(F.explode(F.arrays_zip("met", "fixed", "sent", "learnt")).alias("x")).select("x.*")
+    lone = lone.groupBy(F.col("met").alias("h0")).agg(F.sum("fixed").alias("fixed"), F.sum("sent").alias("sent"), F.sum("learnt").alias("n"))
+    words = counted.select(F.explode(F.arrays_zip("own", "word", "several")).alias("x")).select(F.col("x.own").alias("h0"), "x.word", "x.several")
+    if cut:
+        one = words.where("several").groupBy("h0").agg(F.min("word").alias("word"), F.max("word").alias("last")).select(
+            "h0", F.when(F.col("word") == F.col("last"), F.col("word")).otherwise(
+                F.raise_error(F.lit("two different words share one number"))).alias("word"))
+        words = words.where("not several").select("h0", "word").union(one)
+    words = start.land(words.select("h0", "word").join(lone, "h0").withColumn(
+        "part", F.pmod(F.xxhash64("word"), F.lit(spellers))), "words")
     totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     once = words.where("n = 1").count()
     swept = words.where("n > 1").select("h0", "fixed")
     unigrams = now.land(words.where("n > 1").select("h0", (F.col("fixed") + F.col("sent")).alias("c"), F.lit(1).cast("long").alias("t")), "unigrams")
     wanted = counted.select(F.col("part").alias("to"), F.explode(F.arrays_zip("met", "live")).alias("x")).select(
         "to", F.col("x.met").alias("h0"), "x.live")
+    shared = _shared(counted, start) if cut else None
 
     # words learnt once at most are written that often whatever is drawn
     often, rare = words.where("n > 1"), words.where("n <= 1")
@@ -659,7 +927,8 @@ def _score(docs: DataFrame, sweeps: int, burn_in: int) -> DataFrame:
     characters = _first_levels(char_counts(grams[0]), now)
     spelt = now.land(_spelt(often, grams[0], characters[-1].select("key", "p")), "spelt")
     seats = counted
-    history: list[tuple[DataFrame, DataFrame]] = []
+    history: list[list[DataFrame]] = []
+    given = [start.land(_totals(shared, counted), "totals")] if cut else []
     for sweep in range(sweeps):
         last, now = now, Scratch(spark, "lm-tables")
         customers, tables = sums(unigrams)
@@ -667,8 +936,11 @@ def _score(docs: DataFrame, sweeps: int, burn_in: int) -> DataFrame:
         p = _word_probability(0, F.col("c"), F.col("t"), F.lit(customers), F.lit(tables), F.col("parent"))
         before = now.land(before.select("h0", "parent", (F.lit(tables) - F.col("t")).alias("others"), p.alias("p")), "before")
         known = wanted.where("live").join(before, "h0").select("to", "h0", "p")
-        seats = kept_tables.land(_given(_payload(counted, "state", 0).union(_payload(seats, "seats", 1)), known).applyInArrow(
-            _swept(sweep), "part long, seats binary, met array<long>, sent array<long>"), "seats")
+        held = [_payload(counted, "state", 0), _payload(seats, "seats", 1), *[_payload(x, "payload", 2) for x in given]]
+        seats = now.land(_given(reduce(DataFrame.union, held), known).applyInArrow(
+            _swept(sweep), "part long, seats binary, met array<long>, sent array<long>, place array<long>, c array<long>, t array<long>"), "seats")
+        if cut:
+            given = [now.land(_totals(shared, seats), "totals")]
         sent = seats.select(F.explode(F.arrays_zip("met", "sent")).alias("x")).groupBy(F.col("x.met").alias("h0")).agg(
             F.sum("x.sent").alias("sent"))
         level = swept.join(before, "h0").join(sent, "h0", "left").withColumn("c", F.col("fixed") + F.coalesce("sent", F.lit(0)))
@@ -682,22 +954,21 @@ def _score(docs: DataFrame, sweeps: int, burn_in: int) -> DataFrame:
             customers, tables = sums(unigrams)
             few = F.least("n", F.lit(1))
             p = _word_probability(0, F.coalesce("c", few), F.coalesce("t", few), F.lit(customers), F.lit(tables), F.col("spelt"))
-            history.append((seats, start.land(words.join(unigrams, "h0", "left").join(spelt, "h0").select(
-                "h0", "n", p.alias(f"parent{k}")), "p")))
+            below = start.land(words.join(unigrams, "h0", "left").join(spelt, "h0").select("h0", "n", p.alias(f"parent{k}")), "p")
+            history.append([below, _payload(kept_tables.land(seats.select("part", "seats"), "seats"), "seats", 2 * k), *[
+                _payload(kept_tables.land(x, "totals"), "payload", 2 * k + 1) for x in given]])
         last.drop()
 
-    kept = range(len(history))
-    below = reduce(lambda a, b: a.join(b.drop("n"), "h0"), [x[1] for x in history])
-    known = wanted.join(below, "h0").select("to", "h0", "n", *[f"parent{k}" for k in kept])
+    kept = len(history)
+    below = reduce(lambda a, b: a.join(b.drop("n"), "h0"), [x[0] for x in history])
+    known = wanted.join(below, "h0").select("to", "h0", "n", *[f"parent{k}" for k in range(kept)])
     listed = kept_tables.land(known.groupBy("to").applyInArrow(_listed, "part long, payload binary"), "listed")
     now.drop()
     start.drop()
-    rows = [*[_payload(x[0], "seats", k) for k, x in zip(kept, history)], _payload(listed, "payload", len(history)),
-            _payload(_dealt(docs, parts, True), "payload", len(history) + 1)]
+    rows = [*[y for x in history for y in x[1:]], _payload(listed, "payload", 2 * kept), _payload(_dealt(docs, parts, cut, common, True), "payload", 2 * kept + 1)]
     floor = math.log10(totals["n"] + totals["v"] + 1)
-    scores = reduce(DataFrame.union, rows).groupBy("part").applyInArrow(
-        _scored(len(history)), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double")
-    return scores.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum("n_known").alias("n_known"), (F.sum("base") - floor * F.sum("n_tokens")).alias("base_score"), F.sum("score").alias("score"),
-    ).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(totals["n"]).cast("long").alias("train_tokens"), "base_score", "score")
+    scores = reduce(DataFrame.union, rows).groupBy("part").applyInArrow(_scored(kept, limit, cut, common), "block long, payload binary")
+    return scores.groupBy("block").applyInArrow(
+        _texts, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double",
+    ).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(totals["n"]).cast("long").alias("train_tokens"),
+             (F.col("base") - floor * F.col("n_tokens")).alias("base_score"), "score")

@@ -585,6 +585,38 @@ def test_word_contexts_against_brute_force(make, monkeypatch):
         assert np.allclose((r.n_tokens, r.n_known, r.base_score, r.score), w)
 
 
+def test_words_cut_into_slices_against_brute_force(make, monkeypatch):
+    """Frequent middle words are cut over parts, a part's rows over runs, texts over blocks: the model stays the same."""
+    monkeypatch.setattr(pitman_yor, "_spelt", lambda words, grams, p: words.select("h0", F.lit(1e-3).alias("spelt")))
+    for name, value in (("SLICE", 20), ("ROWS", 12), ("BLOCK", 300), ("PART", 200), ("COMMON", 5), ("FEW", 1)):
+        monkeypatch.setattr(pitman_yor, name, value)
+    cuts, spread = [], {}
+    frequent, shared = pitman_yor._frequent, pitman_yor._shared
+    monkeypatch.setattr(pitman_yor, "_frequent", lambda *a: cuts.append(frequent(*a)) or cuts[-1])
+
+    def watched(*a):
+        out = shared(*a)
+        spread.update(((r.r1, r.r2), r.n) for r in out.groupBy("r1", "r2").agg(F.count("*").alias("n")).collect())
+        return out
+
+    monkeypatch.setattr(pitman_yor, "_shared", watched)
+    rng = random.Random(6)
+    vocab = ["The", "of", *(f"w{k}" for k in range(12))]
+    rows = [(i, " ".join(rng.choices(vocab, weights=[40, 20, *range(12, 0, -1)], k=rng.randint(0, 30))), "s") for i in range(60)]
+    rows += [(60, None, "s"), (61, "the the the the the", "s"), (62, "the of never seen the of", "s"), (None, "of the w1", "s")]
+    got = pitman_yor.score_documents(make(rows), sweeps=3, burn_in=1).collect()
+    counts = {w.lower(): sum(t.lower().split().count(w.lower()) for _, t, _ in rows if t) for w in vocab}
+    cut = {w: cuts[0][0].get(pitman_yor._number(w.encode()), 1) for w in counts}
+    assert all(cut[w] * 20 >= n for w, n in counts.items()) and cut["the"] > 8 and cuts[0][0][pitman_yor._BEFORE] > 1
+    assert spread[pitman_yor._number(b"the"), pitman_yor._number(b"")] > 4 and len(spread) > 8
+    by_id = {r.doc_id: r for r in got}
+    assert len(got) == len(rows) == len(by_id)
+    want = brute_model([t for _, t, _ in rows], [not by_id[i].held_out for i, _, _ in rows], 1e-3, 3, 1)
+    for (i, _, _), w in zip(rows, want):
+        r = by_id[i]
+        assert np.allclose((r.n_tokens, r.n_known, r.base_score, r.score), w), i
+
+
 def test_order_of_words_counts(make):
     text = "one two three four five six seven eight"
     docs = make([(i, text, "s") for i in range(40)] + [(100 + i, "eight three one six two seven five four", "s") for i in range(14)])
