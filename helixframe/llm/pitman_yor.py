@@ -66,14 +66,17 @@ WORD_ORDER = 3
 WORD_DISCOUNT = (0.7, 0.8, 0.85)
 WORD_STRENGTH = (10.0, 1.0, 1.0)
 EXACT = 48
+FEW_CUSTOMERS = 8
 START, END = 2, 3
 _BASE = 1.0 / 0x110000
 #: Bytes of text whose trigrams are dealt together, and bytes of text that a part of the contexts stands for.
 BLOCK = 12 << 20
 _TOGETHER = 1 << 19
 PART = 24 << 20
+#: Bytes of text that a range of the words' numbers stands for.
+RANGE = 64 << 20
 #: Tokens of one middle word in a part, and a part's rows that are sorted at a time.
-SLICE = 1 << 21
+SLICE = 1 << 22
 ROWS = 1 << 19
 #: Frequent words that payloads have by their place in a list, and how often a block has those it tells of.
 COMMON = 1 << 16
@@ -224,12 +227,31 @@ def _frequent(docs: DataFrame, size: int, texts: int, tasks: int, parts: int) ->
 
 
 def _order(c0: np.ndarray, c1: np.ndarray, c2: np.ndarray, size: int) -> np.ndarray:
-    """Order of trigrams by c1, c2 and c0, all below size."""
+    """Order of trigrams by c1, c2 and c0, all below size; they come as a few ordered runs."""
     if size < 1 << 21:
-        return np.argsort((c1.astype(np.int64) << 42) | (c2.astype(np.int64) << 21) | c0)
+        return np.argsort((c1.astype(np.int64) << 42) | (c2.astype(np.int64) << 21) | c0, kind="stable")
     return np.lexsort((c0, c2, c1))
 
 
+def _by_two(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """Order by a and b, which is below size."""
+    least = int(a.min())
+    low, high = len(a).bit_length(), size.bit_length()
+    if low + high + (int(a.max()) - least).bit_length() > 63:
+        return np.lexsort((b, a))
+    packed = (((a.astype(np.int64) - least) << high | b) << low) | np.arange(len(a))
+    packed.sort()
+    packed &= (1 << low) - 1
+    return packed
+
+
+def _ranks(at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers below size among those given, and which of them each is."""
+    met = np.zeros(size, dtype=bool)
+    met[at] = True
+    return np.flatnonzero(met), (np.cumsum(met, dtype=np.int32) - 1)[at]
+
+
 def _starts(*columns: np.ndarray) -> np.ndarray:
     """Where a run of equal rows begins in ordered columns."""
     new = np.zeros(len(columns[0]), dtype=bool)
@@ -292,7 +314,7 @@ def _dealt(docs: DataFrame, parts: int, cut: dict[int, int], common: np.ndarray,
                 columns[1][at] = entry[further[middle[at]] + slice_of - 1]
             del middle, tokens
             if scored:
-                order = _order(*columns, len(word))
+                order = _by_two(columns[1], columns[2], len(word))
                 columns, more = [c[order] for c in columns], owner[order]
                 del order
             else:
@@ -370,13 +392,32 @@ def _uniform(seed: np.ndarray, draw: np.ndarray | int) -> np.ndarray:
     return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
+def _few_tables(size: int, others: np.ndarray, parent: np.ndarray, u: np.ndarray, discount: float, strength: float) -> np.ndarray:
+    """Numbers of tables of dishes with as many customers each; a weight is that of a table less times a ratio."""
+    stirling = _stirling(discount, EXACT)[size]
+    weight = np.ones(len(others))
+    upto = [weight]
+    for t in range(1, size):
+        weight = weight * (strength + discount * (others + t)) * parent * math.exp(stirling[t + 1] - stirling[t])
+        upto.append(upto[-1] + weight)
+    u = u * upto[-1]
+    tables = np.ones(len(others), dtype=np.int64)
+    for x in upto[:-1]:
+        tables += x < u
+    return tables
+
+
 def sample_tables(customers: np.ndarray, others: np.ndarray, parent: np.ndarray, seed: np.ndarray,
                   discount: float, strength: float) -> np.ndarray:
     """Number of tables of each dish given its customers, the tables of the
     restaurant's other dishes and the parent's probability of the dish."""
     tables = np.minimum(customers, 1).astype(np.int64)
     stirling = _stirling(discount, EXACT)
-    several = np.flatnonzero(customers > 1)
+    for size in range(2, FEW_CUSTOMERS + 1):
+        at = np.flatnonzero(customers == size)
+        if len(at):
+            tables[at] = _few_tables(size, others[at], parent[at], _uniform(seed[at], 0), discount, strength)
+    several = np.flatnonzero(customers > FEW_CUSTOMERS)
     several = several[np.argsort(np.minimum(customers[several], EXACT), kind="stable")]
     for lo in range(0, len(several), 20_000):
         at = several[lo:lo + 20_000]
@@ -389,18 +430,23 @@ def sample_tables(customers: np.ndarray, others: np.ndarray, parent: np.ndarray,
         u = _uniform(seed[at], 0) * upto[:, -1]
         tables[at] = 1 + (upto < u[:, None]).sum(axis=1)
     at = np.flatnonzero(customers > EXACT)
+    most, rest, p, t = (x[at].astype(np.float64) for x in (customers, others, parent, tables))
     seated = np.full(len(at), float(EXACT))
     draw = 1
     while len(at):
-        new = (strength + discount * (others[at] + tables[at])) * parent[at]
-        old = seated - discount * tables[at] + (new - 1) / 2
-        wait = np.minimum(-np.log(_uniform(seed[at], draw)) / np.maximum(new, 1e-300), 80.0)
-        seated = seated + np.maximum(old, 0.5) * np.expm1(wait)
-        seated = np.ceil(np.maximum(seated, EXACT + 1.0))
-        on = seated <= customers[at]
-        at, seated = at[on], seated[on]
-        tables[at] += 1
-        draw += 1
+        steps = 1 if len(at) > 4096 else 32
+        logs = -np.log(_uniform(seed[at], np.arange(draw, draw + steps)[:, None]))
+        for k in range(steps):  # a dish whose next table is beyond its customers stays as it is
+            new = (strength + discount * (rest + t)) * p
+            old = seated - discount * t + (new - 1) / 2
+            wait = np.minimum(logs[k] / np.maximum(new, 1e-300), 80.0)
+            seated = np.minimum(seated + np.maximum(old, 0.5) * np.expm1(wait), 1e200)
+            seated = np.ceil(np.maximum(seated, EXACT + 1.0))
+            on = seated <= most
+            t += on
+        tables[at] = t
+        at, most, rest, p, t, seated = (x[on] for x in (at, most, rest, p, t, seated))
+        draw += steps
     return tables
 
 
@@ -506,15 +552,18 @@ def _spelt(words: DataFrame, grams: DataFrame, p: DataFrame) -> DataFrame:
         spell, "h0 long, spelt double")
 
 
-def _reseat_unigrams(level: DataFrame, sweep: int) -> DataFrame:
-    """h0, c, t: the empty context's dishes with their tables drawn anew."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in _together(batches):
-            h0, c, others, parent = (x.to_numpy() for x in columns)
-            t = sample_tables(c, np.maximum(others, 0), parent, word_seed([h0], sweep), WORD_DISCOUNT[0], WORD_STRENGTH[0])
-            yield pa.RecordBatch.from_arrays([*columns[:2], pa.array(t)], names=["h0", "c", "t"])
-
-    return level.select("h0", "c", "others", "parent").mapInArrow(run, "h0 long, c long, t long")
+def _reseat_unigrams(sweep: int):
+    """h0, c, t: a range of the empty context's dishes with their tables drawn anew."""
+    def run(level: pa.Table, told: pa.Table) -> pa.Table:
+        order = np.argsort(level.column("h0").to_numpy())
+        h0, c, others, parent = (level.column(k).to_numpy()[order] for k in ("h0", "fixed", "others", "parent"))
+        c = c.copy()
+        for x in told.column("payload"):
+            numbers, sent = _unpack(x.as_buffer())
+            c[np.searchsorted(h0, numbers)] += sent
+        t = sample_tables(c, np.maximum(others, 0), parent, word_seed([h0], sweep), WORD_DISCOUNT[0], WORD_STRENGTH[0])
+        return pa.table({"h0": h0, "c": c, "t": t})
+    return run
 
 
 def word_seed(h: list[np.ndarray], sweep: int) -> np.ndarray:
@@ -568,6 +617,22 @@ def _sum(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(at, weights=values, minlength=size).astype(np.int64)
 
 
+def _range(numbers: np.ndarray, ranges: int) -> np.ndarray:
+    """The range that a number is in, in the order of numbers."""
+    return (((numbers.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+
+
+def _range_of(column: str, ranges: int) -> Column:
+    return F.shiftright(F.shiftrightunsigned(F.col(column).bitwiseXOR(F.lit(-(1 << 63))), 32) * ranges, 32).alias("range")
+
+
+def _ranged(ranges: int, numbers: np.ndarray, *columns: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Ranges, and what is packed for each, of ordered numbers and what is said of them."""
+    ends = np.searchsorted(_range(numbers, ranges), np.arange(ranges + 1))
+    some = np.flatnonzero(np.diff(ends)).tolist()
+    return some, [_pack(*(c[ends[k]:ends[k + 1]] for c in (numbers, *columns))) for k in some]
+
+
 def _pairs(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     """Ordered keys, each once, and the sums of their numbers, from those of the runs."""
     if len(found) == 1:
@@ -583,6 +648,12 @@ def _lists(**columns: np.ndarray) -> dict[str, pa.Array]:
     return {k: pa.array([v]) for k, v in columns.items()}
 
 
+def _structs(name: str, columns: list[list], names: tuple[str, ...]) -> dict[str, pa.Array]:
+    """A list of what is said by range."""
+    x = pa.StructArray.from_arrays([pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["range", *names])
+    return {name: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)}
+
+
 def _passed_on(state: list[np.ndarray], seats: list[np.ndarray]) -> dict[str, pa.Array]:
     """What swept dishes add to the customers and tables of the restaurants of words that are cut, by the restaurant's place."""
     at2, at3, once2, once3, in3, place3, in2, place2 = (state[k] for k in (3, 5, 8, 10, 11, 12, 13, 14))
@@ -592,11 +663,12 @@ def _passed_on(state: list[np.ndarray], seats: list[np.ndarray]) -> dict[str, pa
     return _lists(place=np.concatenate([place3, place2]).astype(np.int64), c=c, t=t)
 
 
-def _counted(limit: int, cut: dict[int, int], common: np.ndarray):
+def _counted(limit: int, cut: dict[int, int], common: np.ndarray, ranges: int):
     """A part's dishes learnt more than once (state), what is fixed around
     them, a table for each to begin with (seats), what goes to the empty
-    context (words met, how often they are learnt, bigrams learnt once by
-    word, swept bigrams by word), and the restaurants of words that are cut:
+    context by range (words met, bigrams learnt once by word, swept bigrams
+    by word, how often words are learnt; middle words and their spelling;
+    words with swept bigrams), and the restaurants of words that are cut:
     their words, fixed customers and fixed tables, in the order of places."""
     def run(part: pa.Table) -> pa.Table:
         rows = _Rows([x.as_buffer() for x in part.column("payload")], common, limit)
@@ -613,7 +685,7 @@ def _counted(limit: int, cut: dict[int, int], common: np.ndarray):
             context = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(c0)))
             once = np.bincount(context[n3 == 1], minlength=len(begins))
             several = n3 > 1
-            met, at3 = np.unique(context[several], return_inverse=True)
+            met, at3 = _ranks(context[several], len(begins))
             live.append([c0[several], c1[several], c2[several], n3[several].astype(np.int32), (at3 + n_live).astype(np.int32), once[met]])
             ours = is_cut[c1[begins]]
             if ours.any():
@@ -623,10 +695,10 @@ def _counted(limit: int, cut: dict[int, int], common: np.ndarray):
                 place3.append((np.cumsum(ours) - 1)[met[mine]] + places)
                 places += int(ours.sum())
             n_live += len(met)
-            key = (c1.astype(np.int64) << 32) | c0
-            order = np.argsort(key)
-            first = np.flatnonzero(_starts(key[order]))
-            pairs.append((key[order[first]], np.add.reduceat(n3[order], first), np.add.reduceat((n3 == 1).astype(np.int64)[order], first)))
+            order = _by_two(c1, c0, size)
+            first = np.flatnonzero(_starts(c1[order], c0[order]))
+            key = (c1[order[first]].astype(np.int64) << 32) | c0[order[first]]
+            pairs.append((key, np.add.reduceat(n3[order], first), np.add.reduceat((n3 == 1).astype(np.int64)[order], first)))
         c0, c1, c2, n3, at3, once3 = (np.concatenate(x) for x in zip(*live))
         key, n2, fixed = _pairs(pairs)
         del live, pairs
@@ -634,7 +706,7 @@ def _counted(limit: int, cut: dict[int, int], common: np.ndarray):
         begins = np.flatnonzero(_starts(b1))
         word = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(b1)))
         live2 = n2 > 1
-        firsts, at2 = np.unique(word[live2], return_inverse=True)
+        firsts, at2 = _ranks(word[live2], len(begins))
         once = np.bincount(word[n2 == 1], minlength=len(begins))
         met = np.flatnonzero(np.bincount(b0, minlength=size))
         own, words = _own_words(part, rows)
@@ -651,15 +723,20 @@ def _counted(limit: int, cut: dict[int, int], common: np.ndarray):
         pair = np.searchsorted(key[live2], (c1.astype(np.int64) << 32) | c0)
         b0, b1, fixed = b0[live2], b1[live2], fixed[live2]
         sent = np.bincount(b0, minlength=size)[met]
-        used, inverse = np.unique(np.concatenate([b0, b1, c2]), return_inverse=True)
+        used, inverse = _ranks(np.concatenate([b0, b1, c2]), size)
         state = [rows.numbers[used], inverse[:len(b0)], inverse[len(b0):2 * len(b0)], at2, inverse[2 * len(b0):], at3, pair, fixed,
                  once[firsts], n3, once3, in3, place3, in2, place2]
         seats = [np.ones(len(pair), np.int64), np.ones(len(b0), np.int64), fixed + np.bincount(pair, minlength=len(b0))]
+        met = rows.numbers[met]
+        told, asked = _ranged(ranges, met, lone, sent, n), _ranged(ranges, met[sent > 0])
+        ends = np.searchsorted(_range(own, ranges), np.arange(ranges + 1))
+        spelt = [(own[i:j], b" ".join(words[i:j])) for i, j in zip(ends[told[0]], ends[np.array(told[0]) + 1])]
+        told = [told[0], told[1], [_pack(x) for x, _ in spelt], [x for _, x in spelt]]
+        del rows
         _release()
         return pa.table({
             "part": part.column("part").slice(0, 1), "state": pa.array([_pack(*state)], pa.binary()), "seats": pa.array([_pack(*seats)], pa.binary()),
-            **_lists(met=rows.numbers[met], fixed=lone, live=sent > 0, sent=sent, learnt=n, own=own, several=np.isin(own, [_END if h == _BEFORE else h for h in cut])),
-            "word": pa.array([words], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
+            **_structs("told", told, ("met", "own", "spelt")), **_structs("asked", asked, ("payload",)),
             **_lists(**dict(zip(("r1", "r2", "rc", "rt"), shared))), **_passed_on(state, seats)})
     return run
 
@@ -675,7 +752,36 @@ def _own_words(part: pa.Table, rows: _Rows) -> tuple[np.ndarray, np.ndarray]:
         raise ValueError("two different words share one number")
     own, words = own[new], words[new]
     own[own == _BEFORE] = _END  # as many texts begin as end
-    return own, words
+    order = np.argsort(own)
+    return own[order], words[order]
+
+
+def _vocabulary(rows: pa.Table) -> pa.Table:
+    """The words of a range with what parts have of them."""
+    own = np.concatenate([_unpack(x.as_buffer())[0].astype(np.int64) for x in rows.column("own")])
+    words = np.array([w for k, x in zip(rows.column("own"), rows.column("spelt").to_pylist()) if len(_unpack(k.as_buffer())[0]) for w in x.split(b" ")],
+                     dtype=object)
+    order = np.argsort(own, kind="stable")
+    own, words = own[order], words[order]
+    new = _starts(own)
+    if (words[1:] != words[:-1])[~new[1:]].any():
+        raise ValueError("two different words share one number")
+    h0, *sums = _pairs([tuple(c.astype(np.int64) for c in _unpack(x.as_buffer())) for x in rows.column("met")])
+    words = pa.array(words[new][np.searchsorted(own[new], h0)], pa.binary()).cast(pa.string())
+    return pa.table([pa.array(h0), words, *map(pa.array, sums)], names=["h0", "word", "fixed", "sent", "n"])
+
+
+def _answered(*columns: str):
+    """What is known of the words that parts ask for, in their order."""
+    def run(known: pa.Table, asked: pa.Table) -> pa.Table:
+        order = np.argsort(known.column("h0").to_numpy())
+        h0, *values = (known.column(c).to_numpy()[order] for c in ("h0", *columns))
+        out = []
+        for x in asked.column("payload"):
+            at = np.searchsorted(h0, _unpack(x.as_buffer())[0])
+            out.append(_pack(*(v[at].view(np.int64) for v in values)))
+        return pa.table({"part": asked.column("part"), "range": asked.column("range"), "payload": pa.array(out, pa.binary())})
+    return run
 
 
 def _added(own: np.ndarray, at: np.ndarray, places: np.ndarray, given: list[np.ndarray], k: int) -> None:
@@ -686,19 +792,20 @@ def _added(own: np.ndarray, at: np.ndarray, places: np.ndarray, given: list[np.n
         own[at[found]] = given[k][there[found]]
 
 
-def _swept(sweep: int):
-    """Draws a part's tables anew, given the probabilities of its words in the empty context and the sums over all parts."""
-    def run(known: pa.Table, part: pa.Table) -> pa.Table:
+def _swept(sweep: int, ranges: int):
+    """Draws a part's tables anew, given the sums over all parts and the probabilities of its words in the empty context."""
+    def run(part: pa.Table) -> pa.Table:
         kinds = part.column("kind").to_numpy()
-        state, seats, *given = (_unpack(part.column("payload")[k].as_buffer()) for k in np.argsort(kinds).tolist())
+        order = np.argsort(kinds)
+        state, seats, *more = (_unpack(part.column("payload")[k].as_buffer()) for k in order.tolist())
+        given = [x for x, k in zip(more, kinds[order[2:]]) if k == 2]
+        known = np.concatenate([np.empty(0), *(x[0].astype(np.int64).view(np.float64) for x, k in zip(more, kinds[order[2:]]) if k > 2)])
         numbers, b0, b1, at2, c2, at3, pair, fixed, once2, n3, once3, in3, place3, in2, place2 = state
         given = given[0] if given else []
         numbers = numbers.astype(np.int64)
         t3, t2, customers2 = seats
-        words, where = np.unique(b0, return_inverse=True)
-        order = np.argsort(known.column("h0").to_numpy())
-        h0 = known.column("h0").to_numpy()[order]
-        parent2 = known.column("p").to_numpy()[order][np.searchsorted(h0, numbers[words])][where]
+        words, where = _ranks(b0, len(numbers))
+        parent2 = known[where]
         tables2, all2 = once2 + _sum(at2, t2, len(once2)), once2 + _sum(at2, customers2, len(once2))
         _added(all2, in2, place2, given, 1)
         _added(tables2, in2, place2, given, 2)
@@ -713,7 +820,7 @@ def _swept(sweep: int):
                            WORD_DISCOUNT[1], WORD_STRENGTH[1])
         seats = [t3, t2, customers2]
         return pa.table({"part": part.column("part").slice(0, 1), "seats": pa.array([_pack(*seats)], pa.binary()),
-                         **_lists(met=numbers[words], sent=_sum(where, t2, len(words))), **_passed_on(state, seats)})
+                         **_structs("told", _ranged(ranges, numbers[words], _sum(where, t2, len(words))), ("payload",)), **_passed_on(state, seats)})
     return run
 
 
@@ -721,10 +828,10 @@ def _scored(sweeps: int, limit: int, cut: dict[int, int], common: np.ndarray):
     """What a part's tokens add to the texts of each block: tokens, known ones, and log10 of base and model."""
     def run(part: pa.Table) -> pa.Table:
         kinds = part.column("kind").to_numpy()
-        data = [[part.column("payload")[i].as_buffer() for i in np.flatnonzero(kinds == k).tolist()] for k in range(2 * sweeps + 2)]
+        data = [[part.column("payload")[i].as_buffer() for i in np.flatnonzero(kinds == k).tolist()] for k in range(int(kinds.max()) + 1)]
         seats, given = [_unpack(x[0]) for x in data[:2 * sweeps:2]], [_unpack(x[0]) if x else [] for x in data[1:2 * sweeps:2]]
-        n_word, *parent = _unpack(data[-2][0])
-        rows = _Rows(data[-1], common, limit)
+        n_word, *parent = (np.concatenate(x).astype(np.int64) for x in zip(*(_unpack(x) for k in data[2 * sweeps + 1:] for x in k)))
+        rows = _Rows(data[2 * sweeps], common, limit)
         size = len(rows.numbers)
         is_cut = np.isin(rows.numbers, list(cut))
         held = [x[5] for x in rows.payloads]
@@ -745,9 +852,14 @@ def _scored(sweeps: int, limit: int, cut: dict[int, int], common: np.ndarray):
             c0, c1, c2 = (c[first] for c in columns)
             known[c0] = True
             places += int((is_cut[c1] & _starts(c1, c2)).sum()) if cut else 0
-            key, inverse = np.unique((c1.astype(np.int64) << 32) | c0, return_inverse=True)
-            pairs.append((key, _sum(inverse, n3, len(key))))
-            found.append((order, new, n3, inverse.astype(np.int32)))
+            by_pair = _by_two(c1, c0, size)
+            c0, c1 = c0[by_pair], c1[by_pair]
+            begins = _starts(c1, c0)
+            inverse = np.empty(len(begins), dtype=np.int32)
+            inverse[by_pair] = np.cumsum(begins, dtype=np.int32) - 1
+            begins = np.flatnonzero(begins)
+            pairs.append(((c1[begins].astype(np.int64) << 32) | c0[begins], np.add.reduceat(n3[by_pair].astype(np.int64), begins)))
+            found.append((order, new, n3, inverse))
         key, n2 = _pairs(pairs)
         at = (np.cumsum(known) - 1).astype(np.int32)  # in the order of their numbers, as listed
         b1, b0 = (key >> 32).astype(np.int32), at[key & ((1 << 32) - 1)]
@@ -763,7 +875,7 @@ def _scored(sweeps: int, limit: int, cut: dict[int, int], common: np.ndarray):
             _added(all2, ours, places + np.arange(len(ours)), given[k], 1)
             _added(tables2, ours, places + np.arange(len(ours)), given[k], 2)
             p2.append(_word_probability(1, c2, t2, all2[word], tables2[word], parent[k].view(np.float64)[b0]))
-        sums = np.zeros((3, start[-1]))
+        sums, base = np.zeros((3, start[-1])), np.log10(n_word + 1.0)
         done, places = 0, 0
         for (columns, more), (order, new, n3, inverse), (mine, _) in zip(rows.runs(), found, pairs):
             first = order[new]
@@ -786,17 +898,17 @@ def _scored(sweeps: int, limit: int, cut: dict[int, int], common: np.ndarray):
             # back to the texts
             owner = owners(more)[order]
             trigram = np.cumsum(new, dtype=np.int32) - 1
-            n = n_word[at[c0]]
-            for out, values in zip(sums, (np.log10(total / sweeps), np.log10(n + 1.0), n > 0)):
+            word = at[c0]
+            for out, values in zip(sums, (np.log10(total / sweeps), base[word], n_word[word] > 0)):
                 out += np.bincount(owner, weights=values[trigram], minlength=len(out))
         blocks, out = [], []
         for x, lo, hi in zip(rows.payloads, start[:-1].tolist(), start[1:].tolist()):
             *_, owner, first, held_out, ended, ids, without = x
             n_tokens = np.bincount(owner, minlength=hi - lo)
             texts = np.flatnonzero(n_tokens)
-            score, base, n_known = (c[lo:hi][texts] for c in sums)
+            score, known_as, n_known = (c[lo:hi][texts] for c in sums)
             blocks.append(int(first[0]))
-            out.append(_pack(texts, n_tokens[texts], n_known.astype(np.int64), base.view(np.int64), score.view(np.int64),
+            out.append(_pack(texts, n_tokens[texts], n_known.astype(np.int64), known_as.view(np.int64), score.view(np.int64),
                              ended, held_out[ended], ids, without))
         del rows, found, pairs, sums, p2
         _release()
@@ -819,19 +931,16 @@ def _texts(block: pa.Table) -> pa.Table:
                      "base": logs[0], "score": logs[1]})
 
 
-def _listed(known: pa.Table) -> pa.Table:
-    """A part's words in the order of their numbers: how often learnt, and their probabilities in the empty context."""
-    order = np.argsort(known.column("h0").to_numpy())
-    columns = [known.column(k).to_numpy()[order].view(np.int64) for k in known.column_names[2:]]
-    return pa.table({"part": known.column("to").slice(0, 1), "payload": pa.array([_pack(*columns)], pa.binary())})
-
-
-def _given(parts: DataFrame, known: DataFrame) -> tuple:
-    return known.groupBy("to").cogroup(parts.groupBy("part"))
+def _payload(rows: DataFrame, column: str, kind: Column | int) -> DataFrame:
+    kind = kind if isinstance(kind, Column) else F.lit(kind)
+    return rows.select("part", kind.cast("long").alias("kind"), F.col(column).alias("payload"))
 
 
-def _payload(rows: DataFrame, column: str, kind: int) -> DataFrame:
-    return rows.select("part", F.lit(kind).alias("kind"), F.col(column).alias("payload"))
+def _answers(known: DataFrame, asked: DataFrame, ranges: int, first: int, *columns: str) -> DataFrame:
+    """part, kind, payload: what is known of the words that parts ask for, of kinds that begin with ``first``."""
+    known = known.select(_range_of("h0", ranges), "h0", *columns)
+    rows = known.groupBy("range").cogroup(asked.groupBy("range")).applyInArrow(_answered(*columns), "part long, range long, payload binary")
+    return _payload(rows, "payload", F.col("range") + first)
 
 
 def _packed(totals: pa.Table) -> pa.Table:
@@ -886,28 +995,21 @@ def _score(docs: DataFrame, sweeps: int, burn_in: int) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.max("task") + 1, F.lit(0))).first()
     parts = max(spellers, -(-size // PART))
     (cut, common), limit = _frequent(docs, size, texts, tasks, parts), ROWS
+    ranges = 1 + size // RANGE
     start = Scratch(spark, "lm-start")
     kept_tables, now = Scratch(spark, "lm-kept"), Scratch(spark, "lm-tables")
+    places = "place array<long>, c array<long>, t array<long>"
     counted = start.land(_dealt(docs, parts, cut, common, False).repartition(parts, "part").groupBy("part").applyInArrow(
-        _counted(limit, cut, common), "part long, state binary, seats binary, met array<long>, fixed array<long>, live array<boolean>, sent array<long>, "
-        "learnt array<long>, own array<long>, several array<boolean>, word array<string>, r1 array<long>, r2 array<long>, rc array<long>, "
-        "rt array<long>, place array<long>, c array<long>, t array<long>"), "parts")
-    lone = counted.select(F.explode(F.arrays_zip("met", "fixed", "sent", "learnt")).alias("x")).select("x.*")
-    lone = lone.groupBy(F.col("met").alias("h0")).agg(F.sum("fixed").alias("fixed"), F.sum("sent").alias("sent"), F.sum("learnt").alias("n"))
-    words = counted.select(F.explode(F.arrays_zip("own", "word", "several")).alias("x")).select(F.col("x.own").alias("h0"), "x.word", "x.several")
-    if cut:
-        one = words.where("several").groupBy("h0").agg(F.min("word").alias("word"), F.max("word").alias("last")).select(
-            "h0", F.when(F.col("word") == F.col("last"), F.col("word")).otherwise(
-                F.raise_error(F.lit("two different words share one number"))).alias("word"))
-        words = words.where("not several").select("h0", "word").union(one)
-    words = start.land(words.select("h0", "word").join(lone, "h0").withColumn(
-        "part", F.pmod(F.xxhash64("word"), F.lit(spellers))), "words")
+        _counted(limit, cut, common, ranges), "part long, state binary, seats binary, told array<struct<range:long,met:binary,own:binary,spelt:binary>>, "
+        f"asked array<struct<range:long,payload:binary>>, r1 array<long>, r2 array<long>, rc array<long>, rt array<long>, {places}"), "parts")
+    told = counted.select("part", F.explode("told").alias("x")).select("part", "x.*")
+    asked = counted.select("part", F.explode("asked").alias("x")).select("part", "x.*")
+    words = told.groupBy("range").applyInArrow(_vocabulary, "h0 long, word string, fixed long, sent long, n long")
+    words = start.land(words.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(spellers))), "words")
     totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     once = words.where("n = 1").count()
     swept = words.where("n > 1").select("h0", "fixed")
     unigrams = now.land(words.where("n > 1").select("h0", (F.col("fixed") + F.col("sent")).alias("c"), F.lit(1).cast("long").alias("t")), "unigrams")
-    wanted = counted.select(F.col("part").alias("to"), F.explode(F.arrays_zip("met", "live")).alias("x")).select(
-        "to", F.col("x.met").alias("h0"), "x.live")
     shared = _shared(counted, start) if cut else None
 
     # words learnt once at most are written that often whatever is drawn
@@ -935,16 +1037,16 @@ def _score(docs: DataFrame, sweeps: int, burn_in: int) -> DataFrame:
         before = unigrams.join(spelt, "h0").withColumnRenamed("spelt", "parent")
         p = _word_probability(0, F.col("c"), F.col("t"), F.lit(customers), F.lit(tables), F.col("parent"))
         before = now.land(before.select("h0", "parent", (F.lit(tables) - F.col("t")).alias("others"), p.alias("p")), "before")
-        known = wanted.where("live").join(before, "h0").select("to", "h0", "p")
-        held = [_payload(counted, "state", 0), _payload(seats, "seats", 1), *[_payload(x, "payload", 2) for x in given]]
-        seats = now.land(_given(reduce(DataFrame.union, held), known).applyInArrow(
-            _swept(sweep), "part long, seats binary, met array<long>, sent array<long>, place array<long>, c array<long>, t array<long>"), "seats")
+        held = [_payload(counted, "state", 0), _payload(seats, "seats", 1), *[_payload(x, "payload", 2) for x in given],
+                _answers(before, asked, ranges, 3, "p")]
+        seats = now.land(reduce(DataFrame.union, held).groupBy("part").applyInArrow(
+            _swept(sweep, ranges), f"part long, seats binary, told array<struct<range:long,payload:binary>>, {places}"), "seats")
         if cut:
             given = [now.land(_totals(shared, seats), "totals")]
-        sent = seats.select(F.explode(F.arrays_zip("met", "sent")).alias("x")).groupBy(F.col("x.met").alias("h0")).agg(
-            F.sum("x.sent").alias("sent"))
-        level = swept.join(before, "h0").join(sent, "h0", "left").withColumn("c", F.col("fixed") + F.coalesce("sent", F.lit(0)))
-        unigrams = now.land(_reseat_unigrams(level, sweep), "unigrams")
+        level = swept.join(before, "h0").select(_range_of("h0", ranges), "h0", "fixed", "others", "parent")
+        sent = seats.select(F.explode("told").alias("x")).select("x.*")
+        unigrams = now.land(level.groupBy("range").cogroup(sent.groupBy("range")).applyInArrow(
+            _reseat_unigrams(sweep), "h0 long, c long, t long"), "unigrams")
         characters = _sweep_characters(
             characters, char_counts(_written(often.join(unigrams, "h0").select("word", "part", "t"))), sweep, now)
         some = (words, grams[0].union(grams[1])) if sweep >= burn_in else (often, grams[0])
@@ -961,11 +1063,11 @@ def _score(docs: DataFrame, sweeps: int, burn_in: int) -> DataFrame:
 
     kept = len(history)
     below = reduce(lambda a, b: a.join(b.drop("n"), "h0"), [x[0] for x in history])
-    known = wanted.join(below, "h0").select("to", "h0", "n", *[f"parent{k}" for k in range(kept)])
-    listed = kept_tables.land(known.groupBy("to").applyInArrow(_listed, "part long, payload binary"), "listed")
+    listed = kept_tables.land(_answers(below, told.withColumnRenamed("met", "payload"), ranges, 2 * kept + 1, "n", *[
+        f"parent{k}" for k in range(kept)]), "listed")
     now.drop()
     start.drop()
-    rows = [*[y for x in history for y in x[1:]], _payload(listed, "payload", 2 * kept), _payload(_dealt(docs, parts, cut, common, True), "payload", 2 * kept + 1)]
+    rows = [*[y for x in history for y in x[1:]], listed, _payload(_dealt(docs, parts, cut, common, True), "payload", 2 * kept)]
     floor = math.log10(totals["n"] + totals["v"] + 1)
     scores = reduce(DataFrame.union, rows).groupBy("part").applyInArrow(_scored(kept, limit, cut, common), "block long, payload binary")
     return scores.groupBy("block").applyInArrow(

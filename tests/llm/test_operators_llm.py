@@ -588,7 +588,7 @@ def test_word_contexts_against_brute_force(make, monkeypatch):
 def test_words_cut_into_slices_against_brute_force(make, monkeypatch):
     """Frequent middle words are cut over parts, a part's rows over runs, texts over blocks: the model stays the same."""
     monkeypatch.setattr(pitman_yor, "_spelt", lambda words, grams, p: words.select("h0", F.lit(1e-3).alias("spelt")))
-    for name, value in (("SLICE", 20), ("ROWS", 12), ("BLOCK", 300), ("PART", 200), ("COMMON", 5), ("FEW", 1)):
+    for name, value in (("SLICE", 20), ("ROWS", 12), ("BLOCK", 300), ("PART", 200), ("COMMON", 5), ("FEW", 1), ("RANGE", 900)):
         monkeypatch.setattr(pitman_yor, name, value)
     cuts, spread = [], {}
     frequent, shared = pitman_yor._frequent, pitman_yor._shared
