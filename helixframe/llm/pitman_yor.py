@@ -76,8 +76,8 @@ PART = 24 << 20
 #: Bytes of text that a range of the words' numbers stands for.
 RANGE = 64 << 20
 #: Tokens of one middle word in a part, and a part's rows that are sorted at a time.
-SLICE = 1 << 22
-ROWS = 1 << 19
+SLICE = 1 << 21
+ROWS = 1 << 18
 #: Frequent words that payloads have by their place in a list, and how often a block has those it tells of.
 COMMON = 1 << 16
 FEW = 8
@@ -207,7 +207,8 @@ def _frequent(docs: DataFrame, size: int, texts: int, tasks: int, parts: int) ->
     most = SLICE
     cut, common = {_BEFORE: texts // most + 1}, np.empty(0, dtype=np.int64)
     if (size + texts) // 2 > most:
-        few = max(1, min(FEW, most // (2 * (2 * size // BLOCK + tasks))))
+        blocks = 2 * size // BLOCK + tasks
+        few = max(1, min(FEW, most // (2 * blocks)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for block in _blocks(batches):
@@ -221,7 +222,7 @@ def _frequent(docs: DataFrame, size: int, texts: int, tasks: int, parts: int) ->
 
         often = docs.select(whole("text").alias("text")).mapInArrow(run, "h0 long, n long").groupBy("h0").agg(F.sum("n").alias("n"))
         often = often.orderBy(F.desc("n"), "h0").limit(max(COMMON, 2 * (size + texts) // most)).collect()
-        cut |= {x["h0"]: (x["n"] + most // 2) // most + 1 for x in often if x["n"] >= most // 2}
+        cut |= {x["h0"]: (x["n"] + (few - 1) * blocks) // most + 1 for x in often if x["n"] >= most // 2}
         common = np.sort(np.array([x["h0"] for x in often[:COMMON]], dtype=np.int64))
     return {h: min(k, parts) for h, k in cut.items() if min(k, parts) > 1}, common
 
@@ -229,17 +230,29 @@ def _frequent(docs: DataFrame, size: int, texts: int, tasks: int, parts: int) ->
 def _order(c0: np.ndarray, c1: np.ndarray, c2: np.ndarray, size: int) -> np.ndarray:
     """Order of trigrams by c1, c2 and c0, all below size; they come as a few ordered runs."""
     if size < 1 << 21:
-        return np.argsort((c1.astype(np.int64) << 42) | (c2.astype(np.int64) << 21) | c0, kind="stable")
+        key = _key(c1, c2, 21)
+        key <<= 21
+        key |= c0
+        return np.argsort(key, kind="stable")
     return np.lexsort((c0, c2, c1))
 
 
+def _key(high: np.ndarray, low: np.ndarray, bits: int) -> np.ndarray:
+    key = high.astype(np.int64)
+    key <<= bits
+    key |= low
+    return key
+
+
 def _by_two(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
     """Order by a and b, which is below size."""
     least = int(a.min())
     low, high = len(a).bit_length(), size.bit_length()
     if low + high + (int(a.max()) - least).bit_length() > 63:
         return np.lexsort((b, a))
-    packed = (((a.astype(np.int64) - least) << high | b) << low) | np.arange(len(a))
+    packed = _key(a - least, b, high)
+    packed <<= low
+    packed |= np.arange(len(a))
     packed.sort()
     packed &= (1 << low) - 1
     return packed
@@ -268,7 +281,7 @@ def _dealt(docs: DataFrame, parts: int, cut: dict[int, int], common: np.ndarray,
     for those of words that are cut.  A payload has the places of its words
     in ``common`` or else their numbers, and indices into the words: of
     distinct trigrams with how often they are learnt or, if scored, of all
-    tokens with their text's place in the block.
+    tokens with their texts.
     ``spelt`` (not if scored): the middle words."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        (remainder("doc_id", 7) == 2).alias("held_out"), whole("text").alias("text"))
@@ -276,6 +289,7 @@ def _dealt(docs: DataFrame, parts: int, cut: dict[int, int], common: np.ndarray,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
             words, index, sizes = _coded(block.column("text"))
+            block = block.drop_columns("text")
             raw = np.concatenate([np.array([b"", b""], dtype=object), words.cast(pa.binary()).to_numpy(zero_copy_only=False)])
             numbers = np.concatenate([[_BEFORE, _END], _numbers(raw[2:])]).astype(np.int64)
             by_number = np.argsort(numbers)
@@ -284,7 +298,8 @@ def _dealt(docs: DataFrame, parts: int, cut: dict[int, int], common: np.ndarray,
             code[by_number] = np.arange(len(numbers), dtype=np.int32)
             before, end = code[:2].tolist()
             owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
-            place = np.arange(len(owner)) + 2 * (owner.astype(np.int64) + 1)
+            place = np.arange(len(owner), dtype=np.int32)
+            place += 2 * (owner + 1)
             own = np.ones(len(owner), dtype=bool)
             own[np.cumsum(sizes + 1) - 1] = False
             line = np.full(len(owner) + 2 * len(sizes), before, dtype=np.int32)
@@ -336,7 +351,7 @@ def _dealt(docs: DataFrame, parts: int, cut: dict[int, int], common: np.ndarray,
                 arrays = [np.diff(listed[here][is_common[here]], prepend=0), numbers[here][~is_common[here]], local[some[0]], np.diff(local[some[1]], prepend=np.int32(0)), local[some[2]],
                           more[ends[part]:ends[part + 1]]]
                 if scored:
-                    arrays += _texts_that_end(block, some[0] == end, arrays[5])
+                    arrays[5:] = _texts_here(block, some[0] == end, arrays[5])
                 dealt.append(part)
                 payloads.append(_pack(*arrays))
                 spelt.append(None if scored else b" ".join(raw[some[1][_starts(some[1])]]))
@@ -351,7 +366,11 @@ def _dealt(docs: DataFrame, parts: int, cut: dict[int, int], common: np.ndarray,
 def _distinct(c0: np.ndarray, c1: np.ndarray, c2: np.ndarray, learnt: np.ndarray, size: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct trigrams ordered by c1, c2 and c0, and how often they are learnt."""
     if size < 1 << 21:
-        key = (c1.astype(np.uint64) << np.uint64(43)) | (c2.astype(np.uint64) << np.uint64(22)) | (c0.astype(np.uint64) << np.uint64(1))
+        key = _key(c1, c2, 21)
+        key <<= 21
+        key |= c0
+        key = key.view(np.uint64)
+        key <<= np.uint64(1)
         key |= learnt
         key.sort()
         learnt = (key & np.uint64(1)).astype(np.int32)
@@ -359,20 +378,20 @@ def _distinct(c0: np.ndarray, c1: np.ndarray, c2: np.ndarray, learnt: np.ndarray
         start = np.flatnonzero(_starts(key))
         key = key[start]
         low = np.uint64((1 << 21) - 1)
-        columns = [(key & low), (key >> np.uint64(42)), (key >> np.uint64(21)) & low]
-        return [c.astype(np.int32) for c in columns], np.add.reduceat(learnt, start)
+        return [(key >> np.uint64(k) & low).astype(np.int32) for k in (0, 42, 21)], np.add.reduceat(learnt, start).astype(np.int32)
     order = _order(c0, c1, c2, size)
     columns = [c[order] for c in (c0, c1, c2)]
     start = np.flatnonzero(_starts(*columns))
     return [c[start] for c in columns], np.add.reduceat(learnt[order].astype(np.int32), start)
 
 
-def _texts_that_end(block: pa.Table, ends: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
-    """First row of the block, which of its texts are held out, and of those whose end is here: place, doc_id, without id."""
-    at = owner[ends]
-    ids = block.column("doc_id").take(pa.array(at))
-    return [block.column("row").to_numpy()[:1], block.column("held_out").to_numpy().astype(np.uint8), at,
-            pc.fill_null(ids, 0).to_numpy().astype(np.int64), pc.is_null(ids).to_numpy().astype(np.uint8)]
+def _texts_here(block: pa.Table, ends: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
+    """Which of the texts here each token is of; first row of the block, steps between the texts' places in it, which are
+    held out, and of those whose end is here: which they are, doc_id, without id."""
+    texts, owner = _ranks(owner, block.num_rows)
+    ids = block.column("doc_id").take(pa.array(texts[owner[ends]]))
+    return [owner, block.column("row").to_numpy()[:1], np.diff(texts, prepend=0), block.column("held_out").to_numpy()[texts].astype(np.uint8),
+            owner[ends], pc.fill_null(ids, 0).to_numpy().astype(np.int64), pc.is_null(ids).to_numpy().astype(np.uint8)]
 
 
 @cache
@@ -644,6 +663,23 @@ def _pairs(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     return key[order[first]], *sums
 
 
+def _merged(runs: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """As _pairs, of runs in the order of contexts: only the last word of one and the first of the next can be the same."""
+    out, last = [], None
+    for x in runs:
+        if last is not None:
+            k = int(np.searchsorted(x[0], ((last[0][-1] >> 32) + 1) << 32))
+            out.append(_pairs([last, tuple(c[:k] for c in x)]) if k else last)
+            x, last = tuple(c[k:] for c in x), None
+            if not len(x[0]):
+                last = out.pop()
+                continue
+        k = int(np.searchsorted(x[0], x[0][-1] >> 32 << 32))
+        out.append(tuple(c[:k] for c in x))
+        last = tuple(c[k:] for c in x)
+    return tuple(np.concatenate(c) for c in zip(*out, last))
+
+
 def _lists(**columns: np.ndarray) -> dict[str, pa.Array]:
     return {k: pa.array([v]) for k, v in columns.items()}
 
@@ -698,13 +734,14 @@ def _counted(limit: int, cut: dict[int, int], common: np.ndarray, ranges: int):
             order = _by_two(c1, c0, size)
             first = np.flatnonzero(_starts(c1[order], c0[order]))
             key = (c1[order[first]].astype(np.int64) << 32) | c0[order[first]]
-            pairs.append((key, np.add.reduceat(n3[order], first), np.add.reduceat((n3 == 1).astype(np.int64)[order], first)))
+            pairs.append((key, np.add.reduceat(n3[order], first, dtype=np.int32), np.add.reduceat((n3 == 1)[order], first, dtype=np.int32)))
+            del columns, order, first, n3, c0, c1, c2, context, several, key
         c0, c1, c2, n3, at3, once3 = (np.concatenate(x) for x in zip(*live))
-        key, n2, fixed = _pairs(pairs)
+        key, n2, fixed = _merged(pairs)
         del live, pairs
-        b1, b0 = key >> 32, key & ((1 << 32) - 1)
+        b1, b0 = (key >> 32).astype(np.int32), (key & ((1 << 32) - 1)).astype(np.int32)
         begins = np.flatnonzero(_starts(b1))
-        word = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(b1)))
+        word = np.repeat(np.arange(len(begins), dtype=np.int32), np.diff(begins, append=len(b1)))
         live2 = n2 > 1
         firsts, at2 = _ranks(word[live2], len(begins))
         once = np.bincount(word[n2 == 1], minlength=len(begins))
@@ -834,7 +871,7 @@ def _scored(sweeps: int, limit: int, cut: dict[int, int], common: np.ndarray):
         rows = _Rows(data[2 * sweeps], common, limit)
         size = len(rows.numbers)
         is_cut = np.isin(rows.numbers, list(cut))
-        held = [x[5] for x in rows.payloads]
+        held = [x[6] for x in rows.payloads]
         start = np.cumsum([0, *map(len, held)])
         learnt = 1 - np.concatenate(held).astype(np.int32)
 
@@ -848,7 +885,7 @@ def _scored(sweeps: int, limit: int, cut: dict[int, int], common: np.ndarray):
             columns = [c[order] for c in columns]
             new = _starts(*columns)
             first = np.flatnonzero(new)
-            n3 = np.add.reduceat(learnt[owners(more)[order]], first)
+            n3 = np.add.reduceat(learnt[owners(more)[order]], first, dtype=np.int32)
             c0, c1, c2 = (c[first] for c in columns)
             known[c0] = True
             places += int((is_cut[c1] & _starts(c1, c2)).sum()) if cut else 0
@@ -858,11 +895,14 @@ def _scored(sweeps: int, limit: int, cut: dict[int, int], common: np.ndarray):
             inverse = np.empty(len(begins), dtype=np.int32)
             inverse[by_pair] = np.cumsum(begins, dtype=np.int32) - 1
             begins = np.flatnonzero(begins)
-            pairs.append(((c1[begins].astype(np.int64) << 32) | c0[begins], np.add.reduceat(n3[by_pair].astype(np.int64), begins)))
+            pairs.append((_key(c1[begins], c0[begins], 32), np.add.reduceat(n3[by_pair], begins, dtype=np.int32)))
             found.append((order, new, n3, inverse))
-        key, n2 = _pairs(pairs)
+            del columns, order, new, first, n3, c0, c1, c2, by_pair, begins, inverse
+        key, n2 = _merged(pairs)
+        pairs = [np.searchsorted(key, x[0]).astype(np.int32) for x in pairs]
         at = (np.cumsum(known) - 1).astype(np.int32)  # in the order of their numbers, as listed
         b1, b0 = (key >> 32).astype(np.int32), at[key & ((1 << 32) - 1)]
+        del key
         begins = np.flatnonzero(_starts(b1))
         word = np.repeat(np.arange(len(begins), dtype=np.int32), np.diff(begins, append=len(b1)))
         live2 = n2 > 1
@@ -874,15 +914,19 @@ def _scored(sweeps: int, limit: int, cut: dict[int, int], common: np.ndarray):
             all2, tables2 = _sum(word, c2, len(begins)), _sum(word, t2, len(begins))
             _added(all2, ours, places + np.arange(len(ours)), given[k], 1)
             _added(tables2, ours, places + np.arange(len(ours)), given[k], 2)
-            p2.append(_word_probability(1, c2, t2, all2[word], tables2[word], parent[k].view(np.float64)[b0]))
+            p2.append(np.empty(len(n2)))
+            for lo in range(0, len(n2), limit):
+                x = slice(lo, lo + limit)
+                p2[-1][x] = _word_probability(1, c2[x], t2[x], all2[word[x]], tables2[word[x]], parent[k].view(np.float64)[b0[x]])
+            del t2, c2
         sums, base = np.zeros((3, start[-1])), np.log10(n_word + 1.0)
         done, places = 0, 0
-        for (columns, more), (order, new, n3, inverse), (mine, _) in zip(rows.runs(), found, pairs):
+        for (columns, more), (order, new, n3, inverse), mine in zip(rows.runs(), found, pairs):
             first = order[new]
             c0, c1, c2 = (c[first] for c in columns)
             begins = np.flatnonzero(_starts(c1, c2))
             context = np.repeat(np.arange(len(begins), dtype=np.int32), np.diff(begins, append=len(c0)))
-            pair = np.searchsorted(key, mine)[inverse]
+            pair = mine[inverse]
             live3 = n3 > 1
             upto = done + int(live3.sum())
             ours = np.flatnonzero(is_cut[c1[begins]])
@@ -903,13 +947,12 @@ def _scored(sweeps: int, limit: int, cut: dict[int, int], common: np.ndarray):
                 out += np.bincount(owner, weights=values[trigram], minlength=len(out))
         blocks, out = [], []
         for x, lo, hi in zip(rows.payloads, start[:-1].tolist(), start[1:].tolist()):
-            *_, owner, first, held_out, ended, ids, without = x
-            n_tokens = np.bincount(owner, minlength=hi - lo)
-            texts = np.flatnonzero(n_tokens)
-            score, known_as, n_known = (c[lo:hi][texts] for c in sums)
+            *_, owner, first, texts, held_out, ended, ids, without = x
+            score, known_as, n_known = (c[lo:hi] for c in sums)
             blocks.append(int(first[0]))
-            out.append(_pack(texts, n_tokens[texts], n_known.astype(np.int64), known_as.view(np.int64), score.view(np.int64),
-                             ended, held_out[ended], ids, without))
+            texts = np.cumsum(texts, dtype=np.int64)
+            out.append(_pack(texts, np.bincount(owner, minlength=hi - lo), n_known.astype(np.int64), known_as.view(np.int64), score.view(np.int64),
+                             texts[ended], held_out[ended], ids, without))
         del rows, found, pairs, sums, p2
         _release()
         return pa.table({"block": pa.array(blocks, pa.int64()), "payload": pa.array(out, pa.binary())})
