@@ -51,7 +51,7 @@ from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, remainder, shuffles_freed, whole
+from .common import Scratch, configured, remainder, shuffles_freed, whole
 from .shingles import mix
 
 ORDER = 4
@@ -70,7 +70,7 @@ FEW_CUSTOMERS = 8
 START, END = 2, 3
 _BASE = 1.0 / 0x110000
 #: Bytes of text whose trigrams are dealt together, and bytes of text that a part of the contexts stands for.
-BLOCK = 12 << 20
+BLOCK = 8 << 20
 _TOGETHER = 1 << 19
 PART = 24 << 20
 #: Bytes of text that a range of the words' numbers stands for.
@@ -615,21 +615,33 @@ class _Rows:
         step = 1 + limit // 256
         cuts = np.sort(np.concatenate([self._contexts(k, -at % step, step) for k, at in enumerate(np.cumsum(sizes) - sizes)]))
         cuts = cuts[limit // step::limit // step] if sum(sizes) > limit else cuts[:0]
-        cuts = cuts[_starts(cuts)]
+        self.cuts = self._at_words(cuts)
         for k, size in enumerate(sizes):
-            inner = np.searchsorted(self._contexts(k, 0, 1), cuts) if len(cuts) else cuts
+            inner = np.searchsorted(self._contexts(k, 0, 1), self.cuts) if len(self.cuts) else self.cuts
             self.ends.append(np.concatenate([[0], inner, [size]]))
 
+    @staticmethod
+    def _at_words(cuts: np.ndarray) -> np.ndarray:
+        """Cuts where a middle word begins, and within those that are cut more than once."""
+        out, last = [], -1
+        for x in cuts.tolist():
+            x = x >> 32 << 32 if x >> 32 << 32 > last else x
+            if x > last:
+                out.append(x)
+                last = x
+        return np.array(out, dtype=np.int64)
+
     def _contexts(self, k: int, first: int, step: int) -> np.ndarray:
         _, c1, c2, *_ = self.payloads[k]
         return (self.code[k][c1[first::step]].astype(np.int64) << 32) | self.code[k][c2[first::step]]
 
-    def runs(self) -> Iterator[tuple[list[np.ndarray], list[np.ndarray]]]:
-        """The three words of a run's rows, and what else each payload has of them."""
-        for lo, hi in zip(np.array(self.ends).T[:-1], np.array(self.ends).T[1:]):
+    def runs(self) -> Iterator[tuple[list[np.ndarray], list[np.ndarray], bool]]:
+        """The three words of a run's rows, what else each payload has of them, and if a middle word ends with the run."""
+        ends = np.array(self.ends).T
+        for lo, hi, cut in zip(ends[:-1], ends[1:], [*self.cuts.tolist(), 0]):
             if (hi > lo).any():
                 some = [(code, [c[i:j] for c in x[:4]]) for code, x, i, j in zip(self.code, self.payloads, lo, hi)]
-                yield [np.concatenate([code[x[k]] for code, x in some]) for k in range(3)], [x[3] for _, x in some]
+                yield [np.concatenate([code[x[k]] for code, x in some]) for k in range(3)], [x[3] for _, x in some], not cut & ((1 << 32) - 1)
 
 
 def _sum(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
@@ -705,13 +717,13 @@ def _counted(limit: int, cut: dict[int, int], common: np.ndarray, ranges: int):
     context by range (words met, bigrams learnt once by word, swept bigrams
     by word, how often words are learnt; middle words and their spelling;
     words with swept bigrams), and the restaurants of words that are cut:
-    their words, fixed customers and fixed tables, in the order of places."""
+    their places (of words below 0), words, fixed customers and tables."""
     def run(part: pa.Table) -> pa.Table:
         rows = _Rows([x.as_buffer() for x in part.column("payload")], common, limit)
         size = len(rows.numbers)
         is_cut = np.isin(rows.numbers, list(cut))
         live, shared, in3, place3, pairs, n_live, places = [], [], [], [], [], 0, 0
-        for columns, n in rows.runs():
+        for columns, n, _ in rows.runs():
             order = _order(*columns, size)
             columns = [c[order] for c in columns]
             first = np.flatnonzero(_starts(*columns))
@@ -752,7 +764,8 @@ def _counted(limit: int, cut: dict[int, int], common: np.ndarray, ranges: int):
         shared.append([rows.numbers[b1[begins[ours]]], np.full(len(ours), _END), once[ours], once[ours]])
         shared = [np.concatenate(x).astype(np.int64) for x in zip(*shared)]
         in2 = np.flatnonzero(is_cut[b1[begins[firsts]]])
-        place2 = np.searchsorted(ours, firsts[in2]) + places
+        place2 = -1 - np.searchsorted(ours, firsts[in2])
+        placed = np.concatenate([np.arange(places), -1 - np.arange(len(ours))])
         nothing = np.empty(0, dtype=np.int64)
         in3, place3 = np.concatenate([nothing, *in3]), np.concatenate([nothing, *place3])
         n = _sum(b0, n2, size)[met]
@@ -774,7 +787,7 @@ def _counted(limit: int, cut: dict[int, int], common: np.ndarray, ranges: int):
         return pa.table({
             "part": part.column("part").slice(0, 1), "state": pa.array([_pack(*state)], pa.binary()), "seats": pa.array([_pack(*seats)], pa.binary()),
             **_structs("told", told, ("met", "own", "spelt")), **_structs("asked", asked, ("payload",)),
-            **_lists(**dict(zip(("r1", "r2", "rc", "rt"), shared))), **_passed_on(state, seats)})
+            **_lists(rp=placed, **dict(zip(("r1", "r2", "rc", "rt"), shared))), **_passed_on(state, seats)})
     return run
 
 
@@ -871,80 +884,79 @@ def _scored(sweeps: int, limit: int, cut: dict[int, int], common: np.ndarray):
         rows = _Rows(data[2 * sweeps], common, limit)
         size = len(rows.numbers)
         is_cut = np.isin(rows.numbers, list(cut))
-        held = [x[6] for x in rows.payloads]
-        start = np.cumsum([0, *map(len, held)])
-        learnt = 1 - np.concatenate(held).astype(np.int32)
+        start = np.cumsum([0, *(len(x[6]) for x in rows.payloads)])
+        learnt = 1 - np.concatenate([x[6] for x in rows.payloads]).astype(np.int32)
 
         def owners(more: list[np.ndarray]) -> np.ndarray:
             return np.concatenate([x.astype(np.int32) + np.int32(at) for x, at in zip(more, start)])
 
         known = np.zeros(size, dtype=bool)
-        found, pairs, places = [], [], 0
-        for columns, more in rows.runs():
-            order = _order(*columns, size).astype(np.int32)
+        for code, x in zip(rows.code, rows.payloads):
+            known[code[x[0]]] = True
+        at = np.cumsum(known, dtype=np.int32) - 1  # in the order of their numbers, as listed
+        sums, base = np.zeros((3, start[-1])), np.log10(n_word + 1.0)
+        done2 = done3 = places2 = places3 = 0
+        held = []
+        for columns, more, closed in rows.runs():
+            order = _order(*columns, size)
+            owner = owners(more)[order]
             columns = [c[order] for c in columns]
             new = _starts(*columns)
             first = np.flatnonzero(new)
-            n3 = np.add.reduceat(learnt[owners(more)[order]], first, dtype=np.int32)
+            n3 = np.add.reduceat(learnt[owner], first, dtype=np.int32)
             c0, c1, c2 = (c[first] for c in columns)
-            known[c0] = True
-            places += int((is_cut[c1] & _starts(c1, c2)).sum()) if cut else 0
+            contexts = np.flatnonzero(_starts(c1, c2))
+            context = np.repeat(np.arange(len(contexts), dtype=np.int32), np.diff(contexts, append=len(c0)))
             by_pair = _by_two(c1, c0, size)
-            c0, c1 = c0[by_pair], c1[by_pair]
-            begins = _starts(c1, c0)
-            inverse = np.empty(len(begins), dtype=np.int32)
-            inverse[by_pair] = np.cumsum(begins, dtype=np.int32) - 1
+            b0, b1 = c0[by_pair], c1[by_pair]
+            begins = _starts(b1, b0)
+            pair = np.empty(len(begins), dtype=np.int32)
+            pair[by_pair] = np.cumsum(begins, dtype=np.int32) - 1
             begins = np.flatnonzero(begins)
-            pairs.append((_key(c1[begins], c0[begins], 32), np.add.reduceat(n3[by_pair], begins, dtype=np.int32)))
-            found.append((order, new, n3, inverse))
-            del columns, order, new, first, n3, c0, c1, c2, by_pair, begins, inverse
-        key, n2 = _merged(pairs)
-        pairs = [np.searchsorted(key, x[0]).astype(np.int32) for x in pairs]
-        at = (np.cumsum(known) - 1).astype(np.int32)  # in the order of their numbers, as listed
-        b1, b0 = (key >> 32).astype(np.int32), at[key & ((1 << 32) - 1)]
-        del key
-        begins = np.flatnonzero(_starts(b1))
-        word = np.repeat(np.arange(len(begins), dtype=np.int32), np.diff(begins, append=len(b1)))
-        live2 = n2 > 1
-        ours = np.flatnonzero(is_cut[b1[begins]])
-        p2 = []
-        for k, (_, t2_live, c2_live) in enumerate(seats):
-            t2, c2 = np.minimum(n2, 1), np.minimum(n2, 1)
-            t2[live2], c2[live2] = t2_live, c2_live
-            all2, tables2 = _sum(word, c2, len(begins)), _sum(word, t2, len(begins))
-            _added(all2, ours, places + np.arange(len(ours)), given[k], 1)
-            _added(tables2, ours, places + np.arange(len(ours)), given[k], 2)
-            p2.append(np.empty(len(n2)))
-            for lo in range(0, len(n2), limit):
-                x = slice(lo, lo + limit)
-                p2[-1][x] = _word_probability(1, c2[x], t2[x], all2[word[x]], tables2[word[x]], parent[k].view(np.float64)[b0[x]])
-            del t2, c2
-        sums, base = np.zeros((3, start[-1])), np.log10(n_word + 1.0)
-        done, places = 0, 0
-        for (columns, more), (order, new, n3, inverse), mine in zip(rows.runs(), found, pairs):
-            first = order[new]
-            c0, c1, c2 = (c[first] for c in columns)
-            begins = np.flatnonzero(_starts(c1, c2))
-            context = np.repeat(np.arange(len(begins), dtype=np.int32), np.diff(begins, append=len(c0)))
-            pair = mine[inverse]
-            live3 = n3 > 1
-            upto = done + int(live3.sum())
-            ours = np.flatnonzero(is_cut[c1[begins]])
-            total = np.zeros(len(n3))
-            for k, (t3_live, _, _) in enumerate(seats):
-                t3 = np.minimum(n3, 1)
-                t3[live3] = t3_live[done:upto]
-                all3, tables3 = _sum(context, n3, len(begins)), _sum(context, t3, len(begins))
-                _added(all3, ours, places + np.arange(len(ours)), given[k], 1)
-                _added(tables3, ours, places + np.arange(len(ours)), given[k], 2)
-                total += _word_probability(2, n3, t3, all3[context], tables3[context], p2[k][pair])
-            done, places = upto, places + len(ours)
-            # back to the texts
-            owner = owners(more)[order]
-            trigram = np.cumsum(new, dtype=np.int32) - 1
-            word = at[c0]
-            for out, values in zip(sums, (np.log10(total / sweeps), base[word], n_word[word] > 0)):
-                out += np.bincount(owner, weights=values[trigram], minlength=len(out))
+            pairs = _key(b1[begins], b0[begins], 32), np.add.reduceat(n3[by_pair], begins, dtype=np.int32)
+            held.append((pairs, pair, at[c0], n3, context, np.flatnonzero(is_cut[c1[contexts]]), owner, np.cumsum(new, dtype=np.int32) - 1))
+            del columns, order, new, first, c0, c1, c2, by_pair, b0, b1, begins
+            if not closed:
+                continue
+            # the pairs of the middle words that the held runs have whole
+            key, n2 = _merged([x[0] for x in held])
+            b1, b0 = (key >> 32).astype(np.int32), at[key & ((1 << 32) - 1)]
+            begins = np.flatnonzero(_starts(b1))
+            word = np.repeat(np.arange(len(begins), dtype=np.int32), np.diff(begins, append=len(b1)))
+            live2 = n2 > 1
+            upto = done2 + int(live2.sum())
+            ours = np.flatnonzero(is_cut[b1[begins]])
+            placed = -1 - places2 - np.arange(len(ours))
+            p2 = []
+            for k, (_, t2_live, c2_live) in enumerate(seats):
+                t2, c2 = np.minimum(n2, 1), np.minimum(n2, 1)
+                t2[live2], c2[live2] = t2_live[done2:upto], c2_live[done2:upto]
+                all2, tables2 = _sum(word, c2, len(begins)), _sum(word, t2, len(begins))
+                _added(all2, ours, placed, given[k], 1)
+                _added(tables2, ours, placed, given[k], 2)
+                p2.append(_word_probability(1, c2, t2, all2[word], tables2[word], parent[k].view(np.float64)[b0]))
+            done2, places2 = upto, places2 + len(ours)
+            for pairs, pair, word, n3, context, ours, owner, trigram in held:
+                if len(held) > 1:
+                    pair = np.searchsorted(key, pairs[0])[pair]
+                live3 = n3 > 1
+                upto = done3 + int(live3.sum())
+                size3, placed = int(context[-1]) + 1, places3 + np.arange(len(ours))
+                total = np.zeros(len(n3))
+                for k, (t3_live, _, _) in enumerate(seats):
+                    t3 = np.minimum(n3, 1)
+                    t3[live3] = t3_live[done3:upto]
+                    all3, tables3 = _sum(context, n3, size3), _sum(context, t3, size3)
+                    _added(all3, ours, placed, given[k], 1)
+                    _added(tables3, ours, placed, given[k], 2)
+                    total += _word_probability(2, n3, t3, all3[context], tables3[context], p2[k][pair])
+                done3, places3 = upto, places3 + len(ours)
+                # back to the texts
+                for out, values in zip(sums, (np.log10(total / sweeps), base[word], n_word[word] > 0)):
+                    out += np.bincount(owner, weights=values[trigram], minlength=len(out))
+            held = []
+        if held:
+            raise RuntimeError("rows of a part were left over")
         blocks, out = [], []
         for x, lo, hi in zip(rows.payloads, start[:-1].tolist(), start[1:].tolist()):
             *_, owner, first, texts, held_out, ended, ids, without = x
@@ -953,7 +965,7 @@ def _scored(sweeps: int, limit: int, cut: dict[int, int], common: np.ndarray):
             texts = np.cumsum(texts, dtype=np.int64)
             out.append(_pack(texts, np.bincount(owner, minlength=hi - lo), n_known.astype(np.int64), known_as.view(np.int64), score.view(np.int64),
                              texts[ended], held_out[ended], ids, without))
-        del rows, found, pairs, sums, p2
+        del rows, sums
         _release()
         return pa.table({"block": pa.array(blocks, pa.int64()), "payload": pa.array(out, pa.binary())})
     return run
@@ -994,17 +1006,13 @@ def _packed(totals: pa.Table) -> pa.Table:
 
 
 def _zipped(rows: DataFrame, columns: list[str], names: list[str]) -> DataFrame:
-    """part, place and what else is listed, a row for each."""
-    place = "place" in columns
-    x = F.arrays_zip(*columns)
-    listed = rows.select("part", F.explode(x).alias("x")) if place else rows.select("part", F.posexplode(x).alias("place", "x"))
-    return listed.select("part", *([] if place else [F.col("place").cast("long").alias("place")]),
-                         *[F.col(f"x.{c}").alias(n) for c, n in zip(columns, names)])
+    """part and what is listed, a row for each."""
+    return rows.select("part", F.explode(F.arrays_zip(*columns)).alias("x")).select("part", *[F.col(f"x.{c}").alias(n) for c, n in zip(columns, names)])
 
 
 def _shared(counted: DataFrame, tables: Scratch) -> DataFrame:
     """part, place, r1, r2, fixed_c, fixed_t: the restaurants that several parts have, with the sums of what is fixed."""
-    rows = tables.land(_zipped(counted, ["r1", "r2", "rc", "rt"], ["r1", "r2", "c", "t"]), "restaurants")
+    rows = tables.land(_zipped(counted, ["rp", "r1", "r2", "rc", "rt"], ["place", "r1", "r2", "c", "t"]), "restaurants")
     several = rows.groupBy("r1", "r2").agg(F.count("*").alias("n"), F.sum("c").alias("fixed_c"), F.sum("t").alias("fixed_t")).where("n > 1")
     return tables.land(rows.select("part", "place", "r1", "r2").join(several.drop("n"), ["r1", "r2"]), "shared")
 
@@ -1027,7 +1035,8 @@ def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_I
     from each time.  Without training texts every word is spelt from the
     uniform base.  An empty table gives no row.
     """
-    with shuffles_freed(docs.sparkSession):
+    # texts are long rows: fewer are passed to Python at a time
+    with shuffles_freed(docs.sparkSession), configured(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}):
         return _score(docs, sweeps, burn_in)
 
 
@@ -1044,7 +1053,7 @@ def _score(docs: DataFrame, sweeps: int, burn_in: int) -> DataFrame:
     places = "place array<long>, c array<long>, t array<long>"
     counted = start.land(_dealt(docs, parts, cut, common, False).repartition(parts, "part").groupBy("part").applyInArrow(
         _counted(limit, cut, common, ranges), "part long, state binary, seats binary, told array<struct<range:long,met:binary,own:binary,spelt:binary>>, "
-        f"asked array<struct<range:long,payload:binary>>, r1 array<long>, r2 array<long>, rc array<long>, rt array<long>, {places}"), "parts")
+        f"asked array<struct<range:long,payload:binary>>, rp array<long>, r1 array<long>, r2 array<long>, rc array<long>, rt array<long>, {places}"), "parts")
     told = counted.select("part", F.explode("told").alias("x")).select("part", "x.*")
     asked = counted.select("part", F.explode("asked").alias("x")).select("part", "x.*")
     words = told.groupBy("range").applyInArrow(_vocabulary, "h0 long, word string, fixed long, sent long, n long")
@@ -1112,7 +1121,9 @@ def _score(docs: DataFrame, sweeps: int, burn_in: int) -> DataFrame:
     start.drop()
     rows = [*[y for x in history for y in x[1:]], listed, _payload(_dealt(docs, parts, cut, common, True), "payload", 2 * kept)]
     floor = math.log10(totals["n"] + totals["v"] + 1)
-    scores = reduce(DataFrame.union, rows).groupBy("part").applyInArrow(_scored(kept, limit, cut, common), "block long, payload binary")
+    scores = Scratch(spark, "lm-scores").land(reduce(DataFrame.union, rows).groupBy("part").applyInArrow(
+        _scored(kept, limit, cut, common), "block long, payload binary"), "scores")
+    kept_tables.drop()
     return scores.groupBy("block").applyInArrow(
         _texts, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double",
     ).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(totals["n"]).cast("long").alias("train_tokens"),
